@@ -59,21 +59,21 @@ def word_count(text: Column) -> Column:
     return F.size(words(text))
 
 
-def lexicon_hits(text: Column, lexicon: tuple[str, ...]) -> Column:
+def _hits(lowered: Column, lexicon: tuple[str, ...]) -> Column:
     """Number of lexicon words that occur anywhere in the text, each counted once."""
-    lowered = F.lower(text)
     return reduce(add, [lowered.contains(word).cast("int") for word in lexicon])
 
 
 def sentiment(transcript: Column) -> Column:
-    positive = lexicon_hits(transcript, POSITIVE_WORDS)
-    negative = lexicon_hits(transcript, NEGATIVE_WORDS)
-    return (
-        F.when(~has_content(transcript), "neutral")
-        .when(positive > negative, "positive")
-        .when(negative > positive, "negative")
-        .otherwise("neutral")
+    # The one-element array makes Spark lower the text once, not once per word.
+    balance = F.transform(
+        F.array(F.lower(transcript)),
+        lambda t: F.signum(_hits(t, POSITIVE_WORDS) - _hits(t, NEGATIVE_WORDS)).cast("int"),
     )
+    labels = F.array(F.lit("negative"), F.lit("neutral"), F.lit("positive"))
+    return F.when(
+        has_content(transcript), F.element_at(labels, F.element_at(balance, 1) + 2)
+    ).otherwise("neutral")
 
 
 def text_summary(

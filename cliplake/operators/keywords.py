@@ -13,56 +13,67 @@ from cliplake.params import TextParams
 def _ranked_list(df: DataFrame, key: str, order: list, limit: int, item, name: str) -> DataFrame:
     """One array of the first ``limit`` items per key.
 
-    The rank filter keeps at most ``limit`` rows per key in every task before the shuffle.  Rows
-    without a term give an empty array.
+    The rank filter keeps at most ``limit`` rows per key in every task before the shuffle.
     """
     rank = F.row_number().over(Window.partitionBy(key).orderBy(*order))
     best = df.withColumn("rank", rank).where(F.col("rank") <= limit)
-    listed = F.sort_array(
-        F.collect_list(F.when(F.col("term").isNotNull(), F.struct("rank", item.alias("item"))))
-    )
+    listed = F.sort_array(F.collect_list(F.struct("rank", item.alias("item"))))
     return best.groupBy(key).agg(F.transform(listed, lambda entry: entry["item"]).alias(name))
 
 
-def keywords(transcripts: DataFrame, params: TextParams = TextParams()) -> DataFrame:
-    """The most frequent words of each transcript without stop words: doc_id, keywords.
+def term_frequencies(transcripts: DataFrame) -> DataFrame:
+    """Terms of each transcript, stop words kept: doc_id, term, length, n, position.
 
-    Equal frequencies rank by first occurrence.  Transcripts without content keep an empty array.
+    ``length`` is the number of tokens of the transcript, ``n`` the occurrences of the term and
+    ``position`` its first one.
     """
-    listed = F.when(
-        text.has_content(F.col("transcript")),
-        text.without_stop_words(text.tokens(F.col("transcript"))),
-    )
+    listed = text.tokens(F.col("transcript"))
     counts = (
-        transcripts.select("doc_id", F.posexplode_outer(listed).alias("position", "term"))
-        .groupBy("doc_id", "term")
-        .agg(F.count("term").alias("frequency"), F.min("position").alias("position"))
+        transcripts.where(~text.is_placeholder(F.col("transcript")))
+        .select("doc_id", listed.alias("terms"))
+        .select("doc_id", F.size("terms").alias("length"), F.posexplode("terms"))
+        .groupBy("doc_id", F.col("col").alias("term"), "length")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("position"))
     )
-    item = F.struct(F.col("term").alias("word"), "frequency")
-    order = [F.desc("frequency"), F.col("position")]
-    ranked = _ranked_list(counts, "doc_id", order, params.keywords, item, "keywords")
-    return ranked.withColumn("keywords", F.col("keywords").cast(schemas.KEYWORDS))
+    # Always true.  It keeps both aggregates in every plan that uses this table, so that keywords
+    # and TF-IDF share one pass over the texts and one shuffle.
+    return counts.where((F.col("n") > 0) & (F.col("position") >= 0))
 
 
-def term_frequencies(transcripts: DataFrame) -> DataFrame:
-    """Occurrences of each term per transcript, stop words kept: doc_id, term, n, tf."""
-    listed = text.tokens(F.col("transcript"))
-    return (
-        transcripts.where(~text.is_placeholder(F.col("transcript")))
-        .select("doc_id", listed.alias("terms"))
-        .select("doc_id", F.size("terms").alias("length"), F.explode("terms").alias("term"))
-        .groupBy("doc_id", "term", "length")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select("doc_id", "term", "n", (F.col("n") / F.col("length")).alias("tf"))
+def keyword_lists(frequencies: DataFrame, params: TextParams = TextParams()) -> DataFrame:
+    """The most frequent terms without stop words, for transcripts that have any.
+
+    Equal frequencies rank by first occurrence.
+    """
+    # Written with the count so that the filter stays above the shared shuffle.
+    weight = F.when(F.col("term").isin(*text.STOP_WORDS), 0).otherwise(F.col("n"))
+    item = F.struct(F.col("term").alias("word"), F.col("n").alias("frequency"))
+    order = [F.desc("n"), F.col("position")]
+    return _ranked_list(
+        frequencies.where(weight > 0), "doc_id", order, params.keywords, item, "keywords"
     )
 
 
+def attach_keywords(transcripts: DataFrame, lists: DataFrame) -> DataFrame:
+    """Add the keywords to the transcripts; an empty array where a transcript has none."""
+    empty = F.array().cast(schemas.KEYWORDS)
+    return transcripts.join(lists, "doc_id", "left").withColumn(
+        "keywords", F.coalesce("keywords", empty)
+    )
+
+
+def keywords(transcripts: DataFrame, params: TextParams = TextParams()) -> DataFrame:
+    """doc_id and keywords of all transcripts."""
+    lists = keyword_lists(term_frequencies(transcripts), params)
+    return attach_keywords(transcripts.select("doc_id"), lists)
+
+
 def document_frequencies(frequencies: DataFrame) -> DataFrame:
     """Number of transcripts that hold each term."""
     return frequencies.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
-def tfidf(transcripts: DataFrame) -> DataFrame:
+def tfidf(transcripts: DataFrame, frequencies: DataFrame | None = None) -> DataFrame:
     """Every term of every transcript with tf, idf = ln(N / (df + 1)) and their product.
 
     N counts all transcripts but the bracketed placeholders, empty ones included.
@@ -72,12 +83,13 @@ def tfidf(transcripts: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).cast("double"))
         .scalar()
     )
-    frequencies = term_frequencies(transcripts)
-    weights = document_frequencies(frequencies).select(
+    terms = term_frequencies(transcripts) if frequencies is None else frequencies
+    weights = document_frequencies(terms).select(
         "term", F.ln(documents / (F.col("df") + 1)).alias("idf")
     )
-    return frequencies.join(weights, "term").select(
-        "doc_id", "term", "tf", "idf", (F.col("tf") * F.col("idf")).alias("score")
+    tf = F.col("n") / F.col("length")
+    return terms.join(weights, "term").select(
+        "doc_id", "term", tf.alias("tf"), "idf", (tf * F.col("idf")).alias("score")
     )
 
 
@@ -86,8 +98,7 @@ def tfidf_top(scored: DataFrame, params: TextParams = TextParams()) -> DataFrame
     item = F.struct("term", "score")
     # Rounding makes scores that differ only in the order of float operations tie.
     order = [F.desc(F.round("score", 9)), F.col("term")]
-    ranked = _ranked_list(scored, "doc_id", order, params.tfidf_terms, item, "top_tfidf_terms")
-    return ranked.withColumn("top_tfidf_terms", F.col("top_tfidf_terms").cast(schemas.TOP_TERMS))
+    return _ranked_list(scored, "doc_id", order, params.tfidf_terms, item, "top_tfidf_terms")
 
 
 def attach_top_terms(transcripts: DataFrame, top_terms: DataFrame) -> DataFrame:
@@ -107,10 +118,10 @@ def with_text_facts(transcripts: DataFrame) -> DataFrame:
 
 
 def summarize(
-    transcripts: DataFrame, keyword_lists: DataFrame, params: TextParams = TextParams()
+    transcripts: DataFrame, lists: DataFrame, params: TextParams = TextParams()
 ) -> DataFrame:
     """Add keywords, summary sentence and sentiment to transcripts."""
-    facts = with_text_facts(transcripts).join(keyword_lists, "doc_id", "left")
+    facts = attach_keywords(with_text_facts(transcripts), lists)
     return facts.withColumn(
         "summary",
         text.text_summary(

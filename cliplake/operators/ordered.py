@@ -10,10 +10,11 @@ slice (a count, a sum, its first and last row) is handled per whole group.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from cliplake.params import ROWS_PER_SLICE
@@ -24,6 +25,13 @@ def slice_of(position: Column, rows: int = ROWS_PER_SLICE) -> Column:
     return F.floor(position / rows)
 
 
+def _join_per_slice(sliced: DataFrame, facts: DataFrame, group: list[str]) -> DataFrame:
+    """Join one row of facts per (group, slice); keys may be null."""
+    renamed = facts.withColumnsRenamed({column: f"_fact_{column}" for column in group})
+    same = [sliced[column].eqNullSafe(renamed[f"_fact_{column}"]) for column in group]
+    return sliced.join(renamed, reduce(and_, same))
+
+
 def running_sum(
     df: DataFrame,
     keys: list[str],
@@ -43,10 +51,7 @@ def running_sum(
     starts = (
         sliced.groupBy(*group)
         .agg(F.sum("_amount").alias("_total"))
-        .select(
-            *[F.col(column).alias(f"_start_{column}") for column in group],
-            F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_start"),
-        )
+        .select(*group, F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_start"))
     )
     inside = (
         Window.partitionBy(*group)
@@ -54,14 +59,35 @@ def running_sum(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     summed = sliced.withColumn("_inside", F.sum("_amount").over(inside))
-    same_slice = reduce(
-        and_, [summed[column].eqNullSafe(starts[f"_start_{column}"]) for column in group]
-    )
-    return summed.join(starts, same_slice).select(
+    return _join_per_slice(summed, starts, group).select(
         *df.columns, (F.col("_start") + F.col("_inside")).alias(name)
     )
 
 
+def group_aggregate(
+    df: DataFrame,
+    keys: list[str],
+    slice_id: Column,
+    partial: dict[str, Column],
+    total: dict[str, Callable[[WindowSpec], Column]],
+) -> DataFrame:
+    """Add aggregates of the whole group to each of its rows.
+
+    ``partial`` aggregates every slice, ``total`` combines these over the given window of all
+    slices of the group.  A plain join on the group key would send all rows of a large group to
+    one task; here rows meet their totals per (keys, slice).
+    """
+    sliced = df.withColumn("_slice", slice_id)
+    group = [*keys, "_slice"]
+    whole = Window.partitionBy(*keys)
+    facts = (
+        sliced.groupBy(*group)
+        .agg(*[column.alias(name) for name, column in partial.items()])
+        .select(*group, *[build(whole).alias(name) for name, build in total.items()])
+    )
+    return _join_per_slice(sliced, facts, group).select(*df.columns, *total)
+
+
 def number_rows(
     df: DataFrame, keys: list[str], order: list[str], slice_id: Column, name: str
 ) -> DataFrame:

@@ -73,16 +73,20 @@ def overlap_frames(signal: DataFrame, size: int, hop: int) -> DataFrame:
     Clips count as zero-padded to a whole number of hops, and only frames that fit in the padded
     clip exist.  Rows: clip, frame, offset in the frame, x.  Padding adds no rows.
     """
-    lengths = signal.groupBy("clip").agg((F.max("i") + 1).alias("samples"))
+    measured = ordered.group_aggregate(
+        signal.select("clip", "i", "x"),
+        ["clip"],
+        ordered.slice_of(F.col("i")),
+        {"_last": F.max("i")},
+        {"samples": lambda clip: F.max("_last").over(clip) + 1},
+    )
     padded = F.ceil(F.col("samples") / hop) * hop
     frame_count = F.floor((padded - size) / hop) + 1
     first = F.greatest(F.ceil((F.col("i") - (size - 1)) / hop), F.lit(0).cast("bigint"))
     last = F.least(F.floor(F.col("i") / hop), frame_count - 1)
     frame_ids = F.when(first <= last, F.sequence(first, last))
-    return (
-        signal.join(lengths, "clip")
-        .select("clip", "i", "x", F.explode(frame_ids).alias("frame"))
-        .select("clip", "frame", (F.col("i") - F.col("frame") * hop).alias("offset"), "x")
+    return measured.select("clip", "i", "x", F.explode(frame_ids).alias("frame")).select(
+        "clip", "frame", (F.col("i") - F.col("frame") * hop).alias("offset"), "x"
     )
 
 
@@ -94,10 +98,18 @@ def frame_energy(framed: DataFrame) -> DataFrame:
 
 def speech_mask(energies: DataFrame, ratio: float = 0.5) -> DataFrame:
     """Mark the frames whose energy is above ``ratio`` times the mean energy of their clip."""
-    thresholds = energies.groupBy("clip").agg((F.avg("energy") * ratio).alias("threshold"))
-    return energies.join(thresholds, "clip").withColumn(
-        "speech", F.col("energy") > F.col("threshold")
+    measured = ordered.group_aggregate(
+        energies,
+        ["clip"],
+        ordered.slice_of(F.col("frame")),
+        {"_energy": F.sum("energy"), "_frames": F.count(F.lit(1))},
+        {
+            "threshold": lambda clip: F.sum("_energy").over(clip)
+            / F.sum("_frames").over(clip)
+            * ratio
+        },
     )
+    return measured.withColumn("speech", F.col("energy") > F.col("threshold"))
 
 
 def segments(mask: DataFrame) -> DataFrame:

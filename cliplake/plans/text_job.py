@@ -11,10 +11,18 @@ from cliplake.params import TextParams
 def analyse(transcripts: DataFrame, params: TextParams = TextParams()) -> DataFrame:
     """Transcripts with keywords, top TF-IDF terms, summary and sentiment.
 
-    All three inputs of the joins are spread by doc_id.  Select the columns you need: without
-    ``transcript`` the texts are not shuffled.
+    Texts are tokenised once for keywords and TF-IDF together.  All inputs of the joins are
+    spread by doc_id.  Select the columns you need: without ``transcript`` the texts are not
+    shuffled.
     """
-    lists = keywords.keywords(transcripts, params)
-    top_terms = keywords.tfidf_top(keywords.tfidf(transcripts), params)
+    frequencies = keywords.term_frequencies(transcripts)
+    lists = keywords.keyword_lists(frequencies, params)
+    top_terms = keywords.tfidf_top(keywords.tfidf(transcripts, frequencies), params)
     summarized = keywords.summarize(transcripts, lists, params)
     return keywords.attach_top_terms(summarized, top_terms).drop("has_content", "num_words")
+
+
+def summaries(transcripts: DataFrame, params: TextParams = TextParams()) -> DataFrame:
+    """Transcripts with keywords, summary and sentiment, without TF-IDF."""
+    lists = keywords.keyword_lists(keywords.term_frequencies(transcripts), params)
+    return keywords.summarize(transcripts, lists, params).drop("has_content", "num_words")

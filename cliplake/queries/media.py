@@ -16,24 +16,41 @@ PIXEL_COLUMNS = ["height", "width", "channels", "data"]
 
 
 def binary_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page written as a file of its own, and the files read whole."""
+    """Pages written to container files, the files read whole and cut into pages again."""
     root = fresh_dir(spark, "pages")
-    tables.write_files(views.table(spark, sf_dir, "pages"), "page_id", "html", root)
-    page_id = F.regexp_extract("path", "page_id=([0-9]+)", 1).cast("bigint")
-    return files.binary_files(spark, [root]).select(
-        page_id.alias("page_id"), "length", F.md5("content").alias("checksum")
+    page = F.concat(F.col("page_id"), F.lit("\t"), F.col("html"))
+    tables.write_records(views.table(spark, sf_dir, "pages").select(page.alias("page")), root)
+    records = F.split(F.col("content").cast("string"), tables.RECORD_END)
+    pages = (
+        files.binary_files(spark, [root])
+        .select(F.explode(records).alias("page"))
+        .where("page <> ''")
+    )
+    html = F.regexp_replace("page", r"^[0-9]+\t", "")
+    return pages.select(
+        F.substring_index("page", "\t", 1).cast("bigint").alias("page_id"),
+        F.octet_length(html).cast("bigint").alias("length"),
+        F.md5(html.cast("binary")).alias("checksum"),
     )
 
 
 def image_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every vector written as a PNG file of its own, and the files decoded."""
+    """Images written to PNG sheets, the files decoded and cut into images again."""
     root = fresh_dir(spark, "images")
-    pixels = views.gray_images(spark, sf_dir)
-    png = views.png_bytes(F.col("height"), F.col("width"), F.col("data"))
-    tables.write_files(pixels.withColumn("png", png), "vec_id", "png", root)
-    vec_id = F.regexp_extract("origin", "vec_id=([0-9]+)", 1).cast("bigint")
-    return files.images(spark, root).select(
-        vec_id.alias("vec_id"), "height", "width", "n_channels", F.hex("data").alias("pixels")
+    tables.write_files(views.image_sheets(spark, sf_dir), "sheet", "content", root)
+    count = F.floor(F.col("height") * F.col("width") / views.TILE_BYTES).cast("int")
+    starts = F.transform(
+        F.sequence(F.lit(0), count - 1), lambda tile: tile * views.TILE_BYTES + 1
+    )
+    tiles = files.images(spark, root).select(
+        "width", "n_channels", F.explode(starts).alias("start"), "data"
+    )
+    return tiles.select(
+        F.conv(F.hex(F.substring("data", F.col("start"), 8)), 16, 10).cast("bigint").alias("vec_id"),
+        F.lit(8).alias("height"),
+        "width",
+        "n_channels",
+        F.hex(F.substring("data", F.col("start") + 8, 64)).alias("pixels"),
     )
 
 
@@ -177,8 +194,7 @@ PIXEL_HEX = """string_agg(printf('%02X', cast(level as int)), '' order by d)"""
 
 ORACLES = {
     "binary_scan": """
-        select page_id, octet_length(encode(html)) + 1 as length, md5(html || chr(10)) as checksum
-        from pages""",
+        select page_id, octet_length(encode(html)) as length, md5(html) as checksum from pages""",
     "image_scan": with_views(
         f"""select vec_id, 8 as height, 8 as width, 1 as n_channels, {PIXEL_HEX} as pixels
         from pixels group by vec_id""",

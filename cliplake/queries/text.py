@@ -92,10 +92,7 @@ def tfidf_attach(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def text_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    transcripts = views.transcripts(spark, sf_dir)
-    return keywords.summarize(transcripts, keywords.keywords(transcripts)).select(
-        "doc_id", "summary"
-    )
+    return text_results(spark, sf_dir).select("doc_id", "summary")
 
 
 def _sentiments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,8 +154,7 @@ def analysed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def text_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transcripts with keywords, summary and sentiment."""
-    transcripts = views.transcripts(spark, sf_dir)
-    return keywords.summarize(transcripts, keywords.keywords(transcripts))
+    return text_job.summaries(views.transcripts(spark, sf_dir))
 
 
 def text_job_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

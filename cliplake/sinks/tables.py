@@ -10,6 +10,9 @@ from cliplake.operators import documents
 from cliplake.params import QualityParams
 from cliplake.runtime import child_names, path_exists
 
+# The ASCII record separator, which ends every record of a container file.
+RECORD_END = "\x1e"
+
 
 def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
@@ -58,6 +61,13 @@ class Collections:
         return self.overwrite(documents.upsert(self.read(name), df, key), name)
 
 
+def write_records(lines: DataFrame, path: str, per_file: int = 1000) -> None:
+    """Write one text column as container files of at most ``per_file`` records."""
+    lines.write.mode("overwrite").option("lineSep", RECORD_END).option(
+        "maxRecordsPerFile", per_file
+    ).text(path)
+
+
 def write_files(df: DataFrame, name: str, content: str, path: str) -> None:
     """Write one file per row below ``path/<name>=<value>/``, followed by a line break."""
     raw = F.col(content).cast("string")

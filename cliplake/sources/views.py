@@ -18,6 +18,8 @@ from cliplake.operators import cluster, ordered, series
 HOST = "hdfs://host:9000"
 SAMPLE_RATE = 400
 CLIP_SAMPLES = 64
+SHEET_IMAGES = 16384
+TILE_BYTES = 72
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -172,6 +174,24 @@ def _images(
     )
 
 
+def image_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PNG sheets of at most 16384 gray images, one below the other.
+
+    A line of eight pixels above each image holds its vec_id.
+    """
+    tile = F.concat(F.lpad(F.hex("vec_id"), 16, "0"), F.hex("data"))
+    tiles = F.transform(
+        F.sort_array(F.collect_list(F.struct("vec_id", tile.alias("tile")))), lambda t: t["tile"]
+    )
+    sheets = (
+        gray_images(spark, sf_dir)
+        .groupBy(ordered.slice_of(F.col("vec_id"), SHEET_IMAGES).alias("sheet"))
+        .agg(F.unhex(F.array_join(tiles, "")).alias("data"))
+    )
+    lines = F.floor(F.length("data") / 8).cast("int")
+    return sheets.select("sheet", png_bytes(lines, F.lit(8), F.col("data")).alias("content"))
+
+
 def png_bytes(height: Column, width: Column, data: Column) -> Column:
     """Gray pixels as PNG file content."""
 
