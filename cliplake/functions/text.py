@@ -26,20 +26,22 @@ NEGATIVE_WORDS = (
 )
 
 # Every character that Unicode counts as white space, and the four ASCII separators.
-WHITE_SPACE = (
-    r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}"
-    r"\x{3000}]+"
-)
+WHITE_SPACE = "".join(c for c in map(chr, range(0x10000)) if c.isspace())
+
+
+def _split(text: Column, separators: str) -> Column:
+    """Split on any run of the separators without empty words."""
+    spaced = F.translate(text, separators, " " * len(separators))
+    return F.array_remove(F.split(spaced, " "), "")
 
 
 def words(text: Column) -> Column:
-    """Split on white space without empty words."""
-    return F.filter(F.split(text, WHITE_SPACE), lambda word: word != "")
+    return _split(text, WHITE_SPACE)
 
 
 def tokens(text: Column) -> Column:
     """Lower-case words with the punctuation taken out."""
-    return words(F.translate(F.lower(text), PUNCTUATION, " " * len(PUNCTUATION)))
+    return _split(F.lower(text), PUNCTUATION + WHITE_SPACE)
 
 
 def without_stop_words(token_list: Column) -> Column:

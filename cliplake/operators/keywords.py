@@ -31,7 +31,9 @@ def term_frequencies(transcripts: DataFrame) -> DataFrame:
     counts = (
         transcripts.where(~text.is_placeholder(F.col("transcript")))
         .select("doc_id", listed.alias("terms"))
-        .select("doc_id", F.size("terms").alias("length"), F.posexplode("terms"))
+        # The outer form: for the plain one Spark adds a filter that tokenises every text again.
+        .select("doc_id", F.size("terms").alias("length"), F.posexplode_outer("terms"))
+        .where("pos >= 0")
         .groupBy("doc_id", F.col("col").alias("term"), "length")
         .agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("position"))
     )

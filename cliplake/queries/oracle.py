@@ -334,7 +334,8 @@ from (select clip, frame, frame - row_number() over (partition by clip order by
 
 # WAV clips: 64 samples at most, 400 samples a second, so frames of 10 with a hop of 4.
 WAVS = """
-select concat(clip, '/', i // 64) as clip, i % 64 as j, floor(x * 64) / 32768.0::double as s
+select concat(clip, '/', i // 64) as clip, i % 64 as j, least(greatest(floor(x * 64), -32768), 32767)
+    / 32768.0::double as s
 from signal
 """
 

@@ -10,6 +10,17 @@ from cliplake.functions import audio
 from cliplake.runtime import path_exists
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread rows over all cores when they come in fewer read splits than that.
+
+    Meant for heavy per-row work on small inputs; a large table has more splits and stays as is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, F.xxhash64(key))
+
+
 def _existing(spark: SparkSession, folders: list[str]) -> list[str]:
     return [folder for folder in folders if path_exists(spark, folder)]
 

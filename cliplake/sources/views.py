@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from cliplake.functions import times
 from cliplake.operators import cluster, ordered, series
+from cliplake.sources import files
 
 HOST = "hdfs://host:9000"
 SAMPLE_RATE = 400
@@ -118,7 +119,8 @@ def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.concat(
         F.lit("[Audio contains approximately "), chars % 17, F.lit(" speech segments]")
     )
-    return table(spark, sf_dir, "documents").select(
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    return files.spread(documents, "doc_id").select(
         "doc_id",
         F.concat(F.lit(f"{HOST}/user/audio_files/video_"), doc_id, F.lit(".wav")).alias("filename"),
         F.when(doc_id % 10 == 0, label)
@@ -226,8 +228,12 @@ def signal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wav_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """WAV files of at most 64 samples cut from the signal of each user, 16 bit, one channel."""
-    level = F.floor(F.col("x") * 64).cast("smallint")
+    """WAV files of at most 64 samples cut from the signal of each user, 16 bit, one channel.
+
+    Louder samples are cut off at the 16-bit limits, as any recorder does.
+    """
+    lowest, highest = F.lit(-32768).cast("bigint"), F.lit(32767).cast("bigint")
+    level = F.least(F.greatest(F.floor(F.col("x") * 64), lowest), highest).cast("smallint")
     cut = signal(spark, sf_dir).withColumn("part", ordered.slice_of(F.col("i"), CLIP_SAMPLES))
     samples = F.transform(
         F.sort_array(F.collect_list(F.struct("i", level.alias("level")))), lambda s: s["level"]
