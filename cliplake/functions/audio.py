@@ -86,9 +86,11 @@ def _dct_weights(params: AudioParams) -> np.ndarray:
     return np.cos(np.pi * k * (2 * n + 1) / (2 * params.n_filters))
 
 
-def _mfcc(samples: np.ndarray, rate: int, params: AudioParams) -> np.ndarray:
+def _mfcc(
+    samples: np.ndarray, rate: int, filters: np.ndarray, params: AudioParams
+) -> np.ndarray:
     """MFCC per frame: power, mel filters, log, unnormalised DCT."""
-    energies = _power_spectrum(samples, rate, params) @ _mel_weights(rate, params).T
+    energies = _power_spectrum(samples, rate, params) @ filters.T
     energies[energies == 0] = np.finfo(float).eps
     return np.log(energies) @ _dct_weights(params).T
 
@@ -117,9 +119,11 @@ def clip_record(data: Column, params: AudioParams = AudioParams()) -> Column:
     mean of the clip.  A file that fails gives an error transcript and zeros.
     """
 
-    def record(content: bytes) -> tuple:
+    def record(content: bytes, filters: dict[int, np.ndarray]) -> tuple:
         samples, rate = _read_wav(content)
-        mfcc = _mfcc(samples, rate, params)
+        if rate not in filters:
+            filters[rate] = _mel_weights(rate, params)
+        mfcc = _mfcc(samples, rate, filters[rate], params)
         energy = (mfcc**2).sum(axis=1)
         speech = energy > energy.mean() * params.speech_ratio
         starts = int(speech[0]) + int((speech[1:] & ~speech[:-1]).sum())
@@ -129,9 +133,10 @@ def clip_record(data: Column, params: AudioParams = AudioParams()) -> Column:
     @F.pandas_udf(f"struct<{schemas.CLIP.replace(' ', ':').replace(',:', ',')}>")
     def apply(files: pd.Series) -> pd.DataFrame:
         rows = []
+        filters = {}
         for content in files:
             try:
-                rows.append(record(content))
+                rows.append(record(content, filters))
             except (wave.Error, EOFError, TypeError, ValueError) as problem:
                 reason = str(problem) or type(problem).__name__
                 rows.append((f"[Transcription error: {reason}]", 0, 0.0, [], reason))

@@ -33,7 +33,7 @@ def term_frequencies(transcripts: DataFrame) -> DataFrame:
         .select("doc_id", listed.alias("terms"))
         # The outer form: for the plain one Spark adds a filter that tokenises every text again.
         .select("doc_id", F.size("terms").alias("length"), F.posexplode_outer("terms"))
-        .where("pos >= 0")
+        .where("col is not null")
         .groupBy("doc_id", F.col("col").alias("term"), "length")
         .agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("position"))
     )
@@ -99,7 +99,7 @@ def tfidf_top(scored: DataFrame, params: TextParams = TextParams()) -> DataFrame
     """The highest-scoring terms a transcript holds, ties by term: doc_id, top_tfidf_terms."""
     item = F.struct("term", "score")
     # Rounding makes scores that differ only in the order of float operations tie.
-    order = [F.desc(F.round("score", 9)), F.col("term")]
+    order = [F.floor(F.col("score") * 1e9 + 0.5).desc(), F.col("term")]
     return _ranked_list(scored, "doc_id", order, params.tfidf_terms, item, "top_tfidf_terms")
 
 

@@ -11,8 +11,6 @@ slice (a count, a sum, its first and last row) is handled per whole group.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -25,11 +23,23 @@ def slice_of(position: Column, rows: int = ROWS_PER_SLICE) -> Column:
     return F.floor(position / rows)
 
 
-def _join_per_slice(sliced: DataFrame, facts: DataFrame, group: list[str]) -> DataFrame:
-    """Join one row of facts per (group, slice); keys may be null."""
-    renamed = facts.withColumnsRenamed({column: f"_fact_{column}" for column in group})
-    same = [sliced[column].eqNullSafe(renamed[f"_fact_{column}"]) for column in group]
-    return sliced.join(renamed, reduce(and_, same))
+def _with_headers(sliced: DataFrame, headers: DataFrame) -> DataFrame:
+    """Put one header row of group facts in front of each slice, marked ``_header``.
+
+    The facts meet their rows in the window that sorts the slice anyway, so no join is needed and
+    null keys need no care.
+    """
+    marked = headers.withColumn("_header", F.lit(True))
+    rows = sliced.withColumn("_header", F.lit(False))
+    return rows.unionByName(marked, allowMissingColumns=True)
+
+
+def _behind_header(keys: list[str], order: list[str]) -> WindowSpec:
+    return (
+        Window.partitionBy(*keys, "_slice")
+        .orderBy(F.desc("_header"), *order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
 
 
 def running_sum(
@@ -42,25 +52,22 @@ def running_sum(
 ) -> DataFrame:
     """Add the sum of ``amount`` from the first row of the group up to this row."""
     sliced = df.withColumn("_slice", slice_id).withColumn("_amount", amount)
-    group = [*keys, "_slice"]
-    before = (
+    slices_before = (
         Window.partitionBy(*keys)
         .orderBy("_slice")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow - 1)
     )
     starts = (
-        sliced.groupBy(*group)
+        sliced.groupBy(*keys, "_slice")
         .agg(F.sum("_amount").alias("_total"))
-        .select(*group, F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_start"))
+        .select(*keys, "_slice", F.sum("_total").over(slices_before).alias("_amount"))
     )
-    inside = (
-        Window.partitionBy(*group)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    summed = sliced.withColumn("_inside", F.sum("_amount").over(inside))
-    return _join_per_slice(summed, starts, group).select(
-        *df.columns, (F.col("_start") + F.col("_inside")).alias(name)
+    summed = F.sum("_amount").over(_behind_header(keys, order))
+    return (
+        _with_headers(sliced, starts)
+        .withColumn(name, summed)
+        .where(~F.col("_header"))
+        .select(*df.columns, name)
     )
 
 
@@ -78,14 +85,21 @@ def group_aggregate(
     one task; here rows meet their totals per (keys, slice).
     """
     sliced = df.withColumn("_slice", slice_id)
-    group = [*keys, "_slice"]
     whole = Window.partitionBy(*keys)
     facts = (
-        sliced.groupBy(*group)
+        sliced.groupBy(*keys, "_slice")
         .agg(*[column.alias(name) for name, column in partial.items()])
-        .select(*group, *[build(whole).alias(name) for name, build in total.items()])
+        .select(*keys, "_slice", *[build(whole).alias(name) for name, build in total.items()])
+    )
+    from_header = {
+        name: F.first(name, ignorenulls=True).over(_behind_header(keys, [])) for name in total
+    }
+    return (
+        _with_headers(sliced, facts)
+        .withColumns(from_header)
+        .where(~F.col("_header"))
+        .select(*df.columns, *total)
     )
-    return _join_per_slice(sliced, facts, group).select(*df.columns, *total)
 
 
 def number_rows(
@@ -128,10 +142,17 @@ def slice_window(keys: list[str], order: list[str]):
     return Window.partitionBy(*keys, "_slice").orderBy(*order)
 
 
-def previous_value(
-    df: DataFrame, keys: list[str], order: list[str], slice_id: Column, value: str, name: str
+def with_previous_row(
+    df: DataFrame, position: str, rows: int = ROWS_PER_SLICE
 ) -> DataFrame:
-    """Add the value of the row before this one in the group (null on the first row)."""
-    narrow = with_neighbour_rows(df, keys, order, slice_id)
-    lagged = narrow.withColumn(name, F.lag(value).over(slice_window(keys, order)))
-    return lagged.where(~F.col("_copied")).drop("_slice", "_copied")
+    """Copy the last row of each slice into the next one, marked ``_copied``.
+
+    For positions that count 0, 1, 2, ... without gaps: the last row of a slice is known by its
+    position, so the input is read once.
+    """
+    own = slice_of(F.col(position), rows)
+    following = slice_of(F.col(position) + 1, rows)
+    targets = F.array_distinct(F.array(own, following))
+    return df.withColumn("_slice", F.explode(targets)).withColumn(
+        "_copied", F.col("_slice") != own
+    )

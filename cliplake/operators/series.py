@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cliplake.functions import vectors
 from cliplake.operators import ordered
+from cliplake.params import ROWS_PER_SLICE
+from cliplake.runtime import staged
 
 # One slice of a video covers this many seconds of frames.
 SLICE_SECONDS = 4096
@@ -52,22 +54,19 @@ def smooth(frames: DataFrame, features: str = "features", sigma: float = 1.0) ->
     )
 
 
-def pre_emphasis(signal: DataFrame, factor: float = 0.97) -> DataFrame:
+def pre_emphasis(
+    signal: DataFrame, factor: float = 0.97, slice_rows: int = ROWS_PER_SLICE
+) -> DataFrame:
     """y[i] = x[i] - factor * x[i-1] along each clip; the first sample is kept."""
-    lagged = ordered.previous_value(
-        signal.select("clip", "i", "x"),
-        ["clip"],
-        ["i"],
-        ordered.slice_of(F.col("i")),
-        "x",
-        "before",
-    )
-    return lagged.select(
-        "clip", "i", (F.col("x") - factor * F.coalesce("before", F.lit(0.0))).alias("y")
-    )
+    copied = ordered.with_previous_row(signal.select("clip", "i", "x"), "i", slice_rows)
+    before = F.lag("x").over(ordered.slice_window(["clip"], ["i"]))
+    emphasised = copied.withColumn("y", F.col("x") - factor * F.coalesce(before, F.lit(0.0)))
+    return emphasised.where(~F.col("_copied")).select("clip", "i", "y")
 
 
-def overlap_frames(signal: DataFrame, size: int, hop: int) -> DataFrame:
+def overlap_frames(
+    signal: DataFrame, size: int, hop: int, slice_rows: int = ROWS_PER_SLICE
+) -> DataFrame:
     """Give every sample once per overlapping frame it falls in.
 
     Clips count as zero-padded to a whole number of hops, and only frames that fit in the padded
@@ -76,7 +75,7 @@ def overlap_frames(signal: DataFrame, size: int, hop: int) -> DataFrame:
     measured = ordered.group_aggregate(
         signal.select("clip", "i", "x"),
         ["clip"],
-        ordered.slice_of(F.col("i")),
+        ordered.slice_of(F.col("i"), slice_rows),
         {"_last": F.max("i")},
         {"samples": lambda clip: F.max("_last").over(clip) + 1},
     )
@@ -96,12 +95,14 @@ def frame_energy(framed: DataFrame) -> DataFrame:
     )
 
 
-def speech_mask(energies: DataFrame, ratio: float = 0.5) -> DataFrame:
+def speech_mask(
+    energies: DataFrame, ratio: float = 0.5, slice_rows: int = ROWS_PER_SLICE
+) -> DataFrame:
     """Mark the frames whose energy is above ``ratio`` times the mean energy of their clip."""
     measured = ordered.group_aggregate(
         energies,
         ["clip"],
-        ordered.slice_of(F.col("frame")),
+        ordered.slice_of(F.col("frame"), slice_rows),
         {"_energy": F.sum("energy"), "_frames": F.count(F.lit(1))},
         {
             "threshold": lambda clip: F.sum("_energy").over(clip)
@@ -112,19 +113,41 @@ def speech_mask(energies: DataFrame, ratio: float = 0.5) -> DataFrame:
     return measured.withColumn("speech", F.col("energy") > F.col("threshold"))
 
 
-def segments(mask: DataFrame) -> DataFrame:
-    """Runs of speech frames per clip as half-open [start, end) frame ranges."""
-    keys, order, cut = ["clip"], ["frame"], ordered.slice_of(F.col("frame"))
-    marked = ordered.previous_value(
-        mask.select("clip", "frame", "speech"), keys, order, cut, "speech", "before"
+def segments(mask: DataFrame, slice_rows: int = ROWS_PER_SLICE) -> DataFrame:
+    """Runs of speech frames per clip as half-open [start, end) frame ranges.
+
+    Runs are found inside slices of a clip.  Only those at the edge of a slice, two per slice at
+    most, are looked at per whole clip to join what a slice boundary has cut.
+    """
+    inside = ordered.slice_window(["clip"], ["frame"])
+    before = F.lag("speech").over(inside)
+    opens = F.col("speech") & ~F.coalesce(before, F.lit(False))
+    runs = (
+        mask.select("clip", "frame", "speech")
+        .withColumn("_slice", ordered.slice_of(F.col("frame"), slice_rows))
+        .withColumn("_opens", opens.cast("int"))
+        .withColumn("_first", before.isNull())
+        .withColumn("_last", F.lead("speech").over(inside).isNull())
+        .withColumn("_run", F.sum("_opens").over(inside))
+        .where("speech")
+        .groupBy("clip", "_slice", "_run")
+        .agg(
+            F.min("frame").alias("start"),
+            (F.max("frame") + 1).alias("end"),
+            F.bool_or(F.col("_first") | F.col("_last")).alias("_edge"),
+        )
     )
-    opens = F.col("speech") & ~F.coalesce("before", F.lit(False))
-    runs = ordered.running_sum(marked, keys, order, cut, opens.cast("bigint"), "run")
-    return (
-        runs.where("speech")
-        .groupBy("clip", "run")
-        .agg(F.min("frame").alias("start"), (F.max("frame") + 1).alias("end"))
+    along = Window.partitionBy("clip").orderBy("start")
+    cut = F.col("start") == F.lag("end").over(along)
+    joined = (
+        runs.where("_edge")
+        .withColumn("_new", (~F.coalesce(cut, F.lit(False))).cast("int"))
+        .withColumn("_run", F.sum("_new").over(along))
+        .groupBy("clip", "_run")
+        .agg(F.min("start").alias("start"), F.max("end").alias("end"))
     )
+    whole = runs.where(~F.col("_edge"))
+    return whole.select("clip", "start", "end").unionByName(joined.select("clip", "start", "end"))
 
 
 def sample_per_bucket(
@@ -142,7 +165,8 @@ def clip_records(signal: DataFrame, sample_rate: int, size: int, hop: int) -> Da
     A clip shorter than one frame gets an error transcript and zeros.
     """
     lengths = signal.groupBy("clip").agg(F.count(F.lit(1)).alias("samples"))
-    mask = speech_mask(frame_energy(overlap_frames(signal, size, hop)))
+    energies = staged(frame_energy(overlap_frames(signal, size, hop)), "energies")
+    mask = speech_mask(energies)
     found = segments(mask).groupBy("clip").agg(F.count(F.lit(1)).alias("found"))
     count = F.coalesce("found", F.lit(0))
     too_short = F.ceil(F.col("samples") / hop) * hop < size

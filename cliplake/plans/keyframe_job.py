@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cliplake.functions import images
 from cliplake.operators import cluster, series
 from cliplake.params import ClusterParams
+from cliplake.runtime import staged
 
 
 def extract_features(images_df: DataFrame) -> DataFrame:
@@ -30,8 +30,7 @@ def assign_clusters(
         "video_name", "frame_number", "timestamp", "gaussian_smoothed_features"
     )
     # Scaling and clustering read the smoothed rows many times.
-    smoothed = smoothed.persist(StorageLevel.MEMORY_AND_DISK)
-    scaled = cluster.standardize(smoothed, "gaussian_smoothed_features")
+    scaled = cluster.standardize(staged(smoothed, "smoothed"), "gaussian_smoothed_features")
     return cluster.kmeans_assign(scaled, ["video_name", "frame_number"], params=params)
 
 

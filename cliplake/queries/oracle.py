@@ -172,7 +172,8 @@ from tf join df on tf.term = df.term cross join n
 """
 
 TFIDF_TOP = """
-select * from (select *, row_number() over (partition by doc_id order by round(score, 9) desc, term)
+select * from (select *, row_number() over (partition by doc_id 
+  order by floor(score * 1e9 + 0.5) desc, term)
   as rnk from tfidf) where rnk <= 5
 """
 

@@ -9,6 +9,7 @@ from cliplake.functions import times, vectors
 from cliplake.operators import cluster, report, series
 from cliplake.plans import keyframe_job
 from cliplake.queries.oracle import with_views
+from cliplake.runtime import staged
 from cliplake.sources import views
 
 FRAME_SIZE, FRAME_HOP = 40, 16
@@ -129,7 +130,8 @@ def overlap_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _mask(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return series.speech_mask(series.frame_energy(_framed(spark, sf_dir)))
+    energies = staged(series.frame_energy(_framed(spark, sf_dir)), "energies")
+    return series.speech_mask(energies)
 
 
 def speech_mask(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def work_root(spark: SparkSession) -> str:
@@ -24,6 +24,17 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{work_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it back.
+
+    Steps that read their input several times, each on top of the other, would run the whole plan
+    below them again and again; a written table ends that, and outlives lost executors.
+    """
+    path = fresh_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _hadoop_path(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -34,6 +45,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hadoop_path))
 
 
+def file_count(spark: SparkSession, path: str) -> int:
+    """Number of files at or below a path."""
+    hadoop_path, fs = _hadoop_path(spark, path)
+    return int(fs.getContentSummary(hadoop_path).getFileCount())
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the entries directly below a folder; none when it does not exist."""
     hadoop_path, fs = _hadoop_path(spark, path)

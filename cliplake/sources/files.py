@@ -7,16 +7,18 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cliplake.functions import audio
-from cliplake.runtime import path_exists
+from cliplake.runtime import file_count, path_exists
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread rows over all cores when they come in fewer read splits than that.
+def spread(df: DataFrame, path: str, key: str) -> DataFrame:
+    """Spread the rows of a table in fewer files than there are cores over all cores.
 
-    Meant for heavy per-row work on small inputs; a large table has more splits and stays as is.
+    Meant for heavy per-row work on small inputs, where one file can mean one busy task.  A large
+    table has more files and stays as it is.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if file_count(spark, path) >= cores:
         return df
     return df.repartition(cores, F.xxhash64(key))
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from cliplake.functions import times
 from cliplake.operators import cluster, ordered, series
+from cliplake.runtime import staged
 from cliplake.sources import files
 
 HOST = "hdfs://host:9000"
@@ -119,8 +120,7 @@ def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.concat(
         F.lit("[Audio contains approximately "), chars % 17, F.lit(" speech segments]")
     )
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
-    return files.spread(documents, "doc_id").select(
+    rows = table(spark, sf_dir, "documents").select(
         "doc_id",
         F.concat(F.lit(f"{HOST}/user/audio_files/video_"), doc_id, F.lit(".wav")).alias("filename"),
         F.when(doc_id % 10 == 0, label)
@@ -130,6 +130,7 @@ def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
         (chars % 17).cast("int").alias("num_segments"),
         (chars / F.lit(15.0)).alias("duration"),
     )
+    return files.spread(rows, f"{sf_dir}/documents.parquet", "doc_id")
 
 
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,8 +147,9 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keyframes_det(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The frame nearest to the mean of each given cluster."""
-    return cluster.select_keyframes(cluster.distance_to_mean(frames(spark, sf_dir)))
+    """The frame nearest to the mean of each given cluster, as a written table."""
+    chosen = cluster.select_keyframes(cluster.distance_to_mean(frames(spark, sf_dir)))
+    return staged(chosen.drop("features"), "keyframes")
 
 
 def gray_images(spark: SparkSession, sf_dir: str) -> DataFrame:
