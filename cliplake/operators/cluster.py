@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cliplake.functions import vectors
-from cliplake.operators import ordered
+from cliplake.operators import ordered, skew
 from cliplake.params import ClusterParams
+from cliplake.runtime import staged
 
 
 def standardize(df: DataFrame, features: str, output: str = "scaled_features") -> DataFrame:
@@ -157,13 +158,30 @@ def _lloyd(points: np.ndarray, params: ClusterParams) -> tuple[np.ndarray, np.nd
     return label, np.sqrt(((points - centers[label]) ** 2).sum(axis=1))
 
 
-def distance_to_mean(df: DataFrame, features: str = "features") -> DataFrame:
-    """Distance of each row to the mean vector of its given cluster."""
+def distance_to_mean(
+    df: DataFrame,
+    keys: list[str],
+    features: str = "features",
+    params: ClusterParams = ClusterParams(),
+) -> DataFrame:
+    """Distance of each row to the mean vector of its given cluster.
+
+    The means are written once.  When they are small each task gets a copy and the rows stay
+    where they are; otherwise rows and means are joined by cluster, hot clusters spread.
+    """
     narrow = df.withColumn(features, vectors.as_doubles(F.col(features)))
-    centers = narrow.groupBy("cluster").agg(
-        vector_to_array(Summarizer.mean(array_to_vector(F.col(features)))).alias("center")
+    centers = staged(
+        narrow.groupBy("cluster").agg(
+            vector_to_array(Summarizer.mean(array_to_vector(F.col(features)))).alias("center")
+        ),
+        "centers",
     )
-    return narrow.join(centers, "cluster").select(
+    size = centers.agg((F.sum(F.size("center")) * 8).alias("bytes")).first().bytes or 0
+    if size <= params.max_center_bytes:
+        paired = narrow.join(F.broadcast(centers), "cluster")
+    else:
+        paired = skew.salted_join(narrow, centers, "cluster", keys)
+    return paired.select(
         *df.columns,
         F.round(vectors.euclid_distance(F.col(features), F.col("center")), 6).alias("distance"),
     )

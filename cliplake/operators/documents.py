@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cliplake.functions import paths
-from cliplake.operators import cluster
+from cliplake.operators import cluster, skew
 
 # Keyframes listed in one document; longer lists go on in the next part.
 DETAILS_PER_DOCUMENT = 10000
@@ -90,7 +90,7 @@ def contains_lookup(left: DataFrame, stem: str, right: DataFrame, text: str) ->
     wanted = left.select(F.col(stem).alias("_stem")).distinct()
     rest = [column for column in right.columns if column != text]
     first = (
-        pieces.join(wanted, "_stem")
+        skew.salted_join(pieces, wanted, "_stem", [text])
         .groupBy("_stem")
         .agg(F.min(F.struct(text, *rest)).alias("_row"))
     )

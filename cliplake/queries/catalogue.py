@@ -188,6 +188,10 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("value", F.round("value", 6))
 
 
+def dist_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.distribution(path_category(spark, sf_dir), "category")
+
+
 def _distribution(column: str, top: int | None):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         return report.distribution(_cleaned(spark, sf_dir), column, top)
@@ -231,6 +235,7 @@ QUERIES = {
     "describe_numeric": describe_numeric,
     "quality_report": quality_report,
     **{name: _distribution(*args) for name, args in DISTRIBUTIONS.items()},
+    "dist_category": dist_category,
 }
 
 
@@ -387,4 +392,12 @@ ORACLES = {
         "cleaned",
     ),
     **{name: _distribution_sql(*args) for name, args in DISTRIBUTIONS.items()},
+    "dist_category": with_views(
+        """select category, count(*) as count from (select case
+            when path like '%/high_quality/%' then 'high'
+            when path like '%/medium_quality/%' then 'medium'
+            when path like '%/low_quality/%' then 'low' else 'unknown' end as category
+          from media_files) group by category""",
+        "media_files",
+    ),
 }

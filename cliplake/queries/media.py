@@ -23,7 +23,7 @@ def binary_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = F.split(F.col("content").cast("string"), tables.RECORD_END)
     pages = (
         files.binary_files(spark, [root])
-        .select(F.explode(records).alias("page"))
+        .select(F.explode_outer(records).alias("page"))
         .where("page <> ''")
     )
     html = F.regexp_replace("page", r"^[0-9]+\t", "")
@@ -163,8 +163,8 @@ def texture_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def frame_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = _on_pixels(images.frame_features)(views.gray_images(spark, sf_dir), "features")
-    return _long(found.withColumn("features", F.col("features").cast("array<double>")),
-                 ["vec_id"], "features")
+    doubles = found.withColumn("features", F.col("features").cast("array<double>"))
+    return _long(doubles, ["vec_id"], "features")
 
 
 def base64_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -227,16 +227,17 @@ ORACLES = {
     "edge_maps": with_views(
         "select vec_id, kernel, r, c, round(value, 6) as value from edges", "edges"
     ),
-    "color_histogram": """
-        select a.vec_id, a.channel, a.bin, coalesce(n, 0) as n
+    "color_histogram": with_views(
+        """select a.vec_id, a.channel, a.bin, coalesce(n, 0) as n
         from (select vec_id, unnest(range(3)) as channel, bin
           from (select vec_id, unnest(range(32)) as bin from embeddings)) a
-        left join (select vec_id, d % 3 as channel,
-            cast(floor((embedding[d + 1]::double + 1) * 127.5) as bigint) // 8 as bin,
+        left join (select vec_id, channel, cast(case channel when 0 then level
+              when 1 then 255 - level else level * 2 % 256 end as bigint) // 8 as bin,
             count(*) as n
-          from (select vec_id, embedding, unnest(range(48)) as d from embeddings)
-          group by all) b
+          from (select *, unnest(range(3)) as channel from pixels) group by all) b
         on a.vec_id = b.vec_id and a.channel = b.channel and a.bin = b.bin""",
+        "pixels",
+    ),
     "texture_stats": with_views(
         "select vec_id, {} from texture".format(
             ", ".join(f"round({name}, 6) as {name}" for name in images.TEXTURE_FIELDS)

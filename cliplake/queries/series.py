@@ -57,7 +57,7 @@ def pad_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def euclid_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cluster.distance_to_mean(views.frames(spark, sf_dir)).select(
+    return cluster.distance_to_mean(views.frames(spark, sf_dir), views.FRAME_KEY).select(
         "video_name", "frame_number", "cluster", "distance"
     )
 

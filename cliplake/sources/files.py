@@ -28,17 +28,17 @@ def _existing(spark: SparkSession, folders: list[str]) -> list[str]:
 
 
 def binary_files(spark: SparkSession, folders: list[str]) -> DataFrame:
-    """Whole files below the folders: path, modificationTime, length, content.
+    """Whole files directly in the folders: path, modificationTime, length, content.
 
     Missing folders are skipped and empty ones add nothing.  Leave ``content`` out of the select
     and no file is opened.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     found = _existing(spark, folders)
     if not found:
         schema = "path string, modificationTime timestamp, length bigint, content binary"
         return spark.createDataFrame([], schema)
-    return reader.load(found)
+    scan = spark.read.format("binaryFile").load(found)
+    return scan.select("path", "modificationTime", "length", "content")
 
 
 def _file_names(scan: DataFrame) -> DataFrame:
@@ -75,7 +75,7 @@ def media_files(spark: SparkSession, folders: list[str]) -> DataFrame:
 
 
 def images(spark: SparkSession, folder: str) -> DataFrame:
-    """Decoded pixels in BGR order: origin, height, width, n_channels, data."""
+    """Decoded pixels of all images below a folder, in BGR order."""
     loaded = (
         spark.read.format("image")
         .option("dropInvalid", "true")
@@ -92,7 +92,7 @@ def images(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def wav_files(spark: SparkSession, folders: list[str]) -> DataFrame:
-    """Clip records of the WAV files below the folders."""
+    """Clip records of the WAV files in the folders."""
     found = binary_files(spark, folders).select(
         F.col("path").alias("filename"), audio.clip_record(F.col("content")).alias("clip")
     )

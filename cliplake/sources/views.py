@@ -6,6 +6,7 @@ import io
 import struct
 import wave
 import zlib
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -18,6 +19,7 @@ from cliplake.runtime import staged
 from cliplake.sources import files
 
 HOST = "hdfs://host:9000"
+FRAME_KEY = ["video_name", "frame_number"]
 SAMPLE_RATE = 400
 CLIP_SAMPLES = 64
 SHEET_IMAGES = 16384
@@ -148,33 +150,34 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keyframes_det(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The frame nearest to the mean of each given cluster, as a written table."""
-    chosen = cluster.select_keyframes(cluster.distance_to_mean(frames(spark, sf_dir)))
+    distances = cluster.distance_to_mean(frames(spark, sf_dir), FRAME_KEY)
+    chosen = cluster.select_keyframes(distances)
     return staged(chosen.drop("features"), "keyframes")
 
 
 def gray_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     """8 x 8 gray pixels, one image per vector."""
-    return _images(spark, sf_dir, 8, 8, 1)
+    return _images(spark, sf_dir, lambda level: [level])
 
 
 def color_images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """4 x 4 pixels of blue, green and red from the first 48 numbers of each vector."""
-    return _images(spark, sf_dir, 4, 4, 3)
+    """8 x 8 pixels of blue, green and red, one image per vector."""
+    return _images(spark, sf_dir, lambda level: [level, 255 - level, level * 2 % 256])
 
 
 def _images(
-    spark: SparkSession, sf_dir: str, height: int, width: int, channels: int
+    spark: SparkSession, sf_dir: str, channels: Callable[[Column], list[Column]]
 ) -> DataFrame:
-    level = F.transform(
-        F.slice("embedding", 1, height * width * channels),
-        lambda x: F.lpad(F.hex(F.floor((x.cast("double") + 1) * 127.5)), 2, "0"),
-    )
+    def pixel(x: Column) -> Column:
+        level = F.floor((x.cast("double") + 1) * 127.5)
+        return F.concat(*[F.lpad(F.hex(value), 2, "0") for value in channels(level)])
+
     return table(spark, sf_dir, "embeddings").select(
         "vec_id",
-        F.lit(height).alias("height"),
-        F.lit(width).alias("width"),
-        F.lit(channels).alias("channels"),
-        F.unhex(F.array_join(level, "")).alias("data"),
+        F.lit(8).alias("height"),
+        F.lit(8).alias("width"),
+        F.lit(len(channels(F.lit(0)))).alias("channels"),
+        F.unhex(F.array_join(F.transform("embedding", pixel), "")).alias("data"),
     )
 
 

@@ -90,6 +90,14 @@ def test_keyframe_ties_and_stats(spark):
     ]
 
 
+def test_distance_to_mean_with_and_without_broadcast(spark):
+    points = _points(spark).withColumn("cluster", F.col("frame_number") % 3)
+    keys = ["video_name", "frame_number"]
+    small = cluster.distance_to_mean(points, keys).orderBy(*keys).collect()
+    large = cluster.distance_to_mean(points, keys, params=ClusterParams(max_center_bytes=0))
+    assert large.orderBy(*keys).collect() == small
+
+
 def test_distance_and_padding(spark):
     row = spark.range(1).select(
         vectors.euclid_distance(F.array(F.lit(0.0), F.lit(3.0)), F.array(F.lit(4.0), F.lit(0.0))),

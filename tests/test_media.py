@@ -166,6 +166,8 @@ def test_folder_scans(spark, tmp_path):
     (tmp_path / "two" / "c d+e%41.mov").write_bytes(b"")
     (tmp_path / "two" / "d d+e%41.mkv").write_bytes(b"1")
     (tmp_path / "one" / "a.mp4").write_bytes(b"12345")
+    (tmp_path / "one" / "below").mkdir()
+    (tmp_path / "one" / "below" / "z.mp4").write_bytes(b"1")
     (tmp_path / "two" / "b.avi").write_bytes(b"")
     folders = [str(tmp_path / name) for name in ["one", "two", "empty", "missing"]]
     listed = files.media_files(spark, folders)
