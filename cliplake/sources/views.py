@@ -113,7 +113,8 @@ def probe_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         rate,
     )
     odd = ["not json", '{"streams":[]}', '{"format":{"duration":"N/A"},"streams":[]}']
-    return probe(spark, sf_dir).select("path", _cases(size % 11, odd, whole).alias("probe"))
+    rows = probe(spark, sf_dir).select("path", _cases(size % 11, odd, whole).alias("probe"))
+    return files.spread(rows, f"{sf_dir}/orders.parquet", "path")
 
 
 def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
