@@ -59,7 +59,11 @@ def kmeans_assign(
 
 def _kmeans(features: str, k: int, params: ClusterParams) -> KMeans:
     return KMeans(
-        featuresCol=features, predictionCol="cluster", k=k, seed=params.seed, maxIter=params.max_iter
+        featuresCol=features,
+        predictionCol="cluster",
+        k=k,
+        seed=params.seed,
+        maxIter=params.max_iter,
     )
 
 

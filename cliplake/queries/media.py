@@ -46,7 +46,9 @@ def image_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "width", "n_channels", F.explode(starts).alias("start"), "data"
     )
     return tiles.select(
-        F.conv(F.hex(F.substring("data", F.col("start"), 8)), 16, 10).cast("bigint").alias("vec_id"),
+        F.conv(F.hex(F.substring("data", F.col("start"), 8)), 16, 10)
+        .cast("bigint")
+        .alias("vec_id"),
         F.lit(8).alias("height"),
         "width",
         "n_channels",
@@ -114,7 +116,7 @@ def mfcc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "num_segments",
         "duration",
         "transcript",
-        F.col("k").cast("bigint").alias("k"),
+        F.coalesce("k", F.lit(-1)).cast("bigint").alias("k"),
         F.round("mfcc", 5).alias("mfcc"),
     )
 
@@ -129,7 +131,10 @@ def _on_pixels(compute):
 def edge_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
     maps = _on_pixels(images.edge_maps)(views.gray_images(spark, sf_dir), "maps")
     named = F.array(
-        *[F.struct(F.lit(k).alias("kernel"), F.col(f"maps.{k}").alias("map")) for k in images.KERNELS]
+        *[
+            F.struct(F.lit(kernel).alias("kernel"), F.col(f"maps.{kernel}").alias("map"))
+            for kernel in images.KERNELS
+        ]
     )
     cells = maps.select("vec_id", F.explode(named).alias("one")).select(
         "vec_id", "one.kernel", F.posexplode("one.map").alias("at", "value")
@@ -206,14 +211,14 @@ ORACLES = {
     "mel_filterbank": with_views(
         "select clip, frame, filter, round(energy, 6) as energy from mel", "mel"
     ),
-    "dct_basis": with_views("select clip, frame, k, round(mfcc, 5) as mfcc from mfcc", "mfcc"),
+    "dct_basis": with_views("select clip, frame, k, round(mfcc, 5) + 0::double as mfcc from mfcc", "mfcc"),
     "mfcc": with_views(
         """select c.clip, coalesce(s.n, 0) as num_segments,
           case when f.clip is null then 0 else c.samples / 400::double end as duration,
           case when f.clip is null then '[Transcription error: clip shorter than one frame]'
             else concat('[Audio contains approximately ', coalesce(s.n, 0), ' speech segments]')
             end as transcript,
-          f.k, round(f.mfcc, 5) as mfcc
+          coalesce(f.k, -1) as k, round(f.mfcc, 5) + 0::double as mfcc
         from (select clip, count(*) as samples from wavs group by clip) c
         left join (select clip, k, avg(mfcc) as mfcc from mfcc group by clip, k) f
           on c.clip = f.clip
@@ -225,7 +230,7 @@ ORACLES = {
         "mfcc",
     ),
     "edge_maps": with_views(
-        "select vec_id, kernel, r, c, round(value, 6) as value from edges", "edges"
+        "select vec_id, kernel, r, c, round(value, 6) + 0::double as value from edges", "edges"
     ),
     "color_histogram": with_views(
         """select a.vec_id, a.channel, a.bin, coalesce(n, 0) as n
@@ -240,13 +245,13 @@ ORACLES = {
     ),
     "texture_stats": with_views(
         "select vec_id, {} from texture".format(
-            ", ".join(f"round({name}, 6) as {name}" for name in images.TEXTURE_FIELDS)
+            ", ".join(f"round({name}, 6) + 0::double as {name}" for name in images.TEXTURE_FIELDS)
         ),
         "texture",
     ),
     "frame_features": with_views(
         """select vec_id, dim, round(coalesce(case when dim between 96 and 108 then
-            stats[dim - 95] else 0 end::float::double, 0), 6) as value
+            stats[dim - 95] else 0 end::float::double, 0), 6) + 0::double as value
         from (select vec_id, [{}] as stats, unnest(range(512)) as dim from texture)""".format(
             ", ".join(images.TEXTURE_FIELDS)
         ),

@@ -199,7 +199,7 @@ ORACLES = {
         "select vec_id, video_name, frame_number, timestamp from frames", "frames"
     ),
     "window_collect": with_views(
-        """select video_name, frame_number, slot, dim, round(w[slot + 1][dim + 1]::double, 6)
+        """select video_name, frame_number, slot, dim, round(w[slot + 1][dim + 1]::double, 6) + 0::double
           as value
         from (select *, unnest(range(64)) as dim
           from (select *, unnest(range(len(w))) as slot
@@ -211,27 +211,27 @@ ORACLES = {
     "moving_average": with_views(
         """select video_name, frame_number, dim, round(avg(v) over
           (partition by video_name, dim order by timestamp, frame_number
-           rows between 1 preceding and 1 following), 6) as value from frames_long""",
+           rows between 1 preceding and 1 following), 6) + 0::double as value from frames_long""",
         "frames_long",
     ),
     "gaussian_smooth": with_views(
         """select video_name, frame_number, dim, round(case
             when b is not null and a is not null
               then (exp(-0.5) * b + v + exp(-0.5) * a) / (1 + 2 * exp(-0.5))
-            when b is null and a is not null then a else v end, 6) as value
+            when b is null and a is not null then a else v end, 6) + 0::double as value
         from (select *, lag(v) over w as b, lead(v) over w as a from frames_long
           window w as (partition by video_name, dim order by timestamp, frame_number))""",
         "frames_long",
     ),
     "standardize": with_views(
         """select video_name, frame_number, dim,
-          round(case when s = 0 then 0 else (v - m) / s end, 6) as value
+          round(case when s = 0 then 0 else (v - m) / s end, 6) + 0::double as value
         from (select *, avg(v) over (partition by dim) as m,
           stddev_samp(v) over (partition by dim) as s from frames_long)""",
         "frames_long",
     ),
     "pad_vector": f"""
-        select vec_id, dim, round(coalesce(embedding[dim + 1]::double, 0), 6) as value
+        select vec_id, dim, round(coalesce(embedding[dim + 1]::double, 0), 6) + 0::double as value
         from (select vec_id, embedding, unnest(range({PADDED})) as dim from embeddings)""",
     "euclid_distance": with_views(
         "select video_name, frame_number, cluster, distance from distances", "distances"
@@ -271,10 +271,12 @@ ORACLES = {
     ),
     "pre_emphasis": with_views(
         """select clip, i, round(x - 0.97 * coalesce(lag(x) over (partition by clip order by i),
-          0), 6) as y from signal""",
+          0), 6) + 0::double as y from signal""",
         "signal",
     ),
-    "overlap_frames": with_views("select clip, frame, offs as \"offset\", x from framed", "framed"),
+    "overlap_frames": with_views(
+        'select clip, frame, offs as "offset", x from framed', "framed"
+    ),
     "speech_mask": with_views(
         "select clip, frame, samples, round(energy, 4) as energy, speech from mask", "mask"
     ),

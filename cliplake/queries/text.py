@@ -74,7 +74,7 @@ def _top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _term_rows(df: DataFrame, explode) -> DataFrame:
     return df.select("doc_id", explode("top_tfidf_terms").alias("position", "item")).select(
         "doc_id",
-        (F.col("position") + 1).cast("bigint").alias("rnk"),
+        F.coalesce(F.col("position") + 1, F.lit(0)).cast("bigint").alias("rnk"),
         F.col("item.term").alias("term"),
         F.round("item.score", 6).alias("score"),
     )
@@ -220,15 +220,16 @@ ORACLES = {
         f"select distinct doc_id from keyword_rows where word = '{KEYWORD}'", "keyword_rows"
     ),
     "tfidf": with_views(
-        """select doc_id, term, round(tf, 6) as tf, round(idf, 6) as idf, round(score, 6) as score
+        """select doc_id, term, round(tf, 6) as tf, round(idf, 6) + 0::double as idf,
+          round(score, 6) + 0::double as score
         from tfidf""",
         "tfidf",
     ),
     "tfidf_top": with_views(
-        "select doc_id, rnk, term, round(score, 6) as score from tfidf_top", "tfidf_top"
+        "select doc_id, rnk, term, round(score, 6) + 0::double as score from tfidf_top", "tfidf_top"
     ),
     "tfidf_attach": with_views(
-        """select t.doc_id, rnk, term, round(score, 6) as score
+        """select t.doc_id, coalesce(rnk, 0) as rnk, term, round(score, 6) + 0::double as score
         from transcripts t left join tfidf_top k on t.doc_id = k.doc_id""",
         "tfidf_top",
     ),

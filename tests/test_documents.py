@@ -24,7 +24,8 @@ def _points(spark, n=300, seed=2):
 
 def test_standardize(spark):
     scaled = cluster.standardize(_points(spark), "features")
-    one = scaled.select(F.col("scaled_features")[0].alias("x")).agg(F.avg("x").alias("m"), F.stddev_samp("x").alias("s")).first()
+    first = scaled.select(F.col("scaled_features")[0].alias("x"))
+    one = first.agg(F.avg("x").alias("m"), F.stddev_samp("x").alias("s")).first()
     assert one.m == pytest.approx(0, abs=1e-9) and one.s == pytest.approx(1)
     constant = scaled.select(F.col("scaled_features")[2])
     assert {r[0] for r in constant.collect()} == {0.0}
@@ -76,10 +77,13 @@ def test_keyframes(spark):
 
 def test_keyframe_ties_and_stats(spark):
     rows = [("b.mp4", 0, 0.0, 1, 2.0), ("a.mp4", 3, 3.0, 1, 2.0), ("a.mp4", 1, 1.0, 2, 0.5)]
-    schema = "video_name string, frame_number bigint, timestamp double, cluster int, distance double"
+    schema = (
+        "video_name string, frame_number bigint, timestamp double, cluster int, distance double"
+    )
     assigned = spark.createDataFrame(rows, schema)
     chosen = cluster.select_keyframes(assigned)
-    assert {(r.video_name, r.frame_number) for r in chosen.collect()} == {("a.mp4", 3), ("a.mp4", 1)}
+    kept = {(r.video_name, r.frame_number) for r in chosen.collect()}
+    assert kept == {("a.mp4", 3), ("a.mp4", 1)}
     stats = cluster.keyframe_stats(assigned, chosen).collect()
     assert [(r.video_name, r.num_keyframes, r.clusters_represented) for r in stats] == [
         ("a.mp4", 2, [1, 2])
