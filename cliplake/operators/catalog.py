@@ -100,8 +100,11 @@ def present(manifest: DataFrame, listing: DataFrame) -> DataFrame:
 
 
 def _frame_rate(text: Column) -> tuple[Column, Column]:
-    """Value and failure flag of an ``n/d`` frame rate; 0.0 without two parts or for d = 0."""
-    parts = F.split(text, "/")
+    """Value and failure flag of an ``n/d`` frame rate; 0.0 without two parts or for d = 0.
+
+    Closing slashes do not count as parts.
+    """
+    parts = F.split(F.regexp_replace(text, "/+$", ""), "/")
     top = F.get(parts, F.lit(0)).try_cast("double")
     bottom = F.get(parts, F.lit(1)).try_cast("int")
     two_parts = F.size(parts) == 2

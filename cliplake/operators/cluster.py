@@ -41,8 +41,8 @@ def kmeans_assign(
     """Assign each row to a K-means cluster: the input plus ``cluster`` and ``distance``.
 
     The cluster count grows with the rows, and MLlib holds all centres on the driver and in every
-    task.  Their size is checked first; when it passes the limit the rows are clustered in slices
-    of bounded size instead, with the same share of clusters in each.
+    task.  Their number and size are checked first; past the limits the rows are clustered in
+    slices of bounded size instead, with the same share of clusters in each.
     """
     size = df.agg(
         F.count(F.lit(1)).alias("rows"), F.max(F.size(features)).alias("dims")
@@ -52,7 +52,7 @@ def kmeans_assign(
         return df.select(
             "*", F.lit(0).cast("bigint").alias("cluster"), F.lit(0.0).alias("distance")
         )
-    if k * dims * 8 > params.max_center_bytes:
+    if k > params.max_centers or k * dims * 8 > params.max_center_bytes:
         return _kmeans_in_slices(df, keys, features, rows, dims, params)
     return _kmeans_global(df, features, k, params)
 
@@ -94,7 +94,7 @@ def _kmeans_in_slices(
     A cell is cut by a hash of the row key into slices of about ``rows_per_slice`` rows, so that
     a cell that holds most of the rows spreads over many tasks.  No row is left out.
     """
-    most_cells = max(params.floor, params.max_center_bytes // (dims * 8))
+    most_cells = max(params.floor, params.max_center_bytes // (max(dims, 1) * 8))
     coarse = int(min(most_cells, np.ceil(rows / params.rows_per_slice), 1000))
     if coarse > 1:
         as_vectors = df.withColumn("_vector", array_to_vector(F.col(features)))

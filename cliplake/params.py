@@ -32,9 +32,11 @@ class ClusterParams:
     floor: int = 5
     seed: int = 42
     max_iter: int = 20
-    # Above this many bytes of centres the clustering runs slice by slice.
+    # MLlib seeds and holds the centres on the driver.  Above this many centres, or bytes of
+    # them, the clustering runs slice by slice.
+    max_centers: int = 4000
     max_center_bytes: int = 64 * 1024 * 1024
-    rows_per_slice: int = 20000
+    rows_per_slice: int = 10000
 
 
 @dataclass(frozen=True)

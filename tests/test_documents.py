@@ -50,8 +50,9 @@ def test_kmeans_gives_the_nearest_centre(spark):
     assert len({r.cluster for r in again}) == len({r.cluster for r in rows})
 
 
-def test_kmeans_in_slices_keeps_every_row(spark):
-    params = ClusterParams(max_center_bytes=100, rows_per_slice=40)
+@pytest.mark.parametrize("limit", [{"max_center_bytes": 100}, {"max_centers": 29}])
+def test_kmeans_in_slices_keeps_every_row(spark, limit):
+    params = ClusterParams(rows_per_slice=40, **limit)
     rows = _assigned(spark, params)
     assert len(rows) == 300
     assert len({(r.video_name, r.frame_number) for r in rows}) == 300

@@ -51,6 +51,7 @@ def test_probe_text_that_does_not_parse(spark):
         ("bad rate", whole % "x/2"),
         ("zero rate", whole % "30/0"),
         ("one part", whole % "30"),
+        ("closing slash", whole % "30/"),
         ("list", "[1]"),
         ("text", "nothing"),
         ("null", None),
@@ -62,7 +63,8 @@ def test_probe_text_that_does_not_parse(spark):
     ok = found["ok"]
     assert (ok.duration, ok.resolution, ok.fps, ok.codec) == (12.5, "640x360", 15.0, "vp9")
     assert ok.bitrate == 800000 and ok.has_audio and ok.processing_status == "parsed"
-    assert found["zero rate"].fps == found["one part"].fps == 0.0
+    assert found["zero rate"].fps == found["one part"].fps == found["closing slash"].fps == 0.0
+    assert found["closing slash"].processing_status == "parsed"
     assert found["empty"].resolution == "0x0" and found["empty"].processing_status == "parsed"
     for name in ["bad rate", "list", "text", "null", "bad duration"]:
         assert found[name].processing_status == "parse_error", name
