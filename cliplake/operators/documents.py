@@ -75,26 +75,33 @@ def contains_lookup(left: DataFrame, stem: str, right: DataFrame, text: str) ->
     """First row of ``right`` (by ``text``) whose text contains the stem; nulls when none does.
 
     Instead of comparing every pair, each text gives its substrings of the lengths that stems
-    have, and those are matched for equality.  Only the first text per stem is kept, with a
-    partial minimum before the shuffle.
+    have, and those are matched for equality.  Only texts go through this; the first text per
+    stem is kept, with a partial minimum before the shuffle, and then brings its row.
     """
     lengths = left.agg(F.collect_set(F.length(stem))).scalar()
-    starts = F.sequence(F.lit(1), F.length(text) - F.col("_length") + 1)
+    starts = F.sequence(F.lit(1), F.length("_text") - F.col("_length") + 1)
     pieces = (
-        right.withColumn("_lengths", lengths)
+        right.select(F.col(text).alias("_text"))
+        .withColumn("_lengths", lengths)
         .withColumn("_length", F.explode("_lengths"))
-        .where(F.length(text) >= F.col("_length"))
+        .where(F.length("_text") >= F.col("_length"))
         .withColumn("_start", F.explode(starts))
-        .withColumn("_stem", F.substring(F.col(text), F.col("_start"), F.col("_length")))
+        .withColumn("_stem", F.substring(F.col("_text"), F.col("_start"), F.col("_length")))
+        .select("_text", "_stem")
     )
     wanted = left.select(F.col(stem).alias("_stem")).distinct()
-    rest = [column for column in right.columns if column != text]
     first = (
-        skew.salted_join(pieces, wanted, "_stem", [text])
+        skew.salted_join(pieces, wanted, "_stem", ["_text"])
         .groupBy("_stem")
-        .agg(F.min(F.struct(text, *rest)).alias("_row"))
+        .agg(F.min("_text").alias("_text"))
     )
-    found = first.select("_stem", *[F.col(f"_row.{column}") for column in right.columns])
+    rows = (
+        right.withColumn("_text", F.col(text))
+        .join(first.select("_text").distinct(), "_text", "left_semi")
+        .groupBy("_text")
+        .agg(F.min(F.struct(*right.columns)).alias("_row"))
+    )
+    found = first.join(rows, "_text").select("_stem", "_row.*")
     return left.join(found, left[stem] == found["_stem"], "left").drop("_stem")
 
 
