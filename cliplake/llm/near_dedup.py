@@ -8,9 +8,10 @@
    counting equal signature slots, corrected for slots that agree by chance; a maximum spanning
    tree of the estimates gives the candidate links, one less than the bucket has texts.
 4. Candidate links are confirmed on the full sets; components come from the confirmed links.
-5. Where a bucket still holds several components, the texts outside its largest one are compared
-   with the whole bucket: first their best estimates, then ever more until no candidate is left.
-   Every candidate pair is thus either inside one component or was checked.
+5. Where a bucket still holds several components, the texts outside its largest one meet the whole
+   bucket; pairs of different components with a sufficient estimate are checked on the full sets in
+   place, and only confirmed links leave the task.  Every candidate pair is thus either inside one
+   component or was checked.
 
 A bucket of more than ``BUCKET`` texts is dealt out over several tasks by a hash that differs per
 band; step 5 meets the pairs that this separates.
@@ -35,10 +36,8 @@ PERCENT = 80
 HASH_BITS = 40
 SLOTS, BANDS, ROWS = 128, 25, 5
 BUCKET = 2048
-#: Estimates below the limit less this (over 4.5 standard deviations) are not worth a check.
-MARGIN = 0.2
-#: Best estimates that a text of step 5 offers in the first pass; each further pass has 8 times more.
-BEST = 8
+#: Estimates below the limit less this (four standard deviations) are not worth a check.
+MARGIN = 0.17
 
 _random = np.random.default_rng(20)
 _FACTORS = _random.integers(1, 1 << 63, SLOTS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -58,7 +57,6 @@ PAIRS = T.StructType(
     [
         T.StructField("a", T.LongType()),
         T.StructField("b", T.LongType()),
-        T.StructField("more", T.BooleanType()),
     ]
 )
 
@@ -175,14 +173,14 @@ def _tree(ids: np.ndarray, sizes: np.ndarray, signs: np.ndarray, limit: float) -
     for _ in range(n - 1):
         outside[current] = False
         estimate = _similar(signs[current], signs)
-        estimate[np.minimum(sizes, sizes[current]) < (limit + MARGIN) * np.maximum(sizes, sizes[current])] = -1
+        estimate[np.minimum(sizes, sizes[current]) < (limit + MARGIN - 1e-9) * np.maximum(sizes, sizes[current])] = -1
         better = outside & (estimate > best)
         best[better] = estimate[better]
         link[better] = current
         nearest = int(np.argmax(np.where(outside, best, -2)))
         if best[nearest] >= limit:
             x, y = ids[nearest], ids[link[nearest]]
-            out.append((min(x, y), max(x, y), False))
+            out.append((min(x, y), max(x, y)))
         current = nearest
     return out
 
@@ -222,7 +220,6 @@ def _as_batch(links: list) -> pa.RecordBatch:
         [
             pa.array([int(x[0]) for x in links], pa.int64()),
             pa.array([int(x[1]) for x in links], pa.int64()),
-            pa.array([bool(x[2]) for x in links], pa.bool_()),
         ],
         [field.name for field in PAIRS],
     )
@@ -238,9 +235,9 @@ def _trees(limit: float):
                 x, y = np.minimum(ids[two], ids[two + 1]), np.maximum(ids[two], ids[two + 1])
                 small = np.minimum(sizes[two], sizes[two + 1])
                 near = (_similar(signs[two], signs[two + 1]) >= limit) & (
-                    small >= (limit + MARGIN) * np.maximum(sizes[two], sizes[two + 1])
+                    small >= (limit + MARGIN - 1e-9) * np.maximum(sizes[two], sizes[two + 1])
                 )
-                links += [(p, q, False) for p, q in zip(x[near], y[near], strict=True)]
+                links += zip(x[near], y[near], strict=True)
             for lo, hi in zip(edges[:-1], edges[1:], strict=True):
                 if hi - lo > 2:
                     links += _tree(ids[lo:hi], sizes[lo:hi], signs[lo:hi], limit)
@@ -249,64 +246,111 @@ def _trees(limit: float):
     return run
 
 
-def _offers(limit: float, most: int):
-    """Best estimates of the probes of a bucket among its other components."""
+def _candidates(batch: pa.RecordBatch, edges: np.ndarray, limit: float) -> Iterator[tuple]:
+    """(probe row, rows of other components worth a check, best estimate first) of whole groups.
+
+    A pair that shares several buckets is met in all of them and belongs to its first common band.
+    """
+    ids, sizes, signs = _rows_of(batch)
+    part = batch.column("component").to_numpy(zero_copy_only=False)
+    probe = batch.column("probe").to_numpy(zero_copy_only=False)
+    key = batch.column("key").to_numpy(zero_copy_only=False)
+    bands = batch.column("bands").flatten().to_numpy(zero_copy_only=False).reshape(-1, BANDS)
+    for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+        base = lo + np.flatnonzero(~probe[lo:hi])
+        for x in lo + np.flatnonzero(probe[lo:hi]):
+            small = np.minimum(sizes[x], sizes[base])
+            fit = (small >= (limit + MARGIN - 1e-9) * np.maximum(sizes[x], sizes[base])) & (part[base] != part[x])
+            near = base[fit]
+            estimate = _similar(signs[x], signs[near])
+            near, estimate = near[estimate >= limit], estimate[estimate >= limit]
+            if len(near):
+                common = bands[near] == bands[x]
+                own = bands[x, common.argmax(axis=1)] == key[x]
+                near, estimate = near[own], estimate[own]
+            if len(near):
+                yield x, near[np.argsort(-estimate, kind="stable")], ids, part
+
+
+def _live(limit: float):
+    """The rows of open buckets that have a pair to check."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, edges in _groups(batches):
-            ids, sizes, signs = _rows_of(batch)
-            part = batch.column("component").to_numpy(zero_copy_only=False)
-            probe = batch.column("probe").to_numpy(zero_copy_only=False)
-            links = []
-            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
-                base = lo + np.flatnonzero(~probe[lo:hi])
-                for x in lo + np.flatnonzero(probe[lo:hi]):
-                    estimate = _similar(signs[x], signs[base])
-                    small = np.minimum(sizes[x], sizes[base])
-                    fit = (estimate >= limit) & (part[base] != part[x])
-                    fit &= small >= (limit + MARGIN) * np.maximum(sizes[x], sizes[base])
-                    near = np.flatnonzero(fit)
-                    cut = len(near) > most
-                    if cut:
-                        near = near[np.argsort(-estimate[near], kind="stable")[:most]]
-                    links += [
-                        (min(ids[x], y), max(ids[x], y), cut) for y in ids[base[near]]
-                    ]
-            yield _as_batch(list(set(links)))
+            live = np.zeros(batch.num_rows, bool)
+            for x, near, _, _ in _candidates(batch, edges, limit):
+                live[x] = True
+                live[near] = True
+            yield batch.filter(pa.array(live))
+
+    return run
+
+
+def _cross_links(limit: float, percent: int):
+    """Confirmed links between components of a bucket; once two are linked, no more is needed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, edges in _groups(batches):
+            cells, links, root = batch.column("shingles"), [], {}
+            group = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
+            sets: dict[int, np.ndarray] = {}
+
+            def top(node: tuple) -> tuple:
+                while (up := root.get(node, node)) != node:
+                    node = up
+                return node
+
+            def members(row: int) -> np.ndarray:
+                if row not in sets:
+                    sets[row] = _wide(cells[row])
+                return sets[row]
+
+            for x, near, ids, part in _candidates(batch, edges, limit):
+                if sets and group[x] != group[min(sets)]:
+                    sets.clear()
+                for y in near.tolist():
+                    a, b = top((group[x], part[x])), top((group[x], part[y]))
+                    if a != b and _alike(members(x), members(y), percent):
+                        root[a] = b
+                        links.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
+            yield _as_batch(links)
 
     return run
 
 
+def _wide(cell: pa.Scalar) -> np.ndarray:
+    """The hashes of a packed set."""
+    width = HASH_BITS // 8
+    raw = np.frombuffer(cell.as_buffer(), np.uint8).reshape(-1, width)
+    out = np.zeros((len(raw), 8), np.uint8)
+    out[:, :width] = raw
+    return out.view(np.uint64).ravel()
+
+
+def _alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether the Jaccard similarity of two sorted sets reaches the limit."""
+    if len(x) > len(y):
+        x, y = y, x
+    at = np.searchsorted(y, x)
+    at[at == len(y)] = 0
+    shared = int((y[at] == x).sum())
+    return 100 * shared >= percent * (len(x) + len(y) - shared)
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets reach the similarity."""
     side = lambda name: sets.select(
         F.col("id").alias(name), F.col("shingles").alias(f"set_{name}")
     )
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b")
-    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
-    width = HASH_BITS // 8
-
-    def wide(cell: pa.Scalar) -> np.ndarray:
-        raw = np.frombuffer(cell.as_buffer(), np.uint8).reshape(-1, width)
-        out = np.zeros((len(raw), 8), np.uint8)
-        out[:, :width] = raw
-        return out.view(np.uint64).ravel()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("set_a"), batch.column("set_b"), strict=True):
-                x, y = wide(x), wide(y)
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.searchsorted(y, x)
-                at[at == len(y)] = 0
-                shared = int((y[at] == x).sum())
-                keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
-            mask = pa.array(keep, pa.bool_())
-            yield batch.select(["a", "b"]).filter(mask)
+            sides = zip(batch.column("set_a"), batch.column("set_b"), strict=True)
+            keep = [_alike(_wide(x), _wide(y), percent) for x, y in sides]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.mapInArrow(run, schema)
+    return both.mapInArrow(run, PAIRS)
 
 
 def near_duplicates(
@@ -344,7 +388,7 @@ def near_duplicates(
     salt = F.pmod(F.xxhash64("id", "key"), parts)
     dealt = members.withColumn("salt", salt).repartition("key", "salt").sortWithinPartitions("key", "salt", "id")
     pairs = staged(
-        dealt.select("key", "salt", "id", "n_shingles", "signature").mapInArrow(_trees(limit), PAIRS).select("a", "b").distinct(),
+        dealt.select("key", "salt", "id", "n_shingles", "signature").mapInArrow(_trees(limit), PAIRS).distinct(),
         "pairs",
     )
     wanted = members.select("id").distinct()
@@ -356,21 +400,9 @@ def near_duplicates(
     )
     links = staged(_confirmed(pairs, sets, percent), "links")
     parted = components(links)
-    most, tried = BEST, pairs
-    while True:
-        offers = _left_over(members, parted, limit, most)
-        found = staged(offers.groupBy("a", "b").agg(F.max("more").alias("more")), "offers")
-        fresh = staged(found.join(tried.select("a", "b"), ["a", "b"], "left_anti"), "fresh")
-        more = bool(found.where("more").limit(1).count())
-        if fresh.limit(1).count():
-            tried = tried.select("a", "b").union(fresh.select("a", "b"))
-            added = staged(_confirmed(fresh.select("a", "b"), sets, percent), "links")
-            if added.limit(1).count():
-                links = links.union(added)
-                parted = components(links)
-        if not more:
-            break
-        most *= 8
+    added = staged(_open_buckets(members, classes, parted, sets, limit, percent).distinct(), "links")
+    if added.limit(1).count():
+        parted = components(links.union(added))
     to_class = classes.select("n_shingles", "set_a", "set_b", F.col("id").alias("first"))
     of_class = to_class.join(parted.withColumnRenamed("node", "first"), "first", "left").withColumn(
         "component", F.coalesce("component", "first")
@@ -387,8 +419,10 @@ def near_duplicates(
     )
 
 
-def _left_over(members: DataFrame, parted: DataFrame, limit: float, most: int) -> DataFrame:
-    """Candidate links between components that still share a bucket."""
+def _open_buckets(
+    members: DataFrame, classes: DataFrame, parted: DataFrame, sets: DataFrame, limit: float, percent: int
+) -> DataFrame:
+    """Confirmed links between the components that still share a bucket."""
     placed = members.join(parted.withColumnRenamed("node", "id"), "id", "left").withColumn(
         "component", F.coalesce("component", "id")
     )
@@ -398,7 +432,10 @@ def _left_over(members: DataFrame, parted: DataFrame, limit: float, most: int) -
         .agg(F.count("*").alias("parts"), F.max_by("component", F.struct("n", "component")).alias("main"))
         .where("parts > 1")
     )
-    open_rows = placed.join(main, "key")
+    open_rows = staged(
+        placed.join(main, "key").join(classes.select("id", "bands"), "id"), "open-buckets"
+    )
+    # All texts outside the main component of a bucket meet all texts of the bucket, block by block.
     blocks = F.ceil(F.col("size") / BUCKET).cast("long")
     base = open_rows.withColumn("salt", F.pmod(F.xxhash64("id"), blocks)).withColumn("probe", F.lit(False))
     probes = (
@@ -406,10 +443,12 @@ def _left_over(members: DataFrame, parted: DataFrame, limit: float, most: int) -
         .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
         .withColumn("probe", F.lit(True))
     )
-    columns = ["key", "salt", "id", "n_shingles", "signature", "component", "probe"]
+    columns = ["key", "salt", "id", "n_shingles", "signature", "bands", "component", "probe"]
     rows = base.select(*columns).union(probes.select(*columns))
-    return (
-        rows.repartition("key", "salt")
-        .sortWithinPartitions("key", "salt", "id")
-        .mapInArrow(_offers(limit, most), PAIRS)
-    )
+
+    def dealt(df: DataFrame) -> DataFrame:
+        return df.repartition("key", "salt").sortWithinPartitions("key", "salt", "id")
+
+    live = staged(dealt(rows).mapInArrow(_live(limit), rows.schema), "live")
+    with_sets = live.join(sets, "id").select(*columns, "shingles")
+    return dealt(with_sets).mapInArrow(_cross_links(limit, percent), PAIRS)
