@@ -10,13 +10,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def work_root(spark: SparkSession) -> str:
-    """Shared folder for written tables: ``spark.checkpoint.dir``, or a local one when unset."""
+    """Shared folder for written tables, from ``spark.checkpoint.dir`` or ``setCheckpointDir``.
+
+    Where neither is set a local session, and no other, gets a folder of its own: it is named in the
+    session's setting then, so that all later steps agree on it.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return os.path.join(tempfile.gettempdir(), "cliplake")
+    if not shared:
+        known = spark._jsc.sc().getCheckpointDir()
+        shared = known.get() if known.isDefined() else None
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+        shared = tempfile.mkdtemp(prefix="cliplake-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return shared.rstrip("/")
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
@@ -35,6 +43,28 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Working tables of one operator, deleted together when its result is written."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, []
+
+    def staged(self, df: DataFrame, name: str) -> DataFrame:
+        path = fresh_dir(self.spark, name)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def result(self, df: DataFrame, name: str) -> DataFrame:
+        """Write the result, then delete the tables that led to it."""
+        out = staged(df, name)
+        for path in self.paths:
+            hadoop_path, fs = _hadoop_path(self.spark, path)
+            fs.delete(hadoop_path, True)
+        self.paths = []
+        return out
+
+
 def _hadoop_path(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
