@@ -5,22 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import staged
+from ..runtime import Scratch
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for every node of an edge; component is the smallest node reachable.
 
     Each round hands every node the smallest label around it (a partial minimum per task, so a node
     with very many edges costs no more than others) and then follows labels one step.  Rounds grow
-    with the logarithm of the longest chain.  Each round's labels are written to the shared folder.
+    with the logarithm of the longest chain.  Each round's labels are written to the
+    shared folder, as tables of the caller's ``scratch``.
     """
     both = edges.select(F.col(a).alias("node"), F.col(b).alias("other"))
-    both = staged(
+    both = scratch.staged(
         both.union(both.select("other", "node")).where("node <> other").distinct(), "edges"
     )
     nearest = both.groupBy("node").agg(F.min("other").alias("near"))
-    labels = staged(nearest.select("node", F.least("node", "near").alias("label")), "labels")
+    labels = scratch.staged(nearest.select("node", F.least("node", "near").alias("label")), "labels")
     while True:
         of_other = labels.select(F.col("node").alias("other"), F.col("label").alias("met"))
         near = (
@@ -35,7 +36,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         moved = near.join(jump, "step").select(
             "node", label.alias("label"), (label < F.col("was")).alias("moved")
         )
-        moved = staged(moved, "labels")
+        moved = scratch.staged(moved, "labels")
         labels = moved.select("node", "label")
         if not moved.where("moved").limit(1).count():
             return labels.select("node", F.col("label").alias("component"))

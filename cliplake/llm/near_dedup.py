@@ -19,7 +19,7 @@ band; step 5 meets the pairs that this separates.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..runtime import staged
+from ..runtime import Scratch
 from . import words
 from .components import components
 
@@ -368,6 +368,8 @@ def near_duplicates(
     a row with a null id is never kept, has a null component_id and links nothing.  An empty table
     gives an empty result.  Other columns are not read.
     """
+    scratch = Scratch(docs.sparkSession)
+    staged = scratch.staged
     limit = percent / 100 - MARGIN
     source = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
     signed = staged(
@@ -391,18 +393,18 @@ def near_duplicates(
         dealt.select("key", "salt", "id", "n_shingles", "signature").mapInArrow(_trees(limit), PAIRS).distinct(),
         "pairs",
     )
-    wanted = members.select("id").distinct()
+    wanted = staged(members.select("id").distinct(), "wanted")
     # Every row of an id that repeats has the same class, one of them is enough.
-    texts = source.join(wanted, "id").dropDuplicates(["id"])
+    texts = words.of_ids(source, wanted).dropDuplicates(["id"])
     sets = staged(
         words.unpacked(words.per_text(texts, "text", SET, _as_bytes(size), ["id"], 4 << 20), "shingles"),
         "sets",
     )
     links = staged(_confirmed(pairs, sets, percent), "links")
-    parted = components(links)
-    added = staged(_open_buckets(members, classes, parted, sets, limit, percent).distinct(), "links")
+    parted = components(links, scratch)
+    added = staged(_open_buckets(members, classes, parted, sets, limit, percent, staged).distinct(), "links")
     if added.limit(1).count():
-        parted = components(links.union(added))
+        parted = components(links.union(added), scratch)
     to_class = classes.select("n_shingles", "set_a", "set_b", F.col("id").alias("first"))
     of_class = to_class.join(parted.withColumnRenamed("node", "first"), "first", "left").withColumn(
         "component", F.coalesce("component", "first")
@@ -411,17 +413,19 @@ def near_duplicates(
         of_class.drop("first"), ["n_shingles", "set_a", "set_b"], "left"
     )
     component = F.when(F.col("id").isNull(), None).otherwise(F.coalesce("component", "id"))
-    return joined.select(
+    found = joined.select(
         F.col("id").alias(id),
         "n_shingles",
         component.alias("component_id"),
         F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"),
     )
+    return scratch.result(found, "near-duplicates")
 
 
 def _open_buckets(
-    members: DataFrame, classes: DataFrame, parted: DataFrame, sets: DataFrame, limit: float, percent: int
-) -> DataFrame:
+    members: DataFrame, classes: DataFrame, parted: DataFrame, sets: DataFrame, limit: float, percent: int,
+    staged: Callable[[DataFrame, str], DataFrame],
+) -> DataFrame:
     """Confirmed links between the components that still share a bucket."""
     placed = members.join(parted.withColumnRenamed("node", "id"), "id", "left").withColumn(
         "component", F.coalesce("component", "id")

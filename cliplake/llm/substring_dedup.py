@@ -16,7 +16,7 @@ The passage stays in the document with the smallest id.  Nothing is compared wit
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..runtime import staged
+from ..runtime import Scratch
 from . import words
 from .compact_windows import WALL, compact_windows
 
@@ -36,6 +36,8 @@ FUNCTIONS = 3
 CONTEXT = 20
 #: Shingles of a block, and of a piece of a chain that is verified at once.
 BLOCK, PIECE = 64, 4096
+#: Spans (16 bytes each) that are broadcast to the texts they are cut from.
+BROADCAST_SPANS = 500_000
 
 #: Bits of a packed window: position, left span, right span, left context, right context.
 _SPAN_BITS, _CONTEXT_BITS = 6, 11
@@ -223,6 +225,8 @@ def repeated_spans(
     width = passage - size + 1
     if width - 1 >= 1 << _SPAN_BITS or CONTEXT > width // 2:
         raise ValueError(f"passages of {2 * CONTEXT + size} to {(1 << _SPAN_BITS) + size - 1} words")
+    scratch = Scratch(docs.sparkSession)
+    staged = scratch.staged
     source = docs.select(
         F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")
     ).where("id is not null")
@@ -236,15 +240,18 @@ def repeated_spans(
         ),
         "windows",
     )
-    shared = (
+    # Written, so that the join sees two plain exchanges and splits a common key.
+    shared = staged(
         windows.groupBy("key")
         .agg(F.min("id").alias("least"), F.max("id").alias("most"))
         .where("least < most")
-        .select("key")
+        .select("key"),
+        "shared",
     )
     members = staged(_by_context(windows.join(shared, "key")), "members")
-    chains = staged(_chains(members, width), "chains")
-    blocks = _shingle_blocks(source, chains, size)
+    lead = staged(_leaders(members), "leaders")
+    chains = staged(_chains(members, lead, width), "chains")
+    blocks = staged(_shingle_blocks(source, chains, size, staged), "blocks")
     spans = _requests(chains, width).join(blocks, ["want", "block"])
     spans = (
         spans.repartition(*_GROUP)
@@ -252,7 +259,7 @@ def repeated_spans(
         .select(*_GROUP, "own", "block", "cell")
         .mapInArrow(_verified(size, width, percent), SPAN)
     )
-    return _joined(spans).withColumnRenamed("id", id)
+    return scratch.result(_joined(spans).withColumnRenamed("id", id), "spans")
 
 
 def _by_context(windows: DataFrame) -> DataFrame:
@@ -281,14 +288,15 @@ def _by_context(windows: DataFrame) -> DataFrame:
     )
 
 
-def _chains(members: DataFrame, width: int) -> DataFrame:
+def _leaders(members: DataFrame) -> DataFrame:
+    """The first window of every group that holds several documents."""
+    first = F.min(F.struct("id", "at", "left", "right"))
+    groups = members.groupBy("group").agg(first.alias("lead"), F.max("id").alias("most"))
+    return groups.where("lead.id < most").select("group", "lead")
+
+
+def _chains(members: DataFrame, lead: DataFrame, width: int) -> DataFrame:
     """Per (id, source, diagonal) the interval of shingles that links cover."""
-    lead = (
-        members.groupBy("group")
-        .agg(F.min(F.struct("id", "at", "left", "right")).alias("lead"), F.max("id").alias("most"))
-        .where("lead.id < most")
-        .select("group", "lead")
-    )
     left, right = F.least("left", "lead.left"), F.least("right", "lead.right")
     return (
         members.join(lead, "group")
@@ -306,16 +314,15 @@ def _chains(members: DataFrame, width: int) -> DataFrame:
     )
 
 
-def _shingle_blocks(source: DataFrame, chains: DataFrame, size: int) -> DataFrame:
+def _shingle_blocks(
+    source: DataFrame, chains: DataFrame, size: int, staged: Callable[[DataFrame, str], DataFrame]
+) -> DataFrame:
     """(want, block, cell) for all documents of chains."""
-    wanted = chains.select(F.explode(F.array("id", "source")).alias("id")).distinct()
+    wanted = staged(chains.select(F.explode(F.array("id", "source")).alias("id")).distinct(), "wanted")
     # Rows that repeat an id repeat its text; one of them stands for all.
-    texts = source.join(wanted, "id").dropDuplicates(["id"])
+    texts = words.of_ids(source, wanted).dropDuplicates(["id"])
     cut = words.per_text(texts, "text", BLOCKS, _blocks(size), ["id"], 4 << 20)
-    return staged(
-        cut.select(F.col("row.id").alias("want"), F.posexplode("found.blocks").alias("block", "cell")),
-        "blocks",
-    )
+    return cut.select(F.col("row.id").alias("want"), F.posexplode("found.blocks").alias("block", "cell"))
 
 
 def _requests(chains: DataFrame, width: int) -> DataFrame:
@@ -356,11 +363,14 @@ def _joined(spans: DataFrame) -> DataFrame:
 def without_spans(docs: DataFrame, spans: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents with the words of their spans, and the white space behind them, cut out.
 
-    All rows and columns stay; a text without spans is unchanged.
+    All rows and columns stay; a text without spans is unchanged.  ``spans`` must be a written table;
+    up to ``BROADCAST_SPANS`` of them are broadcast, more are joined by a shuffle.
     """
     lists = spans.groupBy(id).agg(F.sort_array(F.collect_list(F.struct("start_word", "end_word"))).alias("spans"))
     lists = lists.select(F.col(id).alias("_span_id"), F.col("spans").alias("_spans"))
     packed = docs.select(F.struct("*").alias("row"), F.col(f"`{id}`").cast("long").alias("_id"))
+    few = spans.count() <= BROADCAST_SPANS
+    lists = F.broadcast(lists) if few else lists
     joined = packed.join(lists, F.col("_id") == F.col("_span_id"), "left").select("row", "_spans")
     kept = joined.schema["row"]
 

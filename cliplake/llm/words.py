@@ -209,6 +209,16 @@ def per_text(
     return packed.mapInArrow(run, schema)
 
 
+#: Ids that are broadcast to a semi join; more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
+
+
+def of_ids(docs: DataFrame, ids: DataFrame, id: str = "id") -> DataFrame:
+    """The rows of the given (distinct, written) ids, without a shuffle of texts where ids are few."""
+    few = ids.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(ids) if few else ids, id, "left_semi")
+
+
 def unpacked(df: DataFrame, *names: str) -> DataFrame:
     """The kept columns and the named fields of ``found``."""
     return df.select("row.*", *[F.col("found")[name].alias(name) for name in names])
