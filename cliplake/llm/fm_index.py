@@ -96,6 +96,8 @@ class FMIndex:
     """Symbols are 0 (filler) to sigma - 1; phrases hold 1 to sigma - 1 and at most depth words."""
 
     def __init__(self, symbols: np.ndarray, sigma: int, depth: int) -> None:
+        # A filler at the end gives the empty suffix behind the last word a row.
+        symbols = np.append(symbols, np.zeros(1, symbols.dtype))
         order = suffix_order(symbols, sigma, depth)
         # The suffix at 0 is preceded by the filler.
         before = np.where(order > 0, symbols[order - 1], 0)

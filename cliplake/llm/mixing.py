@@ -91,7 +91,7 @@ def mixed(
     )
     running = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     bins = bins.withColumn("before", F.coalesce(F.sum("bin_size").over(running), F.lit(0)))
-    whole = F.coalesce(F.floor(F.col("target") / F.col("source_size")), F.lit(0))
+    whole = F.coalesce(F.floor(F.try_divide("target", "source_size")), F.lit(0))
     plan = (
         bins.withColumnRenamed("source", "of")
         .join(of_source, F.col("of").eqNullSafe(F.col("source")))
