@@ -116,10 +116,13 @@ def _frame_rate(text: Column) -> tuple[Column, Column]:
 def parse_probe(df: DataFrame, probe: str = "probe") -> DataFrame:
     """Typed columns of probe JSON: the first video stream, any audio stream, defaults.
 
-    Text that is no JSON object, or a number that does not parse, gives the default values and
-    the status ``parse_error``; other rows get ``parsed``.
+    Text that is not one whole JSON object of this shape, or a number that does not parse or fit,
+    gives the default values and the status ``parse_error``; other rows get ``parsed``.
     """
-    parsed = df.withColumn("_p", F.from_json(probe, schemas.PROBE_JSON))
+    # The parser keeps what it could read of broken text and puts the text into this field.
+    options = {"columnNameOfCorruptRecord": "_broken"}
+    body = F.regexp_replace(probe, r"^\s+|\s+$", "")
+    parsed = df.withColumn("_p", F.from_json(body, schemas.PROBE_JSON, options))
     streams = F.coalesce("_p.streams", F.array())
     parsed = parsed.withColumn(
         "_v", F.get(F.filter(streams, lambda s: s["codec_type"] == "video"), F.lit(0))
@@ -128,17 +131,26 @@ def parse_probe(df: DataFrame, probe: str = "probe") -> DataFrame:
     duration = duration_text.try_cast("double")
     bitrate = bitrate_text.try_cast("bigint")
     fps, bad_fps = _frame_rate(F.coalesce("_v.r_frame_rate", F.lit("0/1")))
-    is_object = F.coalesce(F.startswith(F.ltrim(probe), F.lit("{")), F.lit(False))
+    is_object = F.coalesce(body.startswith("{") & body.endswith("}"), F.lit(False))
+
+    def bad_side(name: str) -> Column:
+        given = F.col(f"_v.{name}")
+        whole = given.try_cast("double").try_cast("int")
+        return F.coalesce(given.isNotNull() & whole.isNull(), F.lit(False))
+
     failed = (
         ~is_object
         | F.col("_p").isNull()
+        | F.col("_p._broken").isNotNull()
+        | bad_side("width")
+        | bad_side("height")
         | (duration_text.isNotNull() & duration.isNull())
         | (bitrate_text.isNotNull() & bitrate.isNull())
         | F.coalesce(bad_fps, F.lit(False))
     )
 
     def side(name: str) -> Column:
-        return F.coalesce(F.col(f"_v.{name}").try_cast("double").cast("int"), F.lit(0))
+        return F.coalesce(F.col(f"_v.{name}").try_cast("double").try_cast("int"), F.lit(0))
 
     def unless_failed(value: Column, default) -> Column:
         return F.when(failed, F.lit(default)).otherwise(F.coalesce(value, F.lit(default)))

@@ -129,7 +129,7 @@ def upsert(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
 
 
 def final_summaries(
-    keyframes: DataFrame, text_results: DataFrame, folder: str = "/user/video_project/summaries"
+    keyframes: DataFrame, text_results: DataFrame, folder: str = "/summaries"
 ) -> DataFrame:
     """Playback facts per video, with the text results of the first audio file named like it."""
     name = F.col("video_name")

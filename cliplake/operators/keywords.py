@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cliplake import schemas
 from cliplake.functions import text
+from cliplake.operators.skew import salted_join
 from cliplake.params import TextParams
 
 
@@ -90,7 +91,8 @@ def tfidf(transcripts: DataFrame, frequencies: DataFrame | None = None) -> DataF
         "term", F.ln(documents / (F.col("df") + 1)).alias("idf")
     )
     tf = F.col("n") / F.col("length")
-    return terms.join(weights, "term").select(
+    # A stop word is in nearly every transcript.
+    return salted_join(terms, weights, "term", ["doc_id"]).select(
         "doc_id", "term", tf.alias("tf"), "idf", (tf * F.col("idf")).alias("score")
     )
 

@@ -67,8 +67,8 @@ def contains_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = views.table(spark, sf_dir, "documents")
-    old = rows.where("doc_id % 2 = 0").select("doc_id", "n_chars", "lang")
-    new = rows.where("doc_id % 3 = 0").select(
+    old = rows.where("doc_id % 3 <> 0").select("doc_id", "n_chars", "lang")
+    new = rows.where("doc_id % 3 = 0 or doc_id % 2 = 0").select(
         "doc_id", (F.col("n_chars") * 2).alias("n_chars"), "source"
     )
     return documents.upsert(old, new, "doc_id")
@@ -151,8 +151,8 @@ ORACLES = {
         select coalesce(o.doc_id, n.doc_id) as doc_id,
           case when n.doc_id is not null then n.n_chars * 2 else o.n_chars end as n_chars,
           o.lang, n.source
-        from (select * from documents where doc_id % 2 = 0) o
-        full join (select * from documents where doc_id % 3 = 0) n on o.doc_id = n.doc_id""",
+        from (select * from documents where doc_id % 3 <> 0) o
+        full join (select * from documents where doc_id % 3 = 0 or doc_id % 2 = 0) n on o.doc_id = n.doc_id""",
     "final_summary": with_views(
         """select video_name, summary_video_name, hdfs_path, num_keyframes, duration_seconds,
           text_summary, sentiment, keywords from final_summaries""",

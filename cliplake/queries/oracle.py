@@ -84,16 +84,21 @@ select * from (select *, row_number() over (partition by video_id order by path)
 CLEANED = "select * from deduped where quality_score >= 40"
 
 PROBE_JSON = """
-select path, case cast(file_size % 11 as int) when 0 then 'not json' when 1 then '{"streams":[]}'
-  when 2 then '{"format":{"duration":"N/A"},"streams":[]}'
-  else concat('{"format":{"duration":"', cast(duration as varchar), '","bit_rate":"',
+select path, case cast(file_size % 29 as int) when 0 then 'not json' when 1 then '{"streams":[]}'
+  when 2 then '{"format":{"duration":"N/A"},"streams":[]}' when 3 then '{"format":{"duration":"5.5"'
+  when 4 then '{"format":' when 5 then '{not json}' when 6 then concat(whole, ' garbage')
+  when 7 then '{"format":{"duration":"5.5"},"streams":"none"}'
+  when 8 then replace(whole, '"height":480', '"height":"abc"')
+  when 9 then replace(whole, '"height":480', '"height":99999999999')
+  when 10 then concat(chr(10), chr(9), ' ', whole, chr(10)) else whole end as probe
+from (select path, file_size, concat('{"format":{"duration":"', cast(duration as varchar), '","bit_rate":"',
     cast(bitrate as varchar), '"},"streams":[',
     case when has_audio then '{"codec_type":"audio","codec_name":"aac"},' else '' end,
     '{"codec_type":"video","codec_name":"', codec, '","width":',
     cast(640 + file_size % 3 as varchar), ',"height":480,"r_frame_rate":"',
     case cast(file_size % 4 as int) when 0 then '30000/1001' when 1 then '25/1' when 2 then '0/0'
-      else '24' end, '"}]}') end as probe
-from probe
+      else '24' end, '"}]}') as whole
+  from probe)
 """
 
 PARSED = """
@@ -109,22 +114,25 @@ select path, failed, case when failed then 'parse_error' else 'parsed' end as pr
     lambda s: s->>'$.codec_type' = 'audio')) > 0, false) end as has_audio
 from (select *, string_split(v->>'$.r_frame_rate', '/') as r,
     j is null or (d is not null and try_cast(d as double) is null)
-      or (b is not null and try_cast(b as bigint) is null) as failed
+      or (b is not null and try_cast(b as bigint) is null)
+      or coalesce(json_type(j->'$.streams') <> 'ARRAY', false)
+      or (v->>'$.width' is not null and try_cast(v->>'$.width' as int) is null)
+      or (v->>'$.height' is not null and try_cast(v->>'$.height' as int) is null) as failed
   from (select *, j->>'$.format.duration' as d, j->>'$.format.bit_rate' as b,
       list_filter(streams, lambda s: s->>'$.codec_type' = 'video')[1] as v
-    from (select *, cast(j->'$.streams' as json[]) as streams
+    from (select *, try_cast(j->'$.streams' as json[]) as streams
       from (select path, case when json_valid(probe) then cast(probe as json) end as j
         from probe_json))))
 """
 
 TRANSCRIPTS = """
 select doc_id,
-  concat('hdfs://host:9000/user/audio_files/video_', doc_id, '.wav') as filename,
-  case when doc_id % 10 = 0
-      then concat('[Audio contains approximately ', n_chars % 17, ' speech segments]')
-    when doc_id % 10 = 1 then '' else text end as transcript,
+  concat('hdfs://host:9000/user/audio_files/video_', doc_id, '.wav') as filename, transcript,
   cast(n_chars % 17 as int) as num_segments, n_chars / cast(15 as double) as duration
-from documents
+from (select doc_id, text as transcript, n_chars from documents
+  union all select -1 - doc_id, case when doc_id % 10 = 0
+      then concat('[Audio contains approximately ', n_chars % 17, ' speech segments]')
+    else '' end, n_chars from documents where doc_id % 10 < 2)
 """
 
 WHITE_SPACE = (
@@ -257,7 +265,7 @@ left join text_results t on v.video_name = regexp_replace(
 
 FINAL_SUMMARIES = """
 select v.video_name, replace(v.video_name, '.mp4', '_summary.mp4') as summary_video_name,
-  concat('/user/video_project/summaries/', replace(v.video_name, '.mp4', '_summary.mp4'))
+  concat('/summaries/', replace(v.video_name, '.mp4', '_summary.mp4'))
     as hdfs_path, num_keyframes, num_keyframes * 2 as duration_seconds, r.summary as text_summary,
   r.sentiment, r.keywords, r.doc_id
 from (select video_name, count(*) as num_keyframes from keyframes_det group by video_name) v
@@ -335,7 +343,8 @@ from (select clip, frame, frame - row_number() over (partition by clip order by
 
 # WAV clips: 64 samples at most, 400 samples a second, so frames of 10 with a hop of 4.
 WAVS = """
-select concat(clip, '/', i // 64) as clip, i % 64 as j, least(greatest(floor(x * 64), -32768), 32767)
+select concat(clip, '/', i // 64) as clip, i % 64 as j, floor(x * (
+    select least(64::double, floor(32767 / greatest(max(abs(value)), 1))) from events))
     / 32768.0::double as s
 from signal
 """

@@ -71,8 +71,15 @@ def _hadoop_path(spark: SparkSession, path: str):
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path, or any path that a pattern fits, is there."""
     hadoop_path, fs = _hadoop_path(spark, path)
-    return bool(fs.exists(hadoop_path))
+    return bool(fs.globStatus(hadoop_path))
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty file."""
+    hadoop_path, fs = _hadoop_path(spark, path)
+    fs.create(hadoop_path, False).close()
 
 
 def file_count(spark: SparkSession, path: str) -> int:

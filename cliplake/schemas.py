@@ -13,7 +13,7 @@ PROBE = (
 PROBE_JSON = (
     "struct<format:struct<duration:string,bit_rate:string>,"
     "streams:array<struct<codec_type:string,codec_name:string,width:string,height:string,"
-    "r_frame_rate:string>>>"
+    "r_frame_rate:string>>,_broken:string>"
 )
 
 FRAME = (

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cliplake.functions import html
 from cliplake.operators import documents
 from cliplake.params import QualityParams
-from cliplake.runtime import child_names, path_exists
+from cliplake.runtime import child_names, touch
 
 # The ASCII record separator, which ends every record of a container file.
 RECORD_END = "\x1e"
@@ -27,25 +27,33 @@ def write_tiers(
 
 
 class Collections:
-    """Named document collections below one folder, or in a store given by a Spark format."""
+    """Named document collections below one folder.
+
+    Each write is a new version ``v<n>``; an empty file ``current-<n>`` is created when it is
+    complete and names it.  Numbers are never used twice, so a failed write leaves nothing that
+    could be taken for data.
+    """
 
     def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet"):
         self.spark = spark
         self.root = root.rstrip("/")
         self.fmt = fmt
 
+    def _numbers(self, name: str, prefix: str) -> list[int]:
+        entries = child_names(self.spark, f"{self.root}/{name}")
+        tails = (n.removeprefix(prefix) for n in entries if n.startswith(prefix))
+        return sorted(int(tail) for tail in tails if tail.isdigit())
+
     def _versions(self, name: str) -> list[int]:
         """Versions whose write was completed."""
-        folder = f"{self.root}/{name}"
-        numbers = [int(n[1:]) for n in child_names(self.spark, folder) if n[:1] == "v"]
-        return sorted(n for n in numbers if path_exists(self.spark, f"{folder}/v{n}/_SUCCESS"))
+        return self._numbers(name, "current-")
 
     def overwrite(self, df: DataFrame, name: str) -> DataFrame:
         """Replace a collection.  The new version is written beside the old one, which stays
         readable until the write is complete."""
-        versions = self._versions(name)
-        target = f"{self.root}/{name}/v{versions[-1] + 1 if versions else 1}"
-        df.write.mode("overwrite").format(self.fmt).save(target)
+        number = max([0, *self._numbers(name, "v"), *self._versions(name)]) + 1
+        df.write.format(self.fmt).save(f"{self.root}/{name}/v{number}")
+        touch(self.spark, f"{self.root}/{name}/current-{number}")
         return self.read(name)
 
     def read(self, name: str) -> DataFrame:

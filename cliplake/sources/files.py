@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -9,6 +11,8 @@ from pyspark.sql import functions as F
 from cliplake.functions import audio
 from cliplake.runtime import file_count, path_exists
 
+log = logging.getLogger(__name__)
+
 
 def spread(df: DataFrame, path: str, key: str) -> DataFrame:
     """Spread the rows of a table in fewer files than there are cores over all cores.
@@ -75,19 +79,25 @@ def media_files(spark: SparkSession, folders: list[str]) -> DataFrame:
 
 
 def images(spark: SparkSession, folder: str) -> DataFrame:
-    """Decoded pixels of all images below a folder, in BGR order."""
+    """Decoded pixels of all images below a folder, in BGR order.
+
+    A file that is no image is a row with nulls and an ``error``.
+    """
     loaded = (
         spark.read.format("image")
-        .option("dropInvalid", "true")
+        .option("dropInvalid", "false")
         .option("recursiveFileLookup", "true")
         .load(folder)
     )
+    # The reader marks such files by sizes below zero.
+    good = F.coalesce(F.col("image.height") >= 0, F.lit(False))
     return loaded.select(
         F.col("image.origin").alias("origin"),
-        F.col("image.height").alias("height"),
-        F.col("image.width").alias("width"),
-        F.col("image.nChannels").alias("n_channels"),
-        F.col("image.data").alias("data"),
+        F.when(good, F.col("image.height")).alias("height"),
+        F.when(good, F.col("image.width")).alias("width"),
+        F.when(good, F.col("image.nChannels")).alias("n_channels"),
+        F.when(good, F.col("image.data")).alias("data"),
+        F.when(~good, F.lit("not an image")).alias("error"),
     )
 
 
@@ -110,37 +120,46 @@ def json_folders(spark: SparkSession, folders: list[str], schema: str) -> DataFr
 
 
 def optional_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """JSON rows, or no rows when the path cannot be read."""
+    """JSON rows, or no rows and a warning when the path cannot be read."""
     try:
         return json_lines(spark, path, schema)
-    except AnalysisException:
+    except AnalysisException as problem:
+        log.warning("no rows from %s: %s", path, problem.getCondition())
         return spark.createDataFrame([], schema)
 
 
-def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of text files with their 0-based number over all files, in read order.
+def _placed_lines(spark: SparkSession, path: str, headers: bool) -> DataFrame:
+    """(line_no, line): lines of text files, files by name, without the first line of each if asked.
 
-    Line numbers come from the position in each read split plus the line counts of the splits
-    before it, so no task sees more than its own split.
+    Numbers come from the position in each read split plus the line counts of the splits before
+    it, so no task sees more than its own split.
     """
-    within = F.monotonically_increasing_id()
-    lines = spark.read.text(path).select(F.col("value").alias("line"), within.alias("_id"))
-    split, offset = F.shiftright("_id", 33), F.col("_id").bitwiseAND((1 << 33) - 1)
-    lines = lines.select("line", split.alias("_split"), offset.alias("_offset"))
-    before = Window.orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    lines = spark.read.text(path).select(
+        F.col("value").alias("line"),
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_id"),
+    )
+    skipped = F.when(F.col("_block") == 0, 1).otherwise(0) if headers else F.lit(0)
+    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
     # One row per read split, far fewer than the lines.
     starts = (
-        lines.groupBy("_split")
-        .agg(F.count(F.lit(1)).alias("_lines"))
-        .select("_split", F.coalesce(F.sum("_lines").over(before), F.lit(0)).alias("_start"))
-    )
-    return lines.join(starts, "_split").select(
-        (F.col("_start") + F.col("_offset")).alias("line_no"), "line"
+        lines.groupBy("_file", "_block")
+        .agg(F.count(F.lit(1)).alias("_lines"), F.min("_id").alias("_first"))
+        .withColumn("_skip", skipped)
+        .withColumn("_start", F.coalesce(F.sum(F.col("_lines") - F.col("_skip")).over(before), F.lit(0)))
     )
+    place = F.col("_id") - F.col("_first") - F.col("_skip")
+    numbered = lines.join(starts, ["_file", "_block"]).where(place >= 0)
+    return numbered.select((F.col("_start") + place).alias("line_no"), "line")
+
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of text files with their 0-based number over all files, files in order of name."""
+    return _placed_lines(spark, path, headers=False)
 
 
 def manifest_lines(spark: SparkSession, path: str, max_rows: int | None = None) -> DataFrame:
-    """Data lines of a manifest with a header, numbered from 0, at most the first ``max_rows``."""
-    data = numbered_lines(spark, path).where("line_no > 0")
-    numbered = data.select((F.col("line_no") - 1).alias("idx"), "line")
+    """Data lines of manifests, each with a header, numbered from 0; at most ``max_rows``."""
+    numbered = _placed_lines(spark, path, headers=True).withColumnRenamed("line_no", "idx")
     return numbered if max_rows is None else numbered.where(F.col("idx") < max_rows)

@@ -112,24 +112,43 @@ def probe_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         (640 + size % 3).cast("string"),
         rate,
     )
-    odd = ["not json", '{"streams":[]}', '{"format":{"duration":"N/A"},"streams":[]}']
-    rows = probe(spark, sf_dir).select("path", _cases(size % 11, odd, whole).alias("probe"))
+    odd = [
+        "not json",
+        '{"streams":[]}',
+        '{"format":{"duration":"N/A"},"streams":[]}',
+        '{"format":{"duration":"5.5"',
+        '{"format":',
+        "{not json}",
+        F.concat(whole, F.lit(" garbage")),
+        '{"format":{"duration":"5.5"},"streams":"none"}',
+        F.replace(whole, F.lit('"height":480'), F.lit('"height":"abc"')),
+        F.replace(whole, F.lit('"height":480'), F.lit('"height":99999999999')),
+        F.concat(F.lit("\n\t "), whole, F.lit("\n")),
+    ]
+    rows = probe(spark, sf_dir).select("path", _cases(size % 29, odd, whole).alias("probe"))
     return files.spread(rows, f"{sf_dir}/orders.parquet", "path")
 
 
 def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Transcripts with bracketed placeholders and empty texts among them."""
+    """Transcripts of all documents; for every fifth a further row, placeholder or empty.
+
+    The further rows have ids of their own, below zero.
+    """
     doc_id, chars = F.col("doc_id"), F.col("n_chars")
     label = F.concat(
         F.lit("[Audio contains approximately "), chars % 17, F.lit(" speech segments]")
     )
-    rows = table(spark, sf_dir, "documents").select(
+    real = F.struct(doc_id.alias("doc_id"), F.col("text").alias("transcript"))
+    filler = F.when(doc_id % 10 == 0, label).otherwise("")
+    further = F.when(
+        doc_id % 10 < 2, F.struct((-1 - doc_id).alias("doc_id"), filler.alias("transcript"))
+    )
+    both = F.explode(F.array_compact(F.array(real, further))).alias("row")
+    rows = table(spark, sf_dir, "documents").select("n_chars", both).select("row.*", "n_chars")
+    rows = rows.select(
         "doc_id",
         F.concat(F.lit(f"{HOST}/user/audio_files/video_"), doc_id, F.lit(".wav")).alias("filename"),
-        F.when(doc_id % 10 == 0, label)
-        .when(doc_id % 10 == 1, "")
-        .otherwise(F.col("text"))
-        .alias("transcript"),
+        "transcript",
         (chars % 17).cast("int").alias("num_segments"),
         (chars / F.lit(15.0)).alias("duration"),
     )
@@ -236,10 +255,12 @@ def signal(spark: SparkSession, sf_dir: str) -> DataFrame:
 def wav_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """WAV files of at most 64 samples cut from the signal of each user, 16 bit, one channel.
 
-    Louder samples are cut off at the 16-bit limits, as any recorder does.
+    Samples are scaled by 64, or by less where the loudest of the table would not fit.
     """
-    lowest, highest = F.lit(-32768).cast("bigint"), F.lit(32767).cast("bigint")
-    level = F.least(F.greatest(F.floor(F.col("x") * 64), lowest), highest).cast("smallint")
+    loudest = F.max(F.abs("value"))
+    scale = F.least(F.lit(64.0), F.floor(32767 / F.greatest(loudest, F.lit(1.0))).cast("double"))
+    known = table(spark, sf_dir, "events").agg(scale).first()[0] or 64.0
+    level = F.floor(F.col("x") * F.lit(known)).cast("smallint")
     cut = signal(spark, sf_dir).withColumn("part", ordered.slice_of(F.col("i"), CLIP_SAMPLES))
     samples = F.transform(
         F.sort_array(F.collect_list(F.struct("i", level.alias("level")))), lambda s: s["level"]

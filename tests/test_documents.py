@@ -190,3 +190,17 @@ def test_empty_counts(spark):
     rows = spark.createDataFrame([("positive",), ("other",), (None,)], "sentiment string")
     found = report.count_per_category(rows, "sentiment", ["positive", "neutral"]).collect()
     assert {tuple(r) for r in found} == {("positive", "Positive", 1), ("neutral", "Neutral", 0)}
+
+
+def test_collections_without_success_marker(spark, tmp_path):
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    key = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    before = hadoop.get(key)
+    hadoop.set(key, "false")
+    try:
+        store = tables.Collections(spark, str(tmp_path))
+        store.upsert(spark.createDataFrame([(1, "a")], "id int, x string"), "c", "id")
+        store.upsert(spark.createDataFrame([(2, "b")], "id int, x string"), "c", "id")
+        assert sorted(map(tuple, store.read("c").collect())) == [(1, "a"), (2, "b")]
+    finally:
+        hadoop.set(key, before or "true")

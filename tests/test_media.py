@@ -195,3 +195,23 @@ def test_manifest_file_lines(spark, tmp_path):
     )
     numbers = [r.line_no for r in files.numbered_lines(spark, str(tmp_path / "parts")).collect()]
     assert sorted(numbers) == list(range(51))
+
+
+def test_bad_image_is_a_row_with_an_error(spark, tmp_path):
+    (tmp_path / "bad.png").write_bytes(b"no image")
+    row = files.images(spark, str(tmp_path)).first()
+    assert (row["error"], row["data"], row["height"]) == ("not an image", None, None)
+
+
+def test_every_manifest_has_its_header_dropped(spark, tmp_path):
+    (tmp_path / "b.csv").write_text("id,url\n" + "".join(f"b{i},u\n" for i in range(50)))
+    (tmp_path / "a.csv").write_text("id,url\na0,u\na1,u\n")
+    found = files.manifest_lines(spark, str(tmp_path)).orderBy("idx").collect()
+    assert [r.idx for r in found] == list(range(52))
+    assert [r.line for r in found] == ["a0,u", "a1,u"] + [f"b{i},u" for i in range(50)]
+
+
+def test_folders_by_pattern(spark, tmp_path):
+    (tmp_path / "x").mkdir()
+    (tmp_path / "x" / "one.bin").write_bytes(b"1")
+    assert files.binary_files(spark, [str(tmp_path / "*"), str(tmp_path / "none*")]).count() == 1

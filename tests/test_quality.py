@@ -136,3 +136,14 @@ def test_path_names(spark):
     assert _value(spark, paths.strip_extension(paths.basename(F.lit(path)))) == "clip.part"
     assert _value(spark, paths.path_category(F.lit(path))) == "high"
     assert _value(spark, paths.video_name_of_audio(F.lit("a.wav.wav"))) == "a.wav.mp4"
+
+
+def test_broken_probe_text(spark):
+    good = '{"format":{"duration":"5.5","bit_rate":"7"},"streams":[{"codec_type":"video","width":%s,"height":2}]}'
+    bad = ['{"format":{"duration":"5.5"', '{"format":', "{not json}", good % 1 + " garbage", good % '"abc"',
+           good % 99999999999, '{"format":{},"streams":"none"}', "", None]
+    fine = [good % 1, "\n\t " + good % '"640"' + " \n"]
+    df = spark.createDataFrame([(t,) for t in bad + fine], "probe string")
+    found = {r["probe"]: r for r in catalog.parse_probe(df).collect()}
+    assert all(found[t]["processing_status"] == "parse_error" for t in bad)
+    assert [found[t]["resolution"] for t in fine] == ["1x2", "640x2"]
