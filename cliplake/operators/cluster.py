@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.ml.clustering import KMeans
+from functools import reduce
+
 from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cliplake.functions import vectors
 from cliplake.operators import ordered, skew
 from cliplake.params import ClusterParams
-from cliplake.runtime import staged
+from cliplake.runtime import Scratch, staged
 
 
 def standardize(df: DataFrame, features: str, output: str = "scaled_features") -> DataFrame:
@@ -40,138 +38,160 @@ def kmeans_assign(
 ) -> DataFrame:
     """Assign each row to a K-means cluster: the input plus ``cluster`` and ``distance``.
 
-    The cluster count grows with the rows, and MLlib holds all centres on the driver and in every
-    task.  Their number and size are checked first; past the limits the rows are clustered in
-    slices of bounded size instead, with the same share of clusters in each.
+    The cluster count grows with the rows, so comparing every row with every centre would grow
+    with their square.  The table is one cell at first.  Level by level, every cell that still has
+    more than one cluster to give is split by K-means into at most ``branches`` cells, which get
+    shares of its clusters by their rows; a cell with a share of one is a cluster.  A row thus
+    meets only the few centres of its own cell, at any size of the table.
+
+    Shares add up to the cluster count (or to the rows, if fewer).  Clusters are numbered from 0.
+    Rows whose vectors cannot be told apart stay one cluster, whatever its share.
     """
-    size = df.agg(
-        F.count(F.lit(1)).alias("rows"), F.max(F.size(features)).alias("dims")
-    ).withColumn("k", cluster_count(F.col("rows"), params))
-    rows, dims, k = size.first()
-    if not rows:
+    counted = df.agg(F.count(F.lit(1)).alias("rows"))
+    share = counted.select(F.least(cluster_count(F.col("rows"), params), "rows")).first()[0]
+    if not share:
         return df.select(
             "*", F.lit(0).cast("bigint").alias("cluster"), F.lit(0.0).alias("distance")
         )
-    if k > params.max_centers or k * dims * 8 > params.max_center_bytes:
-        return _kmeans_in_slices(df, keys, features, rows, dims, params)
-    return _kmeans_global(df, features, k, params)
-
-
-def _kmeans(features: str, k: int, params: ClusterParams) -> KMeans:
-    return KMeans(
-        featuresCol=features,
-        predictionCol="cluster",
-        k=k,
-        seed=params.seed,
-        maxIter=params.max_iter,
-    )
+    scratch = Scratch(df.sparkSession)
+    facts = {
+        "_cell": F.lit(0).cast("bigint"),
+        "_share": F.lit(share).cast("bigint"),
+        "_mark": _mark(F.col(features)),
+    }
+    cells = scratch.staged(df.withColumns(facts), "cells")
+    done = []
+    while True:
+        split = _split(cells, keys, features, params, scratch)
+        done.append(
+            split.where("not _open").select(
+                *df.columns, F.col("_cell").alias("cluster"), F.col("_distance").alias("distance")
+            )
+        )
+        cells = split.where("_open").drop("_open", "_distance")
+        if not cells.limit(1).count():
+            return scratch.result(reduce(DataFrame.unionAll, done), "clusters")
 
 
-def _kmeans_global(df: DataFrame, features: str, k: int, params: ClusterParams) -> DataFrame:
-    as_vectors = df.withColumn("_vector", array_to_vector(F.col(features)))
-    model = _kmeans("_vector", k, params).fit(as_vectors.select("_vector"))
-    centers = df.sparkSession.createDataFrame(
-        [(index, center.tolist()) for index, center in enumerate(model.clusterCenters())],
-        "cluster int, center array<double>",
-    )
-    # The centres are below params.max_center_bytes here.
-    return (
-        model.transform(as_vectors)
-        .join(F.broadcast(centers), "cluster")
-        .select(
-            *df.columns,
-            F.col("cluster").cast("bigint").alias("cluster"),
-            vectors.euclid_distance(F.col(features), F.col("center")).alias("distance"),
-        )
-    )
+def _mark(features: Column) -> Column:
+    """Digest of a vector to four decimals: equal vectors have one mark, others a random order."""
+    return F.md5(F.array_join(F.transform(features, lambda x: F.floor(x * 1e4)), ","))
 
 
-def _kmeans_in_slices(
-    df: DataFrame, keys: list[str], features: str, rows: int, dims: int, params: ClusterParams
-) -> DataFrame:
-    """Two levels: coarse cells by MLlib, then K-means inside slices of each cell.
+def _rounded(value: Column) -> Column:
+    """To nine decimals, so that sums taken in another order give the same centres and ties."""
+    return F.floor(value * 1e9 + 0.5) / 1e9
 
-    A cell is cut by a hash of the row key into slices of about ``rows_per_slice`` rows, so that
-    a cell that holds most of the rows spreads over many tasks.  No row is left out.
-    """
-    most_cells = max(params.floor, params.max_center_bytes // (max(dims, 1) * 8))
-    coarse = int(min(most_cells, np.ceil(rows / params.rows_per_slice), 1000))
-    if coarse > 1:
-        as_vectors = df.withColumn("_vector", array_to_vector(F.col(features)))
-        model = _kmeans("_vector", coarse, params).fit(as_vectors.select("_vector"))
-        celled = model.transform(as_vectors).withColumnRenamed("cluster", "_cell").drop("_vector")
-    else:
-        celled = df.withColumn("_cell", F.lit(0))
-    # One row per cell, at most 1000.
-    cell_sizes = celled.groupBy("_cell").agg(
-        F.ceil(F.count(F.lit(1)) / params.rows_per_slice).alias("_slices")
+
+def _split(
+    cells: DataFrame, keys: list[str], features: str, params: ClusterParams, scratch: Scratch
+) -> DataFrame:
+    """One level: rows with the new ``_cell`` and ``_share``, ``_distance`` and ``_open``."""
+    first = Window.partitionBy("_cell").orderBy("_mark")
+    seeds = (
+        cells.select("_cell", "_share", "_mark")
+        .distinct()
+        .withColumn("_rank", F.row_number().over(first))
+        .where(F.col("_rank") <= params.branches)
+        .where("_rank <= _share")
+        .groupBy("_cell")
+        .agg(F.sort_array(F.collect_list("_mark")).alias("_marks"))
+    )
+    seeded = skew.salted_join(cells, scratch.staged(seeds, "seeds"), "_cell", keys)
+    centers = _centers(
+        seeded.withColumn("_child", F.array_position("_marks", F.col("_mark"))).where("_child > 0"),
+        features,
+    )
+    for _ in range(params.passes):
+        centers = _centers(
+            _nearest(cells, scratch.staged(centers, "centers"), keys, features), features
+        )
+    placed = scratch.staged(
+        _nearest(cells, scratch.staged(centers, "centers"), keys, features), "placed"
     )
-    sliced = celled.join(F.broadcast(cell_sizes), "_cell").withColumn(
-        "_part", F.pmod(F.xxhash64(*keys), F.col("_slices"))
+    shares = scratch.staged(_shares(placed), "shares")
+    return scratch.staged(
+        skew.salted_join(placed, shares, ["_cell", "_child"], keys).select(
+            *[F.col(c) for c in cells.columns if c not in ("_cell", "_share")],
+            F.col("_new_cell").alias("_cell"),
+            F.col("_new_share").alias("_share"),
+            "_distance",
+            "_open",
+        ),
+        "cells",
     )
-    names = [field.name for field in df.schema.fields]
-    local_schema = T.StructType(
-        [
-            *df.schema.fields,
-            T.StructField("_cell", T.IntegerType()),
-            T.StructField("_part", T.LongType()),
-            T.StructField("_local", T.LongType()),
-            T.StructField("distance", T.DoubleType()),
-        ]
+
+
+def _centers(rows: DataFrame, features: str) -> DataFrame:
+    """Mean vectors of the children of each cell, as one short array per cell."""
+    means = rows.groupBy("_cell", "_child").agg(
+        vector_to_array(Summarizer.mean(array_to_vector(F.col(features)))).alias("_mean")
     )
+    center = F.struct("_child", F.transform("_mean", _rounded).alias("center"))
+    return means.groupBy("_cell").agg(F.sort_array(F.collect_list(center)).alias("_centers"))
 
-    def cluster_slice(rows_of_slice: pd.DataFrame) -> pd.DataFrame:
-        points = np.stack(rows_of_slice[features].to_numpy())
-        local, distance = _lloyd(points, params)
-        return rows_of_slice[[*names, "_cell", "_part"]].assign(_local=local, distance=distance)
 
-    # Consecutive numbers over (cell, part, local) keep cluster ids unique.
-    most = F.lit(params.rows_per_slice * 4).cast("bigint")
-    cell = F.col("_cell").cast("bigint")
-    return (
-        sliced.groupBy("_cell", "_part")
-        .applyInPandas(cluster_slice, local_schema)
-        .select(
-            *names,
-            ((F.col("_part") * 1000 + cell) * most + F.col("_local")).alias("cluster"),
-            "distance",
-        )
+def _nearest(cells: DataFrame, centers: DataFrame, keys: list[str], features: str) -> DataFrame:
+    """Rows with the ``_child`` whose centre is nearest, the first of equals, and its distance."""
+    gaps = F.transform(
+        "_centers",
+        lambda c: F.struct(
+            _rounded(vectors.euclid_distance(F.col(features), c["center"])).alias("gap"),
+            c["_child"].alias("child"),
+        ),
+    )
+    best = skew.salted_join(cells, centers, "_cell", keys).withColumn("_best", F.array_min(gaps))
+    return best.select(
+        *cells.columns,
+        F.col("_best.child").alias("_child"),
+        F.col("_best.gap").alias("_distance"),
     )
 
 
-def _lloyd(points: np.ndarray, params: ClusterParams) -> tuple[np.ndarray, np.ndarray]:
-    """Plain K-means on one slice: cluster index and distance of every point."""
-    k = max(1, int(len(points) * params.ratio))
-    rng = np.random.default_rng(params.seed)
-    centers = points[rng.choice(len(points), size=k, replace=False)]
+def _shares(placed: DataFrame) -> DataFrame:
+    """New cell and share of every child: one cluster each, the rest by the rows beyond the first.
 
-    def nearest(centers: np.ndarray) -> np.ndarray:
-        # |p|^2 is the same for every centre and does not change the minimum.
-        return ((centers**2).sum(axis=1) - 2 * points @ centers.T).argmin(axis=1)
+    The rest is dealt by running totals, so that the shares of a cell add up exactly and none is
+    above the rows of its child.  Cells are numbered by the clusters before them.
+    """
+    sizes = placed.groupBy("_cell", "_share", "_child").agg((F.count(F.lit(1)) - 1).alias("_more"))
+    cell = Window.partitionBy("_cell")
+    so_far = cell.orderBy("_child")
+    upto = so_far.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = sizes.select(
+        "*",
+        F.count(F.lit(1)).over(cell).alias("_parts"),
+        F.sum("_more").over(cell).alias("_all"),
+        F.sum("_more").over(upto).alias("_upto"),
+        F.row_number().over(so_far).alias("_place"),
+    )
 
-    for _ in range(params.max_iter):
-        label = nearest(centers)
-        counts = np.bincount(label, minlength=k)
-        sums = np.zeros_like(centers)
-        np.add.at(sums, label, points)
-        moved = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], centers)
-        if np.allclose(moved, centers):
-            break
-        centers = moved
-    label = nearest(centers)
-    return label, np.sqrt(((points - centers[label]) ** 2).sum(axis=1))
+    def dealt(rows: str) -> Column:
+        return F.expr(
+            "if(_all = 0, 0L, cast(_share - _parts as decimal(18, 0))"
+            f" * cast({rows} as decimal(18, 0)) div cast(_all as decimal(18, 0)))"
+        )
+
+    before, after = dealt("_upto - _more"), dealt("_upto")
+    share = 1 + after - before
+    return counted.select(
+        "_cell",
+        "_child",
+        (F.col("_cell") + F.col("_place") - 1 + before).alias("_new_cell"),
+        share.alias("_new_share"),
+        ((share > 1) & (F.col("_parts") > 1)).alias("_open"),
+    )
 
 
 def distance_to_mean(
     df: DataFrame,
     keys: list[str],
     features: str = "features",
-    params: ClusterParams = ClusterParams(),
 ) -> DataFrame:
     """Distance of each row to the mean vector of its given cluster.
 
-    The means are written once.  When they are small each task gets a copy and the rows stay
-    where they are; otherwise rows and means are joined by cluster, hot clusters spread.
+    The means are written once and joined by cluster, hot clusters spread; small ones are
+    broadcast by Spark itself.
     """
     narrow = df.withColumn(features, vectors.as_doubles(F.col(features)))
     centers = staged(
@@ -180,11 +200,7 @@ def distance_to_mean(
         ),
         "centers",
     )
-    size = centers.agg((F.sum(F.size("center")) * 8).alias("bytes")).first().bytes or 0
-    if size <= params.max_center_bytes:
-        paired = narrow.join(F.broadcast(centers), "cluster")
-    else:
-        paired = skew.salted_join(narrow, centers, "cluster", keys)
+    paired = skew.salted_join(narrow, centers, "cluster", keys)
     return paired.select(
         *df.columns,
         F.round(vectors.euclid_distance(F.col(features), F.col("center")), 6).alias("distance"),

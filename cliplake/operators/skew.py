@@ -10,7 +10,7 @@ SALTS = 16
 
 
 def salted_join(
-    many: DataFrame, few: DataFrame, key: str, row_key: list[str], salts: int = SALTS
+    many: DataFrame, few: DataFrame, key: str | list[str], row_key: list[str], salts: int = SALTS
 ) -> DataFrame:
     """Inner join of many rows per key with one row per key.
 
@@ -21,4 +21,5 @@ def salted_join(
     spread = many.withColumn("_salt", F.pmod(F.xxhash64(*row_key), F.lit(salts)))
     numbers = F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")
     repeated = few.withColumn("_salt", F.explode(numbers))
-    return spread.join(repeated, [key, "_salt"]).drop("_salt")
+    keys = [key] if isinstance(key, str) else key
+    return spread.join(repeated, [*keys, "_salt"]).drop("_salt")

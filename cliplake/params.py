@@ -26,17 +26,15 @@ class QualityParams:
 
 @dataclass(frozen=True)
 class ClusterParams:
-    """K-means settings; the cluster count is max(floor, int(ratio * rows))."""
+    """K-means settings; the cluster count is max(floor, int(ratio * rows)).
+
+    A cell of rows is split into at most ``branches`` cells at a time, in ``passes`` rounds.
+    """
 
     ratio: float = 0.1
     floor: int = 5
-    seed: int = 42
-    max_iter: int = 20
-    # MLlib seeds and holds the centres on the driver.  Above this many centres, or bytes of
-    # them, the clustering runs slice by slice.
-    max_centers: int = 4000
-    max_center_bytes: int = 64 * 1024 * 1024
-    rows_per_slice: int = 10000
+    branches: int = 16
+    passes: int = 4
 
 
 @dataclass(frozen=True)

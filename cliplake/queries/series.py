@@ -74,7 +74,11 @@ def kmeans_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keyframes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keyframe_job.keyframes(views.frames(spark, sf_dir))
+    """The smoothed vectors in millionths, as one line of text."""
+    millionths = F.transform("gaussian_smoothed_features", lambda x: F.floor(x * 1e6 + 0.5))
+    return keyframe_job.keyframes(views.frames(spark, sf_dir)).withColumn(
+        "gaussian_smoothed_features", F.array_join(millionths, ",")
+    )
 
 
 def keyframe_select(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -241,6 +245,18 @@ ORACLES = {
           greatest(5, cast(floor(count(*) * 0.1::double) as bigint)) as clusters from frames""",
         "frames",
     ),
+    "kmeans_assign": with_views(
+        """select video_name, frame_number, cluster, round(distance, 6) as distance
+        from clusters""",
+        "clusters",
+    ),
+    "keyframes": with_views(
+        """select video_name, frame_number, timestamp, cluster,
+          smoothed as gaussian_smoothed_features
+        from (select *, row_number() over (partition by cluster
+          order by distance, video_name, frame_number) as rn from clusters) where rn = 1""",
+        "clusters",
+    ),
     "keyframe_select": with_views(
         "select cluster, video_name, frame_number, timestamp, distance from keyframes_det",
         "keyframes_det",

@@ -43,20 +43,10 @@ def _assigned(spark, params):
     ).collect()
 
 
-def test_kmeans_gives_the_nearest_centre(spark):
+def test_kmeans_gives_the_clusters_asked_for(spark):
     rows = _assigned(spark, ClusterParams())
-    assert len(rows) == 300 and len({r.cluster for r in rows}) <= 30
-    again = _assigned(spark, ClusterParams())
-    assert len({r.cluster for r in again}) == len({r.cluster for r in rows})
-
-
-@pytest.mark.parametrize("limit", [{"max_center_bytes": 100}, {"max_centers": 29}])
-def test_kmeans_in_slices_keeps_every_row(spark, limit):
-    params = ClusterParams(rows_per_slice=40, **limit)
-    rows = _assigned(spark, params)
-    assert len(rows) == 300
-    assert len({(r.video_name, r.frame_number) for r in rows}) == 300
-    assert 10 <= len({r.cluster for r in rows}) <= 30
+    assert len({(r.video_name, r.frame_number) for r in rows}) == len(rows) == 300
+    assert {r.cluster for r in rows} == set(range(30))
     groups = {}
     for r in rows:
         groups.setdefault(r.cluster, []).append(r)
@@ -65,6 +55,24 @@ def test_kmeans_in_slices_keeps_every_row(spark, limit):
         for r in members:
             gap = sum((a - b) ** 2 for a, b in zip(r.features, center)) ** 0.5
             assert r.distance == pytest.approx(gap, abs=0.05)
+    assert sorted(_assigned(spark, ClusterParams())) == sorted(rows)
+
+
+@pytest.mark.parametrize("branches", [2, 7])
+def test_kmeans_on_more_levels(spark, branches):
+    rows = _assigned(spark, ClusterParams(branches=branches, passes=2))
+    assert len(rows) == 300 and {r.cluster for r in rows} == set(range(30))
+
+
+def test_kmeans_with_copies_and_few_rows(spark):
+    keys, schema = ["id"], "id int, features array<double>"
+    # A third of the rows are copies: they are one cluster and keep no other row from its own.
+    points = [(i, [float(i), 1.0] if i < 40 else [7.5, 1.0]) for i in range(60)]
+    rows = cluster.kmeans_assign(spark.createDataFrame(points, schema), keys, "features").collect()
+    assert len(rows) == 60 and len({r.cluster for r in rows if r.id >= 40}) == 1
+    few = spark.createDataFrame(points[:3], schema)
+    assert {r.cluster for r in cluster.kmeans_assign(few, keys, "features").collect()} == {0, 1, 2}
+    assert cluster.kmeans_assign(few.limit(0), keys, "features").count() == 0
 
 
 def test_keyframes(spark):
@@ -95,12 +103,16 @@ def test_keyframe_ties_and_stats(spark):
     ]
 
 
-def test_distance_to_mean_with_and_without_broadcast(spark):
+def test_distance_to_mean(spark):
     points = _points(spark).withColumn("cluster", F.col("frame_number") % 3)
-    keys = ["video_name", "frame_number"]
-    small = cluster.distance_to_mean(points, keys).orderBy(*keys).collect()
-    large = cluster.distance_to_mean(points, keys, params=ClusterParams(max_center_bytes=0))
-    assert large.orderBy(*keys).collect() == small
+    rows = cluster.distance_to_mean(points, ["video_name", "frame_number"]).collect()
+    assert len(rows) == 300
+    for number in range(3):
+        members = [r for r in rows if r.cluster == number]
+        center = [sum(r.features[d] for r in members) / len(members) for d in range(3)]
+        for r in members:
+            gap = sum((a - b) ** 2 for a, b in zip(r.features, center)) ** 0.5
+            assert r.distance == pytest.approx(gap, abs=1e-6)
 
 
 def test_distance_and_padding(spark):
