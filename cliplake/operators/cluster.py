@@ -97,7 +97,7 @@ def _split(
         .groupBy("_cell")
         .agg(F.sort_array(F.collect_list("_mark")).alias("_marks"))
     )
-    seeded = skew.salted_join(cells, scratch.staged(seeds, "seeds"), "_cell", keys)
+    seeded = skew.salted_join(cells, seeds, "_cell", keys)
     centers = _centers(
         seeded.withColumn("_child", F.array_position("_marks", F.col("_mark"))).where("_child > 0"),
         features,
@@ -109,9 +109,8 @@ def _split(
     placed = scratch.staged(
         _nearest(cells, scratch.staged(centers, "centers"), keys, features), "placed"
     )
-    shares = scratch.staged(_shares(placed), "shares")
     return scratch.staged(
-        skew.salted_join(placed, shares, ["_cell", "_child"], keys).select(
+        skew.salted_join(placed, _shares(placed), ["_cell", "_child"], keys).select(
             *[F.col(c) for c in cells.columns if c not in ("_cell", "_share")],
             F.col("_new_cell").alias("_cell"),
             F.col("_new_share").alias("_share"),

@@ -33,8 +33,8 @@ class ClusterParams:
 
     ratio: float = 0.1
     floor: int = 5
-    branches: int = 16
-    passes: int = 4
+    branches: int = 32
+    passes: int = 2
 
 
 @dataclass(frozen=True)

@@ -296,7 +296,7 @@ group by video_name, frame_number
 """
 
 
-def _kmeans_views(levels: int = 6, branches: int = 16, passes: int = 4) -> dict:
+def _kmeans_views(levels: int = 6, branches: int = 32, passes: int = 2) -> dict:
     """The levels of the clustering, one view per step; levels without rows cost nothing."""
     views = {
         "cells_0": (

@@ -58,9 +58,8 @@ def test_kmeans_gives_the_clusters_asked_for(spark):
     assert sorted(_assigned(spark, ClusterParams())) == sorted(rows)
 
 
-@pytest.mark.parametrize("branches", [2, 7])
-def test_kmeans_on_more_levels(spark, branches):
-    rows = _assigned(spark, ClusterParams(branches=branches, passes=2))
+def test_kmeans_on_more_levels(spark):
+    rows = _assigned(spark, ClusterParams(branches=5, passes=1))
     assert len(rows) == 300 and {r.cluster for r in rows} == set(range(30))
 
 
