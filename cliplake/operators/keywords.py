@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cliplake import schemas
 from cliplake.functions import text
+from cliplake.operators import skew
 from cliplake.params import TextParams
+from cliplake.runtime import staged
 
 
 def _ranked_list(df: DataFrame, key: str, order: list, limit: int, item, name: str) -> DataFrame:
@@ -21,76 +23,95 @@ def _ranked_list(df: DataFrame, key: str, order: list, limit: int, item, name: s
     return best.groupBy(key).agg(F.transform(listed, lambda entry: entry["item"]).alias(name))
 
 
-def term_frequencies(transcripts: DataFrame) -> DataFrame:
-    """Terms of each transcript, stop words kept: doc_id, term, length, n, position.
+def term_lists(transcripts: DataFrame) -> DataFrame:
+    """Terms of each transcript, stop words kept: doc_id, length, terms.
 
-    ``length`` is the number of tokens of the transcript, ``n`` the occurrences of the term and
-    ``position`` its first one.
+    ``length`` is the number of tokens, ``terms`` holds each term once with its count ``n`` and the
+    ``position`` of its first occurrence.  Both are null for placeholders and null transcripts.
+
+    Occurrences are counted inside their row: sorted by term and position, the runs of equal terms
+    give all of it, without a shuffle.
     """
-    listed = text.tokens(F.col("transcript"))
-    counts = (
-        transcripts.where(~text.is_placeholder(F.col("transcript")))
-        .select("doc_id", listed.alias("terms"))
-        # The outer form: for the plain one Spark adds a filter that tokenises every text again.
-        .select("doc_id", F.size("terms").alias("length"), F.posexplode_outer("terms"))
-        .where("col is not null")
-        .groupBy("doc_id", F.col("col").alias("term"), "length")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("position"))
+    content = F.when(~text.is_placeholder(F.col("transcript")), F.col("transcript"))
+    occurrences = F.transform(
+        text.tokens(content),
+        lambda token, at: F.struct(token.alias("term"), at.alias("position")),
     )
-    # Always true.  It keeps both aggregates in every plan that uses this table, so that keywords
-    # and TF-IDF share one pass over the texts and one shuffle.
-    return counts.where((F.col("n") > 0) & (F.col("position") >= 0))
+    counted = _bound(F.sort_array(occurrences), _runs)
+    return transcripts.select("doc_id", counted.alias("_counted")).select("doc_id", "_counted.*")
 
 
-def keyword_lists(frequencies: DataFrame, params: TextParams = TextParams()) -> DataFrame:
-    """The most frequent terms without stop words, for transcripts that have any.
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once per row, wherever Spark moves the expression."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
-    Equal frequencies rank by first occurrence.
-    """
-    # Written with the count so that the filter stays above the shared shuffle.
-    weight = F.when(F.col("term").isin(*text.STOP_WORDS), 0).otherwise(F.col("n"))
-    item = F.struct(F.col("term").alias("word"), F.col("n").alias("frequency"))
-    order = [F.desc("n"), F.col("position")]
-    return _ranked_list(
-        frequencies.where(weight > 0), "doc_id", order, params.keywords, item, "keywords"
-    )
 
+def _runs(placed: Column) -> Column:
+    """Length and terms of sorted occurrences."""
+
+    def starts_run(at):
+        return (at == 0) | (F.get(placed, at)["term"] != F.get(placed, at - 1)["term"])
+
+    def terms(starts):
+        def run(start, number):
+            end = F.coalesce(F.get(starts, number + 1), F.size(placed))
+            return F.struct(
+                F.get(placed, start)["term"].alias("term"),
+                (end - start).cast("bigint").alias("n"),
+                F.get(placed, start)["position"].alias("position"),
+            )
+
+        return F.transform(starts, run)
 
-def attach_keywords(transcripts: DataFrame, lists: DataFrame) -> DataFrame:
-    """Add the keywords to the transcripts; an empty array where a transcript has none."""
-    empty = F.array().cast(schemas.KEYWORDS)
-    return transcripts.join(lists, "doc_id", "left").withColumn(
-        "keywords", F.coalesce("keywords", empty)
+    numbers = F.transform(placed, lambda _, at: at)
+    listed = _bound(F.filter(numbers, starts_run), terms)
+    return F.struct(F.size(placed).alias("length"), listed.alias("terms"))
+
+
+def keyword_list(terms: Column, params: TextParams = TextParams()) -> Column:
+    """The most frequent terms without stop words, ties by first occurrence; empty without any."""
+    kept = F.filter(terms, lambda t: ~t["term"].isin(*text.STOP_WORDS))
+    ranked = F.sort_array(
+        F.transform(kept, lambda t: F.struct((-t["n"]).alias("order"), t["position"], t["term"]))
+    )
+    listed = F.transform(
+        F.slice(ranked, 1, params.keywords),
+        lambda r: F.struct(r["term"].alias("word"), (-r["order"]).alias("frequency")),
     )
+    return F.coalesce(listed, F.array()).cast(schemas.KEYWORDS)
 
 
 def keywords(transcripts: DataFrame, params: TextParams = TextParams()) -> DataFrame:
     """doc_id and keywords of all transcripts."""
-    lists = keyword_lists(term_frequencies(transcripts), params)
-    return attach_keywords(transcripts.select("doc_id"), lists)
+    listed = keyword_list(F.col("terms"), params)
+    return term_lists(transcripts).select("doc_id", listed.alias("keywords"))
 
 
-def document_frequencies(frequencies: DataFrame) -> DataFrame:
+def document_frequencies(terms: DataFrame) -> DataFrame:
     """Number of transcripts that hold each term."""
-    return frequencies.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    return terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+
+
+def tfidf(transcripts: DataFrame) -> DataFrame:
+    """Every term of every transcript with tf, idf = ln(N / (df + 1)) and their product."""
+    return scored_terms(staged(term_lists(transcripts), "terms"))
 
 
-def tfidf(transcripts: DataFrame, frequencies: DataFrame | None = None) -> DataFrame:
-    """Every term of every transcript with tf, idf = ln(N / (df + 1)) and their product.
+def scored_terms(lists: DataFrame) -> DataFrame:
+    """TF-IDF from written term lists, which are read for N, for the terms' counts and the terms.
 
-    N counts all transcripts but the bracketed placeholders, empty ones included.
+    N counts all transcripts but the bracketed placeholders, empty ones included.  A term that
+    nearly every transcript holds is spread over several tasks.
     """
-    documents = (
-        transcripts.where(~text.is_placeholder(F.col("transcript")))
-        .agg(F.count(F.lit(1)).cast("double"))
-        .scalar()
+    documents = lists.agg(F.count("length").cast("double")).scalar()
+    terms = lists.select("doc_id", "length", F.explode("terms").alias("_term")).select(
+        "doc_id", "length", F.col("_term.term").alias("term"), F.col("_term.n").alias("n")
     )
-    terms = term_frequencies(transcripts) if frequencies is None else frequencies
     weights = document_frequencies(terms).select(
         "term", F.ln(documents / (F.col("df") + 1)).alias("idf")
     )
     tf = F.col("n") / F.col("length")
-    return terms.join(weights, "term").select(
+    return skew.salted_join(terms, weights, "term", ["doc_id"]).select(
         "doc_id", "term", tf.alias("tf"), "idf", (tf * F.col("idf")).alias("score")
     )
 
@@ -122,8 +143,8 @@ def with_text_facts(transcripts: DataFrame) -> DataFrame:
 def summarize(
     transcripts: DataFrame, lists: DataFrame, params: TextParams = TextParams()
 ) -> DataFrame:
-    """Add keywords, summary sentence and sentiment to transcripts."""
-    facts = attach_keywords(with_text_facts(transcripts), lists)
+    """Add the columns of ``lists`` (doc_id, keywords, ...), summary sentence and sentiment."""
+    facts = with_text_facts(transcripts).join(lists, "doc_id", "left")
     return facts.withColumn(
         "summary",
         text.text_summary(

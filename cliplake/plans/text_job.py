@@ -3,26 +3,28 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from cliplake.operators import keywords
 from cliplake.params import TextParams
+from cliplake.runtime import staged
 
 
 def analyse(transcripts: DataFrame, params: TextParams = TextParams()) -> DataFrame:
     """Transcripts with keywords, top TF-IDF terms, summary and sentiment.
 
-    Texts are tokenised once for keywords and TF-IDF together.  All inputs of the joins are
-    spread by doc_id.  Select the columns you need: without ``transcript`` the texts are not
-    shuffled.
+    Texts are tokenised once; the terms are written and read for keywords and TF-IDF.  Select the
+    columns you need: without ``transcript`` the texts are not shuffled.
     """
-    frequencies = keywords.term_frequencies(transcripts)
-    lists = keywords.keyword_lists(frequencies, params)
-    top_terms = keywords.tfidf_top(keywords.tfidf(transcripts, frequencies), params)
-    summarized = keywords.summarize(transcripts, lists, params)
-    return keywords.attach_top_terms(summarized, top_terms).drop("has_content", "num_words")
+    terms = staged(keywords.term_lists(transcripts), "terms")
+    top_terms = keywords.tfidf_top(keywords.scored_terms(terms), params)
+    listed = keywords.keyword_list(F.col("terms"), params)
+    lists = terms.select("doc_id", listed.alias("keywords"))
+    both = keywords.attach_top_terms(lists, top_terms)
+    return keywords.summarize(transcripts, both, params).drop("has_content", "num_words")
 
 
 def summaries(transcripts: DataFrame, params: TextParams = TextParams()) -> DataFrame:
     """Transcripts with keywords, summary and sentiment, without TF-IDF."""
-    lists = keywords.keyword_lists(keywords.term_frequencies(transcripts), params)
+    lists = keywords.keywords(transcripts, params)
     return keywords.summarize(transcripts, lists, params).drop("has_content", "num_words")

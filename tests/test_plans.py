@@ -31,7 +31,7 @@ def test_no_query_compares_all_pairs(plan_of, name):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-@pytest.mark.parametrize("name", ["cleaned_rows", "dedup_key", "keywords", "tfidf_top"])
+@pytest.mark.parametrize("name", ["cleaned_rows", "dedup_key", "tfidf_top"])
 def test_ranks_are_cut_before_the_shuffle(plan_of, name):
     assert "WindowGroupLimit" in plan_of(name)
 

@@ -92,11 +92,14 @@ def test_summary_and_sentiment(spark):
     assert rows[2].keywords == []
 
 
-def test_texts_are_tokenised_once(spark, tmp_path):
+def test_keywords_need_no_shuffle(spark, tmp_path):
     _frame(spark).write.parquet(str(tmp_path / "t"))
-    transcripts = spark.read.parquet(str(tmp_path / "t"))
-    job = text_job.analyse(transcripts).drop("transcript")
-    job.collect()
-    plan = job._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert plan.count("ReusedExchange") >= 1
-    assert plan.count("Generate posexplode") == 1
+    job = keywords.keywords(spark.read.parquet(str(tmp_path / "t")))
+    assert "Exchange" not in job._jdf.queryExecution().executedPlan().toString()
+
+
+def test_texts_are_read_once_for_tfidf(spark, tmp_path):
+    _frame(spark).write.parquet(str(tmp_path / "t"))
+    scored = keywords.tfidf(spark.read.parquet(str(tmp_path / "t")))
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "transcript" not in plan
