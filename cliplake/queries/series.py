@@ -15,6 +15,7 @@ from cliplake.sources import views
 FRAME_SIZE, FRAME_HOP = 40, 16
 AS_OF = "2024-01-30 23:00:00"
 PADDED = 96
+TRUNCATED = 48
 
 
 def _long(df: DataFrame, keys: list[str], column: str) -> DataFrame:
@@ -56,6 +57,13 @@ def pad_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _long(padded, ["vec_id"], "padded")
 
 
+def truncate_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = views.frames(spark, sf_dir).select(
+        "vec_id", vectors.pad_vector(F.col("features"), TRUNCATED).alias("cut")
+    )
+    return _long(cut, ["vec_id"], "cut")
+
+
 def euclid_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster.distance_to_mean(views.frames(spark, sf_dir), views.FRAME_KEY).select(
         "video_name", "frame_number", "cluster", "distance"
@@ -180,6 +188,7 @@ QUERIES = {
     "gaussian_smooth": _smooth("gaussian_smoothed_features"),
     "standardize": standardize,
     "pad_vector": pad_vector,
+    "truncate_vector": truncate_vector,
     "euclid_distance": euclid_distance,
     "cluster_count": cluster_count,
     "kmeans_assign": kmeans_assign,
@@ -237,6 +246,9 @@ ORACLES = {
     "pad_vector": f"""
         select vec_id, dim, round(coalesce(embedding[dim + 1]::double, 0), 6) + 0::double as value
         from (select vec_id, embedding, unnest(range({PADDED})) as dim from embeddings)""",
+    "truncate_vector": f"""
+        select vec_id, dim, round(embedding[dim + 1]::double, 6) + 0::double as value
+        from (select vec_id, embedding, unnest(range({TRUNCATED})) as dim from embeddings)""",
     "euclid_distance": with_views(
         "select video_name, frame_number, cluster, distance from distances", "distances"
     ),
