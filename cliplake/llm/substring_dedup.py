@@ -5,9 +5,8 @@ document (``compact_windows``) name the shingle that is the minimum of all passa
 
 1. Windows with the same minimum in several documents are kept, all others (nearly all of a clean
    text) go after one partial aggregation.
-2. Within a group, split once more by the shingle ``CONTEXT`` tokens to the left or right of the
-   minimum, the first document (smallest id) leads; every other window is joined to the leader, and
-   the two intervals around the shared minimum are intersected.  Links are linear in the rows.
+2. Within a group the first document (smallest id) leads; every other window is joined to the leader,
+   and the two intervals around the shared minimum are intersected.  Links are linear in the rows.
 3. Links on one diagonal of the same two documents form a chain; the shingles of both sides are
    joined to it in blocks, and the passages of the chain are verified by their Jaccard similarity.
 
@@ -33,15 +32,14 @@ SHINGLE = 5
 PASSAGE = 50
 PERCENT = 80
 FUNCTIONS = 3
-CONTEXT = 20
 #: Shingles of a block, and of a piece of a chain that is verified at once.
 BLOCK, PIECE = 64, 4096
 #: Spans (16 bytes each) that are broadcast to the texts they are cut from.
 BROADCAST_SPANS = 500_000
 
-#: Bits of a packed window: position, left span, right span, left context, right context.
-_SPAN_BITS, _CONTEXT_BITS = 6, 11
-_AT = 2 * (_SPAN_BITS + _CONTEXT_BITS)
+#: Bits of a packed window: position, left span, right span.
+_SPAN_BITS = 6
+_AT = 2 * _SPAN_BITS
 
 WINDOWS = T.StructType(
     [
@@ -69,25 +67,19 @@ def _shingled(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     return values, firsts
 
 
-def _windows(size: int, width: int, functions: int, context: int):
+def _windows(size: int, width: int, functions: int):
     def found(column: pa.Array) -> pa.StructArray:
         values, firsts = _shingled(column, size)
         rows = words.row_of(firsts)
-        mask = np.uint64((1 << _CONTEXT_BITS) - 1)
-        marks = words.mix(values) & mask
         keys, places = [], []
         for function in range(functions):
             factor = np.uint64((2 * function + 1) * 0xA0761D6478BD642F % (1 << 64))
             ranked = words.mix(values * factor) | np.uint64(1)
             ranked[values == WALL] = WALL
             c, left, right = compact_windows(ranked, width)
-            # The mark at a distance counts only where the window reaches it.
-            before = np.where(left >= context, marks[c - np.minimum(context, c)], 0)
-            after = np.where(right >= context, marks[np.minimum(c + context, len(marks) - 1)], 0)
             packed = (c - firsts[rows[c]]).astype(np.uint64) << np.uint64(_AT)
-            packed |= left.astype(np.uint64) << np.uint64(_SPAN_BITS + 2 * _CONTEXT_BITS)
-            packed |= right.astype(np.uint64) << np.uint64(2 * _CONTEXT_BITS)
-            packed |= (before << np.uint64(_CONTEXT_BITS)) | after
+            packed |= left.astype(np.uint64) << np.uint64(_SPAN_BITS)
+            packed |= right.astype(np.uint64)
             keys.append(words.mix(values[c] + np.uint64(function)))
             places.append((c, packed))
         at = np.concatenate([c for c, _ in places])
@@ -223,15 +215,15 @@ def repeated_spans(
     left alone, an empty table gives an empty result.  Other columns are not read.
     """
     width = passage - size + 1
-    if width - 1 >= 1 << _SPAN_BITS or CONTEXT > width // 2:
-        raise ValueError(f"passages of {2 * CONTEXT + size} to {(1 << _SPAN_BITS) + size - 1} words")
+    if not 0 < width <= 1 << _SPAN_BITS:
+        raise ValueError(f"passages of {size} to {(1 << _SPAN_BITS) + size - 1} words")
     scratch = Scratch(docs.sparkSession)
     staged = scratch.staged
     source = docs.select(
         F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")
     ).where("id is not null")
     found = words.per_text(
-        source, "text", WINDOWS, _windows(size, width, functions, CONTEXT), ["id"], 4 << 20
+        source, "text", WINDOWS, _windows(size, width, functions), ["id"], 4 << 20
     )
     pairs = F.explode(F.arrays_zip("found.keys", "found.windows")).alias("w")
     windows = staged(
@@ -248,7 +240,7 @@ def repeated_spans(
         .select("key"),
         "shared",
     )
-    members = staged(_by_context(windows.join(shared, "key")), "members")
+    members = staged(_unpacked(windows.join(shared, "key")), "members")
     lead = staged(_leaders(members), "leaders")
     chains = staged(_chains(members, lead, width), "chains")
     blocks = staged(_shingle_blocks(source, chains, size, staged), "blocks")
@@ -262,29 +254,15 @@ def repeated_spans(
     return scratch.result(_joined(spans).withColumnRenamed("id", id), "spans")
 
 
-def _by_context(windows: DataFrame) -> DataFrame:
-    """One row per side on which the window reaches its context, keyed by minimum and context."""
+def _unpacked(windows: DataFrame) -> DataFrame:
+    """One row per window: its group (the minimum), place and spans."""
     bits = lambda shift, n: F.shiftrightunsigned("window", shift).bitwiseAND((1 << n) - 1)
-    spread = windows.select(
+    return windows.select(
         "id",
-        "key",
         F.shiftrightunsigned("window", _AT).alias("at"),
-        bits(_SPAN_BITS + 2 * _CONTEXT_BITS, _SPAN_BITS).alias("left"),
-        bits(2 * _CONTEXT_BITS, _SPAN_BITS).alias("right"),
-        bits(_CONTEXT_BITS, _CONTEXT_BITS).alias("before"),
-        bits(0, _CONTEXT_BITS).alias("after"),
-    )
-    side = lambda reach, mark, sign: F.when(
-        F.col(reach) >= CONTEXT, F.xxhash64("key", F.lit(sign), mark)
-    )
-    return spread.select(
-        "id",
-        "at",
-        "left",
-        "right",
-        F.explode(
-            F.array_compact(F.array(side("left", "before", -1), side("right", "after", 1)))
-        ).alias("group"),
+        bits(_SPAN_BITS, _SPAN_BITS).alias("left"),
+        bits(0, _SPAN_BITS).alias("right"),
+        F.col("key").alias("group"),
     )
 
 
