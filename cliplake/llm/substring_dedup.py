@@ -5,10 +5,16 @@ document (``compact_windows``) name the shingle that is the minimum of all passa
 
 1. Windows with the same minimum in several documents are kept, all others (nearly all of a clean
    text) go after one partial aggregation.
-2. Within a group the first document (smallest id) leads; every other window is joined to the leader,
-   and the two intervals around the shared minimum are intersected.  Links are linear in the rows.
+2. Within a group the first document (smallest id) leads, and the first window of each content too;
+   every other window is joined to both leaders, and the two intervals around the shared minimum are
+   intersected.  Links are linear in the rows.
 3. Links on one diagonal of the same two documents form a chain; the shingles of both sides are
    joined to it in blocks, and the passages of the chain are verified by their Jaccard similarity.
+4. Windows that verified spans do not cover whole stay open and meet the other contents of their group:
+   all of them in a group of up to ``GROUP``, else those that share a rare shingle.  Of two similar
+   passages of w shingles each has at most k of its own, so whatever the order of the shingles, the
+   first k + 1 of one and of the other have one in common (``_rarest``).  Within the windows of such
+   a shingle the first document leads again, then every pair that is still open is verified.
 
 The passage stays in the document with the smallest id.  Nothing is compared within one document.
 """
@@ -37,9 +43,12 @@ BLOCK, PIECE = 64, 4096
 #: Spans (16 bytes each) that are broadcast to the texts they are cut from.
 BROADCAST_SPANS = 500_000
 
-#: Bits of a packed window: position, left span, right span.
-_SPAN_BITS = 6
-_AT = 2 * _SPAN_BITS
+#: Windows of a group that meet all others of it.
+GROUP = 32
+
+#: Bits of a packed window: position, mark of the content, left span, right span.
+_SPAN_BITS, _MARK_BITS = 6, 22
+_AT = _MARK_BITS + 2 * _SPAN_BITS
 
 WINDOWS = T.StructType(
     [
@@ -71,6 +80,7 @@ def _windows(size: int, width: int, functions: int):
     def found(column: pa.Array) -> pa.StructArray:
         values, firsts = _shingled(column, size)
         rows = words.row_of(firsts)
+        sums = words.prefix_sums(values)
         keys, places = [], []
         for function in range(functions):
             factor = np.uint64((2 * function + 1) * 0xA0761D6478BD642F % (1 << 64))
@@ -80,6 +90,8 @@ def _windows(size: int, width: int, functions: int):
             packed = (c - firsts[rows[c]]).astype(np.uint64) << np.uint64(_AT)
             packed |= left.astype(np.uint64) << np.uint64(_SPAN_BITS)
             packed |= right.astype(np.uint64)
+            content = words.mix(words.range_hashes(sums, c - left, c + right + 1))
+            packed |= (content >> np.uint64(64 - _MARK_BITS)) << np.uint64(2 * _SPAN_BITS)
             keys.append(words.mix(values[c] + np.uint64(function)))
             places.append((c, packed))
         at = np.concatenate([c for c, _ in places])
@@ -237,12 +249,11 @@ def repeated_spans(
         windows.groupBy("key")
         .agg(F.min("id").alias("least"), F.max("id").alias("most"))
         .where("least < most")
-        .select("key"),
+        .select("key", "least"),
         "shared",
     )
     members = staged(_unpacked(windows.join(shared, "key")), "members")
-    lead = staged(_leaders(members), "leaders")
-    chains = staged(_chains(members, lead, width), "chains")
+    chains = staged(_chains(members, width), "chains")
     blocks = staged(_shingle_blocks(source, chains, size, staged), "blocks")
     spans = _requests(chains, width).join(blocks, ["want", "block"])
     spans = (
@@ -251,34 +262,44 @@ def repeated_spans(
         .select(*_GROUP, "own", "block", "cell")
         .mapInArrow(_verified(size, width, percent), SPAN)
     )
+    spans = staged(spans.distinct(), "linked")
+    more = _of_open(source, members, spans, size, width, percent, staged)
+    for found in more:
+        spans = spans.union(found)
     return scratch.result(_joined(spans).withColumnRenamed("id", id), "spans")
 
 
 def _unpacked(windows: DataFrame) -> DataFrame:
-    """One row per window: its group (the minimum), place and spans."""
+    """One row per window: its group (the minimum), place, spans, content and the group's first id."""
     bits = lambda shift, n: F.shiftrightunsigned("window", shift).bitwiseAND((1 << n) - 1)
     return windows.select(
         "id",
         F.shiftrightunsigned("window", _AT).alias("at"),
-        bits(_SPAN_BITS, _SPAN_BITS).alias("left"),
-        bits(0, _SPAN_BITS).alias("right"),
+        bits(_SPAN_BITS, _SPAN_BITS).cast("int").alias("left"),
+        bits(0, _SPAN_BITS).cast("int").alias("right"),
+        bits(2 * _SPAN_BITS, _MARK_BITS).cast("int").alias("mark"),
         F.col("key").alias("group"),
+        "least",
     )
 
 
-def _leaders(members: DataFrame) -> DataFrame:
-    """The first window of every group that holds several documents."""
-    first = F.min(F.struct("id", "at", "left", "right"))
-    groups = members.groupBy("group").agg(first.alias("lead"), F.max("id").alias("most"))
-    return groups.where("lead.id < most").select("group", "lead")
+def _chains(members: DataFrame, width: int) -> DataFrame:
+    """Per (id, source, diagonal) the interval of shingles that links to both leaders cover."""
+    first = F.min(F.struct("id", "at", "left", "right")).alias("lead")
+    by = (["group"], ["group", "left", "right", "mark"])
+    links = [_links(members.join(members.groupBy(*on).agg(first), on), width) for on in by]
+    return (
+        links[0]
+        .union(links[1])
+        .groupBy("id", "source", "diagonal")
+        .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    )
 
 
-def _chains(members: DataFrame, lead: DataFrame, width: int) -> DataFrame:
-    """Per (id, source, diagonal) the interval of shingles that links cover."""
+def _links(led: DataFrame, width: int) -> DataFrame:
     left, right = F.least("left", "lead.left"), F.least("right", "lead.right")
     return (
-        members.join(lead, "group")
-        .where(F.col("id") > F.col("lead.id"))
+        led.where(F.col("id") > F.col("lead.id"))
         .where(left + right + 1 >= width)
         .select(
             "id",
@@ -287,11 +308,211 @@ def _chains(members: DataFrame, lead: DataFrame, width: int) -> DataFrame:
             (F.col("at") - left).alias("lo"),
             (F.col("at") + right).alias("hi"),
         )
-        .groupBy("id", "source", "diagonal")
-        .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     )
 
 
+def _uncovered(windows: DataFrame, spans: DataFrame, size: int) -> DataFrame:
+    """The windows that no joined span of their document covers whole."""
+    row = F.struct(*windows.columns)
+    events = windows.select("id", (F.col("at") - F.col("left")).alias("p"), F.lit(1).alias("kind"), row.alias("w"), F.lit(None).cast("long").alias("end"))
+    ends = _joined(spans).select(
+        "id", F.col("start_word").alias("p"), F.lit(0).alias("kind"),
+        F.lit(None).cast(events.schema["w"].dataType).alias("w"), F.col("end_word").alias("end"),
+    )
+    before = Window.partitionBy("id").orderBy("p", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    reached = events.union(ends).withColumn("reached", F.max("end").over(before)).where("w is not null")
+    open_ = F.col("reached").isNull() | (F.col("reached") < F.col("w.at") + F.col("w.right") + size)
+    return reached.where(open_).select("w.*")
+
+
+def _of_open(
+    source: DataFrame, members: DataFrame, spans: DataFrame, size: int, width: int, percent: int,
+    staged: Callable[[DataFrame, str], DataFrame],
+) -> list[DataFrame]:
+    """Spans of the windows that links to the leaders leave open, with the other windows of their group."""
+    columns = ["group", "id", "at", "left", "right"]
+    later = members.where("id > least").select(*columns)
+    open_ = staged(_uncovered(later, spans, size), "open")
+    if not open_.limit(1).count():
+        return []
+    # Of equal contents the first document stands for all as a source.
+    groups = staged(open_.groupBy("group").agg(F.max("id").alias("most")), "open-groups")
+    firsts = (
+        members.join(groups, "group")
+        .groupBy("group", "left", "right", "mark")
+        .agg(F.min(F.struct("id", "at")).alias("first"), F.max("most").alias("most"))
+        .where("first.id < most")
+        .select("group", "first.id", "first.at", "left", "right")
+    )
+    both = firsts.withColumn("open", F.lit(False)).union(open_.withColumn("open", F.lit(True)))
+    both = both.groupBy(*columns).agg(F.max("open").alias("open"))
+    contents = staged(_contents(source, both, size, staged), "contents")
+    sizes = contents.groupBy("group").agg(F.count("*").alias("size"))
+    thin = staged(contents.drop("shingles").join(sizes, "group"), "open-members")
+    few = thin.where(F.col("size") <= GROUP).withColumn("rare", F.lit(0))
+    large = thin.where(F.col("size") > GROUP)
+    if not large.limit(1).count():
+        return [staged(_compared(_pairs(few, few.where("open")), contents, width, size, percent), "pairs")]
+    kept = contents.join(large.select("group").distinct(), "group")
+    counts = (
+        kept.select("group", F.explode(F.array_distinct("shingles")).alias("rare"))
+        .groupBy("group", "rare")
+        .agg(F.count("*").alias("n"))
+    )
+    # Every place of a window with the number of its group's windows that hold the shingle.
+    places = kept.select(*columns, "open", F.posexplode("shingles").alias("place", "rare"))
+    ranked = (
+        places.join(counts, ["group", "rare"])
+        .groupBy(*columns, "open")
+        .agg(F.sort_array(F.collect_list(F.struct("place", "n", "rare"))).alias("places"))
+    )
+    entries = staged(_rare_entries(ranked, width, percent), "rare")
+    shared = entries.groupBy("group", "rare").agg(F.min(F.struct("id", "at", "left", "right")).alias("lead"), F.max("id").alias("most"))
+    shared = staged(shared.where("lead.id < most"), "rare-leaders")
+    led = entries.where("open").join(shared, ["group", "rare"]).where(F.col("id") > F.col("lead.id"))
+    led = led.select("group", "id", "at", F.col("lead.id").alias("source"), F.col("lead.at").alias("source_at"))
+    first = staged(_compared(led.distinct(), contents, width, size, percent), "led")
+    still = _uncovered(large.where("open").select(*columns), spans.union(first), size)
+    asking = entries.where("open").join(still.select("group", "id", "at"), ["group", "id", "at"], "left_semi")
+    asking = asking.join(shared.select("group", "rare"), ["group", "rare"], "left_semi")
+    names = ["group", "rare", "id", "at", "left", "right"]
+    pairs = _pairs(few.select(*names), few.where("open").select(*names)).union(
+        _pairs(entries.select(*names), asking.select(*names))
+    )
+    return [first, staged(_compared(pairs.distinct(), contents, width, size, percent), "pairs")]
+
+
+def _pairs(known: DataFrame, asking: DataFrame) -> DataFrame:
+    """Windows that ask, each with the windows of earlier documents that share group and shingle."""
+    other = known.select("group", "rare", F.col("id").alias("source"), F.col("at").alias("source_at"))
+    pairs = asking.select("group", "rare", "id", "at").join(other, ["group", "rare"])
+    return pairs.where("id > source").select("group", "id", "at", "source", "source_at")
+
+
+WINDOW = T.ArrayType(
+    T.StructType(
+        [
+            T.StructField("group", T.LongType()),
+            T.StructField("at", T.LongType()),
+            T.StructField("left", T.IntegerType()),
+            T.StructField("right", T.IntegerType()),
+            T.StructField("open", T.BooleanType()),
+            T.StructField("shingles", T.ArrayType(T.LongType())),
+        ]
+    )
+)
+
+
+def _contents(
+    source: DataFrame, both: DataFrame, size: int, staged: Callable[[DataFrame, str], DataFrame]
+) -> DataFrame:
+    """The windows with their shingles, as the 4-byte values that are verified."""
+    lists = staged(
+        both.groupBy("id").agg(F.collect_list(F.struct("group", "at", "left", "right", "open")).alias("windows")),
+        "asked",
+    )
+    texts = words.of_ids(source, lists.select("id")).dropDuplicates(["id"]).join(lists, "id")
+    schema = T.StructType([T.StructField("id", T.LongType()), *WINDOW.elementType.fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi in words.batches_of_rows(batch, batch.column("text"), 4 << 20):
+                part = batch.slice(lo, hi - lo)
+                values, firsts = _shingled(part.column("text"), size)
+                values = (values >> np.uint64(32)).astype(np.int64)
+                windows = part.column("windows")
+                counts = np.diff(windows.offsets.to_numpy())
+                flat = windows.flatten()
+                fields = {f: flat.field(f) for f in ("group", "at", "left", "right", "open")}
+                at, left, right = (fields[f].to_numpy(zero_copy_only=False).astype(np.int64) for f in ("at", "left", "right"))
+                base = np.repeat(firsts[:-1], counts) + at - left
+                for a in range(0, len(at), 10_000):
+                    b = slice(a, a + 10_000)
+                    lengths = (left + right + 1)[b]
+                    ends = np.cumsum(lengths)
+                    inside = np.arange(ends[-1]) - np.repeat(ends - lengths, lengths)
+                    cells = words.list_column(pa.array(values[np.repeat(base[b], lengths) + inside]), lengths)
+                    ids = np.repeat(part.column("id").to_numpy(zero_copy_only=False), counts)[b]
+                    columns = [fields[f].slice(a, len(lengths)) for f in fields]
+                    yield pa.RecordBatch.from_arrays([pa.array(ids), *columns, cells], schema.names)
+
+    return texts.select("id", "text", "windows").mapInArrow(run, schema)
+
+
+def allowed(width: int, percent: int) -> int:
+    """How many shingles of a passage a similar one may lack."""
+    return width - -(-2 * width * percent // (100 + percent))
+
+
+def _rarest(values: np.ndarray, counts: np.ndarray, left: int, width: int, percent: int) -> np.ndarray:
+    """Shingles among the rarest of any passage around ``left``, one more than a similar one may lack."""
+    n = allowed(width, percent) + 1
+    rank = np.empty(len(values), np.int64)
+    rank[np.lexsort((values, counts))] = np.arange(len(values))
+    starts = np.arange(max(0, left - width + 1), min(left, len(values) - width) + 1)
+    grid = rank[starts[:, None] + np.arange(width)]
+    places = np.argpartition(grid, n - 1, axis=1)[:, :n] if n < width else np.tile(np.arange(width), (len(starts), 1))
+    places = np.unique(starts[:, None] + places)
+    return np.unique(values[places[counts[places] > 1]])
+
+
+def _rare_entries(ranked: DataFrame, width: int, percent: int) -> DataFrame:
+    """One row per window and rare shingle of it that other windows of the group hold too."""
+    names = ["group", "id", "at", "left", "right", "open"]
+    schema = T.StructType([*[ranked.schema[n] for n in names], T.StructField("rare", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells = batch.column("places")
+            edges = cells.offsets.to_numpy() - cells.offsets[0].as_py()
+            flat = cells.flatten()
+            counts, values = (flat.field(f).to_numpy(zero_copy_only=False) for f in ("n", "rare"))
+            lefts = batch.column("left").to_numpy(zero_copy_only=False)
+            found = [
+                _rarest(values[a:b], counts[a:b], int(left), width, percent)
+                for a, b, left in zip(edges[:-1], edges[1:], lefts, strict=True)
+            ]
+            rows = np.repeat(np.arange(len(found)), [len(f) for f in found])
+            if len(rows):
+                taken = batch.select(names).take(pa.array(rows))
+                yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(np.concatenate(found))], schema.names)
+
+    return ranked.select(*names, "places").mapInArrow(run, schema)
+
+
+def _compared(pairs: DataFrame, contents: DataFrame, width: int, size: int, percent: int) -> DataFrame:
+    """Spans of the pairs of windows that are similar around their shared minimum."""
+    mine = contents.select("group", "id", "at", "left", F.col("shingles").alias("own"))
+    theirs = contents.select(
+        "group", F.col("id").alias("source"), F.col("at").alias("source_at"),
+        F.col("left").alias("source_left"), F.col("shingles").alias("other"),
+    )
+    both = pairs.join(mine, ["group", "id", "at"]).join(theirs, ["group", "source", "source_at"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [[], [], [], []]
+            ids, sources, at, left, source_left = (
+                batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "source", "at", "left", "source_left")
+            )
+            own, other = batch.column("own"), batch.column("other")
+            for i in range(batch.num_rows):
+                x, y = (c[i].values.to_numpy() for c in (own, other))
+                reach = min(int(left[i]), int(source_left[i]))
+                x, y = x[left[i] - reach :], y[source_left[i] - reach :]
+                n = min(len(x), len(y))
+                starts = similar_starts(x[:n], y[:n], width, percent)
+                if len(starts):
+                    lo = int(at[i]) - reach
+                    cut = np.flatnonzero(np.diff(starts) > 1)
+                    for a, b in zip(starts[np.r_[0, cut + 1]], starts[np.r_[cut, len(starts) - 1]], strict=True):
+                        for column, value in zip(out, (ids[i], sources[i], lo + a, lo + b + width + size - 1), strict=True):
+                            column.append(int(value))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], SPAN.names)
+
+    return both.select("id", "source", "at", "left", "source_left", "own", "other").mapInArrow(run, SPAN)
+
+
 def _shingle_blocks(
     source: DataFrame, chains: DataFrame, size: int, staged: Callable[[DataFrame, str], DataFrame]
 ) -> DataFrame:

@@ -158,6 +158,18 @@ def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
     return mix(out)
 
 
+def prefix_sums(values: np.ndarray) -> np.ndarray:
+    """Sums from which ``range_hashes`` takes the hash of any range of values."""
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * _power(_BASE, len(values)), out=sums[1:])
+    return sums
+
+
+def range_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of ranges: ranges of equal values have equal hashes wherever they start."""
+    return (sums[ends] - sums[starts]) * _power(_INVERSE, len(sums))[starts]
+
+
 def list_column(values: pa.Array, lengths: np.ndarray) -> pa.ListArray:
     """A list column from flat values and the length of each list."""
     offsets = np.zeros(len(lengths) + 1, np.int32)

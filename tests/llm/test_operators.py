@@ -169,6 +169,31 @@ def test_passages_with_a_word_more_or_less(spark):
     assert len(found) >= 39
 
 
+@pytest.mark.parametrize("group", [32, 1])
+def test_frequent_lines_inside_longer_repeats(spark, monkeypatch, group):
+    """An earlier document that holds only a frequent line hides no later repeat around it."""
+    monkeypatch.setattr(substring_dedup, "GROUP", group, raising=False)
+    texts = []
+    for i in range(20):
+        line = text_of(9000 + i, 30 + i, 10**6)
+        passage = " ".join(text_of(9100 + i, 4, 10**6).split() + line.split() + text_of(9200 + i, 14 + i % 8, 10**6).split())
+        alone = lambda seed: text_of(seed, 40, 10**6)
+        # The leader holds the line only, and twice.
+        texts.append(f"{alone(9300 + i)} {line} {alone(9320 + i)} {line} {alone(9340 + i)}")
+        texts += [f"{alone(9400 + 4 * i + k)} {passage if k < 2 else line} {alone(9500 + 4 * i + k)}" for k in range(4)]
+    order = sorted(range(len(texts)), key=lambda i: (i % 5 != 0, i))
+    rows = [(k, texts[i]) for k, i in enumerate(order)]
+    found = {}
+    for r in substring_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        found.setdefault(r["doc_id"], set()).update(range(r["start_word"], r["end_word"]))
+    first = {}
+    for i, text in rows:
+        w = SPACED.findall(lower(text))
+        for k in range(len(w) - 49):
+            if first.setdefault(tuple(w[k : k + 50]), i) != i:
+                assert set(range(k, k + 50)) <= found.get(i, set())
+
+
 def test_passages_of_nothing(spark, empty):
     assert substring_dedup.repeated_spans(empty).count() == 0
     t = text_of(1, 120)
