@@ -359,6 +359,28 @@ def test_license_digests(spark, empty):
     assert licenses.scanned(empty).count() == 0
 
 
+def test_licenses_in_any_wrapping(spark):
+    """A full text is found wherever its lines break, with title and holder lines."""
+    import textwrap
+
+    heads = {
+        "MIT": "The MIT License (MIT)", "ISC": "ISC License", "BSD-2-Clause": "BSD 2-Clause License",
+        "BSD-3-Clause": "BSD 3-Clause License", "Zlib": "zlib License", "0BSD": "BSD Zero Clause License",
+    }
+    known = licenses.KNOWN | getattr(licenses, "MORE", {})
+    rows = []
+    for name, title in heads.items():
+        for width in range(20, 120):
+            wrapped = textwrap.fill(known.get(name, ""), width, break_on_hyphens=False)
+            holder = ["", "Copyright (c) 2020, Someone\n\n", "Copyright 2019-2021 A\n© 2022 B\nAll rights reserved.\n\n"][width % 3]
+            rows.append((name, f"{title}\n\n{holder}{wrapped}" if width % 2 else holder + wrapped))
+    # What only begins like a statement is text.
+    rows.append((None, "copyright holders say\n" + known["MIT"]))
+    df = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(rows)], "doc_id long, text string")
+    got = {r["doc_id"]: r["license_id"] for r in licenses.scanned(df).collect()}
+    assert [got[i] for i in range(len(rows))] == [name for name, _ in rows]
+
+
 def test_mix_meets_targets(spark, empty):
     picks = random.Random(4)
     rows = []
