@@ -1,6 +1,6 @@
 """MinHash near-deduplication with b-bit signatures.
 
-1. Every text becomes the set of its distinct word shingles (hashes of ``HASH_BITS`` bits), its
+1. Every text becomes the set of its distinct word shingles (64-bit hashes), its
    MinHash minima, band keys of the full minima, and a packed signature that keeps the low two
    bits of each minimum.
 2. Texts with equal sets form a class; only the smallest id of a class goes on.
@@ -33,7 +33,6 @@ from .components import components
 
 SHINGLE = 5
 PERCENT = 80
-HASH_BITS = 40
 SLOTS, BANDS, ROWS = 128, 25, 5
 BUCKET = 2048
 #: Estimates below the limit less this (four standard deviations) are not worth a check.
@@ -83,15 +82,12 @@ def shingle_sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
                 joined = words.mix(joined + grid[:, i] + np.uint64(length))
             values.append(joined)
             owners.append(short)
-    low = np.uint64((1 << HASH_BITS) - 1)
-    packed = (np.concatenate(owners).astype(np.uint64) << np.uint64(HASH_BITS)) | (
-        np.concatenate(values) & low
-    )
-    packed = np.unique(packed)
-    edges = np.searchsorted(
-        packed, np.arange(len(bounds), dtype=np.uint64) << np.uint64(HASH_BITS), "left"
-    )
-    return packed & low, edges
+    whole, rows = np.concatenate(values), np.concatenate(owners)
+    order = np.lexsort((whole, rows))
+    whole, rows = whole[order], rows[order]
+    new = np.ones(len(whole), bool)
+    new[1:] = (whole[1:] != whole[:-1]) | (rows[1:] != rows[:-1])
+    return whole[new], np.searchsorted(rows[new], np.arange(len(bounds)), "left")
 
 
 def _minima(values: np.ndarray, firsts: np.ndarray) -> np.ndarray:
@@ -144,13 +140,12 @@ def _signed(size: int):
 
 
 def _as_bytes(size: int):
-    """Full sets as 5 bytes per shingle, in rising order."""
+    """Full sets as 8 bytes per shingle, in rising order."""
 
     def found(column: pa.Array) -> pa.StructArray:
         values, edges = shingle_sets(column, size)
-        raw = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : HASH_BITS // 8].tobytes()
-        width = HASH_BITS // 8
-        cells = [raw[a * width : b * width] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        raw = values.astype("<u8").tobytes()
+        cells = [raw[8 * a : 8 * b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
         return pa.StructArray.from_arrays([pa.array(cells, pa.binary())], ["shingles"])
 
     return found
@@ -320,11 +315,7 @@ def _cross_links(limit: float, percent: int):
 
 def _wide(cell: pa.Scalar) -> np.ndarray:
     """The hashes of a packed set."""
-    width = HASH_BITS // 8
-    raw = np.frombuffer(cell.as_buffer(), np.uint8).reshape(-1, width)
-    out = np.zeros((len(raw), 8), np.uint8)
-    out[:, :width] = raw
-    return out.view(np.uint64).ravel()
+    return np.frombuffer(cell.as_buffer(), "<u8")
 
 
 def _alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:

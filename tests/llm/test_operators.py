@@ -105,6 +105,16 @@ def test_near_duplicates_are_exact(docs, odd_texts, size):
         assert (r["n_shingles"], r["component_id"], r["kept"]) == (len(sets[i]), parent[i], parent[i] == i)
 
 
+def test_shingles_of_a_very_long_text_are_counted_exactly():
+    import numpy as np
+    import pyarrow as pa
+
+    n = 4_000_000
+    texts = ["a b c d e f", " ".join(map(str, range(n))), None, "one"]
+    values, edges = near_dedup.shingle_sets(pa.array(texts), 5)
+    assert np.diff(edges).tolist() == [2, n - 4, 0, 1] and len(values) == n - 1
+
+
 def test_near_duplicates_of_repeats_nulls_and_nothing(spark, empty):
     t = text_of(1, 50)
     rows = [(7, t), (7, t), (9, t), (None, t), (None, None)]
