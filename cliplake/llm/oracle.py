@@ -139,6 +139,52 @@ select doc_id, size, source_size, target,
 from r
 """
 
+OP12 = """
+with usable as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same, cast(list_inner_product(a.v, b.v) as bigint) as score
+  from usable a join usable b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id
+), positive as (
+  select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+)
+select anchor_id, positive_id, vec_id as negative_id, positive_score, score as negative_score,
+  cast(row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) as integer) as rank
+from positive join scored using (anchor_id)
+where not same and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score
+qualify row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) <= 5
+"""
+
+OP13 = rf"""
+with d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_ALNUM}') as w from documents
+), sized as (select doc_id, w, cast(len(w) as bigint) as n from d where len(w) > 0),
+total as (select count(*) as docs, sum(n)::bigint as terms from sized),
+b as (
+  select item_id, t, count(*) as c from (
+    select item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_ALNUM}')) as t from benchmark
+  ) group by item_id, t
+), tf as (
+  select doc_id, n, t, count(*) as tf from (select doc_id, n, unnest(w) as t from sized)
+  where t in (select t from b) group by doc_id, n, t
+), df as (select t, count(*) as df from tf group by t),
+impact as (
+  select doc_id, t, cast(floor(1000 * ln((2 * docs + 2)::double / (2 * df + 1)::double)) as bigint)
+    * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms))) as x
+  from tf join df using (t) cross join total
+), scored as (
+  select item_id, doc_id, cast(sum(c * x) as bigint) as score from b join impact using (t) group by item_id, doc_id
+)
+select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as integer) as rank, doc_id, score
+from scored where score > 0
+qualify row_number() over (partition by item_id order by score desc, doc_id) <= 20
+"""
+
 ORACLES = {
     "op3_warc_fixity": OP3,
     "op4_url_filters": OP4,
@@ -146,4 +192,6 @@ ORACLES = {
     "op7_benchmark_decontamination": OP7,
     "op8_minhash_dedup": OP8,
     "op9_source_mixing": OP9,
+    "op12_hard_negatives": OP12,
+    "op13_ranked_search": OP13,
 }

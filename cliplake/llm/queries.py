@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    bpe,
     decontaminate,
     fixity,
+    hard_negatives,
+    lexical_search,
     licenses,
     mixing,
     near_dedup,
@@ -22,6 +25,8 @@ from . import (
 
 #: Public vocabulary of the token counts; a path on the driver.
 VOCABULARY = os.environ.get("UNIGRAM_VOCABULARY", "/opt/tokenizers/piece_bpe_32k.model")
+#: Public byte-level BPE model; a path on the driver.
+BPE_MODEL = os.environ.get("BYTE_BPE_MODEL", "/opt/tokenizers/byte_bpe_50k.json")
 URL_RULES = [
     ("com", "/", "allow"),
     ("example.com", "/en/", "block"),
@@ -134,6 +139,36 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", *found.columns[1:9])
 
 
+def op11_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids of every document, and of the text that the ids spell."""
+    model = bpe.shared_model(spark, BPE_MODEL)
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), model, keep=["doc_id"])
+    decoded = bpe.decode(encoded.select("row.doc_id", "found.ids"), model)
+    ids = F.col("row.ids")
+    return decoded.select(
+        "row.doc_id",
+        F.size(ids).cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(ids.cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("found.text").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of other labels that score close below the positives of every hundredth vector.
+
+    Every seventh row carries a wrong label.
+    """
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0, label=label)
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest-scoring documents of every benchmark item."""
+    found = lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -147,5 +182,8 @@ QUERIES = {
         op8_minhash_dedup,
         op9_source_mixing,
         op10_quality_rules,
+        op11_bpe_roundtrip,
+        op12_hard_negatives,
+        op13_ranked_search,
     )
 }
