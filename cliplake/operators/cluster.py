@@ -1,9 +1,7 @@
-"""Standardising, K-means and keyframe selection over feature vectors."""
+"""Standardising and keyframe selection over feature vectors; K-means is in ``kmeans``."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -13,7 +11,7 @@ from pyspark.sql import functions as F
 from cliplake.functions import vectors
 from cliplake.operators import ordered, skew
 from cliplake.params import ClusterParams
-from cliplake.runtime import Scratch, staged
+from cliplake.runtime import staged
 
 
 def standardize(df: DataFrame, features: str, output: str = "scaled_features") -> DataFrame:
@@ -30,158 +28,6 @@ def cluster_count(rows: Column, params: ClusterParams = ClusterParams()) -> Colu
     return F.greatest(F.lit(params.floor).cast("bigint"), share)
 
 
-def kmeans_assign(
-    df: DataFrame,
-    keys: list[str],
-    features: str = "scaled_features",
-    params: ClusterParams = ClusterParams(),
-) -> DataFrame:
-    """Assign each row to a K-means cluster: the input plus ``cluster`` and ``distance``.
-
-    The cluster count grows with the rows, so comparing every row with every centre would grow
-    with their square.  The table is one cell at first.  Level by level, every cell that still has
-    more than one cluster to give is split by K-means into at most ``branches`` cells, which get
-    shares of its clusters by their rows; a cell with a share of one is a cluster.  A row thus
-    meets only the few centres of its own cell, at any size of the table.
-
-    Shares add up to the cluster count (or to the rows, if fewer).  Clusters are numbered from 0.
-    Rows whose vectors cannot be told apart stay one cluster, whatever its share.
-    """
-    counted = df.agg(F.count(F.lit(1)).alias("rows"))
-    share = counted.select(F.least(cluster_count(F.col("rows"), params), "rows")).first()[0]
-    if not share:
-        return df.select(
-            "*", F.lit(0).cast("bigint").alias("cluster"), F.lit(0.0).alias("distance")
-        )
-    scratch = Scratch(df.sparkSession)
-    facts = {
-        "_cell": F.lit(0).cast("bigint"),
-        "_share": F.lit(share).cast("bigint"),
-        "_mark": _mark(F.col(features)),
-    }
-    cells = scratch.staged(df.withColumns(facts), "cells")
-    done = []
-    while True:
-        split = _split(cells, keys, features, params, scratch)
-        done.append(
-            split.where("not _open").select(
-                *df.columns, F.col("_cell").alias("cluster"), F.col("_distance").alias("distance")
-            )
-        )
-        cells = split.where("_open").drop("_open", "_distance")
-        if not cells.limit(1).count():
-            return scratch.result(reduce(DataFrame.unionAll, done), "clusters")
-
-
-def _mark(features: Column) -> Column:
-    """Digest of a vector to four decimals: equal vectors have one mark, others a random order."""
-    return F.md5(F.array_join(F.transform(features, lambda x: F.floor(x * 1e4)), ","))
-
-
-def _rounded(value: Column) -> Column:
-    """To nine decimals, so that sums taken in another order give the same centres and ties."""
-    return F.floor(value * 1e9 + 0.5) / 1e9
-
-
-def _split(
-    cells: DataFrame, keys: list[str], features: str, params: ClusterParams, scratch: Scratch
-) -> DataFrame:
-    """One level: rows with the new ``_cell`` and ``_share``, ``_distance`` and ``_open``."""
-    first = Window.partitionBy("_cell").orderBy("_mark")
-    seeds = (
-        cells.select("_cell", "_share", "_mark")
-        .distinct()
-        .withColumn("_rank", F.row_number().over(first))
-        .where(F.col("_rank") <= params.branches)
-        .where("_rank <= _share")
-        .groupBy("_cell")
-        .agg(F.sort_array(F.collect_list("_mark")).alias("_marks"))
-    )
-    seeded = skew.salted_join(cells, seeds, "_cell", keys)
-    centers = _centers(
-        seeded.withColumn("_child", F.array_position("_marks", F.col("_mark"))).where("_child > 0"),
-        features,
-    )
-    for _ in range(params.passes):
-        centers = _centers(
-            _nearest(cells, scratch.staged(centers, "centers"), keys, features), features
-        )
-    placed = scratch.staged(
-        _nearest(cells, scratch.staged(centers, "centers"), keys, features), "placed"
-    )
-    return scratch.staged(
-        skew.salted_join(placed, _shares(placed), ["_cell", "_child"], keys).select(
-            *[F.col(c) for c in cells.columns if c not in ("_cell", "_share")],
-            F.col("_new_cell").alias("_cell"),
-            F.col("_new_share").alias("_share"),
-            "_distance",
-            "_open",
-        ),
-        "cells",
-    )
-
-
-def _centers(rows: DataFrame, features: str) -> DataFrame:
-    """Mean vectors of the children of each cell, as one short array per cell."""
-    means = rows.groupBy("_cell", "_child").agg(
-        vector_to_array(Summarizer.mean(array_to_vector(F.col(features)))).alias("_mean")
-    )
-    center = F.struct("_child", F.transform("_mean", _rounded).alias("center"))
-    return means.groupBy("_cell").agg(F.sort_array(F.collect_list(center)).alias("_centers"))
-
-
-def _nearest(cells: DataFrame, centers: DataFrame, keys: list[str], features: str) -> DataFrame:
-    """Rows with the ``_child`` whose centre is nearest, the first of equals, and its distance."""
-    gaps = F.transform(
-        "_centers",
-        lambda c: F.struct(
-            _rounded(vectors.euclid_distance(F.col(features), c["center"])).alias("gap"),
-            c["_child"].alias("child"),
-        ),
-    )
-    best = skew.salted_join(cells, centers, "_cell", keys).withColumn("_best", F.array_min(gaps))
-    return best.select(
-        *cells.columns,
-        F.col("_best.child").alias("_child"),
-        F.col("_best.gap").alias("_distance"),
-    )
-
-
-def _shares(placed: DataFrame) -> DataFrame:
-    """New cell and share of every child: one cluster each, the rest by the rows beyond the first.
-
-    The rest is dealt by running totals, so that the shares of a cell add up exactly and none is
-    above the rows of its child.  Cells are numbered by the clusters before them.
-    """
-    sizes = placed.groupBy("_cell", "_share", "_child").agg((F.count(F.lit(1)) - 1).alias("_more"))
-    cell = Window.partitionBy("_cell")
-    so_far = cell.orderBy("_child")
-    upto = so_far.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    counted = sizes.select(
-        "*",
-        F.count(F.lit(1)).over(cell).alias("_parts"),
-        F.sum("_more").over(cell).alias("_all"),
-        F.sum("_more").over(upto).alias("_upto"),
-        F.row_number().over(so_far).alias("_place"),
-    )
-
-    def dealt(rows: str) -> Column:
-        return F.expr(
-            "if(_all = 0, 0L, cast(_share - _parts as decimal(18, 0))"
-            f" * cast({rows} as decimal(18, 0)) div cast(_all as decimal(18, 0)))"
-        )
-
-    before, after = dealt("_upto - _more"), dealt("_upto")
-    share = 1 + after - before
-    return counted.select(
-        "_cell",
-        "_child",
-        (F.col("_cell") + F.col("_place") - 1 + before).alias("_new_cell"),
-        share.alias("_new_share"),
-        ((share > 1) & (F.col("_parts") > 1)).alias("_open"),
-    )
-
-
 def distance_to_mean(
     df: DataFrame,
     keys: list[str],

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from cliplake.params import ROWS_PER_SLICE
+from cliplake.runtime import Scratch
 
 
 def slice_of(position: Column, rows: int = ROWS_PER_SLICE) -> Column:
@@ -156,3 +157,23 @@ def with_previous_row(
     return df.withColumn("_slice", F.explode(targets)).withColumn(
         "_copied", F.col("_slice") != own
     )
+
+
+def with_position(df: DataFrame, order: list[str | Column], name: str, scratch: Scratch) -> DataFrame:
+    """Number all rows from 0 in a global order, without one task that sees them all.
+
+    Rows are dealt to tasks by ranges of the order and sorted there; the row numbers of a task start
+    behind the rows of all tasks before it, of which only the counts reach the driver.  Equal rows
+    get different numbers, in any order; give a total order for numbers that do not change.
+    """
+    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    # The upper bits of this number are the task's, the lower count its rows.
+    placed = scratch.staged(dealt.withColumn(name, F.monotonically_increasing_id()), "placed")
+    task = F.shiftright(name, 33)
+    counts = placed.groupBy(task.alias("task")).count().orderBy("task").collect()
+    starts, before = [0] * (1 + max((number for number, _ in counts), default=0)), 0
+    for number, rows in counts:
+        starts[number] = before - (number << 33)
+        before += rows
+    shifts = F.array(*[F.lit(start).cast("bigint") for start in starts])
+    return placed.withColumn(name, F.col(name) + F.get(shifts, task.cast("int")))

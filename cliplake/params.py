@@ -26,15 +26,12 @@ class QualityParams:
 
 @dataclass(frozen=True)
 class ClusterParams:
-    """K-means settings; the cluster count is max(floor, int(ratio * rows)).
-
-    A cell of rows is split into at most ``branches`` cells at a time, in ``passes`` rounds.
-    """
+    """K-means settings; the cluster count is max(floor, int(ratio * rows)), and there are at most
+    ``passes`` passes."""
 
     ratio: float = 0.1
     floor: int = 5
-    branches: int = 32
-    passes: int = 2
+    passes: int = 20
 
 
 @dataclass(frozen=True)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cliplake.functions import images
-from cliplake.operators import cluster, series
+from cliplake.operators import cluster, kmeans, series
 from cliplake.params import ClusterParams
 from cliplake.runtime import staged
 
@@ -31,7 +31,7 @@ def assign_clusters(
     )
     # Scaling and clustering read the smoothed rows many times.
     scaled = cluster.standardize(staged(smoothed, "smoothed"), "gaussian_smoothed_features")
-    return cluster.kmeans_assign(scaled, ["video_name", "frame_number"], params=params)
+    return kmeans.assign(scaled, ["video_name", "frame_number"], params=params)
 
 
 def keyframes(

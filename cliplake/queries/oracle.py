@@ -296,71 +296,34 @@ group by video_name, frame_number
 """
 
 
-def _kmeans_views(levels: int = 6, branches: int = 32, passes: int = 2) -> dict:
-    """The levels of the clustering, one view per step; levels without rows cost nothing."""
+def _kmeans_views(scaled: str, prefix: str = "", passes: int = 20) -> dict:
+    """Plain K-means passes over all centres of a view of scaled vectors; passes that change
+    nothing more cost little."""
     views = {
-        "cells_0": (
-            """select *, 0::bigint as cell, (select least(count(*),
-                greatest(5, floor(count(*) * 0.1::double)::bigint)) from scaled) as share
-            from scaled""",
-            ("scaled",),
+        f"{prefix}centers_0": (
+            f"""select row_number() over (order by mark) - 1 as cluster, center
+            from (select mark, arg_min(vec, (video_name, frame_number)) as center from {scaled} group by mark)
+            qualify cluster < (select greatest(5, floor(count(*) * 0.1::double)::bigint) from {scaled})""",
+            (scaled,),
         )
     }
-    means = """select cell, child, list(x order by dim) as center
-        from (select cell, child, dim, floor(avg(vec[dim + 1]) * 1e9 + 0.5) / 1e9 as x
-          from (select cell, child, vec, unnest(range(len(vec))) as dim from ({rows}))
-          group by cell, child, dim) group by cell, child"""
-    for n in range(levels):
-        views[f"seeds_{n}"] = (
-            f"""select cell, mark, child from (select *, row_number() over
-                (partition by cell order by mark) as child
-              from (select distinct cell, share, mark from cells_{n}))
-            where child <= {branches} and child <= share""",
-            (f"cells_{n}",),
+    for n in range(passes + 1):
+        views[f"{prefix}placed_{n}"] = (
+            f"""select * from (select r.*, cluster,
+                floor(list_distance(vec, center) * 1e9 + 0.5) / 1e9 as distance
+              from {scaled} r cross join {prefix}centers_{n})
+            qualify row_number() over (partition by video_name, frame_number order by distance, cluster) = 1""",
+            (scaled, f"{prefix}centers_{n}"),
         )
-        seeded = f"select c.cell, child, vec from cells_{n} c join seeds_{n} s on c.cell = s.cell and c.mark = s.mark"
-        views[f"centers_{n}_0"] = (means.format(rows=seeded), (f"seeds_{n}",))
-        for step in range(passes + 1):
-            views[f"placed_{n}_{step}"] = (
-                f"""select * exclude (rn) from (select *, row_number() over
-                    (partition by video_name, frame_number order by distance, child) as rn
-                  from (select r.*, child, floor(list_distance(vec, center) * 1e9 + 0.5) / 1e9
-                      as distance
-                    from cells_{n} r join centers_{n}_{step} c on r.cell = c.cell)) where rn = 1""",
-                (f"cells_{n}", f"centers_{n}_{step}"),
-            )
-            views[f"centers_{n}_{step + 1}"] = (
-                means.format(rows=f"select * from placed_{n}_{step}"),
-                (f"placed_{n}_{step}",),
-            )
-        last = f"placed_{n}_{passes}"
-        views[f"shares_{n}"] = (
-            f"""select *, share - parts as rest, cell + place - 1 + case when total = 0 then 0
-                else (share - parts) * (upto - more) // total end as new_cell,
-              1 + case when total = 0 then 0 else (share - parts) * upto // total
-                - (share - parts) * (upto - more) // total end as new_share
-            from (select *, count(*) over (partition by cell) as parts,
-                sum(more) over (partition by cell) as total,
-                sum(more) over (partition by cell order by child) as upto,
-                row_number() over (partition by cell order by child) as place
-              from (select cell, share, child, count(*) - 1 as more from {last}
-                group by cell, share, child))""",
-            (last,),
+        views[f"{prefix}centers_{n + 1}"] = (
+            f"""select cluster, coalesce(mean, center) as center from {prefix}centers_{n}
+            left join (select cluster, list(x order by dim) as mean
+              from (select cluster, dim, floor(avg(vec[dim + 1]) * 1e9 + 0.5) / 1e9 as x
+                from (select cluster, vec, unnest(range(len(vec))) as dim from {prefix}placed_{n})
+                group by cluster, dim) group by cluster) using (cluster)""",
+            (f"{prefix}placed_{n}",),
         )
-        both = f"{last} p join shares_{n} s on p.cell = s.cell and p.child = s.child"
-        views[f"cells_{n + 1}"] = (
-            f"""select p.* exclude (cell, share, child, distance), new_cell::bigint as cell,
-              new_share::bigint as share from {both} where new_share > 1 and parts > 1""",
-            (last, f"shares_{n}"),
-        )
-        views[f"done_{n}"] = (
-            f"""select video_name, frame_number, timestamp, smoothed, new_cell::bigint as cluster,
-              distance from {both} where not (new_share > 1 and parts > 1)""",
-            (last, f"shares_{n}"),
-        )
-    names = [f"done_{n}" for n in range(levels)]
-    union = " union all ".join(f"select * from {name}" for name in names)
-    return views | {"clusters": (union, tuple(names))}
+    return views | {f"{prefix}clusters": (f"select * from {prefix}placed_{passes}", (f"{prefix}placed_{passes}",))}
 
 
 PIXELS = """
@@ -496,7 +459,7 @@ VIEWS = {
     "keyframes_det": (KEYFRAMES_DET, ("distances",)),
     "smoothed": (SMOOTHED, ("frames_long",)),
     "scaled": (SCALED, ("smoothed",)),
-    **_kmeans_views(),
+    **_kmeans_views("scaled"),
     "stats": (STATS, ("keyframes_det",)),
     "video_docs": (DOCUMENTS, ("keyframes_det", "text_results")),
     "final_summaries": (FINAL_SUMMARIES, ("keyframes_det", "text_results")),

@@ -1,11 +1,13 @@
 import random
 from datetime import datetime
 
+import numpy as np
 import pytest
 from cliplake.functions import vectors
-from cliplake.operators import cluster, documents, report
+from cliplake.operators import cluster, documents, kmeans, ordered, report
 from cliplake.params import ClusterParams
 from cliplake.plans import keyframe_job
+from cliplake.runtime import Scratch
 from cliplake.sinks import tables
 from pyspark.sql import functions as F
 
@@ -38,7 +40,7 @@ def test_cluster_count(spark):
 
 
 def _assigned(spark, params):
-    return cluster.kmeans_assign(
+    return kmeans.assign(
         _points(spark), ["video_name", "frame_number"], "features", params
     ).collect()
 
@@ -58,20 +60,97 @@ def test_kmeans_gives_the_clusters_asked_for(spark):
     assert sorted(_assigned(spark, ClusterParams())) == sorted(rows)
 
 
-def test_kmeans_on_more_levels(spark):
-    rows = _assigned(spark, ClusterParams(branches=5, passes=1))
-    assert len(rows) == 300 and {r.cluster for r in rows} == set(range(30))
+def _plain(vectors, passes=20):
+    """Lloyd passes without pruning, seeded as the operator."""
+    import hashlib
+
+    marks = [hashlib.md5(",".join(str(int(np.floor(x * 1e4))) for x in v).encode()).hexdigest() for v in vectors]
+    seeds = sorted({mark: i for i, mark in reversed(list(enumerate(marks)))}.items())
+    count = max(5, int(0.1 * len(vectors)))
+    centers = vectors[[i for _, i in seeds[:count]]]
+    for _ in range(passes + 1):
+        gaps = kmeans.rounded(np.sqrt(((vectors[:, None] - centers[None]) ** 2).sum(axis=2)))
+        nearest = gaps.argmin(axis=1)
+        moved = centers.copy()
+        for c in set(nearest.tolist()):
+            moved[c] = kmeans.rounded(vectors[nearest == c].mean(axis=0))
+        if (moved == centers).all():
+            break
+        centers = moved
+    return nearest, gaps.min(axis=1)
+
+
+@pytest.mark.parametrize("copies, held", [(False, 0), (True, 0), (True, 1 << 20)])
+def test_kmeans_equals_plain_passes(spark, monkeypatch, copies, held):
+    """Small blocks and groups in many coarse cells, streamed and broadcast: pruning changes nothing."""
+    monkeypatch.setattr(kmeans, "HELD", held)
+    monkeypatch.setattr(kmeans, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(kmeans, "GROUP_CENTERS", 4)
+    monkeypatch.setattr(kmeans, "ROWS_PER_CELL", 40)
+    pick = np.random.default_rng(3)
+    vectors = pick.normal(size=(12, 4))[np.arange(600) % 12] * 10 + pick.normal(size=(600, 4))
+    if copies:
+        vectors[::3] = vectors[0]
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    assigned = kmeans.assign(spark.createDataFrame(rows, "id long, features array<double>"), ["id"], "features")
+    found = {r.id: r for r in assigned.collect()}
+    nearest, gaps = _plain(vectors)
+    assert [found[i].cluster for i in range(600)] == nearest.tolist()
+    assert [found[i].distance for i in range(600)] == pytest.approx(gaps.tolist(), abs=1e-8)
+
+
+def test_kmeans_prunes(spark, monkeypatch):
+    """Far clusters: a block meets its own neighbourhood of centres only."""
+    monkeypatch.setattr(kmeans, "BLOCK_ROWS", 50)
+    monkeypatch.setattr(kmeans, "GROUP_CENTERS", 5)
+    monkeypatch.setattr(kmeans, "ROWS_PER_CELL", 50)
+    monkeypatch.setattr(kmeans, "HELD", 0)
+    met = []
+    near = kmeans.candidates
+
+    def counted(blocks, groups, pairs, few):
+        found = near(blocks, groups, pairs, few)
+        met.append((found.count(), blocks.count() * groups.count()))
+        return found
+
+    monkeypatch.setattr(kmeans, "candidates", counted)
+    pick = np.random.default_rng(5)
+    vectors = pick.normal(size=(20, 3))[np.arange(1000) % 20] * 1000 + pick.normal(size=(1000, 3))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "id long, features array<double>")
+    assert kmeans.assign(rows, ["id"], "features").count() == 1000
+    assert met and all(some < every / 3 for some, every in met[1:])
+
+
+def test_kmeans_inertia(spark):
+    """Within one percent of the library's K-means with the same number of clusters."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    pick = np.random.default_rng(7)
+    vectors = pick.normal(size=(2000, 16))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "id long, features array<double>")
+    own = kmeans.assign(rows, ["id"], "features").agg(F.sum(F.col("distance") ** 2)).first()[0]
+    fit = KMeans(k=200, seed=42, maxIter=20).fit(rows.select(array_to_vector("features").alias("features")))
+    assert own <= 1.01 * fit.summary.trainingCost
+
+
+def test_positions(spark):
+    rows = spark.range(0, 5000, numPartitions=7).select((F.col("id") * 7919 % 5003).alias("x"))
+    placed = ordered.with_position(rows, ["x"], "place", Scratch(spark)).collect()
+    assert [r.x for r in sorted(placed, key=lambda r: r.place)] == sorted(r.x for r in placed)
+    assert sorted(r.place for r in placed) == list(range(5000))
+    assert ordered.with_position(rows.limit(0), ["x"], "place", Scratch(spark)).collect() == []
 
 
 def test_kmeans_with_copies_and_few_rows(spark):
     keys, schema = ["id"], "id int, features array<double>"
     # A third of the rows are copies: they are one cluster and keep no other row from its own.
     points = [(i, [float(i), 1.0] if i < 40 else [7.5, 1.0]) for i in range(60)]
-    rows = cluster.kmeans_assign(spark.createDataFrame(points, schema), keys, "features").collect()
+    rows = kmeans.assign(spark.createDataFrame(points, schema), keys, "features").collect()
     assert len(rows) == 60 and len({r.cluster for r in rows if r.id >= 40}) == 1
     few = spark.createDataFrame(points[:3], schema)
-    assert {r.cluster for r in cluster.kmeans_assign(few, keys, "features").collect()} == {0, 1, 2}
-    assert cluster.kmeans_assign(few.limit(0), keys, "features").count() == 0
+    assert {r.cluster for r in kmeans.assign(few, keys, "features").collect()} == {0, 1, 2}
+    assert kmeans.assign(few.limit(0), keys, "features").count() == 0
 
 
 def test_keyframes(spark):
