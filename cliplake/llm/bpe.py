@@ -36,6 +36,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: Words and pairs that a task remembers before it starts anew.
 REMEMBERED_WORDS = 400_000
 REMEMBERED_PAIRS = 4_000_000
+#: Longest word, in bytes, that is merged together with others.
+SHORT = 64
 #: Longest text, in characters, whose words are listed at once.
 LISTED = 1 << 22
 NEVER = np.iinfo(np.int32).max
@@ -149,8 +151,54 @@ class Merges:
                 good[some[bad]] = False
         return good
 
+    def ranked(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank of the merge of each pair, NEVER where there is none."""
+        key = a * self.size + b
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.ranks[at], NEVER)
+
+    def exact_all(self, tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Exact merging of many short words at once: in each round every word makes its next merge.
+
+        Takes and gives flat tokens and the size of each word.
+        """
+        tokens, sizes = tokens.astype(np.int64), sizes.copy()
+        if not len(self.keys) or not len(tokens):
+            return tokens.astype(np.int32), sizes
+        word = np.repeat(np.arange(len(sizes)), sizes)
+        done_words, done_tokens = [], []
+        ranks = np.full(len(tokens), NEVER, np.int32)
+        inner = np.flatnonzero(word[1:] == word[:-1])
+        ranks[inner] = self.ranked(tokens[inner], tokens[inner + 1])
+        while len(tokens):
+            starts = np.flatnonzero(np.diff(word, prepend=-1))
+            least = np.repeat(np.minimum.reduceat(ranks, starts), np.diff(starts, append=len(word)))
+            open_ = least < NEVER
+            if not open_.all():
+                done_words.append(word[~open_])
+                done_tokens.append(tokens[~open_])
+                tokens, word, ranks, least = tokens[open_], word[open_], ranks[open_], least[open_]
+                if not len(tokens):
+                    break
+            lowest = np.flatnonzero(ranks == least)
+            left = lowest[np.diff(word[lowest], prepend=-1) != 0]
+            tokens[left] = self.merged[ranks[left]]
+            # The right part goes; the pairs of the merged token are looked up again.
+            ranks[left] = NEVER
+            kept = np.ones(len(tokens), bool)
+            kept[left + 1] = False
+            left = (np.cumsum(kept) - 1)[left]
+            tokens, word, ranks = tokens[kept], word[kept], ranks[kept]
+            for at in (left - 1, left):
+                at = at[(at >= 0) & (at + 1 < len(word))]
+                at = at[word[at] == word[at + 1]]
+                ranks[at] = self.ranked(tokens[at], tokens[at + 1])
+        word, tokens = np.concatenate(done_words), np.concatenate(done_tokens)
+        order = np.argsort(word, kind="stable")
+        return tokens[order].astype(np.int32), np.bincount(word, minlength=len(sizes))
+
     def exact(self, tokens: list[int]) -> list[int]:
-        """Merge the lowest rank, then the leftmost pair, until none is left."""
+        """The same for one word of any length: the lowest rank, then the leftmost pair, from a heap."""
         n, size, rank_of = len(tokens), self.size, self.table
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = []
@@ -322,23 +370,32 @@ class Encoder:
         failing = np.unique(word[bad])
         self.proposed += len(new)
         self.failed += len(failing)
-        sizes = np.diff(firsts)
-        single = self.model.single
-        repaired = {
-            w: np.array(self.merges.exact(single[data[edges[w] : edges[w + 1]]].tolist()), np.int32)
-            for w in failing.tolist()
-        }
-        if repaired:
-            pieces, at = [], 0
-            for w, ids in repaired.items():
-                pieces += [tokens[at : firsts[w]], ids]
-                at, sizes[w] = firsts[w + 1], len(ids)
-            tokens = np.concatenate([*pieces, tokens[at:]])
+        tokens, sizes = self._repaired(tokens, np.diff(firsts), failing, data, edges)
         base = len(self.known)
         self.known.update(zip(new, range(base, base + len(new)), strict=True))
         self.bounds = np.concatenate((self.bounds, self.bounds[-1] + np.cumsum(sizes)))
         self.flat = np.concatenate((self.flat, tokens))
 
+    def _repaired(self, tokens, sizes, failing, data, edges) -> tuple[np.ndarray, np.ndarray]:
+        """Put the exact tokens of the failing words in place of their proposals."""
+        long = np.diff(edges)[failing] > SHORT
+        short = failing[~long]
+        lengths = edges[short + 1] - edges[short]
+        inside = np.repeat(edges[short] - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
+        found, counts = self.merges.exact_all(self.model.single[data[inside]], lengths)
+        right = np.ones(len(sizes), bool)
+        right[failing] = False
+        flat = [tokens[np.repeat(right, sizes)], found]
+        owner = [np.repeat(np.flatnonzero(right), sizes[right]), np.repeat(short, counts)]
+        sizes = sizes.copy()
+        sizes[short] = counts
+        for word in failing[long].tolist():
+            ids = self.merges.exact(self.model.single[data[edges[word] : edges[word + 1]]].tolist())
+            flat.append(np.array(ids, np.int32))
+            owner.append(np.full(len(ids), word))
+            sizes[word] = len(ids)
+        return np.concatenate(flat)[np.argsort(np.concatenate(owner), kind="stable")], sizes
+
     def _compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether the pairs stand; each pair is tested once."""
         if not len(a):
