@@ -9,6 +9,7 @@ from cliplake.functions import images
 from cliplake.operators import cluster, kmeans, series
 from cliplake.params import ClusterParams
 from cliplake.runtime import staged
+from cliplake.sources.frame_store import FrameStore
 
 
 def extract_features(images_df: DataFrame) -> DataFrame:
@@ -44,7 +45,13 @@ def keyframes(
     ).orderBy("video_name", "timestamp", "frame_number")
 
 
-def with_frame_data(chosen: DataFrame, frames: DataFrame, data: str = "frame_data") -> DataFrame:
-    """Bring the pixels back for the chosen frames only."""
-    keys = ["video_name", "frame_number"]
-    return chosen.join(frames.select(*keys, data), keys, "left")
+def from_pixels(store: FrameStore, params: ClusterParams = ClusterParams()) -> DataFrame:
+    """Keyframes of stored frames (timestamp, height, width, channels, data), with their pixels.
+
+    Features are taken from the pixels in one scan and written; the frames are chosen on them
+    alone.  Then the pixels of the chosen frames are fetched.
+    """
+    found = extract_features(store.frames()).select("video_name", "frame_number", "timestamp", "features")
+    chosen = staged(keyframes(staged(found, "features"), params=params), "chosen")
+    columns = ("height", "width", "channels", "data")
+    return store.fetch(chosen, *columns).orderBy("video_name", "timestamp", "frame_number")

@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cliplake.functions import audio, images
+from cliplake.plans import keyframe_job
 from cliplake.queries.oracle import with_views
 from cliplake.queries.series import _long
 from cliplake.runtime import fresh_dir
 from cliplake.sinks import tables
 from cliplake.sources import files, views
+from cliplake.sources.frame_store import FrameStore
 
 PIXEL_COLUMNS = ["height", "width", "channels", "data"]
 
@@ -172,6 +174,29 @@ def frame_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _long(doubles, ["vec_id"], "features")
 
 
+def color_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feature vectors of colour images: histograms, texture and intensity."""
+    found = _on_pixels(images.frame_features)(views.color_images(spark, sf_dir), "features")
+    doubles = found.withColumn("features", F.col("features").cast("array<double>"))
+    return _long(doubles, ["vec_id"], "features")
+
+
+def keyframes_from_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Colour frames stored, described, smoothed, clustered, and the keyframes' pixels fetched."""
+    frames = views.frames(spark, sf_dir).select("vec_id", "video_name", "frame_number", "timestamp")
+    pixels = frames.join(views.color_images(spark, sf_dir), "vec_id").drop("vec_id")
+    store = FrameStore.write(pixels, fresh_dir(spark, "frames"), per_bucket=64)
+    found = keyframe_job.from_pixels(store)
+    return found.select(
+        "video_name",
+        "frame_number",
+        "timestamp",
+        "cluster",
+        F.array(*[F.col(name) for name in PIXEL_COLUMNS[:3]]).cast("string").alias("shape"),
+        F.hex("data").alias("frame_data"),
+    )
+
+
 def base64_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = F.translate(F.base64("data"), "\r\n", "")
     return (
@@ -192,6 +217,8 @@ QUERIES = {
     "color_histogram": color_histogram,
     "texture_stats": texture_stats,
     "frame_features": frame_features,
+    "color_features": color_features,
+    "keyframes_from_pixels": keyframes_from_pixels,
     "base64_roundtrip": base64_roundtrip,
 }
 
@@ -257,6 +284,20 @@ ORACLES = {
         ),
         "texture",
     ),
+    "color_features": with_views(
+        "select vec_id, dim, round(value, 6) + 0::double as value from color_features", "color_features"
+    ),
+    "keyframes_from_pixels": with_views(
+        """select video_name, frame_number, timestamp, cluster, '[8, 8, 3]' as shape, frame_data
+        from (select *, row_number() over (partition by cluster
+          order by distance, video_name, frame_number) as rn from pixel_clusters)
+        join (select vec_id, video_name, frame_number from frames) using (video_name, frame_number)
+        join (select vec_id, string_agg(printf('%02X%02X%02X', b, g, r), '' order by d) as frame_data
+          from color_levels group by vec_id) using (vec_id)
+        where rn = 1""",
+        "pixel_clusters",
+        "color_levels",
+    ),
     "base64_roundtrip": with_views(
         f"""select vec_id, to_base64(unhex(pixels)) as encoded, pixels as decoded
         from (select vec_id, {PIXEL_HEX} as pixels from pixels group by vec_id)""",

@@ -363,6 +363,27 @@ join (select vec_id, avg(level / 255.0::double) as mean_gray,
     max(level) / 255.0::double as max_gray from pixels group by vec_id) g on e.vec_id = g.vec_id
 """
 
+COLOR_LEVELS = """
+select vec_id, d, r as row, c as col, level::int as b, 255 - level::int as g, level::int * 2 % 256 as r from pixels
+"""
+
+COLOR_GRAY = """
+select vec_id, d, row as r, col as c, (114 * b + 587 * g + 299 * r + 500) // 1000 as level from color_levels
+"""
+
+COLOR_FEATURES = """
+select vec_id, dim, coalesce(case when dim between 96 and 108 then stats[dim - 95] else n end, 0)::float::double as value
+from (select vec_id, [mean_h, std_h, mean_v, std_v, mean_d, std_d, max_h, max_v, max_d,
+    mean_gray, std_gray, min_gray, max_gray] as stats, unnest(range(512)) as dim from color_texture)
+left join (select vec_id, dim, count(*)::double as n
+  from (select vec_id, unnest([b // 8, 32 + g // 8, 64 + r // 8])::bigint as dim from color_levels)
+  group by vec_id, dim) using (vec_id, dim)
+"""
+
+PIXEL_FRAMES = """
+select video_name, frame_number, timestamp, dim, value as v from frames join color_features using (vec_id)
+"""
+
 SIGNAL = """
 select user_id as clip, row_number() over (partition by user_id order by ts, event_id) - 1 as i,
   value as x from events
@@ -466,6 +487,18 @@ VIEWS = {
     "pixels": (PIXELS, ()),
     "edges": (EDGES, ("pixels",)),
     "texture": (TEXTURE, ("edges",)),
+    "color_levels": (COLOR_LEVELS, ("pixels",)),
+    "color_gray": (COLOR_GRAY, ("color_levels",)),
+    "color_edges": (EDGES.replace("pixels", "color_gray"), ("color_gray",)),
+    "color_texture": (
+        TEXTURE.replace("edges", "color_edges").replace("pixels", "color_gray"),
+        ("color_edges", "color_gray"),
+    ),
+    "color_features": (COLOR_FEATURES, ("color_texture", "color_levels")),
+    "pixel_frames": (PIXEL_FRAMES, ("frames", "color_features")),
+    "pixel_smoothed": (SMOOTHED.replace("frames_long", "pixel_frames"), ("pixel_frames",)),
+    "pixel_scaled": (SCALED.replace("smoothed))", "pixel_smoothed))"), ("pixel_smoothed",)),
+    **_kmeans_views("pixel_scaled", "pixel_"),
     "signal": (SIGNAL, ()),
     "framed": (FRAMED, ("signal",)),
     "energies": (ENERGIES, ("framed",)),

@@ -11,7 +11,9 @@ import pytest
 from cliplake.functions import audio, images
 from cliplake.operators import catalog
 from cliplake.params import AudioParams
+from cliplake.plans import keyframe_job
 from cliplake.sources import files, views
+from cliplake.sources.frame_store import FrameStore
 from pyspark.sql import functions as F
 
 
@@ -106,7 +108,7 @@ def test_filter_tables_equal_the_matrices(spark, rate):
 def _features_by_hand(image):
     image = np.asarray(image, dtype=float)
     if image.ndim == 3:
-        gray = np.floor(image @ [0.114, 0.587, 0.299] + 0.5) / 255
+        gray = (image @ [114, 587, 299] + 500) // 1000 / 255
         counts = [
             float(((image[..., c] >= b * 8) & (image[..., c] < b * 8 + 8)).sum())
             for c in range(3)
@@ -152,6 +154,48 @@ def test_image_features(spark):
     assert sum(found[1].counts) == 90
 
 
+def test_images_of_many_shapes_in_one_batch(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    shapes = [(3, 3, 1), (5, 4, 3), (2, 9, 1), (4, 4, 4), (6, 3, 2), (5, 4, 3), (3, 3, 1)] * 5
+    pictures = [rng.integers(0, 256, shape, dtype=np.uint8) for shape in shapes]
+    rows = [(i, *p.shape, p.tobytes()) for i, p in enumerate(pictures)] + [(99, None, 3, 1, b"x"), (98, 3, 3, 1, None), (97, -3, -3, 1, b"123456789")]
+    df = spark.createDataFrame(rows, "id int, height int, width int, channels int, data binary").coalesce(1)
+    found = df.select("id", images.frame_features("height", "width", "channels", "data").alias("features")).collect()
+    for row in found:
+        sides = shapes[row.id] if row.id < 90 else (0, 0, 0)
+        if min(sides[:2]) < 3 or sides[2] == 2:
+            assert row.features == [0.0] * 512
+        else:
+            picture = pictures[row.id]
+            by_hand = _features_by_hand(picture[..., 0] if sides[2] == 1 else picture[..., :3])
+            assert row.features == pytest.approx(by_hand, abs=1e-5)
+
+
+def test_frame_store_opens_few_folders(spark, tmp_path):
+    rows = [(f"v{i % 3}", i // 3, float(i), bytes([i % 256])) for i in range(3000)]
+    # Frame 5 of the first video was never stored.
+    frames = spark.createDataFrame(rows, "video_name string, frame_number long, timestamp double, data binary")
+    store = FrameStore.write(frames.where("not (video_name = 'v0' and frame_number = 5)"), str(tmp_path / "store"), per_bucket=64)
+    assert store.buckets == 47 and store.frames().count() == 2999
+    chosen = spark.createDataFrame([("v0", 5, "a"), ("v0", 7, "b"), ("v2", 900, "c")], "video_name string, frame_number long, tag string")
+    fetched = store.fetch(chosen, "data")
+    assert {tuple(r) for r in fetched.collect()} == {("v0", 5, "a", None), ("v0", 7, "b", b"\x15"), ("v2", 900, "c", bytes([2702 % 256]))}
+    scans = fetched._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [bucket" in scans
+    assert store.fetch(chosen.limit(0), "data").collect() == []
+
+
+def test_keyframes_from_pixels(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    rows = [(f"v{i % 2}", i // 2, float(i // 2), 4, 4, 3, rng.integers(0, 256, 48, dtype=np.uint8).tobytes()) for i in range(80)]
+    schema = "video_name string, frame_number long, timestamp double, height int, width int, channels int, data binary"
+    store = FrameStore.write(spark.createDataFrame(rows, schema), str(tmp_path / "store"), per_bucket=10)
+    found = keyframe_job.from_pixels(store).collect()
+    pixels = {(r[0], r[1]): r[6] for r in rows}
+    assert 1 <= len(found) <= 8 and all(pixels[r.video_name, r.frame_number] == r.data for r in found)
+    assert [(r.video_name, r.timestamp) for r in found] == sorted((r.video_name, r.timestamp) for r in found)
+
+
 def test_png_files_decode_to_their_pixels(spark, tmp_path):
     pixels = bytes(range(0, 240, 2))
     (tmp_path / "a.png").write_bytes(views._png(10, 12, pixels))
