@@ -68,26 +68,28 @@ def media_listing(files: DataFrame) -> DataFrame:
     )
 
 
-def default_probe(listing: DataFrame, status: Column) -> DataFrame:
-    """The probe record of files that were not or could not be probed."""
-    return listing.select(
-        "video_id",
-        "path",
-        F.lit(0.0).alias("duration"),
-        F.lit("unknown").alias("resolution"),
-        F.lit(0.0).alias("fps"),
-        F.lit("unknown").alias("codec"),
-        F.lit(0).cast("bigint").alias("bitrate"),
-        F.lit(False).alias("has_audio"),
-        "file_size",
-        status.alias("processing_status"),
-    )
+def probe_defaults() -> dict[str, Column]:
+    """Fields of the probe record of files that were not or could not be probed."""
+    return {
+        "duration": F.lit(0.0),
+        "resolution": F.lit("unknown"),
+        "fps": F.lit(0.0),
+        "codec": F.lit("unknown"),
+        "bitrate": F.lit(0).cast("bigint"),
+        "has_audio": F.lit(False),
+    }
+
+
+def invalid_status() -> Column:
+    """Status of an invalid file of a listing."""
+    return F.concat(F.lit("invalid: "), F.coalesce("error_message", F.lit("unknown error")))
 
 
 def invalid_defaults(listing: DataFrame) -> DataFrame:
     """Default probe records of the invalid files, with the reason in the status."""
-    reason = F.coalesce("error_message", F.lit("unknown error"))
-    return default_probe(listing.where(~F.col("is_valid")), F.concat(F.lit("invalid: "), reason))
+    fields = [value.alias(name) for name, value in probe_defaults().items()]
+    status = invalid_status().alias("processing_status")
+    return listing.where(~F.col("is_valid")).select("video_id", "path", *fields, "file_size", status)
 
 
 def pending(manifest: DataFrame, listing: DataFrame) -> DataFrame:

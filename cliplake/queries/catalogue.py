@@ -127,6 +127,19 @@ def tier_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def catalogue_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole catalogue job: the figures observed on the way, and the tiers read back."""
+    listing = catalog.media_listing(views.catalogue_files(spark, sf_dir))
+    tiers, figures = catalogue_job.run(listing, views.catalogue_probes(spark, sf_dir), fresh_dir(spark, "tiers"))
+    stored = tiers.groupBy("quality_level").agg(
+        F.count(F.lit(1)).cast("double").alias("files"), F.sum("file_size").cast("double").alias("bytes")
+    )
+    stored = stored.unpivot("quality_level", ["files", "bytes"], "what", "value").select(
+        F.concat(F.lit("stored "), "what").alias("section"), F.col("quality_level").cast("string").alias("item"), "value"
+    )
+    return figures.unionByName(stored).withColumn("value", F.round("value", 6))
+
+
 def collection_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = tables.Collections(spark, fresh_dir(spark, "collections"))
     stored = store.overwrite(_cleaned(spark, sf_dir), "videos")
@@ -222,6 +235,7 @@ QUERIES = {
     "optional_source": optional_source,
     "json_roundtrip": json_roundtrip,
     "tier_split": tier_split,
+    "catalogue_run": catalogue_run,
     "collection_write": collection_write,
     "probe_parse": probe_parse,
     "error_isolation": error_isolation,
@@ -317,6 +331,26 @@ ORACLES = {
         from cleaned group by quality_level""",
         "cleaned",
     ),
+    "catalogue_run": with_views(
+        """select * from (with passed as (select * from job_checked where processing_status = 'success' and passes_all_checks),
+        single as (select * from passed qualify row_number() over (partition by video_id order by path) = 1),
+        kept as (select * from single where quality_score >= 40),
+        f as (select (select count(*) from job_checked) as total,
+          (select count(*) from job_checked where processing_status = 'success') as valid,
+          (select count(*) from passed) as quality, (select count(*) from single) as deduplicated,
+          (select count(*) from kept) as final)
+        select 'funnel' as section, unnest(['total', 'valid', 'quality', 'deduplicated', 'final', 'retention_percent'])
+          as item, unnest([total, valid, quality, deduplicated, final, case when total > 0
+            then floor(final / total::double * 100) else 0 end])::double as value from f
+        union all select 'tiers', t, (select count(*) from kept where quality_level = t)::double
+        from (select unnest(['high', 'medium', 'low']) as t)
+        union all select 'report', unnest(['average_quality_score', 'average_duration', 'stddev_duration',
+            'min_duration', 'max_duration']), round(unnest([avg(quality_score), avg(duration),
+            stddev_samp(duration), min(duration), max(duration)]), 6) from kept
+        union all select 'stored files', quality_level, count(*)::double from kept group by quality_level
+        union all select 'stored bytes', quality_level, sum(file_size)::double from kept group by quality_level)""",
+        "job_checked",
+    ),
     "collection_write": with_views(
         "select video_id, path, quality_score, quality_level from cleaned", "cleaned"
     ),

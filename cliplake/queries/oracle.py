@@ -125,6 +125,20 @@ from (select *, string_split(v->>'$.r_frame_rate', '/') as r,
         from probe_json))))
 """
 
+JOB_PROBE = """
+select f.video_id, f.path, f.file_size,
+  case when f.file_size > 0 and p.path is not null then p.duration else 0 end as duration,
+  case when f.file_size > 0 and p.path is not null then p.resolution else 'unknown' end as resolution,
+  case when f.file_size > 0 and p.path is not null then p.fps else 0 end as fps,
+  case when f.file_size > 0 and p.path is not null then p.bitrate else 0 end as bitrate,
+  case when f.file_size = 0 then 'invalid: Empty file' when p.path is null then 'error: no probe output'
+    when p.processing_status = 'parsed' then 'success' else p.processing_status end as processing_status
+from (select video_id, path as raw, file_size // 1009 as number,
+    concat('/user/raw/', file_size // 1009, '/', video_id, '.mp4') as path,
+    case when file_size // 1009 % 11 = 0 then 0 else file_size end as file_size from probe) f
+left join parsed p on f.raw = p.path and f.number % 13 <> 0
+"""
+
 TRANSCRIPTS = """
 select doc_id,
   concat('hdfs://host:9000/user/audio_files/video_', doc_id, '.wav') as filename, transcript,
@@ -466,6 +480,8 @@ VIEWS = {
     "cleaned": (CLEANED, ("deduped",)),
     "probe_json": (PROBE_JSON, ("probe",)),
     "parsed": (PARSED, ("probe_json",)),
+    "job_probe": (JOB_PROBE, ("probe", "parsed")),
+    "job_checked": (CHECKED.replace("from probe)", "from job_probe)"), ("job_probe",)),
     "transcripts": (TRANSCRIPTS, ()),
     "tokens": (TOKENS, ("transcripts",)),
     "keyword_rows": (KEYWORD_ROWS, ("tokens",)),

@@ -97,8 +97,8 @@ def probe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def probe_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Probe output as text: valid, malformed, without streams, with bad numbers."""
+def _probe_text() -> Column:
+    """Probe output of a probe record as text: valid, malformed, without streams, with bad numbers."""
     size = F.col("file_size")
     rate = _cases(size % 4, ["30000/1001", "25/1", "0/0"], "24")
     sound = F.when(F.col("has_audio"), '{"codec_type":"audio","codec_name":"aac"},').otherwise("")
@@ -125,10 +125,34 @@ def probe_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.replace(whole, F.lit('"height":480'), F.lit('"height":99999999999')),
         F.concat(F.lit("\n\t "), whole, F.lit("\n")),
     ]
-    rows = probe(spark, sf_dir).select("path", _cases(size % 29, odd, whole).alias("probe"))
+    return _cases(size % 29, odd, whole)
+
+
+def probe_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Path and probe output of every probe record."""
+    rows = probe(spark, sf_dir).select("path", _probe_text().alias("probe"))
     return files.spread(rows, f"{sf_dir}/orders.parquet", "path")
 
 
+def _catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probe records with a path that ends in their video, so that videos have several files."""
+    number = F.expr("file_size div 1009")
+    path = F.concat(F.lit("/user/raw/"), number, F.lit("/"), "video_id", F.lit(".mp4"))
+    return probe(spark, sf_dir).withColumn("path", path).withColumn("number", number)
+
+
+def catalogue_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Path and length of files to catalogue; every eleventh is empty."""
+    length = F.when(F.col("number") % 11 == 0, 0).otherwise(F.col("file_size")).cast("bigint")
+    return _catalogue(spark, sf_dir).select("path", length.alias("length"))
+
+
+def catalogue_probes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probe outputs of these files; every thirteenth file has none."""
+    probed = _catalogue(spark, sf_dir).where("number % 13 <> 0")
+    return probed.select("path", _probe_text().alias("probe"))
+
+
 def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transcripts of all documents; for every fifth a further row, placeholder or empty.
 

@@ -130,6 +130,30 @@ def test_probe_listing_joins_output_and_defaults(spark):
     assert found["/x/c.MKV"].processing_status == "error: no probe output"
 
 
+def test_catalogue_job_counts_while_it_writes(spark, tmp_path):
+    files = [(f"/x/{i}/v{i % 40}.mp4", 0 if i % 11 == 0 else i) for i in range(400)]
+    text = '{"format":{"duration":"%d","bit_rate":"900000"},"streams":[{"codec_type":"video","width":%d,"height":%d,"r_frame_rate":"25/1"}]}'
+    outputs = [(path, "broken" if i % 17 == 0 else text % (i * 10, 640, (480, 720, 1080)[i % 3])) for i, (path, _) in enumerate(files) if i % 7]
+    spark.createDataFrame(files, "path string, length bigint").write.parquet(str(tmp_path / "files"))
+    spark.createDataFrame(outputs, "path string, probe string").write.parquet(str(tmp_path / "probes"))
+    listing = catalog.media_listing(spark.read.parquet(str(tmp_path / "files")))
+    probes = spark.read.parquet(str(tmp_path / "probes"))
+    joined = catalogue_job.probe_listing(listing, probes)
+    assert joined._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 2
+    tiers, figures = catalogue_job.run(listing, probes, str(tmp_path / "tiers"))
+    found = {(r.section, r.item): r.value for r in figures.collect()}
+    checked = catalogue_job.check(joined)
+    for name, value in catalog.cleaning_funnel(checked).first().asDict().items():
+        assert found["funnel", name] == value
+    kept = catalog.cleaned(checked)
+    assert found["report", "average_duration"] == pytest.approx(kept.agg(F.avg("duration")).first()[0])
+    counts = {r["quality_level"]: r["count"] for r in kept.groupBy("quality_level").count().collect()}
+    assert {t: found["tiers", t] for t in ("high", "medium", "low")} == {t: counts.get(t, 0) for t in ("high", "medium", "low")}
+    assert {r["quality_level"]: r["count"] for r in tiers.groupBy("quality_level").count().collect()} == counts
+    none, figures = catalogue_job.run(listing.limit(0), probes, str(tmp_path / "none"))
+    assert none.count() == 0 and {r.value for r in figures.where("section = 'funnel'").collect()} == {0.0}
+
+
 def test_path_names(spark):
     path = "hdfs://host:9000/user/x/high_quality/clip.part.mp4"
     assert _value(spark, paths.strip_authority(F.lit(path))) == "user/x/high_quality/clip.part.mp4"
