@@ -55,13 +55,18 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop(self, *names: str) -> None:
+        """Delete the tables of these names, whose last reader has ended."""
+        gone = [path for path in self.paths if path.rsplit("/", 1)[1].rsplit("-", 1)[0] in names]
+        for path in gone:
+            hadoop_path, fs = _hadoop_path(self.spark, path)
+            fs.delete(hadoop_path, True)
+            self.paths.remove(path)
+
     def result(self, df: DataFrame, name: str) -> DataFrame:
         """Write the result, then delete the tables that led to it."""
         out = staged(df, name)
-        for path in self.paths:
-            hadoop_path, fs = _hadoop_path(self.spark, path)
-            fs.delete(hadoop_path, True)
-        self.paths = []
+        self.drop(*[path.rsplit("/", 1)[1].rsplit("-", 1)[0] for path in self.paths])
         return out
 
 
