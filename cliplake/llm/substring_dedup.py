@@ -14,7 +14,8 @@ document (``compact_windows``) name the shingle that is the minimum of all passa
    all of them in a group of up to ``GROUP``, else those that share a rare shingle.  Of two similar
    passages of w shingles each has at most k of its own, so whatever the order of the shingles, the
    first k + 1 of one and of the other have one in common (``_rarest``).  Within the windows of such
-   a shingle the first document leads again, then every pair that is still open is verified.
+   a shingle one document after the other leads (``_rounds``), then every pair that is still open is
+   verified.
 
 The passage stays in the document with the smallest id.  Nothing is compared within one document.
 """
@@ -22,6 +23,7 @@ The passage stays in the document with the smallest id.  Nothing is compared wit
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +47,8 @@ BROADCAST_SPANS = 500_000
 
 #: Windows of a group that meet all others of it.
 GROUP = 32
+#: Rounds of leaders in larger groups at most, and pairs for each open window that end them.
+ROUNDS, PAIRS_PER_WINDOW = 12, 4
 
 #: Bits of a packed window: position, mark of the content, left span, right span.
 _SPAN_BITS, _MARK_BITS = 6, 22
@@ -137,74 +141,105 @@ SPAN = T.StructType(
 _GROUP = ["id", "source", "diagonal", "lo"]
 
 
+def _numbered(values: np.ndarray) -> np.ndarray:
+    """Each value with the number of equal ones before it, as one key."""
+    order = np.argsort(values, kind="stable")
+    ranked = values[order]
+    first = np.ones(len(values), bool)
+    first[1:] = ranked[1:] != ranked[:-1]
+    place = np.arange(len(values))
+    number = np.empty(len(values), np.uint64)
+    number[order] = place - np.maximum.accumulate(np.where(first, place, 0))
+    return values.astype(np.uint64) << np.uint64(16) | number
+
+
+def _share(first: np.ndarray, last: np.ndarray, n: int) -> np.ndarray:
+    """How many of the intervals [first, last] hold each of n places."""
+    change = np.zeros(n + 1, np.int64)
+    fits = first <= last
+    np.add.at(change, first[fits], 1)
+    np.add.at(change, last[fits] + 1, -1)
+    return np.cumsum(change)[:n]
+
+
 def similar_starts(own: np.ndarray, other: np.ndarray, width: int, percent: int) -> np.ndarray:
     """Starts s at which own[s : s + width] and other[s : s + width] are similar.
 
-    The similarity is that of the sets of positions: matched shingles over all in either.
+    Shingles are matched one to one: those at the same place, of the rest the n-th of equal ones
+    with the n-th.  The similarity is matched shingles over all in either side; as no shingle is
+    matched twice, it is at most the Jaccard similarity of the two bags of shingles.
     """
     n = min(len(own), len(other)) - width + 1
     if n <= 0:
         return np.empty(0, np.int64)
-    # Prefer the same place, else the first equal shingle of the other side.
-    order = np.argsort(other, kind="stable")
-    at = np.searchsorted(other[order], own)
-    at[at == len(other)] = 0
-    match = order[at]
-    same = np.arange(len(own))
-    aligned = np.zeros(len(own), bool)
-    m = min(len(own), len(other))
-    aligned[:m] = own[:m] == other[:m]
-    match = np.where(aligned, same, match)
-    i = np.flatnonzero(other[match] == own)
-    j = match[i]
-    first = np.maximum(np.maximum(i, j) - width + 1, 0)
-    last = np.minimum(np.minimum(i, j), n - 1)
-    fits = first <= last
-    change = np.zeros(n + 1, np.int64)
-    np.add.at(change, first[fits], 1)
-    np.add.at(change, last[fits] + 1, -1)
-    shared = np.cumsum(change)[:n]
-    return np.flatnonzero(100 * shared >= percent * (2 * width - shared))
+    m = n + width - 1
+    aligned = own[:m] == other[:m]
+    sums = np.concatenate(([0], np.cumsum(aligned)))
+    shared = sums[width:] - sums[:-width]
+    similar = 100 * shared >= percent * (2 * width - shared)
+    if not similar.all():
+        i, j = np.flatnonzero(~aligned), np.flatnonzero(~aligned)
+        mine, theirs = _numbered(own[i]), _numbered(other[j])
+        order = np.argsort(theirs)
+        at = np.minimum(np.searchsorted(theirs[order], mine), len(theirs) - 1)
+        met = theirs[order[at]] == mine
+        i, j = i[met], j[order[at[met]]]
+        shared = shared + _share(np.maximum(np.maximum(i, j) - width + 1, 0), np.minimum(np.minimum(i, j), n - 1), n)
+        similar = 100 * shared >= percent * (2 * width - shared)
+    return np.flatnonzero(similar)
+
+
+def _runs_of(starts: np.ndarray) -> Iterator[tuple[int, int]]:
+    """First and last of each run of neighbouring starts."""
+    cut = np.flatnonzero(np.diff(starts) > 1)
+    yield from zip(starts[np.r_[0, cut + 1]].tolist(), starts[np.r_[cut, len(starts) - 1]].tolist(), strict=True)
 
 
 def _verified(size: int, width: int, percent: int):
-    def spans(group: tuple, rows: list) -> Iterator[tuple]:
-        id_, source, diagonal, lo = group
-        sides = []
-        for mine in (True, False):
-            own = [(block, cell) for is_own, block, cell in rows if is_own == mine]
-            if not own:
-                return
-            first = own[0][0] * BLOCK
-            values = np.concatenate([np.frombuffer(cell, "<u4") for _, cell in own])
-            start = lo if mine else lo - diagonal
-            sides.append(values[start - first :])
-        length = min(len(sides[0]), len(sides[1]), PIECE)
-        starts = similar_starts(sides[0][:length], sides[1][:length], width, percent)
-        if len(starts):
-            cut = np.flatnonzero(np.diff(starts) > 1)
-            for a, b in zip(starts[np.r_[0, cut + 1]], starts[np.r_[cut, len(starts) - 1]], strict=True):
-                yield id_, source, lo + int(a), lo + int(b) + width + size - 1
-
-    def batch_of(out: list) -> pa.RecordBatch:
+    def spans(batch: pa.RecordBatch, firsts: np.ndarray) -> pa.RecordBatch:
+        out = []
+        cells = batch.column("cell")
+        offsets = np.frombuffer(cells.buffers()[1], np.int32)[cells.offset : cells.offset + len(cells) + 1].tolist()
+        data = cells.buffers()[2]
+        own = np.concatenate(([0], np.cumsum(batch.column("own").to_numpy(zero_copy_only=False)))).tolist()
+        keys = [batch.column(name).to_numpy()[firsts[:-1]].tolist() for name in _GROUP]
+        blocks = batch.column("block").to_numpy()
+        for a, b, id_, source, diagonal, lo in zip(firsts[:-1].tolist(), firsts[1:].tolist(), *keys, strict=True):
+            # The own blocks of a group come first, in order, so both sides lie in one piece each.
+            middle = a + own[b] - own[a]
+            if middle in (a, b):
+                continue
+            mine = data[offsets[a] + 4 * (lo - int(blocks[a]) * BLOCK) : offsets[middle]]
+            theirs = data[offsets[middle] + 4 * (lo - diagonal - int(blocks[middle]) * BLOCK) : offsets[b]]
+            length = min(len(mine) // 4, len(theirs) // 4, PIECE)
+            if length < width:
+                continue
+            mine, theirs = mine[: 4 * length], theirs[: 4 * length]
+            if mine.equals(theirs):
+                out.append((id_, source, lo, lo + length + size - 1))
+                continue
+            starts = similar_starts(np.frombuffer(mine, "<u4"), np.frombuffer(theirs, "<u4"), width, percent)
+            if len(starts):
+                out += [(id_, source, lo + x, lo + y + width + size - 1) for x, y in _runs_of(starts)]
         columns = [pa.array([x[i] for x in out], pa.int64()) for i in range(4)]
-        return pa.RecordBatch.from_arrays(columns, [field.name for field in SPAN])
+        return pa.RecordBatch.from_arrays(columns, SPAN.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, rows = None, []
+        left = None
         for batch in batches:
-            out = []
-            names = [*_GROUP, "own", "block", "cell"]
-            columns = [batch.column(name).to_pylist() for name in names]
-            for *key, own, block, cell in zip(*columns, strict=True):
-                if tuple(key) != group:
-                    if group is not None:
-                        out += spans(group, rows)
-                    group, rows = tuple(key), []
-                rows.append((own, block, cell))
-            yield batch_of(out)
-        if group is not None:
-            yield batch_of(list(spans(group, rows)))
+            batch = batch if left is None else pa.concat_batches([left, batch])
+            if not batch.num_rows:
+                continue
+            new = np.zeros(batch.num_rows, bool)
+            for name in _GROUP:
+                values = batch.column(name).to_numpy()
+                new[1:] |= values[1:] != values[:-1]
+            firsts = np.concatenate(([0], np.flatnonzero(new)))
+            # The last group may go on in the next batch.
+            left = batch.slice(firsts[-1])
+            yield spans(batch, firsts)
+        if left is not None:
+            yield spans(left, np.array([0, left.num_rows]))
 
     return run
 
@@ -253,6 +288,7 @@ def repeated_spans(
         "shared",
     )
     members = staged(_unpacked(windows.join(shared, "key")), "members")
+    scratch.drop("windows", "shared")
     chains = staged(_chains(members, width), "chains")
     blocks = staged(_shingle_blocks(source, chains, size, staged), "blocks")
     spans = _requests(chains, width).join(blocks, ["want", "block"])
@@ -263,6 +299,7 @@ def repeated_spans(
         .mapInArrow(_verified(size, width, percent), SPAN)
     )
     spans = staged(spans.distinct(), "linked")
+    scratch.drop("chains", "wanted", "blocks")
     more = _of_open(source, members, spans, size, width, percent, staged)
     for found in more:
         spans = spans.union(found)
@@ -367,19 +404,45 @@ def _of_open(
         .agg(F.sort_array(F.collect_list(F.struct("place", "n", "rare"))).alias("places"))
     )
     entries = staged(_rare_entries(ranked, width, percent), "rare")
-    shared = entries.groupBy("group", "rare").agg(F.min(F.struct("id", "at", "left", "right")).alias("lead"), F.max("id").alias("most"))
-    shared = staged(shared.where("lead.id < most"), "rare-leaders")
-    led = entries.where("open").join(shared, ["group", "rare"]).where(F.col("id") > F.col("lead.id"))
-    led = led.select("group", "id", "at", F.col("lead.id").alias("source"), F.col("lead.at").alias("source_at"))
-    first = staged(_compared(led.distinct(), contents, width, size, percent), "led")
-    still = _uncovered(large.where("open").select(*columns), spans.union(first), size)
-    asking = entries.where("open").join(still.select("group", "id", "at"), ["group", "id", "at"], "left_semi")
-    asking = asking.join(shared.select("group", "rare"), ["group", "rare"], "left_semi")
+    return _rounds(large.where("open").select(*columns), few, entries, contents, spans, size, width, percent, staged)
+
+
+def _rounds(
+    large: DataFrame, few: DataFrame, entries: DataFrame, contents: DataFrame, spans: DataFrame,
+    size: int, width: int, percent: int, staged: Callable[[DataFrame, str], DataFrame],
+) -> list[DataFrame]:
+    """Compare the windows of large groups that share a rare shingle.
+
+    In each round the first window that has not led yet leads its shingle and is compared with the
+    open ones behind it; what verified spans cover then asks no more.  Copies and near copies thus
+    go in a few rounds, each linear in the rows.  When the pairs that are left are few for their
+    windows, or after ``ROUNDS``, all of them are compared.
+    """
+    by = ["group", "rare"]
+    asking, waiting, found = entries.where("open"), entries, []
+    for _ in range(ROUNDS):
+        leads = waiting.groupBy(*by).agg(F.min(F.struct("id", "at")).alias("lead"))
+        leads = staged(leads, "rare-leaders")
+        led = asking.join(leads, by).where(F.col("id") > F.col("lead.id"))
+        led = led.select("group", "id", "at", F.col("lead.id").alias("source"), F.col("lead.at").alias("source_at"))
+        found.append(staged(_compared(led.distinct(), contents, width, size, percent), "led"))
+        all_spans = reduce(DataFrame.union, found, spans)
+        still = _uncovered(large, all_spans, size).select("group", "id", "at")
+        asking = staged(asking.join(still, ["group", "id", "at"], "left_semi"), "asking")
+        gone = leads.select(*by, F.col("lead.id").alias("id"), F.col("lead.at").alias("at"))
+        waiting = staged(waiting.join(gone, [*by, "id", "at"], "left_anti"), "waiting")
+        # Shingles that no open window asks for need no leader.
+        asks = asking.groupBy(*by).agg(F.count("*").alias("asks"), F.max("id").alias("most"))
+        pairs = waiting.join(asks, by).where(F.col("id") < F.col("most"))
+        pairs = pairs.groupBy(*by).agg(F.first("asks").alias("asks"), F.count("*").alias("others"))
+        expected = pairs.agg(F.coalesce(F.sum(F.col("asks") * F.col("others")), F.lit(0))).first()[0]
+        if expected <= PAIRS_PER_WINDOW * max(1, asking.count()):
+            break
     names = ["group", "rare", "id", "at", "left", "right"]
     pairs = _pairs(few.select(*names), few.where("open").select(*names)).union(
-        _pairs(entries.select(*names), asking.select(*names))
+        _pairs(waiting.select(*names), asking.select(*names))
     )
-    return [first, staged(_compared(pairs.distinct(), contents, width, size, percent), "pairs")]
+    return [*found, staged(_compared(pairs.distinct(), contents, width, size, percent), "pairs")]
 
 
 def _pairs(known: DataFrame, asking: DataFrame) -> DataFrame:
@@ -496,16 +559,17 @@ def _compared(pairs: DataFrame, contents: DataFrame, width: int, size: int, perc
                 batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "source", "at", "left", "source_left")
             )
             own, other = batch.column("own"), batch.column("other")
+            bounds = [c.offsets.to_numpy() - c.offsets[0].as_py() for c in (own, other)]
+            flat = [c.flatten().to_numpy() for c in (own, other)]
             for i in range(batch.num_rows):
-                x, y = (c[i].values.to_numpy() for c in (own, other))
+                x, y = (values[edge[i] : edge[i + 1]] for values, edge in zip(flat, bounds, strict=True))
                 reach = min(int(left[i]), int(source_left[i]))
                 x, y = x[left[i] - reach :], y[source_left[i] - reach :]
                 n = min(len(x), len(y))
                 starts = similar_starts(x[:n], y[:n], width, percent)
                 if len(starts):
                     lo = int(at[i]) - reach
-                    cut = np.flatnonzero(np.diff(starts) > 1)
-                    for a, b in zip(starts[np.r_[0, cut + 1]], starts[np.r_[cut, len(starts) - 1]], strict=True):
+                    for a, b in _runs_of(starts):
                         for column, value in zip(out, (ids[i], sources[i], lo + a, lo + b + width + size - 1), strict=True):
                             column.append(int(value))
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], SPAN.names)

@@ -7,6 +7,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -204,6 +205,43 @@ def test_frequent_lines_inside_longer_repeats(spark, monkeypatch, group):
                 assert set(range(k, k + 50)) <= found.get(i, set())
 
 
+def _bags_alike(a, b):
+    common = sum((Counter(a) & Counter(b)).values())
+    return 100 * common >= 80 * (len(a) + len(b) - common)
+
+
+def test_similar_starts_match_one_to_one():
+    """Never more alike than the bags of shingles are; always as alike as equal places make them."""
+    pick = random.Random(11)
+    for _ in range(400):
+        few = pick.choice([1, 2, 5, 1000])
+        own = [pick.randrange(few) for _ in range(pick.randint(10, 60))]
+        other = list(own)
+        for _ in range(pick.randint(0, 8)):
+            at = pick.randrange(len(other))
+            other[at : at + pick.randint(0, 1)] = [pick.randrange(few)] * pick.randint(0, 2)
+        if pick.random() < 0.3:
+            pick.shuffle(other)
+        for x, y in ((own, other), (other, own)):
+            found = set(substring_dedup.similar_starts(np.array(x, "<u4"), np.array(y, "<u4"), 10, 80).tolist())
+            n = min(len(x), len(y)) - 9
+            assert all(_bags_alike(x[s : s + 10], y[s : s + 10]) for s in found)
+            equal = [sum(x[k] == y[k] for k in range(s, s + 10)) for s in range(max(n, 0))]
+            assert {s for s, k in enumerate(equal) if 100 * k >= 80 * (20 - k)} <= found
+
+
+def test_repeated_words_are_no_passage(spark):
+    """A word that one text repeats eighty times and the other five times is not the same passage."""
+    rows = []
+    for i in range(60):
+        word = f"again{i}"
+        short, long = (text_of(12_000 + 2 * i + k, 80, 10**6).split() for k in (0, 1))
+        texts = [short[:40] + [word] * 5 + short[40:], long[:40] + [word] * 80 + long[40:]]
+        for k, words_ in enumerate(texts if i % 2 else texts[::-1]):
+            rows.append((1000 * k + i, " ".join(words_)))
+    assert substring_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect() == []
+
+
 def test_passages_of_nothing(spark, empty):
     assert substring_dedup.repeated_spans(empty).count() == 0
     t = text_of(1, 120)
