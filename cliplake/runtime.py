@@ -81,6 +81,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.globStatus(hadoop_path))
 
 
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """The folders and files that a path or pattern fits; none when nothing is there."""
+    hadoop_path, fs = _hadoop_path(spark, pattern)
+    return sorted(str(status.getPath()) for status in fs.globStatus(hadoop_path) or [])
+
+
 def touch(spark: SparkSession, path: str) -> None:
     """Create an empty file."""
     hadoop_path, fs = _hadoop_path(spark, path)

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cliplake.functions import audio
-from cliplake.runtime import file_count, path_exists
+from cliplake.runtime import file_count, matching_paths, path_exists
+from cliplake.sources import listing
 
 log = logging.getLogger(__name__)
 
@@ -45,37 +46,13 @@ def binary_files(spark: SparkSession, folders: list[str]) -> DataFrame:
     return scan.select("path", "modificationTime", "length", "content")
 
 
-def _file_names(scan: DataFrame) -> DataFrame:
-    """Paths of all files of a scan, empty ones included.
+def media_files(spark: SparkSession, folders: list[str], recursive: bool = False) -> DataFrame:
+    """Path and length of every file, empty ones included; contents are not read.
 
-    They come from the file index that Spark already holds for the scan and do not pass through
-    Python.  The index gives them as URIs, with special characters escaped.
+    Folders may be given as patterns.  The tasks list the folders.
     """
-    spark = scan.sparkSession
-    jvm = spark._jvm
-    names = jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(scan._jdf.inputFiles())
-    strings = jvm.org.apache.spark.sql.Encoders.STRING()
-    paths = DataFrame(spark._jsparkSession.createDataset(names, strings).toDF(), spark)
-    escaped = F.replace("value", F.lit("+"), F.lit("%2B"))
-    return paths.select(F.url_decode(escaped).alias("path"))
-
-
-def media_files(spark: SparkSession, folders: list[str]) -> DataFrame:
-    """Path and length of every file; contents are not read.
-
-    A Spark file scan leaves out empty files, which a listing has to report, so those are the
-    files of the index that the scan does not give.
-    """
-    scan = binary_files(spark, folders)
-    filled = scan.select("path", "length")
-    if not _existing(spark, folders):
-        return filled
-    # file:/x and file:///x name the same file.
-    names = _file_names(scan).withColumn("path", F.regexp_replace("path", "^file:/+", "file:/"))
-    empty = names.join(filled, "path", "left_anti").select(
-        "path", F.lit(0).cast("bigint").alias("length")
-    )
-    return filled.unionByName(empty)
+    found = [folder for pattern in folders for folder in matching_paths(spark, pattern)]
+    return listing.listed(spark, found, recursive).select("path", "length")
 
 
 def images(spark: SparkSession, folder: str) -> DataFrame:

@@ -12,7 +12,7 @@ from cliplake.functions import audio, images
 from cliplake.operators import catalog
 from cliplake.params import AudioParams
 from cliplake.plans import keyframe_job
-from cliplake.sources import files, views
+from cliplake.sources import files, listing, views
 from cliplake.sources.frame_store import FrameStore
 from pyspark.sql import functions as F
 
@@ -224,6 +224,25 @@ def test_folder_scans(spark, tmp_path):
     assert files.media_files(spark, folders[-1:]).count() == 0
 
 
+@pytest.mark.parametrize("folders", [256, 3])
+def test_listing_of_many_nested_files(spark, tmp_path, monkeypatch, folders):
+    monkeypatch.setattr(listing, "FOLDERS", folders)
+    expected = {}
+    for i in range(10_000):
+        folder = tmp_path / f"a{i % 7}" / f"b{i % 11}" if i % 3 else tmp_path / f"a{i % 7}"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"f {i}.mp4").write_bytes(b"x" * (i % 5))
+        expected[f"file:{folder}/f {i}.mp4"] = i % 5
+    (tmp_path / "a1" / "_SUCCESS").write_bytes(b"")
+    root = str(tmp_path)
+    reader = listing.ListingReader([root], True)
+    assert 1 < len(reader.partitions()) <= folders + 20
+    found = files.media_files(spark, [root], recursive=True).collect()
+    assert len(found) == 10_000 and {r.path: r.length for r in found} == expected
+    upper = files.media_files(spark, [f"{root}/a?"]).collect()
+    assert {r.path for r in upper} == {path for path in expected if "/b" not in path[len(root) :]}
+
+
 def test_optional_json(spark, tmp_path):
     missing = files.optional_json(spark, str(tmp_path / "no"), "a int")
     assert missing.schema.simpleString() == "struct<a:int>" and missing.count() == 0
