@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cliplake.functions import vectors
 from cliplake.operators import ordered, skew
 from cliplake.params import ClusterParams
-from cliplake.runtime import staged
+from cliplake.runtime import Scratch, staged
 
 
 def standardize(df: DataFrame, features: str, output: str = "scaled_features") -> DataFrame:
@@ -66,10 +66,11 @@ def select_keyframes(assigned: DataFrame) -> DataFrame:
 
 
 def ordered_keyframes(keyframes: DataFrame) -> DataFrame:
-    """Keyframes by video and time, with the caption of each frame."""
-    return keyframes.withColumn("caption", F.format_string("t=%.1fs", "timestamp")).orderBy(
-        "video_name", "timestamp", "frame_number"
-    )
+    """Keyframes by video and time, with the caption and the ``position`` of each frame."""
+    captioned = keyframes.withColumn("caption", F.format_string("t=%.1fs", "timestamp"))
+    order = ["video_name", "timestamp", "frame_number"]
+    scratch = Scratch(keyframes.sparkSession)
+    return ordered.with_position(captioned, order, "position", scratch).orderBy("position")
 
 
 def in_parts(

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cliplake.functions import paths
-from cliplake.operators import cluster, skew
+from cliplake.operators import cluster
+from cliplake.runtime import Scratch
 
 # Keyframes listed in one document; longer lists go on in the next part.
 DETAILS_PER_DOCUMENT = 10000
@@ -71,30 +72,58 @@ def video_documents(
     )
 
 
-def contains_lookup(left: DataFrame, stem: str, right: DataFrame, text: str) -> DataFrame:
-    """First row of ``right`` (by ``text``) whose text contains the stem; nulls when none does.
+def _grams(text: str, size: int) -> Column:
+    """All different substrings of this size; of shorter texts none."""
+    starts = F.sequence(F.lit(1), F.length(text) - size + 1)
+    cut = F.transform(starts, lambda start: F.substring(F.col(text), start, F.lit(size)))
+    return F.when(F.length(text) >= size, F.array_distinct(cut)).otherwise(F.array().cast("array<string>"))
+
 
-    Instead of comparing every pair, each text gives its substrings of the lengths that stems
-    have, and those are matched for equality.  Only texts go through this; the first text per
-    stem is kept, with a partial minimum before the shuffle, and then brings its row.
+def contains_candidates(stems: DataFrame, texts: DataFrame, size: int = 4) -> DataFrame:
+    """(_stem, _text) pairs that may hold: both have the stem's rarest substring of ``size``
+    characters (of a shorter stem, the stem itself).
+
+    ``stems`` and ``texts`` have one column each, ``_stem`` and ``_text``.  Texts are cut only into
+    the sizes that stems ask for, and counted only for substrings that a stem has.
     """
-    lengths = left.agg(F.collect_set(F.length(stem))).scalar()
-    starts = F.sequence(F.lit(1), F.length("_text") - F.col("_length") + 1)
-    pieces = (
-        right.select(F.col(text).alias("_text"))
-        .withColumn("_lengths", lengths)
-        .withColumn("_length", F.explode("_lengths"))
-        .where(F.length("_text") >= F.col("_length"))
-        .withColumn("_start", F.explode(starts))
-        .withColumn("_stem", F.substring(F.col("_text"), F.col("_start"), F.col("_length")))
-        .select("_text", "_stem")
-    )
-    wanted = left.select(F.col(stem).alias("_stem")).distinct()
-    first = (
-        skew.salted_join(pieces, wanted, "_stem", ["_text"])
+    short = F.when(F.length("_stem") < size, F.length("_stem")).otherwise(size)
+    sized = stems.where(F.length("_stem") > 0).withColumn("_size", short)
+    every = range(1, size + 1)
+    of_stem = F.coalesce(*[F.when(F.col("_size") == n, _grams("_stem", n)) for n in every])
+    asked = sized.withColumn("_gram", F.explode(of_stem))
+    sizes = sized.agg(F.collect_set("_size")).scalar()
+    of_text = F.flatten(F.array(*[F.when(F.array_contains("_sizes", n), _grams("_text", n)).otherwise(F.array().cast("array<string>")) for n in every]))
+    cut = texts.withColumn("_sizes", sizes).select("_text", F.explode(of_text).alias("_gram"))
+    # Only substrings of stems go on.
+    held = cut.join(asked.select("_gram").distinct(), "_gram", "left_semi")
+    counts = held.groupBy("_gram").agg(F.count(F.lit(1)).alias("_texts"))
+    # A stem with a substring that no text has can be left out: nothing contains it.
+    rarest = (
+        asked.join(counts, "_gram", "left")
         .groupBy("_stem")
-        .agg(F.min("_text").alias("_text"))
+        .agg(F.min(F.struct(F.coalesce("_texts", F.lit(0)).alias("texts"), "_gram")).alias("_rare"))
+        .where("_rare.texts > 0")
+        .select("_stem", F.col("_rare._gram").alias("_gram"))
     )
+    return held.join(rarest, "_gram").select("_stem", "_text")
+
+
+def contains_lookup(left: DataFrame, stem: str, right: DataFrame, text: str) -> DataFrame:
+    """First row of ``right`` (by ``text``) whose text contains the stem; nulls when none does.
+
+    Instead of comparing every pair, stems meet the texts that have their rarest substring of a few
+    characters, and those pairs are verified.  Only texts go through this, written once; the first
+    text per stem is kept, with a partial minimum before the shuffle, and then brings its row.  An
+    empty stem is in every text.
+    """
+    scratch = Scratch(left.sparkSession)
+    stems = scratch.staged(left.select(F.col(stem).alias("_stem")).where("_stem is not null").distinct(), "stems")
+    texts = scratch.staged(right.select(F.col(text).alias("_text")).where("_text is not null").distinct(), "texts")
+    pairs = contains_candidates(stems, texts).where(F.contains("_text", "_stem"))
+    first = pairs.groupBy("_stem").agg(F.min("_text").alias("_text"))
+    least = texts.agg(F.min("_text")).scalar()
+    empty = stems.where("_stem = ''").withColumn("_text", least)
+    first = scratch.staged(first.unionByName(empty), "first")
     rows = (
         right.withColumn("_text", F.col(text))
         .join(first.select("_text").distinct(), "_text", "left_semi")

@@ -4,17 +4,28 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cliplake.operators import ordered
+from cliplake.runtime import Scratch
+
 MEGABYTE = 1024 * 1024
 
 
 def distribution(df: DataFrame, column: str, top: int | None = None) -> DataFrame:
-    """Row count per value, largest first; ties by value."""
+    """Row count per value, largest first; ties by value.  ``position`` counts from 0."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("count"))
-    ranked = counts.orderBy(F.desc("count"), F.asc_nulls_first(column))
-    return ranked if top is None else ranked.limit(top)
+    order = [F.desc("count"), F.asc_nulls_first(column)]
+    if top is not None:
+        return _positions(counts.orderBy(*order).limit(top), order)
+    return ordered.with_position(counts, order, "position", Scratch(df.sparkSession)).orderBy("position")
+
+
+def _positions(few: DataFrame, order: list[Column]) -> DataFrame:
+    """Number the rows of a list of limited length."""
+    place = F.row_number().over(Window.orderBy(*order)) - 1
+    return few.withColumn("position", place.cast("bigint"))
 
 
 def describe_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -114,17 +125,21 @@ def collection_counts(collections: dict[str, DataFrame]) -> DataFrame:
 def top_keywords(df: DataFrame, keywords: str = "keywords", top: int = 10) -> DataFrame:
     """Most frequent keywords over all documents; ties by word."""
     return (
-        df.select(F.explode(keywords).alias("keyword"))
+        # A plain explode makes Spark filter by the list's size first, which computes the list twice.
+        df.select(F.explode_outer(keywords).alias("keyword"))
+        .where(F.col("keyword").isNotNull())
         .groupBy(F.col("keyword.word").alias("word"))
         .agg(F.sum("keyword.frequency").alias("total_frequency"))
         .orderBy(F.desc("total_frequency"), "word")
         .limit(top)
+        .transform(_positions, [F.desc("total_frequency"), F.col("word")])
     )
 
 
 def top_rows(df: DataFrame, metric: str, tie: str, top: int) -> DataFrame:
-    """Rows with the largest metric; ties by name."""
-    return df.orderBy(F.desc(metric), tie).limit(top)
+    """Rows with the largest metric, numbered from 0; ties by name."""
+    order = [F.desc(metric), F.col(tie)]
+    return _positions(df.orderBy(*order).limit(top), order)
 
 
 def final_totals(summaries: DataFrame) -> DataFrame:

@@ -256,8 +256,9 @@ QUERIES = {
 def _distribution_sql(column: str, top: int | None) -> str:
     limit = "" if top is None else f" limit {top}"
     return with_views(
-        f"select {column}, count(*) as count from cleaned group by {column}"
-        f" order by count desc, {column}{limit}",
+        f"select {column}, count, row_number() over (order by count desc, {column} nulls first) - 1 as position"
+        f" from (select {column}, count(*) as count from cleaned group by {column})"
+        f" order by position{limit}",
         "cleaned",
     )
 
@@ -427,7 +428,8 @@ ORACLES = {
     ),
     **{name: _distribution_sql(*args) for name, args in DISTRIBUTIONS.items()},
     "dist_category": with_views(
-        """select category, count(*) as count from (select case
+        """select category, count(*) as count,
+          row_number() over (order by count(*) desc, category) - 1 as position from (select case
             when path like '%/high_quality/%' then 'high'
             when path like '%/medium_quality/%' then 'medium'
             when path like '%/low_quality/%' then 'low' else 'unknown' end as category

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cliplake.operators import cluster, documents, report
 from cliplake.queries import text as text_queries
 from cliplake.queries.oracle import with_views
+from cliplake.runtime import fresh_dir
 from cliplake.sinks import tables
 from cliplake.sources import views
 
@@ -74,6 +75,17 @@ def upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.upsert(old, new, "doc_id")
 
 
+def upsert_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A collection created, upserted twice, the second time with few keys, and read back."""
+    rows = views.table(spark, sf_dir, "documents")
+    store = tables.KeyedCollection(spark, f"{fresh_dir(spark, 'keyed')}/documents", "doc_id", rows_per_bucket=64)
+    store.upsert(rows.where("doc_id % 3 <> 0").select("doc_id", "n_chars", "lang"))
+    changed = rows.where("doc_id % 3 = 0 or doc_id % 2 = 0")
+    store.upsert(changed.select("doc_id", (F.col("n_chars") * 2).alias("n_chars"), "source"))
+    store.upsert(rows.where("doc_id % 50 = 7").select("doc_id", F.lit("late").alias("lang")))
+    return store.read()
+
+
 def final_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _final(spark, sf_dir).withColumn("keywords", text_queries.keyword_text())
 
@@ -107,6 +119,7 @@ QUERIES = {
     "max_keyframes": max_keyframes,
     "contains_lookup": contains_lookup,
     "upsert_merge": upsert_merge,
+    "upsert_stored": upsert_stored,
     "final_summary": final_summary,
     "final_totals": final_totals,
     "html_cards": html_cards,
@@ -128,13 +141,15 @@ ORACLES = {
         "video_docs",
     ),
     "top_videos": with_views(
-        """select video_name, num_keyframes from stats
-        order by num_keyframes desc, video_name limit 10""",
+        """select video_name, num_keyframes,
+          row_number() over (order by num_keyframes desc, video_name) - 1 as position
+        from stats order by position limit 10""",
         "stats",
     ),
     "max_keyframes": with_views(
-        """select video_name, num_keyframes from stats
-        order by num_keyframes desc, video_name limit 1""",
+        """select video_name, num_keyframes,
+          row_number() over (order by num_keyframes desc, video_name) - 1 as position
+        from stats order by position limit 1""",
         "stats",
     ),
     "contains_lookup": with_views(
@@ -153,6 +168,12 @@ ORACLES = {
           o.lang, n.source
         from (select * from documents where doc_id % 3 <> 0) o
         full join (select * from documents where doc_id % 3 = 0 or doc_id % 2 = 0) n on o.doc_id = n.doc_id""",
+    "upsert_stored": """
+        select doc_id, case when doc_id % 3 = 0 or doc_id % 2 = 0 then n_chars * 2
+            when doc_id % 3 <> 0 then n_chars end as n_chars,
+          case when doc_id % 50 = 7 then 'late' when doc_id % 3 <> 0 then lang end as lang,
+          case when doc_id % 3 = 0 or doc_id % 2 = 0 then source end as source
+        from documents""",
     "final_summary": with_views(
         """select video_name, summary_video_name, hdfs_path, num_keyframes, duration_seconds,
           text_summary, sentiment, keywords from final_summaries""",

@@ -97,7 +97,7 @@ def keyframe_select(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ordered_keyframes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster.ordered_keyframes(views.keyframes_det(spark, sf_dir)).select(
-        "video_name", "frame_number", "timestamp", "caption"
+        "position", "video_name", "frame_number", "timestamp", "caption"
     )
 
 
@@ -274,7 +274,8 @@ ORACLES = {
         "keyframes_det",
     ),
     "ordered_keyframes": with_views(
-        """select video_name, frame_number, timestamp, printf('t=%.1fs', timestamp) as caption
+        """select row_number() over (order by video_name, timestamp, frame_number) - 1 as position,
+          video_name, frame_number, timestamp, printf('t=%.1fs', timestamp) as caption
         from keyframes_det""",
         "keyframes_det",
     ),

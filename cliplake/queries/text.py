@@ -212,8 +212,9 @@ ORACLES = {
         "keyword_lists",
     ),
     "top_keywords": with_views(
-        """select word, cast(sum(frequency) as bigint) as total_frequency
-        from keyword_rows group by word order by total_frequency desc, word limit 10""",
+        """select *, row_number() over (order by total_frequency desc, word) - 1 as position
+        from (select word, cast(sum(frequency) as bigint) as total_frequency
+          from keyword_rows group by word) order by position limit 10""",
         "keyword_rows",
     ),
     "keyword_contains": with_views(
@@ -243,7 +244,10 @@ ORACLES = {
         "sentiments",
     ),
     "dist_sentiment": with_views(
-        "select sentiment, count(*) as count from sentiments group by sentiment", "sentiments"
+        """select sentiment, count(*) as count,
+          row_number() over (order by count(*) desc, sentiment) - 1 as position
+        from sentiments group by sentiment""",
+        "sentiments",
     ),
     "filter_equals": with_views(
         "select doc_id, sentiment from sentiments where sentiment = 'negative'", "sentiments"

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cliplake.functions import html
 from cliplake.operators import documents
@@ -69,6 +72,73 @@ class Collections:
         return self.overwrite(documents.upsert(self.read(name), df, key), name)
 
 
+class KeyedCollection:
+    """A collection of rows with a key, in buckets of the key's hash.
+
+    An upsert reads and writes only the buckets that its keys fall into.  Version ``n`` writes these
+    to ``data-<n>/bucket=<b>`` and a table ``manifest-<n>`` that tells for every bucket which version
+    holds it; an empty file ``current-<n>`` completes it.  Files of other buckets stay as they are.
+    The number of buckets follows the rows of the first write and then stays.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, key: str, rows_per_bucket: int = 100_000):
+        self.spark, self.root, self.key = spark, root.rstrip("/"), key
+        self.rows_per_bucket = rows_per_bucket
+
+    def _numbers(self, prefix: str) -> list[int]:
+        tails = [n.removeprefix(prefix) for n in child_names(self.spark, self.root) if n.startswith(prefix)]
+        return sorted(int(tail) for tail in tails if tail.isdigit())
+
+    def _manifest(self) -> tuple[dict[int, int], T.StructType, int] | None:
+        """Version of every bucket with rows, the schema and the number of buckets, of the last version."""
+        versions = self._numbers("current-")
+        if not versions:
+            return None
+        rows = self.spark.read.parquet(f"{self.root}/manifest-{versions[-1]}").collect()
+        schema = T.StructType.fromJson(json.loads(rows[0]["schema"]))
+        return {r["bucket"]: r["version"] for r in rows if r["bucket"] is not None}, schema, rows[0]["buckets"]
+
+    def _rows(self, versions: dict[int, int], schema: T.StructType) -> DataFrame:
+        paths = [f"{self.root}/data-{version}/bucket={bucket}" for bucket, version in sorted(versions.items())]
+        # Columns that an older bucket does not have yet read as null.
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def _bucket(self, buckets: int) -> Column:
+        return F.pmod(F.xxhash64(self.key), F.lit(buckets)).cast("int")
+
+    def read(self) -> DataFrame:
+        known = self._manifest()
+        if known is None:
+            raise ValueError(f"no collection in {self.root}")
+        return self._rows(*known[:2])
+
+    def upsert(self, df: DataFrame) -> DataFrame:
+        """Merge rows by key: the given fields win, other fields survive, new keys are added.
+
+        ``df`` has one row per key.  Gives the collection as it is then.
+        """
+        known = self._manifest()
+        if known is None:
+            versions, buckets = {}, max(1, -(-df.count() // self.rows_per_bucket))
+            merged = df
+        else:
+            versions, schema, buckets = known
+            met = {row[0] for row in df.select(self._bucket(buckets)).distinct().collect()}
+            old = self._rows({b: v for b, v in versions.items() if b in met}, schema)
+            merged = documents.upsert(old, df, self.key)
+        number = max([0, *self._numbers("data-"), *self._numbers("current-")]) + 1
+        placed = merged.withColumn("bucket", self._bucket(buckets)).repartition("bucket")
+        placed.write.partitionBy("bucket").parquet(f"{self.root}/data-{number}")
+        written = child_names(self.spark, f"{self.root}/data-{number}")
+        versions |= {int(n.removeprefix("bucket=")): number for n in written if n.startswith("bucket=")}
+        text = json.dumps(merged.schema.jsonValue())
+        rows = [(bucket, version, text, buckets) for bucket, version in versions.items()] or [(None, None, text, buckets)]
+        manifest = self.spark.createDataFrame(rows, "bucket int, version int, schema string, buckets int")
+        manifest.coalesce(1).write.parquet(f"{self.root}/manifest-{number}")
+        touch(self.spark, f"{self.root}/current-{number}")
+        return self.read()
+
+
 def write_records(lines: DataFrame, path: str, per_file: int = 1000) -> None:
     """Write one text column as container files of at most ``per_file`` records."""
     lines.write.mode("overwrite").option("lineSep", RECORD_END).option(

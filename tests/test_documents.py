@@ -260,6 +260,47 @@ def test_final_summaries_and_report(spark, tmp_path):
     assert '<p class="positive">POSITIVE</p>' in page and "No summary available" in page
 
 
+def test_keyed_collection_rewrites_only_what_it_meets(spark, tmp_path):
+    root = str(tmp_path / "rows")
+    store = tables.KeyedCollection(spark, root, "k", rows_per_bucket=50)
+    with pytest.raises(ValueError):
+        store.read()
+    old = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("x"))
+    assert store.upsert(old).count() == 1000
+    before = set(store.read().inputFiles())
+    assert len(before) == 20
+    new = spark.createDataFrame([(7, "seven"), (5000, "new")], "k long, y string")
+    rows = {r.k: (r.x, r.y) for r in store.upsert(new).collect()}
+    assert len(rows) == 1001 and rows[7] == (14, "seven") and rows[5000] == (None, "new") and rows[8] == (16, None)
+    after = set(store.read().inputFiles())
+    assert len(after) == 20 and len(before - after) <= 2
+    again = {r.k: (r.x, r.y) for r in store.upsert(new).collect()}
+    assert again == rows
+    # A write that did not end is not read, and its number is not used again.
+    spark.range(1).select(F.lit(1).alias("x")).write.parquet(f"{root}/data-9")
+    assert store.read().count() == 1001
+    assert store.upsert(new.limit(0)).count() == 1001
+    assert tables.KeyedCollection(spark, str(tmp_path / "none"), "k").upsert(new.limit(0)).count() == 0
+
+
+def test_contains_lookup_by_rare_substrings(spark):
+    names = [f"/user/audio/video_{i}.wav" for i in range(2000)] + [None, "", "xy"]
+    stems = [f"video_{i}" for i in range(0, 2500, 50)] + ["", None, "xy", "x", "audio", "absent"]
+    left = spark.createDataFrame([(s,) for s in stems], "stem string")
+    right = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "name string, n int")
+    found = {r.stem: r.name for r in documents.contains_lookup(left, "stem", right, "name").collect()}
+    for stem in stems:
+        fits = sorted(n for n in names if n is not None and stem is not None and stem in n)
+        assert found[stem] == (fits[0] if fits else None)
+    some = left.where("stem like 'video%'").selectExpr("stem as _stem")
+    texts = right.where("name is not null").selectExpr("name as _text")
+    pairs = documents.contains_candidates(some, texts)
+    matches = pairs.where(F.contains("_text", "_stem")).count()
+    assert 0 < matches <= pairs.count() <= 10 * matches
+    none = documents.contains_lookup(left.limit(0), "stem", right, "name")
+    assert none.count() == 0 and documents.contains_lookup(left, "stem", right.limit(0), "name").count() == len(stems)
+
+
 def test_upsert(spark, tmp_path):
     old = spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0)], "k int, x string, y double")
     new = spark.createDataFrame([(2, None, True), (3, "c", False)], "k int, x string, z boolean")
