@@ -5,17 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cliplake.functions import html
 from cliplake.operators import cluster, documents, report
 from cliplake.queries import text as text_queries
 from cliplake.queries.oracle import with_views
 from cliplake.runtime import fresh_dir
 from cliplake.sinks import tables
-from cliplake.sources import views
+from cliplake.sources import files, views
 
 
-def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _documents(spark: SparkSession, sf_dir: str, keyframes: DataFrame | None = None) -> DataFrame:
     return documents.video_documents(
-        views.keyframes_det(spark, sf_dir),
+        views.keyframes_det(spark, sf_dir) if keyframes is None else keyframes,
         text_queries.text_results(spark, sf_dir),
         text_queries.PROCESSED_AT,
     )
@@ -100,15 +101,23 @@ def html_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.report_cards(_final(spark, sf_dir))
 
 
+def html_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of the whole report page, written and read back in order."""
+    root = fresh_dir(spark, "report")
+    tables.write_html_report(_final(spark, sf_dir), root)
+    return files.numbered_lines(spark, root)
+
+
 def collection_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = views.frames(spark, sf_dir)
     keyframes = views.keyframes_det(spark, sf_dir)
+    # A video that goes on in further parts is one document.
     return report.collection_counts(
         {
             "keyframes": keyframes,
             "nlp_results": views.transcripts(spark, sf_dir),
-            "summary_statistics": cluster.keyframe_stats(frames, keyframes),
-            "video_summaries": _documents(spark, sf_dir),
+            "summary_statistics": cluster.keyframe_stats(frames, keyframes).where("part = 0"),
+            "video_summaries": _documents(spark, sf_dir, keyframes).where("part = 0"),
         }
     )
 
@@ -123,6 +132,7 @@ QUERIES = {
     "final_summary": final_summary,
     "final_totals": final_totals,
     "html_cards": html_cards,
+    "html_report": html_report,
     "collection_counts": collection_counts,
 }
 
@@ -131,6 +141,19 @@ def _escaped(text: str) -> str:
     return f"replace(replace(replace({text}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+CARDS = f"""select video_name, concat('<article><h2>', video_name, '</h2><p>Keyframes: ',
+          num_keyframes, '</p><p>Duration: ', duration_seconds, 's</p><p class="',
+          coalesce(sentiment, 'neutral'), '">', upper(coalesce(sentiment, 'neutral')),
+          '</p><p>Summary: ', {_escaped("coalesce(text_summary, 'No summary available')")},
+          '</p><p>Keywords: ', coalesce(tags, ''), '</p></article>') as card
+        from final_summaries f left join (select doc_id, string_agg(concat('<span class="tag">',
+            {_escaped("word")}, ' (', frequency, ')</span>'), '' order by rnk) as tags
+          from keyword_rows group by doc_id) k on f.doc_id = k.doc_id"""
+
 ORACLES = {
     "video_document": with_views(
         f"""select video_name, 0::bigint as part, num_keyframes, keyframe_details, transcript,
@@ -185,15 +208,13 @@ ORACLES = {
           round(sum(duration_seconds) / 60::double, 6) as total_minutes from final_summaries""",
         "final_summaries",
     ),
-    "html_cards": with_views(
-        f"""select video_name, concat('<article><h2>', video_name, '</h2><p>Keyframes: ',
-          num_keyframes, '</p><p>Duration: ', duration_seconds, 's</p><p class="',
-          coalesce(sentiment, 'neutral'), '">', upper(coalesce(sentiment, 'neutral')),
-          '</p><p>Summary: ', {_escaped("coalesce(text_summary, 'No summary available')")},
-          '</p><p>Keywords: ', coalesce(tags, ''), '</p></article>') as card
-        from final_summaries f left join (select doc_id, string_agg(concat('<span class="tag">',
-            {_escaped("word")}, ' (', frequency, ')</span>'), '' order by rnk) as tags
-          from keyword_rows group by doc_id) k on f.doc_id = k.doc_id""",
+    "html_cards": with_views(CARDS, "final_summaries", "keyword_rows"),
+    "html_report": with_views(
+        f"""select row_number() over (order by place, video_name, k) - 1 as line_no, line
+        from (select place, video_name, unnest(lines) as line, unnest(range(len(lines))) as k
+          from (select 0 as place, '' as video_name, string_split({_quoted(html.HEAD)}, chr(10)) as lines
+            union all select 1, video_name, [card] from ({CARDS})
+            union all select 2, '', string_split({_quoted(html.FOOT)}, chr(10))))""",
         "final_summaries",
         "keyword_rows",
     ),
