@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -56,12 +57,15 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
-        """Delete the tables of these names, whose last reader has ended."""
+        """Delete the tables of these names, whose last reader has ended, and shuffle files of ended
+        steps, which Spark removes once nothing on the driver refers to them any more."""
         gone = [path for path in self.paths if path.rsplit("/", 1)[1].rsplit("-", 1)[0] in names]
         for path in gone:
             hadoop_path, fs = _hadoop_path(self.spark, path)
             fs.delete(hadoop_path, True)
             self.paths.remove(path)
+        gc.collect()
+        self.spark._jvm.System.gc()
 
     def result(self, df: DataFrame, name: str) -> DataFrame:
         """Write the result, then delete the tables that led to it."""
