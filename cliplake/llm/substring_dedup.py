@@ -48,7 +48,7 @@ BROADCAST_SPANS = 500_000
 #: Windows of a group that meet all others of it.
 GROUP = 32
 #: Rounds of leaders in larger groups at most, and pairs for each open window that end them.
-ROUNDS, PAIRS_PER_WINDOW = 12, 4
+ROUNDS, PAIRS_PER_WINDOW = 4, 16
 
 #: Bits of a packed window: position, mark of the content, left span, right span.
 _SPAN_BITS, _MARK_BITS = 6, 22
@@ -265,7 +265,12 @@ def repeated_spans(
     if not 0 < width <= 1 << _SPAN_BITS:
         raise ValueError(f"passages of {size} to {(1 << _SPAN_BITS) + size - 1} words")
     scratch = Scratch(docs.sparkSession)
-    staged = scratch.staged
+
+    def staged(df: DataFrame, name: str) -> DataFrame:
+        table = scratch.staged(df, name)
+        scratch.drop()
+        return table
+
     source = docs.select(
         F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")
     ).where("id is not null")
@@ -460,7 +465,7 @@ WINDOW = T.ArrayType(
             T.StructField("left", T.IntegerType()),
             T.StructField("right", T.IntegerType()),
             T.StructField("open", T.BooleanType()),
-            T.StructField("shingles", T.ArrayType(T.LongType())),
+            T.StructField("shingles", T.ArrayType(T.IntegerType())),
         ]
     )
 )
@@ -482,7 +487,7 @@ def _contents(
             for lo, hi in words.batches_of_rows(batch, batch.column("text"), 4 << 20):
                 part = batch.slice(lo, hi - lo)
                 values, firsts = _shingled(part.column("text"), size)
-                values = (values >> np.uint64(32)).astype(np.int64)
+                values = (values >> np.uint64(32)).astype(np.uint32).view(np.int32)
                 windows = part.column("windows")
                 counts = np.diff(windows.offsets.to_numpy())
                 flat = windows.flatten()
@@ -522,7 +527,7 @@ def _rarest(values: np.ndarray, counts: np.ndarray, left: int, width: int, perce
 def _rare_entries(ranked: DataFrame, width: int, percent: int) -> DataFrame:
     """One row per window and rare shingle of it that other windows of the group hold too."""
     names = ["group", "id", "at", "left", "right", "open"]
-    schema = T.StructType([*[ranked.schema[n] for n in names], T.StructField("rare", T.LongType())])
+    schema = T.StructType([*[ranked.schema[n] for n in names], T.StructField("rare", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
