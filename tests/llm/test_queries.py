@@ -46,3 +46,24 @@ def test_pipeline_stages_keep_columns(spark):
         count = left
     assert docs.select("doc_id").distinct().count() == docs.count()
     assert docs.where("taken <> copies * size or copies < 1").count() == 0
+
+
+def test_pipeline_loses_no_text_to_ids(spark):
+    """Rows that share an id and rows without one are documents of their own in every stage."""
+    texts = [" ".join(f"t{i}w{k}" for k in range(120)) for i in range(5)]
+    rows = [(1, texts[0]), (1, texts[1]), (None, texts[2]), (None, texts[3]), (3, texts[4]), (1, texts[0]), (None, texts[4])]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, size string"
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t), "big") for i, t in rows], schema)
+    stages = dict(corpus_pipeline.STAGES)
+    kept = stages["near_dedup"](spark, docs, SF)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == sorted(
+        [(1, texts[0]), (1, texts[1]), (0, texts[2]), (0, texts[3]), (3, texts[4])]
+    )
+    cut = {(r.doc_id, r.text) for r in stages["substring_dedup"](spark, docs, SF).collect()}
+    assert {t for _, t in cut} == set(texts) and len(cut) == 5
+    assert stages["decontamination"](spark, docs, SF).count() == 7
+    mixed = stages["mixing"](spark, docs, SF)
+    assert mixed.columns[:6] == docs.columns
+    assert set(mixed.columns[6:]) == {"mix_size", "source_size", "target", "copies", "taken"}
+    assert {r.text for r in mixed.collect()} == set(texts) and mixed.count() == 7
