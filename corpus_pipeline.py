@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from cliplake.llm import decontaminate, mixing, near_dedup, substring_dedup, toxicity
 from cliplake.llm.queries import HELD_OUT, table
-from cliplake.runtime import staged
+from cliplake.operators import ordered
+from cliplake.runtime import Scratch, staged
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,15 +27,31 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where("predicted = 0").select("row.*")
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Every row as ``row`` with a number ``_key`` of its own, in the order of doc_id.
+
+    That is the id where all rows have ids of their own.  Otherwise rows are numbered by id and
+    content, those without an id last, so that no text is lost to another row's id.
+    """
+    rows, ids = docs.agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
+    packed = docs.select("doc_id", F.struct("*").alias("row"))
+    if rows == ids:
+        return packed.withColumnRenamed("doc_id", "_key")
+    content = packed.withColumn("_content", F.sha2(F.to_json("row"), 256))
+    order = [F.asc_nulls_last("doc_id"), "_content"]
+    return ordered.with_position(content, order, "_key", Scratch(docs.sparkSession)).select("_key", "row")
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document per component of near duplicates (shingles of five words, similarity 0.8).
 
-    Rows that repeat an id are one document.  Rows without an id cannot be told apart and go.
+    Rows that share an id, and rows without one, are documents of their own.
     """
-    found = near_dedup.near_duplicates(docs)
-    kept = found.where("kept").select("doc_id").distinct()
-    # Most ids are kept, so this join is left to Spark and its size statistics.
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    keyed = _keyed(docs)
+    found = near_dedup.near_duplicates(keyed.select(F.col("_key").alias("doc_id"), "row.text"))
+    kept = found.where("kept").select(F.col("doc_id").alias("_key"))
+    # Most rows are kept, so this join is left to Spark and its size statistics.
+    return keyed.join(kept, "_key", "left_semi").select("row.*")
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,11 +59,13 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
     A document of which no word is left goes; one that had none stays.
     """
-    spans = substring_dedup.repeated_spans(docs)
-    had = docs.withColumn("_had", F.coalesce(F.col("text").rlike(mixing.WORD), F.lit(False)))
-    cut = substring_dedup.without_spans(had, spans)
-    left = cut.where(~F.col("_had") | F.col("text").rlike(mixing.WORD))
-    return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+    keyed = _keyed(docs).select("_key", "row", "row.text")
+    spans = substring_dedup.repeated_spans(keyed, id="_key")
+    cut = substring_dedup.without_spans(keyed, spans, id="_key")
+    had = F.coalesce(F.col("row.text").rlike(mixing.WORD), F.lit(False))
+    left = cut.where(~had | F.col("text").rlike(mixing.WORD))
+    chars = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return left.select(F.col("row").withField("text", F.col("text")).withField("n_chars", chars).alias("row")).select("row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,9 +78,14 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents of the mix with size, source_size, target, copies and taken."""
-    mix = mixing.mixed(docs).where("copies > 0").drop("source")
-    return docs.join(mix, "doc_id")
+    """The documents of the mix with size, source_size, target, copies and taken; where documents
+    have such a column the new one is called mix_size and so on."""
+    keyed = _keyed(docs)
+    mix = mixing.mixed(keyed.select(F.col("_key").alias("doc_id"), "row.source", "row.text")).where("copies > 0")
+    names = [name for name in mix.columns if name not in ("doc_id", "source")]
+    facts = mix.select(F.col("doc_id").alias("_key"), F.struct(*names).alias("mix"))
+    new = [F.col("mix")[name].alias(f"mix_{name}" if name in docs.columns else name) for name in names]
+    return keyed.join(facts, "_key").select("row.*", *new)
 
 
 STAGES = [
