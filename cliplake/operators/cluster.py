@@ -87,14 +87,10 @@ def in_parts(
     return numbered.withColumn("part", F.floor(F.col("_position") / rows_per_part))
 
 
-def keyframe_stats(
-    frames: DataFrame, keyframes: DataFrame, rows_per_part: int = 10000
-) -> DataFrame:
-    """Keyframe count, first and last time, clusters and compression ratio per video.
+def keyframe_figures(frames: DataFrame, keyframes: DataFrame) -> DataFrame:
+    """Keyframe count, first and last time and compression ratio, one row per video.
 
-    Videos without a keyframe drop out.  The cluster list of a video with more than
-    ``rows_per_part`` keyframes goes on in further rows (``part`` 1, 2, ...); the other columns
-    hold the figures of the whole video in each of them.
+    Videos without a keyframe drop out.
     """
     frame_counts = frames.groupBy("video_name").agg(
         F.count(F.lit(1)).alias("original_frame_count")
@@ -104,18 +100,28 @@ def keyframe_stats(
         F.min("timestamp").alias("first_keyframe_time"),
         F.max("timestamp").alias("last_keyframe_time"),
     )
+    ratio = F.col("original_frame_count") / F.col("num_keyframes")
+    return totals.join(frame_counts, "video_name").withColumn("compression_ratio", ratio)
+
+
+def keyframe_stats(
+    frames: DataFrame, keyframes: DataFrame, rows_per_part: int = 10000
+) -> DataFrame:
+    """The figures of each video (``keyframe_figures``) with the clusters of its keyframes.
+
+    The cluster list of a video with more than ``rows_per_part`` keyframes goes on in further rows
+    (``part`` 1, 2, ...) that repeat the figures; lists and figures meet by (video, part), so that
+    one video's lists never gather in one task.
+    """
     lists = (
         in_parts(keyframes, rows_per_part)
         .groupBy("video_name", "part")
         .agg(F.sort_array(F.collect_list("cluster")).alias("clusters_represented"))
     )
-    return (
-        lists.join(totals, "video_name")
-        .join(frame_counts, "video_name")
-        .withColumn(
-            "compression_ratio", F.col("original_frame_count") / F.col("num_keyframes")
-        )
-    )
+    last = F.floor((F.col("num_keyframes") - 1) / rows_per_part)
+    figures = keyframe_figures(frames, keyframes)
+    for_each = figures.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    return lists.join(for_each, ["video_name", "part"])
 
 
 def overall_ratio(frames: DataFrame, keyframes: DataFrame) -> DataFrame:

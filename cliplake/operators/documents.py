@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cliplake.functions import paths
@@ -26,28 +26,15 @@ def with_lineage(df: DataFrame, processed_at: datetime, data_type: str) -> DataF
     )
 
 
-def video_documents(
+def video_facts(
     keyframes: DataFrame,
     text_results: DataFrame,
     processed_at: datetime,
     version: str = "1.0",
     pipeline: str = "files -> Spark -> documents",
-    details_per_document: int = DETAILS_PER_DOCUMENT,
 ) -> DataFrame:
-    """One document per video with its keyframes nested, and its text results when there are any.
-
-    Text results are matched by file name.  A video with more keyframes than fit in one document
-    continues in documents with ``part`` 1, 2, ...
-    """
-    details = F.sort_array(
-        F.collect_list(F.struct("frame_number", "timestamp", "cluster"))
-    ).alias("keyframe_details")
-    videos = (
-        cluster.in_parts(keyframes, details_per_document)
-        .groupBy("video_name", "part")
-        .agg(F.count(F.lit(1)).alias("in_part"), details)
-        .withColumn("num_keyframes", F.sum("in_part").over(Window.partitionBy("video_name")))
-    )
+    """One row per video: its number of keyframes and its text results, matched by file name."""
+    counted = keyframes.groupBy("video_name").agg(F.count(F.lit(1)).alias("num_keyframes"))
     texts = text_results.select(
         paths.video_name_of_audio(paths.basename(F.col("filename"))).alias("video_name"),
         "transcript",
@@ -56,22 +43,61 @@ def video_documents(
         "keywords",
         "duration",
     )
-    return videos.join(texts, "video_name", "left").select(
-        "video_name",
-        "part",
-        "num_keyframes",
-        "keyframe_details",
-        "transcript",
-        "summary",
-        "sentiment",
-        "keywords",
-        "duration",
+    return counted.join(texts, "video_name", "left").select(
+        "*",
         F.lit(processed_at.isoformat(" ")).cast("timestamp_ntz").alias("processing_timestamp"),
         F.lit(version).alias("summary_version"),
         F.lit(pipeline).alias("processing_pipeline"),
     )
 
 
+def video_parts(keyframes: DataFrame, details_per_document: int = DETAILS_PER_DOCUMENT) -> DataFrame:
+    """The keyframes of each video in time, nested in parts of bounded size."""
+    details = F.sort_array(F.collect_list(F.struct("frame_number", "timestamp", "cluster")))
+    return (
+        cluster.in_parts(keyframes, details_per_document)
+        .groupBy("video_name", "part")
+        .agg(details.alias("keyframe_details"))
+    )
+
+
+def joined_documents(
+    facts: DataFrame, parts: DataFrame, details_per_document: int = DETAILS_PER_DOCUMENT
+) -> DataFrame:
+    """Documents from the facts of videos and their parts.
+
+    The facts are repeated for the parts that their count gives, so both sides meet by (video, part):
+    nested lists stay where their part was collected, and no video gathers all of its parts.
+    """
+    last = F.floor((F.col("num_keyframes") - 1) / details_per_document)
+    for_each = facts.withColumnRenamed("video_name", "_video").withColumn(
+        "_part", F.explode(F.sequence(F.lit(0).cast("bigint"), last))
+    )
+    rest = [column for column in facts.columns if column not in ("video_name", "num_keyframes")]
+    # Rows without a video name are one video of their own.
+    same = F.col("video_name").eqNullSafe(F.col("_video")) & (F.col("part") == F.col("_part"))
+    return parts.join(for_each, same).select(
+        "video_name", "part", "num_keyframes", "keyframe_details", *rest
+    )
+
+
+def video_documents(
+    keyframes: DataFrame,
+    text_results: DataFrame,
+    processed_at: datetime,
+    version: str = "1.0",
+    pipeline: str = "files -> Spark -> documents",
+    details_per_document: int = DETAILS_PER_DOCUMENT,
+) -> DataFrame:
+    """One document per video with its keyframes nested, and its text results when there are any.
+
+    A video with more keyframes than fit in one document continues in documents with ``part`` 1, 2,
+    ...  ``keyframes`` is read twice, give a written table.
+    """
+    facts = video_facts(keyframes, text_results, processed_at, version, pipeline)
+    return joined_documents(facts, video_parts(keyframes, details_per_document), details_per_document)
+
+
 def _grams(text: str, size: int) -> Column:
     """All different substrings of this size; of shorter texts none."""
     starts = F.sequence(F.lit(1), F.length(text) - size + 1)

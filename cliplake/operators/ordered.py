@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from cliplake.params import ROWS_PER_SLICE
-from cliplake.runtime import Scratch
+from cliplake.runtime import Scratch, staged
 
 
 def slice_of(position: Column, rows: int = ROWS_PER_SLICE) -> Column:
@@ -111,32 +111,40 @@ def number_rows(
     return counted.withColumn(name, F.col(name) - 1)
 
 
-def with_neighbour_rows(
-    df: DataFrame, keys: list[str], order: list[str], slice_id: Column
+def with_edge_rows(
+    df: DataFrame, keys: list[str], order: list[str], partitions: int | None = None
 ) -> DataFrame:
-    """Copy the rows next to each slice into it, marked ``_copied``.
+    """Deal rows to tasks by ranges of (keys, order) and exchange the rows at the edges.
 
-    Windows that look one row back or ahead can then run per (keys, ``_slice``); drop the copied
-    rows afterwards.
+    Adds ``_range``, the range of a row, and ``_copied``: the last row of the range before and the
+    first of the range behind are copied into each range.  Windows that look one row back or ahead
+    can then run per (``_range``, keys); drop the copied rows afterwards.  Ranges follow the rows, not
+    the clock, so a group of any size and density spreads over tasks.  The dealt rows are written, as
+    the ranges of a second run could differ; only the numbers of the ranges reach the driver.
     """
-    sliced = df.withColumn("_slice", slice_id)
-    payload = [column for column in df.columns if column not in keys and column not in order]
-    row = F.struct(*order, *payload)
-    along = Window.partitionBy(*keys).orderBy("_slice")
+    by = [*keys, *order]
+    dealt = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
+    placed = staged(dealt.withColumn("_range", F.spark_partition_id()), "ranges")
+    row = F.struct(*by, *[column for column in df.columns if column not in by])
+    edges = placed.groupBy("_range").agg(F.min(row).alias("first"), F.max(row).alias("last"))
+    numbers = sorted(number for (number,) in placed.select("_range").distinct().collect())
+    before = dict(zip(numbers[1:], numbers))
+    behind = dict(zip(numbers, numbers[1:]))
+
+    def neighbour(of: dict[int, int]) -> Column:
+        places = [F.lit(of.get(number)).cast("int") for number in range(max(numbers, default=0) + 1)]
+        return F.get(F.array(*places), F.col("_range"))
+
+    moves = F.array(
+        F.struct(neighbour(before).alias("to"), F.col("first").alias("row")),
+        F.struct(neighbour(behind).alias("to"), F.col("last").alias("row")),
+    )
     copies = (
-        sliced.groupBy(*keys, "_slice")
-        .agg(F.min(row).alias("first"), F.max(row).alias("last"))
-        .select(
-            *keys,
-            "_slice",
-            F.lag("last").over(along).alias("before"),
-            F.lead("first").over(along).alias("after"),
-        )
-        .select(*keys, "_slice", F.explode(F.array("before", "after")).alias("row"))
-        .where(F.col("row").isNotNull())
-        .select(*keys, "_slice", "row.*", F.lit(True).alias("_copied"))
+        edges.select(F.explode(moves).alias("move"))
+        .where("move.to is not null")
+        .select("move.row.*", F.col("move.to").alias("_range"), F.lit(True).alias("_copied"))
     )
-    return sliced.withColumn("_copied", F.lit(False)).unionByName(copies)
+    return placed.withColumn("_copied", F.lit(False)).unionByName(copies)
 
 
 def slice_window(keys: list[str], order: list[str]):

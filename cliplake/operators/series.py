@@ -10,9 +10,6 @@ from cliplake.operators import ordered
 from cliplake.params import ROWS_PER_SLICE
 from cliplake.runtime import staged
 
-# One slice of a video covers this many seconds of frames.
-SLICE_SECONDS = 4096
-
 
 def frame_index(
     df: DataFrame, key: str, order: list[str], slice_id: Column, step_seconds: float = 1.0
@@ -26,22 +23,21 @@ def window_collect(
     frames: DataFrame,
     features: str = "features",
     key: str = "video_name",
-    slice_seconds: int = SLICE_SECONDS,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Collect the features of the frame before, the frame and the frame after.
 
-    The first and last frame of a video get two vectors, a single frame gets one.
+    The first and last frame of a video get two vectors, a single frame gets one.  ``partitions``
+    is the number of ranges that frames are dealt to, else as many as shuffles have.
     """
     order = ["timestamp", "frame_number"]
     narrow = frames.withColumn(features, vectors.as_doubles(F.col(features)))
-    with_edges = ordered.with_neighbour_rows(
-        narrow, [key], order, ordered.slice_of(F.col("timestamp"), slice_seconds)
-    )
-    centred = ordered.slice_window([key], order).rowsBetween(-1, 1)
+    with_edges = ordered.with_edge_rows(narrow, [key], order, partitions)
+    centred = Window.partitionBy("_range", key).orderBy(*order).rowsBetween(-1, 1)
     collected = with_edges.withColumn(
         "features_in_window", F.collect_list(features).over(centred)
     )
-    return collected.where(~F.col("_copied")).drop("_slice", "_copied")
+    return collected.where(~F.col("_copied")).drop("_range", "_copied")
 
 
 def smooth(frames: DataFrame, features: str = "features", sigma: float = 1.0) -> DataFrame:

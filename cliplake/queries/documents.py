@@ -14,14 +14,23 @@ from cliplake.sinks import tables
 from cliplake.sources import files, views
 
 
-def _documents(spark: SparkSession, sf_dir: str, keyframes: DataFrame | None = None) -> DataFrame:
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.video_documents(
-        views.keyframes_det(spark, sf_dir) if keyframes is None else keyframes,
+        views.keyframes_det(spark, sf_dir),
         text_queries.text_results(spark, sf_dir),
         text_queries.PROCESSED_AT,
     )
 
 
+def video_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    facts = documents.video_facts(
+        views.keyframes_det(spark, sf_dir),
+        text_queries.text_results(spark, sf_dir),
+        text_queries.PROCESSED_AT,
+    )
+    return facts.withColumn("keywords", text_queries.keyword_text())
+
+
 def _final(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.final_summaries(
         views.keyframes_det(spark, sf_dir), text_queries.text_results(spark, sf_dir)
@@ -111,19 +120,22 @@ def html_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def collection_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = views.frames(spark, sf_dir)
     keyframes = views.keyframes_det(spark, sf_dir)
-    # A video that goes on in further parts is one document.
+    facts = documents.video_facts(
+        keyframes, text_queries.text_results(spark, sf_dir), text_queries.PROCESSED_AT
+    )
     return report.collection_counts(
         {
             "keyframes": keyframes,
             "nlp_results": views.transcripts(spark, sf_dir),
-            "summary_statistics": cluster.keyframe_stats(frames, keyframes).where("part = 0"),
-            "video_summaries": _documents(spark, sf_dir, keyframes).where("part = 0"),
+            "summary_statistics": cluster.keyframe_figures(frames, keyframes),
+            "video_summaries": facts,
         }
     )
 
 
 QUERIES = {
     "video_document": video_document,
+    "video_facts": video_facts,
     "top_videos": top_videos,
     "max_keyframes": max_keyframes,
     "contains_lookup": contains_lookup,
@@ -163,6 +175,13 @@ ORACLES = {
         from video_docs""",
         "video_docs",
     ),
+    "video_facts": with_views(
+        f"""select video_name, num_keyframes, transcript, summary, sentiment, keywords, duration,
+          timestamp '{text_queries.PROCESSED_AT}' as processing_timestamp,
+          '1.0' as summary_version, 'files -> Spark -> documents' as processing_pipeline
+        from video_docs""",
+        "video_docs",
+    ),
     "top_videos": with_views(
         """select video_name, num_keyframes,
           row_number() over (order by num_keyframes desc, video_name) - 1 as position

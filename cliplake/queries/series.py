@@ -101,14 +101,10 @@ def ordered_keyframes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cluster.keyframe_stats(views.frames(spark, sf_dir), views.keyframes_det(spark, sf_dir))
-
-
 def keyframe_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     clusters = F.array_join(F.col("clusters_represented").cast("array<string>"), ",")
     return (
-        _stats(spark, sf_dir)
+        cluster.keyframe_stats(views.frames(spark, sf_dir), views.keyframes_det(spark, sf_dir))
         .withColumn("clusters_represented", clusters)
         .withColumn("compression_ratio", F.round("compression_ratio", 6))
     )
@@ -124,8 +120,8 @@ def overall_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def compression_average(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = _stats(spark, sf_dir).where("part = 0")
-    stats = report.global_stats(first, ["compression_ratio"], ["num_keyframes"])
+    figures = cluster.keyframe_figures(views.frames(spark, sf_dir), views.keyframes_det(spark, sf_dir))
+    stats = report.global_stats(figures, ["compression_ratio"], ["num_keyframes"])
     return stats.withColumn("avg_compression_ratio", F.round("avg_compression_ratio", 6))
 
 

@@ -246,6 +246,17 @@ def test_video_documents_in_parts(spark):
     assert {r.processing_timestamp for r in docs} == {NOW}
 
 
+def test_video_facts_are_one_row_per_video(spark):
+    keyframes, texts = _keyframes(spark), _texts(spark)
+    facts = documents.video_facts(keyframes, texts, NOW).collect()
+    assert sorted((r.video_name, r.num_keyframes, r.sentiment) for r in facts) == [
+        ("a.mp4", 7, "positive"), ("b.mp4", 1, None)
+    ]
+    unnamed = keyframes.withColumn("video_name", F.lit(None).cast("string"))
+    parts = documents.video_documents(unnamed, texts, NOW, details_per_document=5).collect()
+    assert sorted((r.part, r.num_keyframes, len(r.keyframe_details)) for r in parts) == [(0, 8, 5), (1, 8, 3)]
+
+
 def test_final_summaries_and_report(spark, tmp_path):
     final = documents.final_summaries(_keyframes(spark), _texts(spark))
     totals = report.final_totals(final).first()

@@ -89,19 +89,38 @@ def _frame_rows(spark):
     return rows, spark.createDataFrame(rows, schema)
 
 
-@pytest.mark.parametrize("seconds", [1, 5, 10000])
-def test_smoothing_windows(spark, seconds):
+@pytest.mark.parametrize("partitions", [1, 7, 60])
+def test_smoothing_windows(spark, partitions):
     rows, frames = _frame_rows(spark)
     by_video = {}
     for video, i, _, features in sorted(rows):
         by_video.setdefault(video, []).append(features)
-    found = series.window_collect(frames, slice_seconds=seconds).collect()
+    found = series.window_collect(frames, partitions=partitions).collect()
     assert len(found) == len(rows)
     for r in found:
         window = by_video[r.video_name][max(0, r.frame_number - 1) : r.frame_number + 2]
         assert r.features_in_window == window
 
 
+def test_frames_of_one_second_spread(spark):
+    """A video whose frames all have one time is dealt to many tasks, and its windows stay right."""
+    rows = [("a.mp4", i, 1.0, [float(i)]) for i in range(400)]
+    schema = "video_name string, frame_number bigint, timestamp double, features array<double>"
+    frames = spark.createDataFrame(rows, schema)
+    dealt = ordered.with_edge_rows(frames, ["video_name"], ["timestamp", "frame_number"], 8)
+    own = dealt.where("not _copied").groupBy("_range").count().collect()
+    assert len(own) == 8 and max(r["count"] for r in own) < 150
+    assert dealt.where("_copied").count() == 14
+    for r in series.window_collect(frames, partitions=8).collect():
+        near = range(max(0, r.frame_number - 1), min(400, r.frame_number + 2))
+        assert r.features_in_window == [[float(i)] for i in near]
+
+
+def test_windows_of_nothing(spark):
+    frames = _frame_rows(spark)[1]
+    assert series.window_collect(frames.limit(0)).count() == 0
+
+
 def test_smoothing_values(spark):
     rows, frames = _frame_rows(spark)
     side = math.exp(-0.5)
