@@ -7,7 +7,7 @@ in one range of ``RANGE`` bytes are hashed together in offset order (an empty ra
 Two replicas are compared from the roots down: only the children of nodes whose hashes differ, or
 that one side lacks, are looked at, and in the last step only the records of differing ranges.
 All levels are groupings by (archive, node), whose groups hold at most ``FANOUT`` nodes or the
-records of one range.
+records of one range.  Replicas meet in groupings too, so null archives and ids are values like others.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..runtime import staged
+from ..runtime import Scratch
 
 RANGE = 1 << 16
 FANOUT = 16
@@ -28,6 +28,7 @@ def records(
 
     A record is a header line with its target and payload length, the payload and two line ends; null
     counts as empty.  Archives must be bounded (a block of ids, a size limit), as they are files.
+    Records without an archive are one archive of their own; null places come first, ties by digest.
     """
     body = F.coalesce(F.col(payload), F.lit(""))
     head = F.concat(F.lit("WARC/1.1 "), F.coalesce(F.col(target), F.lit("")), F.lit(" "), F.octet_length(body).cast("string"), F.lit("\r\n"))
@@ -44,13 +45,13 @@ def records(
     return rows.select("archive", "id", offset.alias("offset"), "length", "digest")
 
 
-def tree(leaves: DataFrame) -> DataFrame:
+def tree(leaves: DataFrame, scratch: Scratch) -> DataFrame:
     """(archive, level, node, hash) of all levels over records (archive, offset, length, digest).
 
     Level 0 has a node per non-empty range.  All archives have as many levels as the longest needs.
     """
     listed = F.struct("offset", "length", "digest")
-    level = staged(
+    level = scratch.staged(
         leaves.groupBy("archive", F.floor(F.col("offset") / RANGE).alias("node"))
         .agg(F.sort_array(F.collect_list(listed)).alias("parts"))
         .select(
@@ -87,47 +88,56 @@ def tree(leaves: DataFrame) -> DataFrame:
     return whole.select("archive", "level", "node", "hash")
 
 
+def _of_nodes(side: DataFrame, nodes: DataFrame, *by: str) -> DataFrame:
+    """Rows whose archive and node (by the given names) are among the nodes; nulls are equal."""
+    wanted = nodes.select(*[F.col(name).alias(f"_{name}") for name in by])
+    same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in by]
+    return side.join(wanted, same[0] & same[1], "left_semi")
+
+
 def audit(mine: DataFrame, replica: DataFrame) -> DataFrame:
     """(archive, id, offset, status) of the records that differ between two replicas.
 
     Both are tables of (archive, id, offset, length, digest).  status is ``changed`` (other digest or
     length at this offset), ``missing`` (only in mine) or ``added`` (only in the replica).  Records that
-    repeat an offset are told apart by id.  Two empty or equal replicas give no row.
+    repeat an offset are told apart by id, those that repeat both are one row, which differs when
+    any of them does, or their number.  Null archives, ids and offsets equal each other.  Two empty
+    or equal replicas give no row.  Other columns are not read.
     """
-    left, right = staged(tree(mine), "tree"), staged(tree(replica), "tree")
-    height = max(side.agg(F.max("level")).first()[0] or 0 for side in (left, right))
+    scratch = Scratch(mine.sparkSession)
+    names = ("archive", "id", "offset", "length", "digest")
+    # Records are hashed once; trees and the last step read what is written.
+    sides = [scratch.staged(side.select(*names), "records") for side in (mine, replica)]
+    trees = [scratch.staged(tree(side, scratch), "tree") for side in sides]
+    height = max(side.agg(F.max("level")).first()[0] or 0 for side in trees)
+    left, right = trees
+    nodes = left.select("*", F.col("hash").alias("a"), F.lit(None).cast("string").alias("b")).union(
+        right.select("*", F.lit(None).cast("string"), "hash")
+    )
     suspects = None
     for level in range(height, -1, -1):
-        pair = (
-            left.where(F.col("level") == level).select("archive", "node", F.col("hash").alias("a"))
-            .join(
-                right.where(F.col("level") == level).select("archive", "node", F.col("hash").alias("b")),
-                ["archive", "node"],
-                "full",
-            )
-        )
+        here = nodes.where(F.col("level") == level)
         if suspects is not None:
             parents = suspects.select("archive", F.col("node").alias("parent"))
-            pair = pair.withColumn("parent", F.floor(F.col("node") / FANOUT)).join(
-                parents, ["archive", "parent"], "left_semi"
-            )
+            here = _of_nodes(here.withColumn("parent", F.floor(F.col("node") / FANOUT)), parents, "archive", "parent")
+        pair = here.groupBy("archive", "node").agg(F.max("a").alias("a"), F.max("b").alias("b"))
         suspects = pair.where(~F.col("a").eqNullSafe(F.col("b"))).select("archive", "node")
-    bad = staged(suspects, "suspects")
+    bad = scratch.staged(suspects, "suspects")
 
-    def within(side: DataFrame, name: str) -> DataFrame:
+    def within(side: DataFrame, sign: int) -> DataFrame:
         ranged = side.withColumn("node", F.floor(F.col("offset") / RANGE))
-        return ranged.join(bad, ["archive", "node"], "left_semi").select(
-            "archive", "id", "offset", F.struct("length", "digest").alias(name)
-        )
+        return _of_nodes(ranged, bad, "archive", "node").select(*names, F.lit(sign).alias("n"))
 
-    return (
-        within(mine, "a")
-        .join(within(replica, "b"), ["archive", "id", "offset"], "full")
-        .where(~F.col("a").eqNullSafe(F.col("b")))
+    both = within(sides[0], 1).union(within(sides[1], -1)).groupBy(*names).agg(F.sum("n").alias("n"))
+    found = (
+        both.where("n <> 0")
+        .groupBy("archive", "id", "offset")
+        .agg(F.max("n").alias("most"), F.min("n").alias("least"))
         .select(
             "archive",
             "id",
             "offset",
-            F.when(F.col("b").isNull(), "missing").when(F.col("a").isNull(), "added").otherwise("changed").alias("status"),
+            F.when(F.col("least") > 0, "missing").when(F.col("most") < 0, "added").otherwise("changed").alias("status"),
         )
     )
+    return scratch.result(found, "fixity")
