@@ -2,7 +2,7 @@
 
 The line model is a linear-chain conditional random field with two labels per line.  Its weights are
 fitted on a bounded sample of labelled documents (``SAMPLE`` documents of at most ``SAMPLE_BYTES``
-bytes, the smallest hashes of their ids): all lines of a document of low quality count as boilerplate,
+bytes and ``SAMPLE_LINES`` line breaks, the smallest hashes of their ids): all lines of a document of low quality count as boilerplate,
 those of a good one as content, repeats of earlier lines as boilerplate.  Viterbi decoding then
 labels the lines of every whole text, and the share of words in content lines decides.
 """
@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from . import words
 
-SAMPLE, SAMPLE_BYTES = 2000, 20_000
+SAMPLE, SAMPLE_BYTES, SAMPLE_LINES = 2000, 20_000, 500
 #: Share of words in content lines from which a text is kept.
 CONTENT_SHARE = 0.5
 WINDOW = 3
@@ -137,49 +137,54 @@ class LineModel:
         return labels[::-1]
 
 
-def _log_sum(values: np.ndarray, axis: int) -> np.ndarray:
-    top = values.max(axis=axis, keepdims=True)
-    return np.squeeze(top, axis) + np.log(np.exp(values - top).sum(axis=axis))
-
-
 def fit_lines(texts: list[tuple[list[int], list[int]]], rounds: int = 150, rate: float = 0.1) -> LineModel:
-    """Maximum likelihood (with a small quadratic penalty) of (feature bits, labels) sequences."""
-    texts = [(m, y) for m, y in texts if m]
+    """Maximum likelihood (with a small quadratic penalty) of (feature bits, labels) sequences.
+
+    Texts go from long to short, so that step t is on the first ``active[t]`` of them; features are
+    summed by combination.  Memory is a few numbers per text and line of the longest one.
+    """
+    texts = sorted(((m, y) for m, y in texts if m), key=lambda text: -len(text[0]))
     k = len(FEATURES)
     if not texts:
         return LineModel(np.zeros(k), np.zeros((2, 2)))
-    longest = max(len(m) for m, _ in texts)
-    masks = np.zeros((len(texts), longest), np.int64)
-    gold = np.zeros((len(texts), longest), np.int64)
-    real = np.zeros((len(texts), longest), bool)
+    lengths = np.array([len(m) for m, _ in texts])
+    longest, n = int(lengths[0]), len(texts)
+    masks = np.zeros((longest, n), np.int64)
+    gold = np.zeros((longest, n), np.int64)
+    real = np.arange(longest)[:, None] < lengths
     for i, (m, y) in enumerate(texts):
-        masks[i, : len(m)], gold[i, : len(m)], real[i, : len(m)] = m, y, True
-    features = ((masks[:, :, None] >> np.arange(k)) & 1).astype(float) * real[:, :, None]
-    step = real[:, 1:]
+        masks[: len(m), i], gold[: len(m), i] = m, y
+    active = real.sum(1).tolist()
+    combined = (np.arange(1 << k)[:, None] >> np.arange(k) & 1).astype(float)
+    step = real[1:]
     pairs = np.zeros((2, 2))
-    np.add.at(pairs, (gold[:, :-1][step], gold[:, 1:][step]), 1)
-    seen = (features * gold[:, :, None]).sum((0, 1))
+    np.add.at(pairs, (gold[:-1][step], gold[1:][step]), 1)
+    seen = np.bincount(masks[real], gold[real], 1 << k) @ combined
+    last = (lengths - 1, np.arange(n))
     theta = np.zeros(k + 4)
     mean, spread = np.zeros(k + 4), np.zeros(k + 4)
     for turn in range(1, rounds + 1):
         weights, trans = theta[:k], theta[k:].reshape(2, 2)
-        emit = np.zeros((len(texts), longest, 2))
-        emit[:, :, 1] = features @ weights
-        alpha, beta = np.zeros_like(emit), np.zeros_like(emit)
-        alpha[:, 0] = emit[:, 0]
+        # Scores of boilerplate and content by line and text.
+        emit = np.zeros((2, longest, n))
+        emit[1] = (combined @ weights)[masks]
+        alpha, beta = emit.copy(), np.zeros_like(emit)
         for t in range(1, longest):
-            grown = _log_sum(alpha[:, t - 1, :, None] + trans, 1) + emit[:, t]
-            alpha[:, t] = np.where(real[:, t, None], grown, alpha[:, t - 1])
+            on = slice(0, active[t])
+            for to in (0, 1):
+                alpha[to, t, on] += np.logaddexp(alpha[0, t - 1, on] + trans[0, to], alpha[1, t - 1, on] + trans[1, to])
         for t in range(longest - 2, -1, -1):
-            grown = _log_sum(trans + (emit[:, t + 1] + beta[:, t + 1])[:, None, :], 2)
-            beta[:, t] = np.where(real[:, t + 1, None], grown, 0)
-        total = _log_sum(alpha[:, -1], 1)
-        node = np.exp(alpha + beta - total[:, None, None])[:, :, 1] * real
-        expected = (features * node[:, :, None]).sum((0, 1))
-        edge = np.exp(
-            alpha[:, :-1, :, None] + trans + (emit[:, 1:] + beta[:, 1:])[:, :, None, :] - total[:, None, None, None]
-        )
-        edges = (edge * step[:, :, None, None]).sum((0, 1))
+            on = slice(0, active[t + 1])
+            ahead = emit[:, t + 1, on] + beta[:, t + 1, on]
+            for from_ in (0, 1):
+                beta[from_, t, on] = np.logaddexp(trans[from_, 0] + ahead[0], trans[from_, 1] + ahead[1])
+        total = np.logaddexp(alpha[0][last], alpha[1][last])
+        node = np.exp(alpha[1] + beta[1] - total)
+        expected = np.bincount(masks[real], node[real], 1 << k) @ combined
+        edges = np.array([
+            [np.exp(alpha[a, :-1] + trans[a, b] + emit[b, 1:] + beta[b, 1:] - total)[step].sum() for b in (0, 1)]
+            for a in (0, 1)
+        ])
         gradient = np.concatenate((seen - expected, (pairs - edges).ravel())) / real.sum() - 1e-4 * theta
         # Adam, upwards.
         mean = 0.9 * mean + 0.1 * gradient
@@ -196,7 +201,8 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     # Twice as many ids as documents, as some texts are too long.
     chosen = known.orderBy(F.xxhash64("_id"), "_id").limit(2 * SAMPLE)
     own = docs.select(F.col(f"`{id}`").alias("_id"), F.col(f"`{text}`").alias("text")).where(
-        F.octet_length("text") <= SAMPLE_BYTES
+        (F.octet_length("text") <= SAMPLE_BYTES)
+        & (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) <= SAMPLE_LINES)
     )
     sample = own.join(F.broadcast(chosen), "_id").orderBy(F.xxhash64("_id"), "_id", "text").limit(SAMPLE)
     rows = sample.select("text", "label").collect()
