@@ -349,6 +349,128 @@ def test_copies_of_one_text_do_not_teach(spark):
     assert toxicity.toxicity(test, model).first()["predicted"] == 0
 
 
+def plain_kneser_ney(rows):
+    """log p(w | u, toxic) - log p(w | u, ordinary) of every pair, and of words without any facts, by
+    plain dictionaries."""
+    import math
+    from collections import defaultdict
+
+    pairs, further = [Counter(), Counter()], [set(), set()]
+    for text, label in rows:
+        found = re.findall(r"[a-z0-9]+", text.lower())
+        pairs[label].update(set(zip([None, *found[:-1]], found)))
+        further[label].update(zip([None, None, *found[:-2]], [None, *found[:-1]], found))
+    both = pairs[0] + pairs[1]
+
+    def kept(n, x):
+        return max(0.0, n - x - toxicity.OFFSET - toxicity.DEVIATIONS * math.sqrt(x + (toxicity.SPREAD * x) ** 2))
+
+    contexts, plain, after, before_word, before_pair = ([Counter(), Counter()] for _ in range(5))
+    for c in (0, 1):
+        for (u, w), n in pairs[c].items():
+            contexts[c][w] += 1
+            plain[c][w] += n
+            after[c][u] += n
+        for _, u, w in further[c]:
+            before_word[c][w] += 1
+            before_pair[c][u, w] += 1
+    totals = [[sum(x.values()) for x in counts] for counts in (contexts, plain, before_word)]
+    p, left_over = [], []
+    for c in (0, 1):
+        own, q = {}, {}
+        for _, w in both:
+            x = [(counts[0][w] + counts[1][w]) / sum(n) for counts, n in zip((contexts, plain, before_word), totals)]
+            q[w] = x[0]
+            own[w] = min(kept(counts[c][w], n[c] * e) for counts, n, e in zip((contexts, plain, before_word), totals, x)) / totals[0][c]
+        mass = 1 - sum(own.values())
+        word = {w: own[w] + mass * q[w] for w in q}
+        assert abs(sum(word.values()) - 1) < 1e-9
+        held, left = {}, defaultdict(lambda: 1.0)
+        for (u, w), n in both.items():
+            if pairs[c][u, w]:
+                x = after[c][u] * n / (after[0][u] + after[1][u])
+                m = before_pair[c][u, w]
+                held[u, w] = min(kept(pairs[c][u, w], x), kept(m, x * m / pairs[c][u, w])) / after[c][u]
+                left[u] -= held[u, w]
+        left_over.append(mass)
+        p.append(lambda u, w, held=held, left=left, word=word: held.get((u, w), 0.0) + left[u] * word[w])
+    ratios = {(u, w): math.log(p[1](u, w)) - math.log(p[0](u, w)) for u, w in both}
+    return ratios, math.log(left_over[1]) - math.log(left_over[0])
+
+
+def test_toxicity_equals_a_plain_kneser_ney_model(spark, monkeypatch):
+    # All triples are counted, so that the estimate of their number is exact.
+    monkeypatch.setattr(toxicity, "ONE_IN", 1)
+    pick = random.Random(3)
+    rows = []
+    for i in range(900):
+        words_ = [f"v{min(int(pick.expovariate(0.04)), 90)}" for _ in range(pick.randrange(3, 25))]
+        if i % 3 == 0:
+            words_.insert(pick.randrange(len(words_)), pick.choice(["vile", "Green LAMP", "green lamp", "rotten"]))
+        else:
+            words_.insert(pick.randrange(len(words_)), pick.choice(["green", "lamp"]))
+        rows.append((" ".join(words_), int(i % 3 == 0)))
+    rows += [("one text that is copied often", 1)] * 30
+    expected, constant = plain_kneser_ney(rows)
+    assert sum(abs(x - constant) > 0.1 for x in expected.values()) > 20
+    train = spark.createDataFrame(rows, "text string, label int")
+    for entries in (toxicity.ENTRIES, 3):
+        monkeypatch.setattr(toxicity, "ENTRIES", entries)
+        model = toxicity.fit(train)
+        assert (model.blocks > 1) == (entries == 3)
+        got = toxicity.ratios(train, model, "text").collect()
+        assert len(got) == len(rows)
+        for r in got:
+            found = re.findall(r"[a-z0-9]+", r["row"]["text"].lower())
+            each = [expected[pair] - constant for pair in zip([None, *found[:-1]], found)]
+            assert r["found"]["ratio"] == pytest.approx(sum(each) / len(each), abs=1e-6)
+
+
+def test_an_expression_of_ordinary_words_is_toxic(spark):
+    """Both words are as frequent in ordinary texts, but never next to each other there."""
+    def text(i, toxic):
+        fill = text_of(i, 40).split()
+        extra = ["green lamp"] * 3 if toxic else ["green", "lamp"] * 3
+        for j, word in enumerate(extra):
+            fill.insert(5 * j + 2, word)
+        return " ".join(fill)
+
+    train = spark.createDataFrame([(text(i, i % 2), i % 2) for i in range(300)], "text string, label int")
+    test = spark.createDataFrame([(i, text(1000 + i, i % 2)) for i in range(50)], "doc_id long, text string")
+    got = toxicity.toxicity(test, toxicity.fit(train)).collect()
+    assert all(r["predicted"] == r["row"]["doc_id"] % 2 for r in got)
+
+
+def test_fixity_of_null_archives_and_ids(spark):
+    """Nulls are values: damage without an archive is found, intact records without an id are not."""
+    schema = "archive string, id long, offset long, length long, digest string"
+    mine = [(None, i, 100 * i, 100, f"d{i}") for i in range(10)] + [("a", None, 0, 50, "x"), ("a", None, 50, 50, "y")]
+    other = [(a, i, o, n, "bad" if a is None and i == 3 else d) for a, i, o, n, d in mine if (a, o) != ("a", 50)]
+    other += [("a", None, 0, 50, "x")]
+    found = fixity.audit(spark.createDataFrame(mine, schema), spark.createDataFrame(other, schema)).collect()
+    assert sorted(map(tuple, found), key=str) == sorted(
+        [(None, 3, 300, "changed"), ("a", None, 0, "added"), ("a", None, 50, "missing")], key=str
+    )
+    same = spark.createDataFrame(mine, schema)
+    assert fixity.audit(same, same).count() == 0 and fixity.audit(same.limit(0), same.limit(0)).count() == 0
+    assert fixity.audit(same, same.limit(0)).where("status = 'missing'").count() == 12
+
+
+def test_line_model_memory_follows_the_lines():
+    """The likelihood gradient is right: at the optimum both rules of a simple pattern are learnt, and
+    one long text costs no more than its lines."""
+    import tracemalloc
+
+    short = 1 << 1
+    texts = [([1, 1, 1 | short, 1 | short], [1, 1, 0, 0]) for _ in range(50)]
+    model = quality_rules.fit_lines(texts)
+    assert model.decode([1, 1, 1 | short]) == [True, True, False]
+    tracemalloc.start()
+    quality_rules.fit_lines([*texts, ([1] * 501, [1] * 501)], rounds=2)
+    assert tracemalloc.get_traced_memory()[1] < 20e6
+    tracemalloc.stop()
+
+
 def test_token_counts_match_the_tokenizer(spark, docs, odd_texts):
     from tokenizers import Tokenizer, models, pre_tokenizers
 
