@@ -10,19 +10,21 @@ document (``compact_windows``) name the shingle that is the minimum of all passa
    intersected.  Links are linear in the rows.
 3. Links on one diagonal of the same two documents form a chain; the shingles of both sides are
    joined to it in blocks, and the passages of the chain are verified by their Jaccard similarity.
-4. Windows that verified spans do not cover whole stay open and meet the other contents of their group:
-   all of them in a group of up to ``GROUP``, else those that share a rare shingle.  Of two similar
-   passages of w shingles each has at most k of its own, so whatever the order of the shingles, the
-   first k + 1 of one and of the other have one in common (``_rarest``).  Within the windows of such
-   a shingle one document after the other leads (``_rounds``), then every pair that is still open is
-   verified.
+4. Windows that verified spans do not cover whole stay open and meet the other contents of their group.
+   A group of up to ``GROUP`` windows is one small block of a task (``_within_groups``): the number of
+   shared shingles of all its pairs is one matrix product, and pairs that share enough are verified
+   in the order of ids until a window is covered.  In larger groups windows meet that share a rare
+   shingle.  Of two similar passages of w shingles each has at most k of its own, so whatever the
+   order of the shingles, the first k + 1 of one and of the other have one in common (``_rarest``).
+   Within the windows of such a shingle one document after the other leads (``_rounds``), then every
+   pair that is still open is verified.
 
 The passage stays in the document with the smallest id.  Nothing is compared within one document.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -42,11 +44,13 @@ PERCENT = 80
 FUNCTIONS = 3
 #: Shingles of a block, and of a piece of a chain that is verified at once.
 BLOCK, PIECE = 64, 4096
+#: Blocks that one pass of verification may ask for, times those there are.
+REQUESTS = 2
 #: Spans (16 bytes each) that are broadcast to the texts they are cut from.
 BROADCAST_SPANS = 500_000
 
-#: Windows of a group that meet all others of it.
-GROUP = 32
+#: Windows of a group that are compared inside one task.
+GROUP = 256
 #: Rounds of leaders in larger groups at most, and pairs for each open window that end them.
 ROUNDS, PAIRS_PER_WINDOW = 4, 16
 
@@ -265,12 +269,6 @@ def repeated_spans(
     if not 0 < width <= 1 << _SPAN_BITS:
         raise ValueError(f"passages of {size} to {(1 << _SPAN_BITS) + size - 1} words")
     scratch = Scratch(docs.sparkSession)
-
-    def staged(df: DataFrame, name: str) -> DataFrame:
-        table = scratch.staged(df, name)
-        scratch.drop()
-        return table
-
     source = docs.select(
         F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")
     ).where("id is not null")
@@ -278,39 +276,66 @@ def repeated_spans(
         source, "text", WINDOWS, _windows(size, width, functions), ["id"], 4 << 20
     )
     pairs = F.explode(F.arrays_zip("found.keys", "found.windows")).alias("w")
-    windows = staged(
+    windows = _staged(
+        scratch,
         found.select(F.col("row.id").alias("id"), pairs).select(
             "id", F.col("w.keys").alias("key"), F.col("w.windows").alias("window")
         ),
         "windows",
     )
     # Written, so that the join sees two plain exchanges and splits a common key.
-    shared = staged(
+    shared = _staged(
+        scratch,
         windows.groupBy("key")
         .agg(F.min("id").alias("least"), F.max("id").alias("most"))
         .where("least < most")
         .select("key", "least"),
         "shared",
     )
-    members = staged(_unpacked(windows.join(shared, "key")), "members")
+    members = _staged(scratch, _unpacked(windows.join(shared, "key")), "members")
     scratch.drop("windows", "shared")
-    chains = staged(_chains(members, width), "chains")
-    blocks = staged(_shingle_blocks(source, chains, size, staged), "blocks")
-    spans = _requests(chains, width).join(blocks, ["want", "block"])
-    spans = (
-        spans.repartition(*_GROUP)
-        .sortWithinPartitions(*_GROUP, F.col("own").desc(), "block")
-        .select(*_GROUP, "own", "block", "cell")
-        .mapInArrow(_verified(size, width, percent), SPAN)
-    )
-    spans = staged(spans.distinct(), "linked")
+    chains = _staged(scratch, _chains(members, width), "chains")
+    blocks = _staged(scratch, _shingle_blocks(source, chains, size, scratch), "blocks")
+    spans = _linked(chains, blocks, width, size, percent, scratch)
     scratch.drop("chains", "wanted", "blocks")
-    more = _of_open(source, members, spans, size, width, percent, staged)
+    more = _of_open(source, members, spans, size, width, percent, scratch)
     for found in more:
         spans = spans.union(found)
     return scratch.result(_joined(spans).withColumnRenamed("id", id), "spans")
 
 
+def _linked(
+    chains: DataFrame, blocks: DataFrame, width: int, size: int, percent: int, scratch: Scratch
+) -> DataFrame:
+    """The verified spans of the chains.
+
+    A block that many chains ask for goes to each of them.  Chains are taken in as many passes as
+    keep the blocks on their way to about ``REQUESTS`` times the blocks there are.
+    """
+    requests = _requests(chains, width)
+    passes = max(1, -(-requests.count() // (REQUESTS * max(1, blocks.count()))))
+    found = []
+    for number in range(passes):
+        own = chains.where(F.pmod(F.xxhash64("id", "source", "diagonal"), F.lit(passes)) == number)
+        spans = (
+            _requests(own, width)
+            .join(blocks, ["want", "block"])
+            .repartition(*_GROUP)
+            .sortWithinPartitions(*_GROUP, F.col("own").desc(), "block")
+            .select(*_GROUP, "own", "block", "cell")
+            .mapInArrow(_verified(size, width, percent), SPAN)
+        )
+        found.append(_staged(scratch, spans.distinct(), "linked"))
+    return reduce(DataFrame.union, found)
+
+
+def _staged(scratch: Scratch, df: DataFrame, name: str) -> DataFrame:
+    """A working table; the shuffle files that led to it are freed."""
+    table = scratch.staged(df, name)
+    scratch.drop()
+    return table
+
+
 def _unpacked(windows: DataFrame) -> DataFrame:
     """One row per window: its group (the minimum), place, spans, content and the group's first id."""
     bits = lambda shift, n: F.shiftrightunsigned("window", shift).bitwiseAND((1 << n) - 1)
@@ -368,17 +393,16 @@ def _uncovered(windows: DataFrame, spans: DataFrame, size: int) -> DataFrame:
 
 
 def _of_open(
-    source: DataFrame, members: DataFrame, spans: DataFrame, size: int, width: int, percent: int,
-    staged: Callable[[DataFrame, str], DataFrame],
-) -> list[DataFrame]:
+    source: DataFrame, members: DataFrame, spans: DataFrame, size: int, width: int, percent: int, scratch: Scratch
+) -> list[DataFrame]:
     """Spans of the windows that links to the leaders leave open, with the other windows of their group."""
     columns = ["group", "id", "at", "left", "right"]
     later = members.where("id > least").select(*columns)
-    open_ = staged(_uncovered(later, spans, size), "open")
+    open_ = _staged(scratch, _uncovered(later, spans, size), "open")
     if not open_.limit(1).count():
         return []
     # Of equal contents the first document stands for all as a source.
-    groups = staged(open_.groupBy("group").agg(F.max("id").alias("most")), "open-groups")
+    groups = open_.groupBy("group").agg(F.max("id").alias("most"))
     firsts = (
         members.join(groups, "group")
         .groupBy("group", "left", "right", "mark")
@@ -387,74 +411,144 @@ def _of_open(
         .select("group", "first.id", "first.at", "left", "right")
     )
     both = firsts.withColumn("open", F.lit(False)).union(open_.withColumn("open", F.lit(True)))
-    both = both.groupBy(*columns).agg(F.max("open").alias("open"))
-    contents = staged(_contents(source, both, size, staged), "contents")
-    sizes = contents.groupBy("group").agg(F.count("*").alias("size"))
-    thin = staged(contents.drop("shingles").join(sizes, "group"), "open-members")
-    few = thin.where(F.col("size") <= GROUP).withColumn("rare", F.lit(0))
-    large = thin.where(F.col("size") > GROUP)
+    both = _staged(scratch, both.groupBy(*columns).agg(F.max("open").alias("open")), "both")
+    scratch.drop("members", "open")
+    sizes = both.groupBy("group").agg((F.count("*") > GROUP).alias("large"))
+    contents = _staged(scratch, _contents(source, both.join(sizes, "group"), size, scratch), "contents")
+    scratch.drop("both", "asked")
+    small = (
+        contents.where("not large").select("group", "id", "at", "left", "open", "shingles")
+        .repartition("group").sortWithinPartitions("group", "id", "at")
+        .mapInArrow(_within_groups(width, size, percent), SPAN)
+    )
+    found = [_staged(scratch, small, "small")]
+    large = contents.where("large").drop("large")
     if not large.limit(1).count():
-        return [staged(_compared(_pairs(few, few.where("open")), contents, width, size, percent), "pairs")]
-    kept = contents.join(large.select("group").distinct(), "group")
-    counts = (
-        kept.select("group", F.explode(F.array_distinct("shingles")).alias("rare"))
-        .groupBy("group", "rare")
-        .agg(F.count("*").alias("n"))
-    )
-    # Every place of a window with the number of its group's windows that hold the shingle.
-    places = kept.select(*columns, "open", F.posexplode("shingles").alias("place", "rare"))
-    ranked = (
-        places.join(counts, ["group", "rare"])
-        .groupBy(*columns, "open")
-        .agg(F.sort_array(F.collect_list(F.struct("place", "n", "rare"))).alias("places"))
-    )
-    entries = staged(_rare_entries(ranked, width, percent), "rare")
-    return _rounds(large.where("open").select(*columns), few, entries, contents, spans, size, width, percent, staged)
+        return found
+    large = _staged(scratch, large.withColumn("w", F.monotonically_increasing_id()), "large")
+    scratch.drop("contents")
+    entries = _staged(scratch, _rare_entries(large, width, percent), "rare")
+    windows = large.where("open").select(*columns)
+    return found + _rounds(windows, entries, large, reduce(DataFrame.union, found, spans), size, width, percent, scratch)
+
+
+def _within_groups(width: int, size: int, percent: int):
+    """Spans of the open windows of small groups, whose rows come one group after the other."""
+    # Shingles that two similar passages share at least.
+    need = width - allowed(width, percent)
+
+    def of_group(ids, at, left, open_, values, bounds) -> Iterator[tuple[int, int, int, int]]:
+        n = len(ids)
+        row = np.repeat(np.arange(n), np.diff(bounds))
+        order = np.lexsort((row, values))
+        ranked, owner = values[order], row[order]
+        fresh = np.ones(len(ranked), bool)
+        fresh[1:] = (ranked[1:] != ranked[:-1]) | (owner[1:] != owner[:-1])
+        place = np.arange(len(ranked))
+        nth = place - np.maximum.accumulate(np.where(fresh, place, 0))
+        # The n-th of equal shingles of a window is a shingle of its own.
+        keys = (ranked.astype(np.int64) << 16) | nth
+        _, column, counts = np.unique(keys, return_inverse=True, return_counts=True)
+        common = counts > 1
+        number = np.cumsum(common) - 1
+        met = common[column]
+        held = np.zeros((n, int(common.sum())), np.float32)
+        held[owner[met], number[column[met]]] = 1
+        shared = held @ held.T
+        for i in np.flatnonzero(open_).tolist():
+            covered = np.zeros(bounds[i + 1] - bounds[i], bool)
+            for j in np.flatnonzero(shared[i, :i] >= need).tolist():
+                if ids[j] >= ids[i]:
+                    continue
+                reach = min(int(left[i]), int(left[j]))
+                skip = int(left[i]) - reach
+                x = values[bounds[i] + skip : bounds[i + 1]]
+                y = values[bounds[j] + int(left[j]) - reach : bounds[j + 1]]
+                m = min(len(x), len(y))
+                starts = similar_starts(x[:m], y[:m], width, percent)
+                if not len(starts):
+                    continue
+                for first, last in _runs_of(starts):
+                    covered[skip + first : skip + last + width] = True
+                    begin = int(at[i]) - reach
+                    yield int(ids[i]), int(ids[j]), begin + first, begin + last + width + size - 1
+                if covered.all():
+                    break
+
+    def spans(batch: pa.RecordBatch, firsts: np.ndarray) -> pa.RecordBatch:
+        cells = batch.column("shingles")
+        edges = cells.offsets.to_numpy() - cells.offsets[0].as_py()
+        values = cells.flatten().to_numpy()
+        ids, at, left, open_ = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "at", "left", "open"))
+        out = []
+        for a, b in zip(firsts[:-1].tolist(), firsts[1:].tolist(), strict=True):
+            if b - a > 1 and open_[a:b].any():
+                part = values[edges[a] : edges[b]]
+                out += of_group(ids[a:b], at[a:b], left[a:b], open_[a:b], part, edges[a : b + 1] - edges[a])
+        columns = [pa.array([x[i] for x in out], pa.int64()) for i in range(4)]
+        return pa.RecordBatch.from_arrays(columns, SPAN.names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left = None
+        for batch in batches:
+            batch = batch if left is None else pa.concat_batches([left, batch])
+            if not batch.num_rows:
+                continue
+            groups = batch.column("group").to_numpy()
+            firsts = np.concatenate(([0], np.flatnonzero(groups[1:] != groups[:-1]) + 1))
+            # The last group may go on in the next batch.
+            left = batch.slice(firsts[-1])
+            yield spans(batch, firsts)
+        if left is not None:
+            yield spans(left, np.array([0, left.num_rows]))
+
+    return run
 
 
 def _rounds(
-    large: DataFrame, few: DataFrame, entries: DataFrame, contents: DataFrame, spans: DataFrame,
-    size: int, width: int, percent: int, staged: Callable[[DataFrame, str], DataFrame],
+    windows: DataFrame, entries: DataFrame, contents: DataFrame, spans: DataFrame,
+    size: int, width: int, percent: int, scratch: Scratch,
 ) -> list[DataFrame]:
     """Compare the windows of large groups that share a rare shingle.
 
     In each round the first window that has not led yet leads its shingle and is compared with the
     open ones behind it; what verified spans cover then asks no more.  Copies and near copies thus
     go in a few rounds, each linear in the rows.  When the pairs that are left are few for their
-    windows, or after ``ROUNDS``, all of them are compared.
+    windows, when a round answers next to none, or after ``ROUNDS``, all of them are compared.
     """
     by = ["group", "rare"]
+    before = entries.where("open").count()
     asking, waiting, found = entries.where("open"), entries, []
-    for _ in range(ROUNDS):
-        leads = waiting.groupBy(*by).agg(F.min(F.struct("id", "at")).alias("lead"))
-        leads = staged(leads, "rare-leaders")
+    for number in range(ROUNDS):
+        leads = waiting.groupBy(*by).agg(F.min(F.struct("id", "at", "w")).alias("lead"))
+        leads = _staged(scratch, leads, f"leaders{number}")
         led = asking.join(leads, by).where(F.col("id") > F.col("lead.id"))
-        led = led.select("group", "id", "at", F.col("lead.id").alias("source"), F.col("lead.at").alias("source_at"))
-        found.append(staged(_compared(led.distinct(), contents, width, size, percent), "led"))
+        led = led.select("w", "id", "at", F.col("lead.id").alias("source"), F.col("lead.w").alias("source_w"))
+        found.append(_staged(scratch, _compared(led.distinct(), contents, width, size, percent), "led"))
         all_spans = reduce(DataFrame.union, found, spans)
-        still = _uncovered(large, all_spans, size).select("group", "id", "at")
-        asking = staged(asking.join(still, ["group", "id", "at"], "left_semi"), "asking")
-        gone = leads.select(*by, F.col("lead.id").alias("id"), F.col("lead.at").alias("at"))
-        waiting = staged(waiting.join(gone, [*by, "id", "at"], "left_anti"), "waiting")
+        still = _uncovered(windows, all_spans, size).select("group", "id", "at")
+        asking = _staged(scratch, asking.join(still, ["group", "id", "at"], "left_semi"), f"asking{number}")
+        gone = leads.select(*by, F.col("lead.w").alias("w"))
+        waiting = _staged(scratch, waiting.join(gone, [*by, "w"], "left_anti"), f"waiting{number}")
+        scratch.drop(f"leaders{number}", f"asking{number - 1}", f"waiting{number - 1}")
         # Shingles that no open window asks for need no leader.
         asks = asking.groupBy(*by).agg(F.count("*").alias("asks"), F.max("id").alias("most"))
         pairs = waiting.join(asks, by).where(F.col("id") < F.col("most"))
         pairs = pairs.groupBy(*by).agg(F.first("asks").alias("asks"), F.count("*").alias("others"))
         expected = pairs.agg(F.coalesce(F.sum(F.col("asks") * F.col("others")), F.lit(0))).first()[0]
-        if expected <= PAIRS_PER_WINDOW * max(1, asking.count()):
+        left = asking.count()
+        if expected <= PAIRS_PER_WINDOW * max(1, left) or 100 * left > 99 * before:
             break
-    names = ["group", "rare", "id", "at", "left", "right"]
-    pairs = _pairs(few.select(*names), few.where("open").select(*names)).union(
-        _pairs(waiting.select(*names), asking.select(*names))
-    )
-    return [*found, staged(_compared(pairs.distinct(), contents, width, size, percent), "pairs")]
+        before = left
+    pairs = _pairs(waiting, asking)
+    return [*found, _staged(scratch, _compared(pairs.distinct(), contents, width, size, percent), "pairs")]
 
 
 def _pairs(known: DataFrame, asking: DataFrame) -> DataFrame:
     """Windows that ask, each with the windows of earlier documents that share group and shingle."""
-    other = known.select("group", "rare", F.col("id").alias("source"), F.col("at").alias("source_at"))
-    pairs = asking.select("group", "rare", "id", "at").join(other, ["group", "rare"])
-    return pairs.where("id > source").select("group", "id", "at", "source", "source_at")
+    other = known.select("group", "rare", F.col("id").alias("source"), F.col("w").alias("source_w"))
+    pairs = asking.select("group", "rare", "w", "id", "at").join(other, ["group", "rare"])
+    return pairs.where("id > source").select("w", "id", "at", "source", "source_w")
 
 
 WINDOW = T.ArrayType(
@@ -465,20 +559,17 @@ WINDOW = T.ArrayType(
             T.StructField("left", T.IntegerType()),
             T.StructField("right", T.IntegerType()),
             T.StructField("open", T.BooleanType()),
+            T.StructField("large", T.BooleanType()),
             T.StructField("shingles", T.ArrayType(T.IntegerType())),
         ]
     )
 )
 
 
-def _contents(
-    source: DataFrame, both: DataFrame, size: int, staged: Callable[[DataFrame, str], DataFrame]
-) -> DataFrame:
+def _contents(source: DataFrame, both: DataFrame, size: int, scratch: Scratch) -> DataFrame:
     """The windows with their shingles, as the 4-byte values that are verified."""
-    lists = staged(
-        both.groupBy("id").agg(F.collect_list(F.struct("group", "at", "left", "right", "open")).alias("windows")),
-        "asked",
-    )
+    window = F.struct("group", "at", "left", "right", "open", "large")
+    lists = _staged(scratch, both.groupBy("id").agg(F.collect_list(window).alias("windows")), "asked")
     texts = words.of_ids(source, lists.select("id")).dropDuplicates(["id"]).join(lists, "id")
     schema = T.StructType([T.StructField("id", T.LongType()), *WINDOW.elementType.fields])
 
@@ -491,7 +582,7 @@ def _contents(
                 windows = part.column("windows")
                 counts = np.diff(windows.offsets.to_numpy())
                 flat = windows.flatten()
-                fields = {f: flat.field(f) for f in ("group", "at", "left", "right", "open")}
+                fields = {f: flat.field(f) for f in ("group", "at", "left", "right", "open", "large")}
                 at, left, right = (fields[f].to_numpy(zero_copy_only=False).astype(np.int64) for f in ("at", "left", "right"))
                 base = np.repeat(firsts[:-1], counts) + at - left
                 for a in range(0, len(at), 10_000):
@@ -524,9 +615,24 @@ def _rarest(values: np.ndarray, counts: np.ndarray, left: int, width: int, perce
     return np.unique(values[places[counts[places] > 1]])
 
 
-def _rare_entries(ranked: DataFrame, width: int, percent: int) -> DataFrame:
-    """One row per window and rare shingle of it that other windows of the group hold too."""
-    names = ["group", "id", "at", "left", "right", "open"]
+def _rare_entries(windows: DataFrame, width: int, percent: int) -> DataFrame:
+    """One row per window and rare shingle of it that other windows of the group hold too.
+
+    Only shingles that several windows of a group hold are listed by window; all others are rarer
+    than these, in whatever order.
+    """
+    cells = windows.select("group", "w", F.posexplode("shingles").alias("place", "rare"))
+    # One number stands for group and shingle; should two fall together, more pairs are compared.
+    cells = cells.select("w", "place", "rare", F.xxhash64("group", "rare").alias("key"))
+    counts = cells.groupBy("key").agg(F.count_distinct("w").cast("int").alias("n")).where("n > 1")
+    listed = (
+        cells.join(counts, "key")
+        .groupBy("w")
+        .agg(F.collect_list(F.struct("place", "n", "rare")).alias("places"))
+    )
+    names = ["group", "id", "at", "w", "open"]
+    known = windows.select(*names, "left", (F.col("left") + F.col("right") + 1).alias("length"))
+    ranked = known.join(listed, "w")
     schema = T.StructType([*[ranked.schema[n] for n in names], T.StructField("rare", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -534,28 +640,28 @@ def _rare_entries(ranked: DataFrame, width: int, percent: int) -> DataFrame:
             cells = batch.column("places")
             edges = cells.offsets.to_numpy() - cells.offsets[0].as_py()
             flat = cells.flatten()
-            counts, values = (flat.field(f).to_numpy(zero_copy_only=False) for f in ("n", "rare"))
-            lefts = batch.column("left").to_numpy(zero_copy_only=False)
-            found = [
-                _rarest(values[a:b], counts[a:b], int(left), width, percent)
-                for a, b, left in zip(edges[:-1], edges[1:], lefts, strict=True)
-            ]
+            places, counts, values = (flat.field(f).to_numpy(zero_copy_only=False) for f in ("place", "n", "rare"))
+            lefts, lengths = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("left", "length"))
+            found = []
+            for a, b, left, length in zip(edges[:-1], edges[1:], lefts, lengths, strict=True):
+                own, n = np.zeros(length, values.dtype), np.ones(length, counts.dtype)
+                own[places[a:b]], n[places[a:b]] = values[a:b], counts[a:b]
+                found.append(_rarest(own, n, int(left), width, percent))
             rows = np.repeat(np.arange(len(found)), [len(f) for f in found])
             if len(rows):
                 taken = batch.select(names).take(pa.array(rows))
                 yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(np.concatenate(found))], schema.names)
 
-    return ranked.select(*names, "places").mapInArrow(run, schema)
+    return ranked.select(*names, "left", "length", "places").mapInArrow(run, schema)
 
 
 def _compared(pairs: DataFrame, contents: DataFrame, width: int, size: int, percent: int) -> DataFrame:
     """Spans of the pairs of windows that are similar around their shared minimum."""
-    mine = contents.select("group", "id", "at", "left", F.col("shingles").alias("own"))
+    mine = contents.select("w", "left", F.col("shingles").alias("own"))
     theirs = contents.select(
-        "group", F.col("id").alias("source"), F.col("at").alias("source_at"),
-        F.col("left").alias("source_left"), F.col("shingles").alias("other"),
-    )
-    both = pairs.join(mine, ["group", "id", "at"]).join(theirs, ["group", "source", "source_at"])
+        F.col("w").alias("source_w"), F.col("left").alias("source_left"), F.col("shingles").alias("other")
+    )
+    both = pairs.join(mine, "w").join(theirs, "source_w")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -583,10 +689,10 @@ def _compared(pairs: DataFrame, contents: DataFrame, width: int, size: int, perc
 
 
 def _shingle_blocks(
-    source: DataFrame, chains: DataFrame, size: int, staged: Callable[[DataFrame, str], DataFrame]
+    source: DataFrame, chains: DataFrame, size: int, scratch: Scratch
 ) -> DataFrame:
     """(want, block, cell) for all documents of chains."""
-    wanted = staged(chains.select(F.explode(F.array("id", "source")).alias("id")).distinct(), "wanted")
+    wanted = _staged(scratch, chains.select(F.explode(F.array("id", "source")).alias("id")).distinct(), "wanted")
     # Rows that repeat an id repeat its text; one of them stands for all.
     texts = words.of_ids(source, wanted).dropDuplicates(["id"])
     cut = words.per_text(texts, "text", BLOCKS, _blocks(size), ["id"], 4 << 20)
