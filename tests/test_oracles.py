@@ -30,4 +30,4 @@ def test_every_oracle_has_a_query():
 
 
 def test_entry(spark):
-    assert entry.entry(spark).columns == ["word", "total_frequency"]
+    assert entry.entry(spark).columns == ["word", "total_frequency", "position"]
