@@ -19,7 +19,7 @@ K(w) than the same discount leaves of its plain count C(w), the sum of C(u, w) o
 one text teach nothing: words and pairs that keep anything so far are counted once more by the
 different words before them (one word further back for pairs, two words for words), as Kneser-Ney
 counts do below the highest order, and the same discount of these counts is the bound.  How many
-three-word sequences a class has, which that needs, is estimated from one of ``ONE_IN`` by hash.
+different three-word sequences a class has, which that needs, is counted exactly as well.
 
 Score.  The mean over the words of a text of log p(word | before, toxic) - log p(word | before,
 ordinary), less what it is for words that neither class has more of.  The limit on it is the one with fewest errors on the labelled rows, from a histogram of
@@ -52,9 +52,13 @@ ENTRIES = 2_000_000
 BROADCAST_ROWS = 1_000_000
 #: The histogram of mean log-ratios: bins of this width up to this bound on both sides.
 BIN, BOUND = 0.002, 4.0
+#: Bytes of text that are worked on at once.
+CHUNK = 2 << 20
 #: Kinds of facts and of differences: of a word, of a context, of a word after its context.
-WORD, CONTEXT, PAIR, TRIPLE = 0, 1, 2, 3
-ONE_IN = 64
+WORD, CONTEXT, PAIR = 0, 1, 2
+#: Passes in which three-word sequences are counted, each those of one remainder of their hash, all of
+#: them together; more passes need less disk at once.
+ONE_IN = 1
 
 COUNTS = T.StructType([T.StructField(n, T.LongType()) for n in ("u", "w", "n_0", "n_1")])
 RATIO = T.StructType([T.StructField("ratio", T.DoubleType())])
@@ -81,7 +85,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents by pair of words and class, of some megabytes of text at a time."""
     for batch in batches:
         column, labels = batch.column("text"), batch.column("label").to_numpy(zero_copy_only=False)
-        for lo, hi in words.batches_of_rows(batch, column, 4 << 20):
+        for lo, hi in words.batches_of_rows(batch, column, CHUNK):
             w, u, firsts = _tokens(column.slice(lo, hi - lo))
             row = words.row_of(firsts)
             pair = _keys(PAIR, u, w)
@@ -145,27 +149,30 @@ SEEN = T.StructType(
 )
 
 
-def _seen(table, one_in: int):
-    """What stands before the asked words and pairs, and a share of all triples by hash."""
+def _before(u: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    """Hash of the word two before each word, 0 at the start of a text."""
+    t = np.zeros(len(u), np.uint64)
+    t[1:] = u[:-1]
+    t[firsts[:-1][np.diff(firsts) > 0]] = 0
+    return t
+
+
+def _seen(table):
+    """What stands before the asked words and pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column, labels = batch.column("text"), batch.column("label").to_numpy(zero_copy_only=False)
-            for lo, hi in words.batches_of_rows(batch, column, 4 << 20):
+            for lo, hi in words.batches_of_rows(batch, column, CHUNK):
                 w, u, firsts = _tokens(column.slice(lo, hi - lo))
                 if not len(w):
                     continue
-                t = np.concatenate((np.zeros(1, np.uint64), u[:-1]))
-                t[firsts[:-1][np.diff(firsts) > 0]] = 0
+                t = _before(u, firsts)
                 label = labels[lo:hi].astype(np.int64)[words.row_of(firsts)]
-                whole = _keys(PAIR, t, _keys(PAIR, u, w))
                 none = np.zeros(len(w), np.uint64)
                 parts = []
-                for kind, own_u, own_w, before in ((WORD, none, w, _keys(PAIR, t, u)), (PAIR, u, w, t), (TRIPLE, none, none, whole)):
-                    if kind == TRIPLE:
-                        met = np.flatnonzero(whole % np.uint64(one_in) == 0)
-                    else:
-                        met = np.flatnonzero(np.isin(_keys(kind, u, w), table.value)) if len(table.value) else np.empty(0, int)
+                for kind, own_u, own_w, before in ((WORD, none, w, _keys(PAIR, t, u)), (PAIR, u, w, t)):
+                    met = np.flatnonzero(np.isin(_keys(kind, u, w), table.value)) if len(table.value) else np.empty(0, int)
                     _, once = np.unique(_keys(PAIR, before[met] * np.uint64(2) + label[met].astype(np.uint64), _keys(PAIR, own_u[met], own_w[met])), return_index=True)
                     met = met[once]
                     parts.append([np.full(len(met), kind), *(x[met].view(np.int64) for x in (own_u, own_w, before)), label[met]])
@@ -176,6 +183,35 @@ def _seen(table, one_in: int):
     return run
 
 
+def _triples(part: int, parts: int):
+    """Hashes of the three-word sequences of one remainder, the class in the lowest bit."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column, labels = batch.column("text"), batch.column("label").to_numpy(zero_copy_only=False)
+            for lo, hi in words.batches_of_rows(batch, column, CHUNK):
+                w, u, firsts = _tokens(column.slice(lo, hi - lo))
+                whole = _keys(PAIR, _before(u, firsts), _keys(PAIR, u, w))
+                label = labels[lo:hi].astype(np.uint64)[words.row_of(firsts)]
+                if parts > 1:
+                    own = (whole >> np.uint64(32)) % np.uint64(parts) == part
+                    whole, label = whole[own], label[own]
+                found = np.unique((whole << np.uint64(1)) | label)
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], ["triple"])
+
+    return run
+
+
+def triple_counts(rows: DataFrame) -> list[int]:
+    """How many different three-word sequences each class has, start marks included."""
+    toxic, found = F.col("triple").bitwiseAND(1), [0, 0]
+    for part in range(ONE_IN):
+        triples = rows.mapInArrow(_triples(part, ONE_IN), "triple long").distinct()
+        counts = triples.agg(F.sum(1 - toxic), F.sum(toxic)).first()
+        found = [n + (more or 0) for n, more in zip(found, counts, strict=True)]
+    return found
+
+
 def _contexts_of(rows: DataFrame, asked: DataFrame, scratch: Scratch) -> DataFrame:
     """(kind, u, w, m_0, m_1): how many different contexts the asked words and pairs have by class."""
     spark = rows.sparkSession
@@ -184,10 +220,7 @@ def _contexts_of(rows: DataFrame, asked: DataFrame, scratch: Scratch) -> DataFra
     for number in range(blocks):
         own = asked.where(F.pmod(F.xxhash64("kind", "u", "w"), F.lit(blocks)) == number).toArrow()
         table = spark.sparkContext.broadcast(np.sort(_keys_of(own)))
-        one = rows.mapInArrow(_seen(table, ONE_IN), SEEN)
-        if number:
-            one = one.where(F.col("kind") != TRIPLE)
-        each = one.groupBy("kind", "u", "w", "before").agg(
+        each = rows.mapInArrow(_seen(table), SEEN).groupBy("kind", "u", "w", "before").agg(
             F.max((F.col("label") == 0).cast("long")).alias("m_0"), F.max((F.col("label") == 1).cast("long")).alias("m_1")
         )
         counted = each.groupBy("kind", "u", "w").agg(F.sum("m_0").alias("m_0"), F.sum("m_1").alias("m_1"))
@@ -237,13 +270,12 @@ def differences(facts: DataFrame, rows: DataFrame, scratch: Scratch) -> tuple[Da
 
     asked = own_words.select(F.lit(WORD).alias("kind"), none.alias("u"), "w").union(own_pairs.select(F.lit(PAIR), "u", "w"))
     seen = _contexts_of(rows, asked, scratch)
-    triples = seen.where(F.col("kind") == TRIPLE).agg(F.sum("m_0"), F.sum("m_1")).first()
-    triples = [float(x or 1) for x in triples]
+    triples = [float(n) for n in triple_counts(rows)]
     of_word = seen.where(F.col("kind") == WORD).select("w", "m_0", "m_1")
     found = own_words.join(of_word, "w")
-    all_contexts = (F.col("m_0") + F.col("m_1")) / F.lit(ONE_IN * sum(triples))
+    all_contexts = (F.col("m_0") + F.col("m_1")) / F.lit(sum(triples))
     bounded = [
-        F.least(F.col(f"left_{kind}"), _left(F.col(f"m_{kind}"), all_contexts * (ONE_IN * triples[kind]))).alias(f"left_{kind}")
+        F.least(F.col(f"left_{kind}"), _left(F.col(f"m_{kind}"), all_contexts * triples[kind])).alias(f"left_{kind}")
         for kind in (0, 1)
     ]
     found = found.select("w", "n_0", "n_1", *bounded).where("left_0 > 0 or left_1 > 0")
@@ -331,13 +363,13 @@ def ratios(docs: DataFrame, model: Model, text: str, keep: list[str] | None = No
     """
     spark = docs.sparkSession
     if model.blocks == 1:
-        return words.per_text(docs, text, RATIO, _mean_ratio(model.block(spark, 0)), keep, 4 << 20)
+        return words.per_text(docs, text, RATIO, _mean_ratio(model.block(spark, 0)), keep, CHUNK)
     names = list(docs.columns) if keep is None else keep
     kept = F.struct(*[F.col(f"`{name}`") for name in names]) if names else F.struct(F.lit(0).alias("none"))
     packed = docs.select(kept.alias("row"), F.col(f"`{text}`").alias("text"), F.lit(0.0).alias("ratio"))
     for number in range(model.blocks):
         shared = model.block(spark, number)
-        one = words.per_text(packed, "text", RATIO, _mean_ratio(shared), None, 4 << 20)
+        one = words.per_text(packed, "text", RATIO, _mean_ratio(shared), None, CHUNK)
         ratio = (F.col("row.ratio") + F.col("found.ratio")).alias("ratio")
         packed = staged(one.select("row.row", "row.text", ratio), f"ratios{number}")
         model._shared.pop(number).unpersist()
@@ -355,6 +387,8 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "label") -> Model:
     ).where("label in (0, 1)")
     scratch = Scratch(spark)
     facts = scratch.staged(facts_of(rows), "facts")
+    # The shuffles of the pairs make room for those of the triples.
+    scratch.drop()
     entries = staged(differences(facts, rows, scratch)[0], "differences")
     scratch.drop("facts", "own-words", "own-pairs", "contexts", "kept-words", "kept-pairs")
     model = Model(entries, max(1, -(-entries.count() // ENTRIES)))

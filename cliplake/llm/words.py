@@ -201,18 +201,20 @@ def per_text(
     """
     names = list(docs.columns) if keep is None else keep
     kept_type = T.StructType([docs.schema[name] for name in names])
-    packed = docs.select(
+    row = (
         F.struct(*[F.col(f"`{name}`") for name in names]).alias("row")
         if names
-        else F.struct(F.lit(0).alias("none")).alias("row"),
-        F.col(f"`{text}`").cast("string").alias("text"),
+        else F.struct(F.lit(0).alias("none")).alias("row")
     )
+    # A kept text does not travel a second time.
+    place = names.index(text) if text in names and docs.schema[text].dataType == T.StringType() else None
+    packed = docs.select(row) if place is not None else docs.select(row, F.col(f"`{text}`").cast("string").alias("text"))
     schema = T.StructType([T.StructField("row", kept_type if names else packed.schema["row"].dataType),
                            T.StructField("found", found)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = batch.column("text")
+            column = batch.column("text") if place is None else batch.column("row").field(place)
             for lo, hi in batches_of_rows(batch, column, limit):
                 part = batch.column("row").slice(lo, hi - lo)
                 out = function(column.slice(lo, hi - lo))

@@ -398,6 +398,19 @@ def plain_kneser_ney(rows):
     return ratios, math.log(left_over[1]) - math.log(left_over[0])
 
 
+def test_toxicity_counts_all_three_word_sequences(spark, monkeypatch):
+    """No share of them stands for the rest, in one pass or several."""
+    rows = [(f"{text_of(i, 30)}. One copy of TWO words!", i % 2) for i in range(40)] + [("one", 1), ("", 0), (None, 1)]
+    expected = [set(), set()]
+    for text, label in rows:
+        found = [None, None, *re.findall(r"[a-z0-9]+", (text or "").lower())]
+        expected[label].update(zip(found, found[1:], found[2:]))
+    train = spark.createDataFrame(rows, "text string, label int")
+    for passes in (toxicity.ONE_IN, 3):
+        monkeypatch.setattr(toxicity, "ONE_IN", passes)
+        assert toxicity.triple_counts(train) == [len(found) for found in expected]
+
+
 def test_toxicity_equals_a_plain_kneser_ney_model(spark, monkeypatch):
     # All triples are counted, so that the estimate of their number is exact.
     monkeypatch.setattr(toxicity, "ONE_IN", 1)
