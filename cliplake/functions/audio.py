@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import math
 import wave
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -15,6 +16,10 @@ from cliplake import schemas
 from cliplake.params import AudioParams
 
 
+#: Bytes of spectra that a task gives out at once.
+SPECTRA_BYTES = 4 << 20
+
+
 def _read_wav(data: bytes) -> tuple[np.ndarray, int]:
     """Samples in file order and the rate: 16-bit or else unsigned 8-bit, over 32768."""
     with wave.open(io.BytesIO(data), "rb") as clip:
@@ -95,19 +100,33 @@ def _mfcc(
     return np.log(energies) @ _dct_weights(params).T
 
 
-def power_spectrum(rate: Column, samples: Column, params: AudioParams = AudioParams()) -> Column:
-    """Power per frame and bin; null for a clip shorter than one frame."""
-
-    @F.pandas_udf("array<array<double>>")
-    def apply(rates: pd.Series, clips: pd.Series) -> pd.Series:
-        spectra = []
+def _spectra(
+    batches: Iterator[tuple[pd.Series, pd.Series]], params: AudioParams
+) -> Iterator[pd.Series]:
+    """Spectra of the clips in order, in pieces of about ``SPECTRA_BYTES``: a clip's spectrum is many
+    times its samples, so those of a whole batch are never held together."""
+    for rates, clips in batches:
+        spectra, held = [], 0
         for hertz, clip in zip(rates, clips):
             try:
                 power = _power_spectrum(np.asarray(clip, dtype=float), int(hertz), params)
                 spectra.append(list(power))
+                held += power.nbytes
             except (ValueError, TypeError):
                 spectra.append(None)
-        return pd.Series(spectra)
+            if held >= SPECTRA_BYTES:
+                yield pd.Series(spectra)
+                spectra, held = [], 0
+        if spectra:
+            yield pd.Series(spectra)
+
+
+def power_spectrum(rate: Column, samples: Column, params: AudioParams = AudioParams()) -> Column:
+    """Power per frame and bin; null for a clip shorter than one frame."""
+
+    @F.pandas_udf("array<array<double>>")
+    def apply(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        yield from _spectra(batches, params)
 
     return apply(rate, samples)
 

@@ -7,6 +7,7 @@ import struct
 import wave
 
 import numpy as np
+import pandas as pd
 import pytest
 from cliplake.functions import audio, images
 from cliplake.operators import catalog
@@ -278,3 +279,19 @@ def test_folders_by_pattern(spark, tmp_path):
     (tmp_path / "x").mkdir()
     (tmp_path / "x" / "one.bin").write_bytes(b"1")
     assert files.binary_files(spark, [str(tmp_path / "*"), str(tmp_path / "none*")]).count() == 1
+
+
+def test_spectra_are_given_out_in_pieces(monkeypatch):
+    """The spectra of a batch of clips, many times its samples, are not held together."""
+    monkeypatch.setattr(audio, "SPECTRA_BYTES", 1 << 16)
+    clips = [np.sin(np.arange(n) / 7) for n in [64, 5, 64, 0] * 50]
+    expected = [None if len(clip) < 64 else audio._power_spectrum(clip, 400, AudioParams()) for clip in clips]
+    batch = pd.Series([400] * len(clips)), pd.Series(clips)
+    pieces = list(audio._spectra(iter([batch, batch]), AudioParams()))
+    held = [sum(len(s) * len(s[0]) * 8 for s in piece if s is not None) for piece in pieces]
+    assert len(pieces) > 20 and max(held) <= 2 << 16
+    got = [spectrum for piece in pieces for spectrum in piece]
+    assert len(got) == 2 * len(clips)
+    for mine, theirs in zip(got, expected * 2, strict=True):
+        assert (mine is None) == (theirs is None)
+        assert mine is None or np.array_equal(np.stack(mine), theirs)
