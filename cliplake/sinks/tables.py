@@ -78,9 +78,13 @@ class KeyedCollection:
     An upsert reads and writes only the buckets that its keys fall into.  Version ``n`` writes these
     to ``data-<n>/bucket=<b>`` and a table ``manifest-<n>`` that tells for every bucket which version
     holds it; an empty file ``current-<n>`` completes it.  Files of other buckets stay as they are.
-    The number of buckets follows the rows of the first write and then stays.
+    The number of buckets follows the rows of the first write, up to ``MOST_BUCKETS``, and then stays:
+    every bucket is a file of each version that touches it, and these files are listed, moved and opened
+    one by one, so beyond that number buckets hold more rows instead.
     """
 
+    MOST_BUCKETS = 1024
+
     def __init__(self, spark: SparkSession, root: str, key: str, rows_per_bucket: int = 100_000):
         self.spark, self.root, self.key = spark, root.rstrip("/"), key
         self.rows_per_bucket = rows_per_bucket
@@ -119,7 +123,7 @@ class KeyedCollection:
         """
         known = self._manifest()
         if known is None:
-            versions, buckets = {}, max(1, -(-df.count() // self.rows_per_bucket))
+            versions, buckets = {}, min(self.MOST_BUCKETS, max(1, -(-df.count() // self.rows_per_bucket)))
             merged = df
         else:
             versions, schema, buckets = known
@@ -127,7 +131,10 @@ class KeyedCollection:
             old = self._rows({b: v for b, v in versions.items() if b in met}, schema)
             merged = documents.upsert(old, df, self.key)
         number = max([0, *self._numbers("data-"), *self._numbers("current-")]) + 1
-        placed = merged.withColumn("bucket", self._bucket(buckets)).repartition("bucket")
+        # A given number, as adaptive execution would leave the files of all buckets to few tasks.
+        context = self.spark.sparkContext
+        tasks = min(buckets, max(context.defaultParallelism, int(self.spark.conf.get("spark.sql.shuffle.partitions"))))
+        placed = merged.withColumn("bucket", self._bucket(buckets)).repartition(tasks, "bucket")
         placed.write.partitionBy("bucket").parquet(f"{self.root}/data-{number}")
         written = child_names(self.spark, f"{self.root}/data-{number}")
         versions |= {int(n.removeprefix("bucket=")): number for n in written if n.startswith("bucket=")}

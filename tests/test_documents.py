@@ -346,3 +346,15 @@ def test_collections_without_success_marker(spark, tmp_path):
         assert sorted(map(tuple, store.read("c").collect())) == [(1, "a"), (2, "b")]
     finally:
         hadoop.set(key, before or "true")
+
+
+def test_keyed_collection_bounds_its_buckets(spark, tmp_path, monkeypatch):
+    """Beyond ``MOST_BUCKETS`` buckets hold more rows instead; the rows are the same."""
+    monkeypatch.setattr(tables.KeyedCollection, "MOST_BUCKETS", 4)
+    root = str(tmp_path / "bounded")
+    store = tables.KeyedCollection(spark, root, "k", rows_per_bucket=2)
+    store.upsert(spark.createDataFrame([(i, f"old{i}") for i in range(60)], "k long, name string"))
+    new = [(i, f"new{i}") for i in range(50, 70)]
+    got = store.upsert(spark.createDataFrame(new, "k long, name string"))
+    assert len(list((tmp_path / "bounded" / "data-1").glob("bucket=*"))) == 4
+    assert sorted(map(tuple, got.collect())) == sorted([(i, f"old{i}") for i in range(50)] + new)
