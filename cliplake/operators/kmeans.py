@@ -10,7 +10,8 @@ the block has a centre nearer than the group's ball.  A pass is one job: groups
 give partial sums per centre, the sums give the next groups.  Centres of at most ``HELD`` components
 are broadcast instead of streamed, which gives the same rows with fewer tables.
 
-Pruning only saves work: the result is that of plain Lloyd passes.  Seeds are the vectors with the
+Dimensions in which no two rows differ add nothing to any distance and are left out first.  Pruning
+only saves work: the result is that of plain Lloyd passes.  Seeds are the vectors with the
 smallest digests, centres are rounded to nine decimals, ties go to the centre with the lower number.
 """
 
@@ -76,6 +77,20 @@ def _one(values: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values))
 
 
+def _varying(points: DataFrame) -> tuple[list[int], int]:
+    """The dimensions in which some rows differ, the first one if none does, and how many there are."""
+    model = np.asarray(points.select("_vector").first()[0], float)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        differ = np.zeros(len(model), bool)
+        for batch in batches:
+            differ |= (_grid(batch.column("_vector"), batch.num_rows) != model).any(axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(differ), pa.int32())], ["at"])
+
+    found = points.select("_vector").mapInArrow(run, "at int").distinct().collect()
+    return sorted(row[0] for row in found) or [0], len(model)
+
+
 def _squares(rows: np.ndarray, centers: np.ndarray) -> np.ndarray:
     """Squared distances of all rows to all centres, up to rounding."""
     return (
@@ -413,6 +428,10 @@ def assign(
     if not rows:
         return df.select("*", F.lit(0).cast("bigint").alias("cluster"), F.lit(0.0).alias("distance"))
     wanted = max(params.floor, int(params.ratio * rows))
+    kept, dimensions = _varying(points)
+    if len(kept) < dimensions:
+        own = F.transform(F.array(*map(F.lit, kept)), lambda at: F.get(F.col("_vector"), at))
+        points = points.withColumn("_vector", own)
     context = df.sparkSession.sparkContext
     coarse = context.broadcast(_coarse(points, rows))
     blocks = scratch.staged(_blocks(points, coarse), "blocks")

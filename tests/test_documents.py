@@ -358,3 +358,26 @@ def test_keyed_collection_bounds_its_buckets(spark, tmp_path, monkeypatch):
     got = store.upsert(spark.createDataFrame(new, "k long, name string"))
     assert len(list((tmp_path / "bounded" / "data-1").glob("bucket=*"))) == 4
     assert sorted(map(tuple, got.collect())) == sorted([(i, f"old{i}") for i in range(50)] + new)
+
+
+def test_kmeans_leaves_out_dimensions_in_which_no_rows_differ(spark, monkeypatch):
+    pick = random.Random(11)
+    rows = [("v", i, [pick.random(), pick.random()]) for i in range(200)]
+    padded = [(v, i, [0.0, x, 7.5, y, -1.0]) for v, i, (x, y) in rows]
+    seen, passes = [], kmeans._held_passes
+
+    def spied(blocks, seeds, wanted, coarse, *rest):
+        seen.append(coarse.value.shape[1])
+        return passes(blocks, seeds, wanted, coarse, *rest)
+
+    monkeypatch.setattr(kmeans, "_held_passes", spied)
+    # The mark of a vector has all its dimensions, so that the same vectors are seeds.
+    monkeypatch.setattr(kmeans, "mark", lambda _: F.md5(F.col("frame_number").cast("string")))
+    found = []
+    for some in (rows, padded, [(v, i, [3.0, 3.0]) for v, i, _ in rows]):
+        frames = spark.createDataFrame(some, "video_name string, frame_number long, scaled_features array<double>")
+        own = kmeans.assign(frames, ["video_name", "frame_number"])
+        found.append(sorted((r["frame_number"], r["cluster"], r["distance"]) for r in own.collect()))
+    assert seen == [2, 2, 1]
+    assert found[0] == found[1]
+    assert [distance for _, _, distance in found[2]] == [0.0] * 200
