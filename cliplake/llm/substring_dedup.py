@@ -18,6 +18,9 @@ document (``compact_windows``) name the shingle that is the minimum of all passa
    order of the shingles, the first k + 1 of one and of the other have one in common (``_rarest``).
    Within the windows of such a shingle one document after the other leads (``_rounds``), then every
    pair that is still open is verified.
+5. A window reaches further than the passage in it, so most open windows hold a passage that is
+   verified already.  A passage inside a span asks only for sources before the span's (``_limits``),
+   any other for all earlier documents: a comparison that is left out would change no joined span.
 
 The passage stays in the document with the smallest id.  Nothing is compared within one document.
 """
@@ -378,18 +381,19 @@ def _links(led: DataFrame, width: int) -> DataFrame:
     )
 
 
-def _uncovered(windows: DataFrame, spans: DataFrame, size: int) -> DataFrame:
-    """The windows that no joined span of their document covers whole."""
+def _covered(windows: DataFrame, runs: DataFrame, size: int) -> DataFrame:
+    """The windows with ``cover``: the source of the joined span that covers them whole, or null."""
     row = F.struct(*windows.columns)
-    events = windows.select("id", (F.col("at") - F.col("left")).alias("p"), F.lit(1).alias("kind"), row.alias("w"), F.lit(None).cast("long").alias("end"))
-    ends = _joined(spans).select(
+    none = F.lit(None).cast("struct<end:bigint,source:bigint>")
+    events = windows.select("id", (F.col("at") - F.col("left")).alias("p"), F.lit(1).alias("kind"), row.alias("w"), none.alias("run"))
+    ends = runs.select(
         "id", F.col("start_word").alias("p"), F.lit(0).alias("kind"),
-        F.lit(None).cast(events.schema["w"].dataType).alias("w"), F.col("end_word").alias("end"),
+        F.lit(None).cast(events.schema["w"].dataType).alias("w"), F.struct(F.col("end_word").alias("end"), "source").alias("run"),
     )
     before = Window.partitionBy("id").orderBy("p", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    reached = events.union(ends).withColumn("reached", F.max("end").over(before)).where("w is not null")
-    open_ = F.col("reached").isNull() | (F.col("reached") < F.col("w.at") + F.col("w.right") + size)
-    return reached.where(open_).select("w.*")
+    reached = events.union(ends).withColumn("run", F.max("run").over(before)).where("w is not null")
+    whole = F.col("run.end") >= F.col("w.at") + F.col("w.right") + size
+    return reached.select("w.*", F.when(whole, F.col("run.source")).alias("cover"))
 
 
 def _of_open(
@@ -398,7 +402,8 @@ def _of_open(
     """Spans of the windows that links to the leaders leave open, with the other windows of their group."""
     columns = ["group", "id", "at", "left", "right"]
     later = members.where("id > least").select(*columns)
-    open_ = _staged(scratch, _uncovered(later, spans, size), "open")
+    runs = _staged(scratch, _joined(spans), "runs")
+    open_ = _staged(scratch, _covered(later, runs, size).where("cover is null").drop("cover"), "open")
     if not open_.limit(1).count():
         return []
     # Of equal contents the first document stands for all as a source.
@@ -414,10 +419,10 @@ def _of_open(
     both = _staged(scratch, both.groupBy(*columns).agg(F.max("open").alias("open")), "both")
     scratch.drop("members", "open")
     sizes = both.groupBy("group").agg((F.count("*") > GROUP).alias("large"))
-    contents = _staged(scratch, _contents(source, both.join(sizes, "group"), size, scratch), "contents")
-    scratch.drop("both", "asked")
+    contents = _staged(scratch, _contents(source, both.join(sizes, "group"), runs, width, size, scratch), "contents")
+    scratch.drop("both", "asked", "runs")
     small = (
-        contents.where("not large").select("group", "id", "at", "left", "open", "shingles")
+        contents.where("not large").select("group", "id", "at", "left", "open", "shingles", "limits")
         .repartition("group").sortWithinPartitions("group", "id", "at")
         .mapInArrow(_within_groups(width, size, percent), SPAN)
     )
@@ -428,8 +433,7 @@ def _of_open(
     large = _staged(scratch, large.withColumn("w", F.monotonically_increasing_id()), "large")
     scratch.drop("contents")
     entries = _staged(scratch, _rare_entries(large, width, percent), "rare")
-    windows = large.where("open").select(*columns)
-    return found + _rounds(windows, entries, large, reduce(DataFrame.union, found, spans), size, width, percent, scratch)
+    return found + _rounds(entries, large, reduce(DataFrame.union, found, spans), size, width, percent, scratch)
 
 
 def _within_groups(width: int, size: int, percent: int):
@@ -437,7 +441,7 @@ def _within_groups(width: int, size: int, percent: int):
     # Shingles that two similar passages share at least.
     need = width - allowed(width, percent)
 
-    def of_group(ids, at, left, open_, values, bounds) -> Iterator[tuple[int, int, int, int]]:
+    def of_group(ids, at, left, open_, values, bounds, limits, edges) -> Iterator[tuple[int, int, int, int]]:
         n = len(ids)
         row = np.repeat(np.arange(n), np.diff(bounds))
         order = np.lexsort((row, values))
@@ -455,10 +459,21 @@ def _within_groups(width: int, size: int, percent: int):
         held = np.zeros((n, int(common.sum())), np.float32)
         held[owner[met], number[column[met]]] = 1
         shared = held @ held.T
+        # Whether a window has the shingle at a place of another: as the first of equal ones.
+        base = np.empty(len(ranked), np.int64)
+        base[order] = column[place - nth]
         for i in np.flatnonzero(open_).tolist():
-            covered = np.zeros(bounds[i + 1] - bounds[i], bool)
-            for j in np.flatnonzero(shared[i, :i] >= need).tolist():
-                if ids[j] >= ids[i]:
+            limit = limits[edges[i] : edges[i + 1]].copy()
+            near = np.flatnonzero((shared[i, :i] >= need) & (ids[:i] < limit.max()))
+            if not len(near):
+                continue
+            own = base[bounds[i] : bounds[i + 1]]
+            sums = np.zeros((len(near), len(own) + 1), np.int32)
+            np.cumsum(np.where(common[own], held[near][:, number[own]], 0), axis=1, out=sums[:, 1:])
+            may = sums[:, width:] - sums[:, :-width] >= need
+            for j, at_start in zip(near.tolist(), may, strict=True):
+                # Where a source that is no later is known already, this one adds nothing.
+                if not (at_start & (limit > ids[j])).any():
                     continue
                 reach = min(int(left[i]), int(left[j]))
                 skip = int(left[i]) - reach
@@ -468,23 +483,24 @@ def _within_groups(width: int, size: int, percent: int):
                 starts = similar_starts(x[:m], y[:m], width, percent)
                 if not len(starts):
                     continue
+                limit[skip + starts] = np.minimum(limit[skip + starts], ids[j])
                 for first, last in _runs_of(starts):
-                    covered[skip + first : skip + last + width] = True
                     begin = int(at[i]) - reach
                     yield int(ids[i]), int(ids[j]), begin + first, begin + last + width + size - 1
-                if covered.all():
-                    break
 
     def spans(batch: pa.RecordBatch, firsts: np.ndarray) -> pa.RecordBatch:
         cells = batch.column("shingles")
         edges = cells.offsets.to_numpy() - cells.offsets[0].as_py()
         values = cells.flatten().to_numpy()
+        bars = batch.column("limits")
+        ends = bars.offsets.to_numpy() - bars.offsets[0].as_py()
+        limits = bars.flatten().to_numpy()
         ids, at, left, open_ = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "at", "left", "open"))
         out = []
         for a, b in zip(firsts[:-1].tolist(), firsts[1:].tolist(), strict=True):
             if b - a > 1 and open_[a:b].any():
-                part = values[edges[a] : edges[b]]
-                out += of_group(ids[a:b], at[a:b], left[a:b], open_[a:b], part, edges[a : b + 1] - edges[a])
+                part = values[edges[a] : edges[b]], edges[a : b + 1] - edges[a]
+                out += of_group(ids[a:b], at[a:b], left[a:b], open_[a:b], *part, limits, ends[a : b + 1])
         columns = [pa.array([x[i] for x in out], pa.int64()) for i in range(4)]
         return pa.RecordBatch.from_arrays(columns, SPAN.names)
 
@@ -506,49 +522,52 @@ def _within_groups(width: int, size: int, percent: int):
 
 
 def _rounds(
-    windows: DataFrame, entries: DataFrame, contents: DataFrame, spans: DataFrame,
-    size: int, width: int, percent: int, scratch: Scratch,
-) -> list[DataFrame]:
+    entries: DataFrame, contents: DataFrame, spans: DataFrame, size: int, width: int, percent: int, scratch: Scratch
+) -> list[DataFrame]:
     """Compare the windows of large groups that share a rare shingle.
 
-    In each round the first window that has not led yet leads its shingle and is compared with the
-    open ones behind it; what verified spans cover then asks no more.  Copies and near copies thus
-    go in a few rounds, each linear in the rows.  When the pairs that are left are few for their
-    windows, when a round answers next to none, or after ``ROUNDS``, all of them are compared.
+    In each round the first window that has not led yet leads its shingle and is compared with those
+    behind it that ask; what verified spans cover then asks for earlier sources only.  Copies and near
+    copies thus go in a few rounds, each linear in the rows.  When the pairs that are left are few for
+    their windows, when a round answers next to none, or after ``ROUNDS``, all of them are compared.
     """
     by = ["group", "rare"]
-    before = entries.where("open").count()
-    asking, waiting, found = entries.where("open"), entries, []
-    for number in range(ROUNDS):
+    asking, waiting, found, before = entries.where("limit is not null"), entries, [], None
+    for number in range(ROUNDS + 1):
         leads = waiting.groupBy(*by).agg(F.min(F.struct("id", "at", "w")).alias("lead"))
         leads = _staged(scratch, leads, f"leaders{number}")
-        led = asking.join(leads, by).where(F.col("id") > F.col("lead.id"))
-        led = led.select("w", "id", "at", F.col("lead.id").alias("source"), F.col("lead.w").alias("source_w"))
-        found.append(_staged(scratch, _compared(led.distinct(), contents, width, size, percent), "led"))
-        all_spans = reduce(DataFrame.union, found, spans)
-        still = _uncovered(windows, all_spans, size).select("group", "id", "at")
-        asking = _staged(scratch, asking.join(still, ["group", "id", "at"], "left_semi"), f"asking{number}")
-        gone = leads.select(*by, F.col("lead.w").alias("w"))
-        waiting = _staged(scratch, waiting.join(gone, [*by, "w"], "left_anti"), f"waiting{number}")
-        scratch.drop(f"leaders{number}", f"asking{number - 1}", f"waiting{number - 1}")
-        # Shingles that no open window asks for need no leader.
-        asks = asking.groupBy(*by).agg(F.count("*").alias("asks"), F.max("id").alias("most"))
+        # Of what is asked no more nothing waits with a smaller id than the limit.
+        asking = asking.join(leads, by).where(F.col("limit") > F.col("lead.id"))
+        asking = _staged(scratch, asking, f"asking{number}")
+        scratch.drop(f"asked{number - 1}")
+        asks = asking.groupBy(*by).agg(F.count("*").alias("asks"), F.max("limit").alias("most"))
         pairs = waiting.join(asks, by).where(F.col("id") < F.col("most"))
         pairs = pairs.groupBy(*by).agg(F.first("asks").alias("asks"), F.count("*").alias("others"))
         expected = pairs.agg(F.coalesce(F.sum(F.col("asks") * F.col("others")), F.lit(0))).first()[0]
         left = asking.count()
-        if expected <= PAIRS_PER_WINDOW * max(1, left) or 100 * left > 99 * before:
+        if not left:
+            return found
+        few = expected <= PAIRS_PER_WINDOW * left
+        if few or number == ROUNDS or (before is not None and 100 * left > 99 * before):
             break
         before = left
+        led = asking.select("w", "id", "at", F.col("lead.id").alias("source"), F.col("lead.w").alias("source_w"))
+        found.append(_staged(scratch, _compared(led.distinct(), contents, width, size, percent), "led"))
+        asking = _covered(asking.drop("lead"), _joined(reduce(DataFrame.union, found, spans)), size)
+        asking = asking.withColumn("limit", F.least("limit", "cover")).drop("cover")
+        asking = _staged(scratch, asking, f"asked{number}")
+        gone = leads.select(*by, F.col("lead.w").alias("w"))
+        waiting = _staged(scratch, waiting.join(gone, [*by, "w"], "left_anti"), f"waiting{number}")
+        scratch.drop(f"leaders{number}", f"asking{number}", f"waiting{number - 1}")
     pairs = _pairs(waiting, asking)
     return [*found, _staged(scratch, _compared(pairs.distinct(), contents, width, size, percent), "pairs")]
 
 
 def _pairs(known: DataFrame, asking: DataFrame) -> DataFrame:
-    """Windows that ask, each with the windows of earlier documents that share group and shingle."""
+    """Windows that ask, each with the earlier windows below its limit that share group and shingle."""
     other = known.select("group", "rare", F.col("id").alias("source"), F.col("w").alias("source_w"))
-    pairs = asking.select("group", "rare", "w", "id", "at").join(other, ["group", "rare"])
-    return pairs.where("id > source").select("w", "id", "at", "source", "source_w")
+    pairs = asking.select("group", "rare", "w", "id", "at", "limit").join(other, ["group", "rare"])
+    return pairs.where("limit > source").select("w", "id", "at", "source", "source_w")
 
 
 WINDOW = T.ArrayType(
@@ -561,15 +580,26 @@ WINDOW = T.ArrayType(
             T.StructField("open", T.BooleanType()),
             T.StructField("large", T.BooleanType()),
             T.StructField("shingles", T.ArrayType(T.IntegerType())),
+            T.StructField("limits", T.ArrayType(T.LongType())),
         ]
     )
 )
 
 
-def _contents(source: DataFrame, both: DataFrame, size: int, scratch: Scratch) -> DataFrame:
-    """The windows with their shingles, as the 4-byte values that are verified."""
+def _contents(
+    source: DataFrame, both: DataFrame, runs: DataFrame, width: int, size: int, scratch: Scratch
+) -> DataFrame:
+    """The windows with their shingles, as the 4-byte values that are verified, and their limits.
+
+    An open window has a limit for each passage around its minimum: the source of the joined span that
+    covers the passage, or else the window's id.  Only sources before the limit add anything.
+    """
     window = F.struct("group", "at", "left", "right", "open", "large")
-    lists = _staged(scratch, both.groupBy("id").agg(F.collect_list(window).alias("windows")), "asked")
+    lists = both.groupBy("id").agg(F.collect_list(window).alias("windows"))
+    run_of = F.struct("start_word", "end_word", "source")
+    known = runs.groupBy("id").agg(F.sort_array(F.collect_list(run_of)).alias("runs"))
+    lists = lists.join(known, "id", "left").withColumn("runs", F.coalesce("runs", F.array().cast(known.schema["runs"].dataType)))
+    lists = _staged(scratch, lists, "asked")
     texts = words.of_ids(source, lists.select("id")).dropDuplicates(["id"]).join(lists, "id")
     schema = T.StructType([T.StructField("id", T.LongType()), *WINDOW.elementType.fields])
 
@@ -585,17 +615,41 @@ def _contents(source: DataFrame, both: DataFrame, size: int, scratch: Scratch) -
                 fields = {f: flat.field(f) for f in ("group", "at", "left", "right", "open", "large")}
                 at, left, right = (fields[f].to_numpy(zero_copy_only=False).astype(np.int64) for f in ("at", "left", "right"))
                 base = np.repeat(firsts[:-1], counts) + at - left
+                id_of, row_of = (np.repeat(v, counts) for v in (part.column("id").to_numpy(), np.arange(len(counts))))
+                starts = np.where(fields["open"].to_numpy(zero_copy_only=False), left + right + 2 - width, 0)
+                limit_of = _limits(part.column("runs"), width + size - 1)
                 for a in range(0, len(at), 10_000):
                     b = slice(a, a + 10_000)
                     lengths = (left + right + 1)[b]
-                    ends = np.cumsum(lengths)
-                    inside = np.arange(ends[-1]) - np.repeat(ends - lengths, lengths)
-                    cells = words.list_column(pa.array(values[np.repeat(base[b], lengths) + inside]), lengths)
-                    ids = np.repeat(part.column("id").to_numpy(zero_copy_only=False), counts)[b]
+                    cells = words.list_column(pa.array(values[np.repeat(base[b], lengths) + _inside(lengths)]), lengths)
+                    asked = np.repeat((at - left)[b], starts[b]) + _inside(starts[b])
+                    limits = limit_of(np.repeat(row_of[b], starts[b]), asked, np.repeat(id_of[b], starts[b]))
+                    limits = words.list_column(pa.array(limits), starts[b])
                     columns = [fields[f].slice(a, len(lengths)) for f in fields]
-                    yield pa.RecordBatch.from_arrays([pa.array(ids), *columns, cells], schema.names)
+                    yield pa.RecordBatch.from_arrays([pa.array(id_of[b]), *columns, cells, limits], schema.names)
+
+    return texts.select("id", "text", "windows", "runs").mapInArrow(run, schema)
+
+
+def _inside(lengths: np.ndarray) -> np.ndarray:
+    """0 .. n - 1 for each length n, one after the other."""
+    return np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+
 
-    return texts.select("id", "text", "windows").mapInArrow(run, schema)
+def _limits(runs: pa.Array, n_words: int):
+    """Sources of the runs that cover whole passages of ``n_words`` words, elsewhere the given ids."""
+    row = np.repeat(np.arange(len(runs)), np.diff(runs.offsets.to_numpy()))
+    first, end, source = (runs.flatten().field(i).to_numpy() for i in range(3))
+    keys = (row << 40) + first
+
+    def limits(rows: np.ndarray, at: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        if not len(keys):
+            return ids
+        place = np.searchsorted(keys, (rows << 40) + at, "right") - 1
+        covers = (place >= 0) & (row[place] == rows) & (end[place] >= at + n_words)
+        return np.where(covers, source[place], ids)
+
+    return limits
 
 
 def allowed(width: int, percent: int) -> int:
@@ -603,22 +657,24 @@ def allowed(width: int, percent: int) -> int:
     return width - -(-2 * width * percent // (100 + percent))
 
 
-def _rarest(values: np.ndarray, counts: np.ndarray, left: int, width: int, percent: int) -> np.ndarray:
-    """Shingles among the rarest of any passage around ``left``, one more than a similar one may lack."""
+def _rarest(values: np.ndarray, counts: np.ndarray, width: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of passages, each with the places of its rarest shingles, one more than a similar one may lack."""
     n = allowed(width, percent) + 1
     rank = np.empty(len(values), np.int64)
     rank[np.lexsort((values, counts))] = np.arange(len(values))
-    starts = np.arange(max(0, left - width + 1), min(left, len(values) - width) + 1)
+    starts = np.arange(len(values) - width + 1)
     grid = rank[starts[:, None] + np.arange(width)]
     places = np.argpartition(grid, n - 1, axis=1)[:, :n] if n < width else np.tile(np.arange(width), (len(starts), 1))
-    places = np.unique(starts[:, None] + places)
-    return np.unique(values[places[counts[places] > 1]])
+    places = (starts[:, None] + places).ravel()
+    met = counts[places] > 1
+    return np.repeat(starts, n if n < width else width)[met], places[met]
 
 
 def _rare_entries(windows: DataFrame, width: int, percent: int) -> DataFrame:
     """One row per window and rare shingle of it that other windows of the group hold too.
 
-    Only shingles that several windows of a group hold are listed by window; all others are rarer
+    With ``limit``, ``left`` and ``right`` of the passages that have it among their rarest: the last
+    limit of any, and how far they reach from the window's minimum.  Only shingles that several windows of a group hold are listed by window; all others are rarer
     than these, in whatever order.
     """
     cells = windows.select("group", "w", F.posexplode("shingles").alias("place", "rare"))
@@ -630,10 +686,11 @@ def _rare_entries(windows: DataFrame, width: int, percent: int) -> DataFrame:
         .groupBy("w")
         .agg(F.collect_list(F.struct("place", "n", "rare")).alias("places"))
     )
-    names = ["group", "id", "at", "w", "open"]
-    known = windows.select(*names, "left", (F.col("left") + F.col("right") + 1).alias("length"))
+    names = ["group", "id", "at", "w"]
+    known = windows.select(*names, "left", (F.col("left") + F.col("right") + 1).alias("length"), "limits")
     ranked = known.join(listed, "w")
-    schema = T.StructType([*[ranked.schema[n] for n in names], T.StructField("rare", T.IntegerType())])
+    new = [("rare", T.IntegerType()), ("limit", T.LongType()), ("left", T.IntegerType()), ("right", T.IntegerType())]
+    schema = T.StructType([*[ranked.schema[n] for n in names], *[T.StructField(*field) for field in new]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -642,17 +699,31 @@ def _rare_entries(windows: DataFrame, width: int, percent: int) -> DataFrame:
             flat = cells.flatten()
             places, counts, values = (flat.field(f).to_numpy(zero_copy_only=False) for f in ("place", "n", "rare"))
             lefts, lengths = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("left", "length"))
-            found = []
-            for a, b, left, length in zip(edges[:-1], edges[1:], lefts, lengths, strict=True):
+            bars = batch.column("limits")
+            ends = bars.offsets.to_numpy() - bars.offsets[0].as_py()
+            limits = bars.flatten().to_numpy()
+            rows, found = [], []
+            for i, (a, b, length) in enumerate(zip(edges[:-1], edges[1:], lengths, strict=True)):
                 own, n = np.zeros(length, values.dtype), np.ones(length, counts.dtype)
                 own[places[a:b]], n[places[a:b]] = values[a:b], counts[a:b]
-                found.append(_rarest(own, n, int(left), width, percent))
-            rows = np.repeat(np.arange(len(found)), [len(f) for f in found])
-            if len(rows):
-                taken = batch.select(names).take(pa.array(rows))
-                yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(np.concatenate(found))], schema.names)
-
-    return ranked.select(*names, "left", "length", "places").mapInArrow(run, schema)
+                starts, taken = _rarest(own, n, width, percent)
+                if not len(taken):
+                    continue
+                order = np.lexsort((starts, own[taken]))
+                rare, starts = own[taken][order], starts[order]
+                first = np.flatnonzero(np.r_[True, rare[1:] != rare[:-1]])
+                last = np.r_[first[1:], len(rare)] - 1
+                asked = limits[ends[i] : ends[i + 1]]
+                most = np.maximum.reduceat(asked[starts], first) if len(asked) else np.full(len(first), -1)
+                rows.append(np.full(len(first), i))
+                found.append((rare[first], most, lefts[i] - starts[first], starts[last] + width - 1 - lefts[i], np.full(len(first), len(asked) > 0)))
+            if rows:
+                rare, most, left, right, asks = (np.concatenate(column) for column in zip(*found, strict=True))
+                taken = batch.select(names).take(pa.array(np.concatenate(rows)))
+                columns = [pa.array(rare), pa.array(most, pa.int64(), mask=~asks), pa.array(left, pa.int32()), pa.array(right, pa.int32())]
+                yield pa.RecordBatch.from_arrays([*taken.columns, *columns], schema.names)
+
+    return ranked.select(*names, "left", "length", "limits", "places").mapInArrow(run, schema)
 
 
 def _compared(pairs: DataFrame, contents: DataFrame, width: int, size: int, percent: int) -> DataFrame:

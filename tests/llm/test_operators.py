@@ -205,6 +205,34 @@ def test_frequent_lines_inside_longer_repeats(spark, monkeypatch, group):
                 assert set(range(k, k + 50)) <= found.get(i, set())
 
 
+@pytest.mark.parametrize("group", [256, 1])
+def test_very_common_passage_is_compared_in_linear_work(spark, monkeypatch, group):
+    """What a leader covers is not compared again, but for what goes on beyond it."""
+    monkeypatch.setattr(substring_dedup, "GROUP", group)
+    compared, plain = [], substring_dedup._compared
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return plain(pairs, *rest)
+
+    monkeypatch.setattr(substring_dedup, "_compared", counted)
+    common, n = text_of(20_000, 58, 10**6), 60
+    alone = lambda seed: text_of(20_001 + seed, 40, 10**6)
+    # Every fifth document goes on as the one before it does.
+    longer = [text_of(21_000 + i - (i % 5 == 4), 30, 10**6) for i in range(n)]
+    texts = [f"{alone(2 * i)} {common} {longer[i]} {alone(2 * i + 1)}" for i in range(n)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {}
+    for r in substring_dedup.repeated_spans(frame).collect():
+        assert r["source"] == 0
+        found.setdefault(r["doc_id"], set()).update(range(r["start_word"], r["end_word"]))
+    for i in range(1, n):
+        assert set(range(40, 128 if i % 5 == 4 else 98)) <= found[i]
+        assert found[i] <= set(range(30, 138 if i % 5 == 4 else 108))
+    # All pairs of the common passage would be about n * n / 2 for each of its minima.
+    assert sum(compared) <= 10 * n
+
+
 def _bags_alike(a, b):
     common = sum((Counter(a) & Counter(b)).values())
     return 100 * common >= 80 * (len(a) + len(b) - common)
