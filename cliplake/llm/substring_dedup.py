@@ -529,10 +529,11 @@ def _rounds(
     In each round the first window that has not led yet leads its shingle and is compared with those
     behind it that ask; what verified spans cover then asks for earlier sources only.  Copies and near
     copies thus go in a few rounds, each linear in the rows.  When the pairs that are left are few for
-    their windows, when a round answers next to none, or after ``ROUNDS``, all of them are compared.
+    their windows or no more than the entries, when a round answers next to none, or after ``ROUNDS``, all of them are compared.
     """
     by = ["group", "rare"]
     asking, waiting, found, before = entries.where("limit is not null"), entries, [], None
+    rows = entries.count()
     for number in range(ROUNDS + 1):
         leads = waiting.groupBy(*by).agg(F.min(F.struct("id", "at", "w")).alias("lead"))
         leads = _staged(scratch, leads, f"leaders{number}")
@@ -547,7 +548,7 @@ def _rounds(
         left = asking.count()
         if not left:
             return found
-        few = expected <= PAIRS_PER_WINDOW * left
+        few = expected <= max(PAIRS_PER_WINDOW * left, rows)
         if few or number == ROUNDS or (before is not None and 100 * left > 99 * before):
             break
         before = left
@@ -674,8 +675,8 @@ def _rare_entries(windows: DataFrame, width: int, percent: int) -> DataFrame:
     """One row per window and rare shingle of it that other windows of the group hold too.
 
     With ``limit``, ``left`` and ``right`` of the passages that have it among their rarest: the last
-    limit of any, and how far they reach from the window's minimum.  Only shingles that several windows of a group hold are listed by window; all others are rarer
-    than these, in whatever order.
+    limit of any, and how far they reach from the window's minimum.  Only shingles that several windows
+    of a group hold are listed by window; all others are rarer than these, in whatever order.
     """
     cells = windows.select("group", "w", F.posexplode("shingles").alias("place", "rare"))
     # One number stands for group and shingle; should two fall together, more pairs are compared.
@@ -716,7 +717,8 @@ def _rare_entries(windows: DataFrame, width: int, percent: int) -> DataFrame:
                 asked = limits[ends[i] : ends[i + 1]]
                 most = np.maximum.reduceat(asked[starts], first) if len(asked) else np.full(len(first), -1)
                 rows.append(np.full(len(first), i))
-                found.append((rare[first], most, lefts[i] - starts[first], starts[last] + width - 1 - lefts[i], np.full(len(first), len(asked) > 0)))
+                asks = np.full(len(first), len(asked) > 0)
+                found.append((rare[first], most, lefts[i] - starts[first], starts[last] + width - 1 - lefts[i], asks))
             if rows:
                 rare, most, left, right, asks = (np.concatenate(column) for column in zip(*found, strict=True))
                 taken = batch.select(names).take(pa.array(np.concatenate(rows)))
