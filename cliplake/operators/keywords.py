@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cliplake import schemas
-from cliplake.functions import text
-from cliplake.operators import skew
+from cliplake.functions import terms, text
 from cliplake.params import TextParams
 from cliplake.runtime import staged
 
+# At most so many terms are broadcast.
+FREQUENT = 500_000
+
 
 def _ranked_list(df: DataFrame, key: str, order: list, limit: int, item, name: str) -> DataFrame:
     """One array of the first ``limit`` items per key.
@@ -27,58 +30,29 @@ def term_lists(transcripts: DataFrame) -> DataFrame:
     """Terms of each transcript, stop words kept: doc_id, length, terms.
 
     ``length`` is the number of tokens, ``terms`` holds each term once with its count ``n`` and the
-    ``position`` of its first occurrence.  Both are null for placeholders and null transcripts.
+    ``position`` of its first occurrence, the most frequent first, ties by position.  Both are null
+    for placeholders and null transcripts.
 
-    Occurrences are counted inside their row: sorted by term and position, the runs of equal terms
-    give all of it, without a shuffle.
+    Occurrences are counted inside their row, in Arrow batches, without a shuffle.
     """
-    content = F.when(~text.is_placeholder(F.col("transcript")), F.col("transcript"))
-    occurrences = F.transform(
-        text.tokens(content),
-        lambda token, at: F.struct(token.alias("term"), at.alias("position")),
-    )
-    counted = _bound(F.sort_array(occurrences), _runs)
-    return transcripts.select("doc_id", counted.alias("_counted")).select("doc_id", "_counted.*")
-
-
-def _bound(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once per row, wherever Spark moves the expression."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
-def _runs(placed: Column) -> Column:
-    """Length and terms of sorted occurrences."""
+    content = F.when(~text.is_placeholder(F.col("transcript")), F.lower("transcript"))
+    counts = T.StructType.fromDDL(f"length int, terms {schemas.TERMS}")
+    schema = T.StructType([transcripts.schema["doc_id"], *counts])
+    return transcripts.select("doc_id", content.alias("content")).mapInArrow(terms.count_terms, schema)
 
-    def starts_run(at):
-        return (at == 0) | (F.get(placed, at)["term"] != F.get(placed, at - 1)["term"])
 
-    def terms(starts):
-        def run(start, number):
-            end = F.coalesce(F.get(starts, number + 1), F.size(placed))
-            return F.struct(
-                F.get(placed, start)["term"].alias("term"),
-                (end - start).cast("bigint").alias("n"),
-                F.get(placed, start)["position"].alias("position"),
-            )
+def keyword_list(listed: Column, params: TextParams = TextParams()) -> Column:
+    """The most frequent terms of a term list without stop words; empty without any.
 
-        return F.transform(starts, run)
-
-    numbers = F.transform(placed, lambda _, at: at)
-    listed = _bound(F.filter(numbers, starts_run), terms)
-    return F.struct(F.size(placed).alias("length"), listed.alias("terms"))
-
-
-def keyword_list(terms: Column, params: TextParams = TextParams()) -> Column:
-    """The most frequent terms without stop words, ties by first occurrence; empty without any."""
-    kept = F.filter(terms, lambda t: ~t["term"].isin(*text.STOP_WORDS))
-    ranked = F.sort_array(
-        F.transform(kept, lambda t: F.struct((-t["n"]).alias("order"), t["position"], t["term"]))
-    )
-    listed = F.transform(
-        F.slice(ranked, 1, params.keywords),
-        lambda r: F.struct(r["term"].alias("word"), (-r["order"]).alias("frequency")),
+    Stop words can only push the last keyword back by their own number.
+    """
+    foremost = F.slice(listed, 1, params.keywords + len(text.STOP_WORDS))
+    kept = F.filter(foremost, lambda t: ~t["term"].isin(*text.STOP_WORDS))
+    found = F.transform(
+        F.slice(kept, 1, params.keywords),
+        lambda t: F.struct(t["term"].alias("word"), t["n"].alias("frequency")),
     )
-    return F.coalesce(listed, F.array()).cast(schemas.KEYWORDS)
+    return F.coalesce(found, F.array()).cast(schemas.KEYWORDS)
 
 
 def keywords(transcripts: DataFrame, params: TextParams = TextParams()) -> DataFrame:
@@ -87,9 +61,9 @@ def keywords(transcripts: DataFrame, params: TextParams = TextParams()) -> DataF
     return term_lists(transcripts).select("doc_id", listed.alias("keywords"))
 
 
-def document_frequencies(terms: DataFrame) -> DataFrame:
+def document_frequencies(rows: DataFrame) -> DataFrame:
     """Number of transcripts that hold each term."""
-    return terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    return rows.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
 def tfidf(transcripts: DataFrame) -> DataFrame:
@@ -97,21 +71,30 @@ def tfidf(transcripts: DataFrame) -> DataFrame:
     return scored_terms(staged(term_lists(transcripts), "terms"))
 
 
-def scored_terms(lists: DataFrame) -> DataFrame:
+def scored_terms(lists: DataFrame, frequent: int = FREQUENT) -> DataFrame:
     """TF-IDF from written term lists, which are read for N, for the terms' counts and the terms.
 
-    N counts all transcripts but the bracketed placeholders, empty ones included.  A term that
-    nearly every transcript holds is spread over several tasks.
+    N counts all transcripts but the bracketed placeholders, empty ones included.
+
+    Terms that hold more than one in ``frequent`` of all rows, necessarily fewer than ``frequent``
+    terms, are broadcast, so that most rows are not shuffled.  The other rows meet their terms in a
+    shuffle, in which no term has more than that share.
     """
     documents = lists.agg(F.count("length").cast("double")).scalar()
-    terms = lists.select("doc_id", "length", F.explode("terms").alias("_term")).select(
+    rows = lists.select("doc_id", "length", F.explode("terms").alias("_term")).select(
         "doc_id", "length", F.col("_term.term").alias("term"), F.col("_term.n").alias("n")
     )
-    weights = document_frequencies(terms).select(
-        "term", F.ln(documents / (F.col("df") + 1)).alias("idf")
+    frequencies = staged(document_frequencies(rows), "frequencies")
+    total = frequencies.agg(F.sum("df")).first()[0] or 0
+    weights = frequencies.select("term", "df", F.ln(documents / (F.col("df") + 1)).alias("idf"))
+    many = F.col("df") * frequent > total
+    first, others = weights.where(many).drop("df"), weights.where(~many).drop("df")
+    among_first = rows.join(F.broadcast(first), "term")
+    among_others = rows.join(F.broadcast(first.select("term")), "term", "left_anti").join(
+        others, "term"
     )
     tf = F.col("n") / F.col("length")
-    return skew.salted_join(terms, weights, "term", ["doc_id"]).select(
+    return among_first.unionByName(among_others).select(
         "doc_id", "term", tf.alias("tf"), "idf", (tf * F.col("idf")).alias("score")
     )
 

@@ -60,10 +60,17 @@ def keyword_contains(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id")
 
 
+def _rounded(column: str):
+    """Six decimals, as ``round`` gives them; that goes by decimal strings, which only ties need."""
+    scaled = F.col(column) * 1e6
+    tie = F.abs(scaled - F.floor(scaled) - 0.5) < 1e-3
+    return F.when(tie, F.round(column, 6)).otherwise(F.floor(scaled + 0.5) / 1e6)
+
+
 def tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = keywords.tfidf(views.transcripts(spark, sf_dir))
     return scored.select(
-        "doc_id", "term", *[F.round(c, 6).alias(c) for c in ["tf", "idf", "score"]]
+        "doc_id", "term", *[_rounded(c).alias(c) for c in ["tf", "idf", "score"]]
     )
 
 

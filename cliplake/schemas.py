@@ -33,4 +33,6 @@ CLIP = (
 
 KEYWORDS = "array<struct<word:string,frequency:bigint>>"
 
+TERMS = "array<struct<term:string,n:bigint,position:int>>"
+
 TOP_TERMS = "array<struct<term:string,score:double>>"
