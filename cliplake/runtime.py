@@ -9,6 +9,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Spark's setting by which an execution removes its shuffle files at its end.
+FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def work_root(spark: SparkSession) -> str:
     """Shared folder for written tables, from ``spark.checkpoint.dir`` or ``setCheckpointDir``.
@@ -33,6 +36,18 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{work_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def _write(df: DataFrame, path: str) -> None:
+    """Write a table.  The shuffle files of the write are removed when it ends: nothing else reads
+    them, and left to the garbage collection of the driver they would pile up from step to step."""
+    conf = df.sparkSession.conf
+    before = conf.get(FILE_CLEANUP, None)
+    conf.set(FILE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.unset(FILE_CLEANUP) if before is None else conf.set(FILE_CLEANUP, before)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
@@ -40,7 +55,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     below them again and again; a written table ends that, and outlives lost executors.
     """
     path = fresh_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    _write(df, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -53,7 +68,7 @@ class Scratch:
     def staged(self, df: DataFrame, name: str) -> DataFrame:
         path = fresh_dir(self.spark, name)
         self.paths.append(path)
-        df.write.parquet(path)
+        _write(df, path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:

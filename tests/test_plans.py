@@ -2,6 +2,8 @@
 
 import __spark_entry__ as entry
 import pytest
+from cliplake import runtime
+from pyspark.sql import functions as F
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -54,3 +56,20 @@ def test_scans_read_only_the_columns_they_need(plan_of):
 
 def test_filters_reach_the_scan(plan_of):
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts," in plan_of("recent_rows")
+
+
+def _shuffle_files(spark):
+    files = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    names = [files.apply(i).getName() for i in range(files.size())]
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    before = _shuffle_files(spark)
+    counts = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    first = runtime.staged(counts, "counts")
+    second = runtime.Scratch(spark).staged(counts, "counts")
+    assert not _shuffle_files(spark) - before
+    assert spark.conf.get(runtime.FILE_CLEANUP, None) is None
+    # Neither the written tables nor the frame they came from need the files again.
+    assert sorted(first.collect()) == sorted(second.collect()) == sorted(counts.collect())
