@@ -40,6 +40,8 @@ REMEMBERED_PAIRS = 4_000_000
 SHORT = 64
 #: Longest text, in characters, whose words are listed at once.
 LISTED = 1 << 22
+#: Tokens whose bytes are gathered at once.
+SPELT = 1 << 17
 NEVER = np.iinfo(np.int32).max
 
 ENCODED = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType()))])
@@ -418,6 +420,33 @@ class Encoder:
         return good[back]
 
 
+class Spelling:
+    """Bytes of all tokens, end to end, from which texts are gathered without an object per token."""
+
+    def __init__(self, model: Model) -> None:
+        # The last entry, of no bytes, stands for ids that the model does not have.
+        known = [*(spelt or b"" for spelt in model.bytes), b""]
+        self.data = np.frombuffer(b"".join(known), np.uint8)
+        self.lengths = np.fromiter(map(len, known), np.int64, len(known))
+        self.starts = np.cumsum(self.lengths) - self.lengths
+
+    def texts(self, ids: np.ndarray, sizes: np.ndarray) -> list[str]:
+        """The texts that flat ids spell; each text has as many ids as ``sizes`` says."""
+        ids = np.where((ids >= 0) & (ids < len(self.lengths)), ids, len(self.lengths) - 1)
+        ends = np.zeros(len(ids) + 1, np.int64)
+        np.cumsum(self.lengths[ids], out=ends[1:])
+        spelt = np.empty(ends[-1], np.uint8)
+        for at in range(0, len(ids), SPELT):
+            some = ids[at : at + SPELT]
+            lo, hi = ends[at], ends[at + len(some)]
+            shift = np.repeat(self.starts[some] - ends[at : at + len(some)], self.lengths[some])
+            spelt[lo:hi] = self.data[shift + np.arange(lo, hi)]
+        bounds = np.zeros(len(sizes) + 1, np.int64)
+        np.cumsum(sizes, out=bounds[1:])
+        raw, cuts = memoryview(spelt), ends[bounds].tolist()
+        return [str(raw[lo:hi], "utf-8", "replace") for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
 _encoders: dict[int, Encoder] = {}
 
 
@@ -459,17 +488,15 @@ def decode(encoded: DataFrame, model: Broadcast, ids: str = "ids", limit: int =
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = dict(enumerate(model.value.bytes))
+        spelling = Spelling(model.value)
         for batch in batches:
             lists = batch.column("ids")
             sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
             group = np.cumsum(sizes.astype(np.int64)) // limit
             edges = np.flatnonzero(np.diff(group, prepend=-1, append=-1))
             for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                texts = [
-                    b"".join([table.get(i) or b"" for i in one]).decode("utf-8", "replace") if one else ""
-                    for one in lists.slice(lo, hi - lo).to_pylist()
-                ]
+                flat = pc.fill_null(lists.slice(lo, hi - lo).flatten(), -1).to_numpy(zero_copy_only=False)
+                texts = spelling.texts(flat, sizes[lo:hi])
                 spelt = pa.StructArray.from_arrays([pa.array(texts, pa.string())], ["text"])
                 yield pa.RecordBatch.from_arrays([batch.column("row").slice(lo, hi - lo), spelt], ["row", "found"])
 

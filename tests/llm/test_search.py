@@ -117,6 +117,19 @@ def test_bpe_frames(spark):
     assert [r[0] for r in bpe.decode(odd, model).select("found.text").collect()][:2] == ["<|endoftext|>", ""]
 
 
+def test_bpe_spelling_gathers_bytes(encoder, monkeypatch):
+    """Texts are gathered from flat ids, in pieces, without a Python object for each token."""
+    monkeypatch.setattr(bpe, "SPELT", 5)
+    pick, known = random.Random(3), encoder.model.bytes
+    rows = [[pick.randint(-2, len(known) + 2) if pick.random() < 0.2 else pick.randrange(400) for _ in range(n)] for n in (0, 1, 9, 40, 0, 5)]
+    plain = [b"".join(known[i] or b"" for i in row if 0 <= i < len(known)).decode("utf-8", "replace") for row in rows]
+    flat = np.array([i for row in rows for i in row], np.int32)
+    spelling = bpe.Spelling(encoder.model)
+    assert spelling.texts(flat, np.array(list(map(len, rows)))) == plain
+    assert any("\ufffd" in text for text in plain)
+    assert spelling.texts(flat[:0], np.zeros(2, np.int64)) == ["", ""]
+
+
 def _mined(rows, every, positives, negatives, low, high, scale):
     """rows: (id, vector, label), usable ones only, distinct ids."""
     out = []
