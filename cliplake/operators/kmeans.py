@@ -10,6 +10,11 @@ the block has a centre nearer than the group's ball.  A pass is one job: groups
 give partial sums per centre, the sums give the next groups.  Centres of at most ``HELD`` components
 are broadcast instead of streamed, which gives the same rows with fewer tables.
 
+With broadcast centres every row keeps its nearest centre and its distance from pass to pass.  A row
+whose centre has not moved can only change to a centre that has, so it meets no others; only rows whose
+centre has moved meet all.  Likewise only centres that a row has joined or left get a new mean.  As
+centres settle a pass thus shrinks to the few that still move.
+
 Dimensions in which no two rows differ add nothing to any distance and are left out first.  Pruning
 only saves work: the result is that of plain Lloyd passes.  Seeds are the vectors with the
 smallest digests, centres are rounded to nine decimals, ties go to the centre with the lower number.
@@ -44,7 +49,7 @@ SAMPLE = 4096
 #: Blocks up to which their list of (number, cell, radius) is broadcast.
 BROADCAST_BLOCKS = 1_000_000
 #: Components of all centres up to which they are broadcast whole in each pass.
-HELD = 1 << 21
+HELD = 1 << 22
 #: Slack of bounds, far above the rounding of distances.
 SLACK = 1e-6
 
@@ -53,6 +58,10 @@ BLOCKS = T.StructType([
     T.StructField("cell", T.IntegerType()), T.StructField("radius", T.DoubleType()),
     T.StructField("ids", _longs), T.StructField("vectors", _doubles),
 ])
+#: Blocks after a pass: the nearest centre and distance of every row, and the centres whose rows changed.
+STATE = T.StructType([
+    *BLOCKS.fields, T.StructField("nearest", _longs), T.StructField("best", _doubles), T.StructField("touched", _longs),
+])
 GROUPS = T.StructType([
     *BLOCKS.fields, T.StructField("nearest", T.DoubleType()), T.StructField("moved", T.LongType()),
 ])
@@ -217,8 +226,16 @@ class _Block:
         self.best = np.full(len(ids), np.inf)
         self.center = np.full(len(ids), -1, np.int64)
 
-    def meet(self, low: float, ids: np.ndarray, vectors_flat: np.ndarray) -> None:
-        rows = np.flatnonzero(self.best >= low - SLACK)
+    def known(self, center: np.ndarray, best: np.ndarray, moved: np.ndarray) -> np.ndarray:
+        """Take over what the pass before found, but for rows whose centre has moved; these are given back."""
+        anew = moved[center]
+        self.center, self.best = np.where(anew, -1, center), np.where(anew, np.inf, best)
+        return anew
+
+    def meet(self, low: float, ids: np.ndarray, vectors_flat: np.ndarray, some: np.ndarray | None = None) -> None:
+        """Let all rows, or those marked in ``some``, meet the centres of a group."""
+        near = self.best >= low - SLACK
+        rows = np.flatnonzero(near if some is None else near & some)
         if not len(rows):
             return
         centers = vectors_flat.reshape(len(ids), -1)
@@ -237,10 +254,14 @@ class _Block:
         self.best[rows] = np.where(better, distance, old)
         self.center[rows] = np.where(better, center, known)
 
-    def sums(self) -> pa.RecordBatch:
-        centers, place = np.unique(self.center, return_inverse=True)
-        total = np.zeros((len(centers), self.grid.shape[1]))
-        np.add.at(total, place, self.grid)
+    def sums(self, wanted: np.ndarray | None = None) -> pa.RecordBatch:
+        """Partial sums per centre, of all centres or of those marked in ``wanted``."""
+        grid, center = self.grid, self.center
+        if wanted is not None:
+            grid, center = grid[wanted[center]], center[wanted[center]]
+        centers, place = np.unique(center, return_inverse=True)
+        total = np.zeros((len(centers), grid.shape[1]))
+        np.add.at(total, place, grid)
         lists = pa.FixedSizeListArray.from_arrays(pa.array(total.ravel()), total.shape[1])
         return pa.RecordBatch.from_arrays(
             [pa.array(centers), pa.array(np.bincount(place)), lists.cast(pa.list_(pa.float64()))], ["id", "n", "total"]
@@ -308,53 +329,81 @@ def _means(partial: DataFrame, groups: DataFrame) -> DataFrame:
 class _Held:
     """Centres of a bounded size, filed in groups on the driver, with the cells near each other."""
 
-    def __init__(self, grid: np.ndarray, coarse: np.ndarray, spans: dict[int, float]) -> None:
+    def __init__(self, grid: np.ndarray, coarse: np.ndarray, spans: dict[int, float], moved: np.ndarray) -> None:
         flat = pa.FixedSizeListArray.from_arrays(pa.array(grid.ravel()), grid.shape[1]).cast(pa.list_(pa.float64()))
-        ids = pa.array(np.arange(len(grid)))
-        batch = pa.RecordBatch.from_arrays([ids, flat, ids], ["id", "vector", "flag"])
+        batch = pa.RecordBatch.from_arrays([pa.array(np.arange(len(grid))), flat, pa.array(moved.astype(np.int32))], ["id", "vector", "flag"])
+        self.moved = moved
         self.groups: dict[int, list[tuple]] = {}
         facts: dict[int, tuple[float, float]] = {}
-        for cell, own, rows, away, _ in _filed(iter([batch]), coarse, GROUP_CENTERS):
-            self.groups.setdefault(cell, []).append((away.max(), own, rows.ravel()))
+        for cell, own, rows, away, flags in _filed(iter([batch]), coarse, GROUP_CENTERS):
+            gone = np.flatnonzero(flags)
+            self.groups.setdefault(cell, []).append((away.max(), own, rows.ravel(), gone))
             wide, nearest = facts.get(cell, (0.0, np.inf))
             facts[cell] = max(wide, away.max()), min(nearest, away.min())
         self.near: dict[int, list[tuple]] = {}
         for home, other, gap, reach in _near_cells(coarse, spans, facts):
             self.near.setdefault(home, []).append((other, gap, reach))
 
-    def met(self, block: _Block, cell: int, span: float) -> _Block:
-        """The block after it has met all groups that may hold a nearest centre."""
+    def met(self, block: _Block, cell: int, span: float, anew: np.ndarray | None) -> _Block:
+        """The block after it has met all groups that may hold a nearest centre.
+
+        Rows that are not ``anew`` (all are, if None) meet only the centres that moved.
+        """
         some = [
-            (gap - span - radius, at, ids, flat)
+            (gap - span - radius, at, ids, flat, gone)
             for other, gap, reach in self.near[cell]
-            for at, (radius, ids, flat) in enumerate(self.groups[other])
+            for at, (radius, ids, flat, gone) in enumerate(self.groups[other])
             if gap - span - radius <= span + reach + SLACK
         ]
-        for low, _, ids, flat in sorted(some, key=lambda group: group[:2]):
-            block.meet(low, ids, flat)
+        for low, _, ids, flat, gone in sorted(some, key=lambda group: group[:2]):
+            block.meet(low, ids, flat, anew)
+            if anew is not None and len(gone):
+                block.meet(low, ids[gone], flat.reshape(len(ids), -1)[gone].ravel(), ~anew)
         return block
 
 
-def _past_held(blocks: DataFrame, held, result: str, schema: str) -> DataFrame:
-    """Every block past the broadcast groups; sums are combined in the task."""
+def _listed(batch: pa.RecordBatch, row: int, *names: str) -> list[np.ndarray]:
+    return [batch.column(name)[row].values.to_numpy(zero_copy_only=False) for name in names]
+
+
+def _past_held(blocks: DataFrame, held) -> DataFrame:
+    """Every block past the broadcast groups, with the state of the pass before if it has one."""
+    later = "best" in blocks.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                block, anew, old = _Block(*_listed(batch, row, "ids", "vectors")), None, None
+                if later:
+                    old, best = _listed(batch, row, "nearest", "best")
+                    anew = block.known(old, best, held.value.moved)
+                block = held.value.met(block, batch.column("cell")[row].as_py(), batch.column("radius")[row].as_py(), anew)
+                changed = np.flatnonzero(block.center != old) if later else np.arange(len(block.ids))
+                touched = np.unique(np.concatenate((block.center[changed], old[changed])) if later else block.center)
+                kept = [batch.column(name).slice(row, 1) for name in BLOCKS.names]
+                yield pa.RecordBatch.from_arrays([*kept, _one(block.center), _one(block.best), _one(touched)], STATE.names)
+
+    return blocks.select(*[name for name in STATE.names if name in blocks.columns]).mapInArrow(run, STATE)
+
+
+def _held_sums(state: DataFrame, touched) -> DataFrame:
+    """Sums of the rows of the touched centres; they are combined in the task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = []
         for batch in batches:
             for row in range(batch.num_rows):
-                ids, flat = (batch.column(c)[row].values.to_numpy(zero_copy_only=False) for c in ("ids", "vectors"))
-                cell, span = batch.column("cell")[row].as_py(), batch.column("radius")[row].as_py()
-                found = getattr(held.value.met(_Block(ids, flat), cell, span), result)()
-                if result == "rows":
-                    yield found
-                else:
-                    parts.append(found)
-                    if len(parts) == 64:
-                        parts = [_combined(parts)]
+                block = _Block(*_listed(batch, row, "ids", "vectors"))
+                (block.center,) = _listed(batch, row, "nearest")
+                sums = block.sums(touched.value)
+                if sums.num_rows:
+                    parts.append(sums)
+                if len(parts) == 64:
+                    parts = [_combined(parts)]
         if parts:
             yield _combined(parts)
 
-    return blocks.mapInArrow(run, schema)
+    return state.select("ids", "vectors", "nearest").mapInArrow(run, "id long, n long, total array<double>")
 
 
 def _combined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
@@ -371,25 +420,40 @@ def _combined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n), lists.cast(pa.list_(pa.float64()))], ["id", "n", "total"])
 
 
-def _held_passes(blocks: DataFrame, seeds: DataFrame, wanted: int, coarse, spans: dict, passes: int) -> DataFrame:
+def _held_passes(
+    blocks: DataFrame, seeds: DataFrame, wanted: int, coarse, spans: dict, passes: int, scratch: Scratch
+) -> DataFrame:
     """Passes with centres that fit the driver (at most ``HELD`` components)."""
     context = blocks.sparkSession.sparkContext
     first = seeds.orderBy("_mark").limit(wanted).select("vector").toArrow()
     grid = _grid(first["vector"].combine_chunks(), first.num_rows)
+    state, moved = blocks, np.ones(len(grid), bool)
     for done in range(passes + 1):
-        held = context.broadcast(_Held(grid, coarse.value, spans))
+        held = context.broadcast(_Held(grid, coarse.value, spans, moved))
+        state = scratch.staged(_past_held(state, held), f"state{done}")
+        scratch.delete(f"state{done - 1}")
         if done == passes:
             break
-        sums = _past_held(blocks, held, "sums", "id long, n long, total array<double>")
+        touched = np.ones(len(grid), bool)
+        if done:
+            changed = state.select(F.explode("touched").alias("id")).distinct().toArrow()["id"].to_numpy()
+            touched[:] = False
+            touched[changed] = True
+        if not touched.any():
+            break
         summed = vector_to_array(Summarizer.sum(array_to_vector("total")))
+        sums = _held_sums(state, context.broadcast(touched))
         table = sums.groupBy("id").agg(F.sum("n").alias("n"), summed.alias("total")).toArrow()
         after = grid.copy()
-        total = _grid(table["total"].combine_chunks(), table.num_rows)
-        after[table["id"].to_numpy()] = rounded(total / table["n"].to_numpy()[:, None])
-        if (after == grid).all():
+        if table.num_rows:
+            total = _grid(table["total"].combine_chunks(), table.num_rows)
+            after[table["id"].to_numpy()] = rounded(total / table["n"].to_numpy()[:, None])
+        moved = (after != grid).any(axis=1)
+        if not moved.any():
             break
         grid = after
-    return _past_held(blocks, held, "rows", "_row long, cluster long, distance double")
+    each = state.select(F.explode(F.arrays_zip("ids", "nearest", "best")).alias("one"))
+    return each.select(F.col("one.ids").alias("_row"), F.col("one.nearest").alias("cluster"), F.col("one.best").alias("distance"))
 
 
 def _stored_passes(
@@ -441,7 +505,7 @@ def assign(
     # One vector per mark, that of the least key; numbered by mark.
     seeds = points.groupBy("_mark").agg(F.min_by("_vector", F.struct(*keys)).alias("vector"))
     if wanted * coarse.value.shape[1] <= HELD:
-        found = _held_passes(blocks, seeds, wanted, coarse, spans, params.passes)
+        found = _held_passes(blocks, seeds, wanted, coarse, spans, params.passes, scratch)
     else:
         found = _stored_passes(scratch, blocks, seeds, wanted, coarse, spans, few, params.passes)
     return scratch.result(

@@ -71,14 +71,18 @@ class Scratch:
         _write(df, path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, *names: str) -> None:
-        """Delete the tables of these names, whose last reader has ended, and shuffle files of ended
-        steps, which Spark removes once nothing on the driver refers to them any more."""
+    def delete(self, *names: str) -> None:
+        """Delete the tables of these names, whose last reader has ended."""
         gone = [path for path in self.paths if path.rsplit("/", 1)[1].rsplit("-", 1)[0] in names]
         for path in gone:
             hadoop_path, fs = _hadoop_path(self.spark, path)
             fs.delete(hadoop_path, True)
             self.paths.remove(path)
+
+    def drop(self, *names: str) -> None:
+        """Delete the tables of these names, whose last reader has ended, and shuffle files of ended
+        steps, which Spark removes once nothing on the driver refers to them any more."""
+        self.delete(*names)
         gc.collect()
         self.spark._jvm.System.gc()
 

@@ -381,3 +381,26 @@ def test_kmeans_leaves_out_dimensions_in_which_no_rows_differ(spark, monkeypatch
     assert seen == [2, 2, 1]
     assert found[0] == found[1]
     assert [distance for _, _, distance in found[2]] == [0.0] * 200
+
+
+def test_kmeans_settled_rows_meet_only_centres_that_moved(monkeypatch):
+    pick = np.random.default_rng(5)
+    rows, before = pick.normal(size=(400, 3)), pick.normal(size=(40, 3))
+    moved = np.arange(40) % 8 == 0
+    after = np.where(moved[:, None], before + 0.2, before)
+    pairs, squares = [], kmeans._squares
+    monkeypatch.setattr(kmeans, "_squares", lambda a, b: pairs.append(len(a) * len(b)) or squares(a, b))
+
+    def met(centers, flags, old=None):
+        held = kmeans._Held(centers, np.zeros((1, 3)), {0: 10.0}, flags)
+        block = kmeans._Block(np.arange(400), rows.ravel())
+        anew = None if old is None else block.known(old.center, old.best, flags)
+        pairs.clear()
+        return held.met(block, 0, 10.0, anew), sum(pairs)
+
+    first, _ = met(before, np.ones(40, bool))
+    whole, all_pairs = met(after, np.ones(40, bool))
+    again, few_pairs = met(after, moved, first)
+    assert (first.center != whole.center).any()
+    assert again.center.tolist() == whole.center.tolist() and again.best.tolist() == whole.best.tolist()
+    assert few_pairs < all_pairs / 2
