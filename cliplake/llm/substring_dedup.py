@@ -202,34 +202,80 @@ def _runs_of(starts: np.ndarray) -> Iterator[tuple[int, int]]:
     yield from zip(starts[np.r_[0, cut + 1]].tolist(), starts[np.r_[cut, len(starts) - 1]].tolist(), strict=True)
 
 
+def similar_runs(
+    data: np.ndarray, mine: np.ndarray, theirs: np.ndarray, lengths: np.ndarray, width: int, percent: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of the pair, first and last start of every run of ``similar_starts``, for many pairs at once.
+
+    Pair i is data[mine[i] : mine[i] + lengths[i]] and data[theirs[i] : theirs[i] + lengths[i]], at
+    least ``width`` long.
+    """
+    if not len(lengths):
+        return (np.empty(0, np.int64),) * 3
+    inside = _inside(lengths)
+    own, other = data[np.repeat(mine, lengths) + inside], data[np.repeat(theirs, lengths) + inside]
+    pair = np.repeat(np.arange(len(lengths)), lengths)
+    base, starts = np.cumsum(lengths) - lengths, lengths - width + 1
+    aligned = own == other
+    sums = np.concatenate(([0], np.cumsum(aligned)))
+    at = np.repeat(base, starts) + _inside(starts)
+    pair_of = np.repeat(np.arange(len(lengths)), starts)
+    shared = sums[at + width] - sums[at]
+    similar = 100 * shared >= percent * (2 * width - shared)
+    some = np.zeros(len(lengths), bool)
+    some[pair_of[~similar]] = True
+    place = np.flatnonzero(~aligned & some[pair])
+    if len(place):
+        high = pair[place].astype(np.uint64) << np.uint64(32)
+        keys = np.concatenate((high | own[place], high | other[place]))
+        number = np.unique(keys, return_inverse=True)[1]
+        left, right = _numbered(number[: len(place)]), _numbered(number[len(place) :])
+        order = np.argsort(right)
+        met_at = np.minimum(np.searchsorted(right[order], left), len(right) - 1)
+        met = right[order[met_at]] == left
+        i, j = place[met], place[order[met_at[met]]]
+        of = pair[i]
+        i, j = i - base[of], j - base[of]
+        first, last = np.maximum(np.maximum(i, j) - width + 1, 0), np.minimum(np.minimum(i, j), starts[of] - 1)
+        # One place more for each pair, where its last intervals end.
+        slots = np.cumsum(starts + 1) - (starts + 1)
+        fits = first <= last
+        change = np.bincount(slots[of[fits]] + first[fits], minlength=starts.sum() + len(starts))
+        change -= np.bincount(slots[of[fits]] + last[fits] + 1, minlength=len(change))
+        shared = shared + np.cumsum(change)[np.repeat(slots, starts) + _inside(starts)]
+        similar = 100 * shared >= percent * (2 * width - shared)
+    hits = np.flatnonzero(similar)
+    if not len(hits):
+        return (np.empty(0, np.int64),) * 3
+    of = pair_of[hits]
+    cut = np.flatnonzero((np.diff(hits) > 1) | (np.diff(of) > 0))
+    first, last = np.r_[0, cut + 1], np.r_[cut, len(hits) - 1]
+    local = hits - (np.cumsum(starts) - starts)[of]
+    return of[first], local[first], local[last]
+
+
 def _verified(size: int, width: int, percent: int):
     def spans(batch: pa.RecordBatch, firsts: np.ndarray) -> pa.RecordBatch:
-        out = []
         cells = batch.column("cell")
-        offsets = np.frombuffer(cells.buffers()[1], np.int32)[cells.offset : cells.offset + len(cells) + 1].tolist()
-        data = cells.buffers()[2]
-        own = np.concatenate(([0], np.cumsum(batch.column("own").to_numpy(zero_copy_only=False)))).tolist()
-        keys = [batch.column(name).to_numpy()[firsts[:-1]].tolist() for name in _GROUP]
-        blocks = batch.column("block").to_numpy()
-        for a, b, id_, source, diagonal, lo in zip(firsts[:-1].tolist(), firsts[1:].tolist(), *keys, strict=True):
-            # The own blocks of a group come first, in order, so both sides lie in one piece each.
-            middle = a + own[b] - own[a]
-            if middle in (a, b):
-                continue
-            mine = data[offsets[a] + 4 * (lo - int(blocks[a]) * BLOCK) : offsets[middle]]
-            theirs = data[offsets[middle] + 4 * (lo - diagonal - int(blocks[middle]) * BLOCK) : offsets[b]]
-            length = min(len(mine) // 4, len(theirs) // 4, PIECE)
-            if length < width:
-                continue
-            mine, theirs = mine[: 4 * length], theirs[: 4 * length]
-            if mine.equals(theirs):
-                out.append((id_, source, lo, lo + length + size - 1))
-                continue
-            starts = similar_starts(np.frombuffer(mine, "<u4"), np.frombuffer(theirs, "<u4"), width, percent)
-            if len(starts):
-                out += [(id_, source, lo + x, lo + y + width + size - 1) for x, y in _runs_of(starts)]
-        columns = [pa.array([x[i] for x in out], pa.int64()) for i in range(4)]
-        return pa.RecordBatch.from_arrays(columns, SPAN.names)
+        edges = np.frombuffer(cells.buffers()[1], np.int32)[cells.offset : cells.offset + len(cells) + 1].astype(np.int64) // 4
+        raw = np.frombuffer(cells.buffers()[2], np.uint8)
+        data = raw[: len(raw) // 4 * 4].view("<u4")
+        own = np.concatenate(([0], np.cumsum(batch.column("own").to_numpy(zero_copy_only=False))))
+        # The own blocks of a group come first, in order, so both sides lie in one piece each.
+        a, b = firsts[:-1], firsts[1:]
+        middle = a + own[b] - own[a]
+        both = (middle > a) & (middle < b)
+        a, b, middle = a[both], b[both], middle[both]
+        id_, source, diagonal, lo = (batch.column(name).to_numpy()[a] for name in _GROUP)
+        blocks = batch.column("block").to_numpy().astype(np.int64)
+        mine = edges[a] + lo - blocks[a] * BLOCK
+        theirs = edges[middle] + lo - diagonal - blocks[middle] * BLOCK
+        lengths = np.minimum(np.minimum(edges[middle] - mine, edges[b] - theirs), PIECE)
+        some = lengths >= width
+        group, first, last = similar_runs(data, mine[some], theirs[some], lengths[some], width, percent)
+        id_, source, lo = id_[some][group], source[some][group], lo[some][group]
+        columns = [id_, source, lo + first, lo + last + width + size - 1]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], SPAN.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left = None
@@ -357,7 +403,9 @@ def _chains(members: DataFrame, width: int) -> DataFrame:
     """Per (id, source, diagonal) the interval of shingles that links to both leaders cover."""
     first = F.min(F.struct("id", "at", "left", "right")).alias("lead")
     by = (["group"], ["group", "left", "right", "mark"])
-    links = [_links(members.join(members.groupBy(*on).agg(first), on), width) for on in by]
+    # The first of a group is among the windows of its least id, which are few.
+    leaders = (members.where("id = least"), members)
+    links = [_links(members.join(some.groupBy(*on).agg(first), on), width) for some, on in zip(leaders, by, strict=True)]
     return (
         links[0]
         .union(links[1])

@@ -662,3 +662,27 @@ def test_line_model_learns():
     good, bad = 0b10000001, 0b00011001
     model = quality_rules.fit_lines([([good] * 4, [1] * 4), ([bad] * 5, [0] * 5), ([good, bad, good], [1, 0, 1])] * 10)
     assert model.decode([good, good, bad, bad]) == [True, True, False, False]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_similar_runs_of_many_pairs(seed):
+    pick = np.random.default_rng(seed)
+    texts, width, percent = [], 6, 80
+    for _ in range(60):
+        one = pick.integers(0, 9, pick.integers(6, 40)).astype("<u4")
+        two = one.copy()
+        two[pick.random(len(two)) < 0.2] = 3
+        texts.append((one, np.roll(two, int(pick.integers(0, 2)))))
+    data = np.concatenate([part for pair in texts for part in pair])
+    ends = np.cumsum([len(part) for pair in texts for part in pair])
+    lengths = np.array([len(one) for one, _ in texts])
+    got = substring_dedup.similar_runs(data, ends[::2] - lengths, ends[1::2] - lengths, lengths, width, percent)
+    plain = [
+        (number, first, last)
+        for number, (one, two) in enumerate(texts)
+        if len(starts := substring_dedup.similar_starts(one, two, width, percent))
+        for first, last in substring_dedup._runs_of(starts)
+    ]
+    assert plain and list(zip(*(column.tolist() for column in got), strict=True)) == plain
+    none = np.empty(0, np.int64)
+    assert len(substring_dedup.similar_runs(data, none, none, none, width, percent)[0]) == 0
